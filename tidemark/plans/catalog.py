@@ -364,3 +364,342 @@ FROM ({_dq_tagged_sql()}) t WHERE len(_failed_dq_rules) > 0""")
 def q_dq_renamed(spark, sf):
     aliases = {user: raw for raw, user in DQ_RENAMES.items()}
     return quality.quarantine(load(spark, sf, "orders"), DQ_RULES_RENAMED, "orders", sc.RUN0, aliases=aliases)
+
+
+# ── incremental / full loads ──────────────────────────────────────────────────
+
+from tidemark.sources import incremental  # noqa: E402
+
+LOAD_RUN = sc.RUN0
+# The source as the first incremental run saw it (orders placed up to then).
+FIRST_LOAD_UNTIL = "2000-12-31 00:00:00"
+LOAD_WHERE = "o_orderstatus <> 'P'"
+LOAD_SELECT = ["o_orderkey", "o_custkey", "o_totalprice"]
+PROV_SQL = f"TIMESTAMP '{LOAD_RUN.text}' AS _staging_ingested_at, {PROVENANCE_NULLS}"
+
+
+@register("load_full", lambda: f"SELECT o_orderkey, o_custkey, o_totalprice, {PROV_SQL} FROM orders WHERE {LOAD_WHERE}")
+def q_load_full(spark, sf):
+    return incremental.full_load(load(spark, sf, "orders"), LOAD_RUN, LOAD_WHERE, LOAD_SELECT)
+
+
+def _first_load(spark, sf, **kw):
+    o = load(spark, sf, "orders")
+    return incremental.incremental_load(o.where(F.col("o_orderdate") <= F.lit(FIRST_LOAD_UNTIL).cast("timestamp_ntz")),
+                                        LOAD_RUN, None, **kw)
+
+
+_MARK_SQL = f"(SELECT max(o_orderdate) FROM orders WHERE o_orderdate <= TIMESTAMP '{FIRST_LOAD_UNTIL}')"
+
+
+@register("load_incremental", lambda: f"""
+SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, {PROV_SQL} FROM orders
+WHERE o_orderdate > {_MARK_SQL} AND {LOAD_WHERE}""")
+def q_load_incremental(spark, sf):
+    """Second run: rows above the mark left by the first run (select omits the
+    watermark column; it is kept anyway)."""
+    first = _first_load(spark, sf, column="o_orderdate")
+    mark = incremental.last_watermark(first, "o_orderdate")
+    return incremental.incremental_load(load(spark, sf, "orders"), LOAD_RUN, mark, column="o_orderdate",
+                                        where=LOAD_WHERE, select=LOAD_SELECT)
+
+
+WM_EXPR = "to_date(o_orderdate)"
+
+
+@register("load_incremental_expr", lambda: f"""
+SELECT {_cols(ORDERS)}, CAST(o_orderdate AS DATE) AS _federated_watermark, {PROV_SQL} FROM orders
+WHERE CAST(o_orderdate AS DATE) > CAST({_MARK_SQL} AS DATE)""")
+def q_load_incremental_expr(spark, sf):
+    first = _first_load(spark, sf, expression=WM_EXPR)
+    mark = incremental.last_watermark(first, incremental.WATERMARK_COLUMN)
+    return incremental.incremental_load(load(spark, sf, "orders"), LOAD_RUN, mark, expression=WM_EXPR)
+
+
+@register("high_water_mark", lambda: f"""
+SELECT max(o_orderdate) AS high_water_mark, CAST(count(*) AS BIGINT) AS rows_loaded FROM (
+  SELECT o_orderdate FROM orders WHERE o_orderdate <= TIMESTAMP '{FIRST_LOAD_UNTIL}'
+  UNION ALL SELECT o_orderdate FROM orders WHERE o_orderdate > {_MARK_SQL}) t""")
+def q_high_water_mark(spark, sf):
+    """Mark over the public table (first load + delta), never over the last delta alone."""
+    first = _first_load(spark, sf, column="o_orderdate")
+    mark = incremental.last_watermark(first, "o_orderdate")
+    delta = incremental.incremental_load(load(spark, sf, "orders"), LOAD_RUN, mark, column="o_orderdate")
+    public = first.unionByName(delta)
+    return public.agg(F.max("o_orderdate").alias("high_water_mark"), F.count(F.lit(1)).alias("rows_loaded"))
+
+
+# ── projection / names ────────────────────────────────────────────────────────
+
+from tidemark.operators import audit  # noqa: E402
+from tidemark.operators import project as proj  # noqa: E402
+
+RENAME_COLS = [{"name": "c_custkey", "rename": "customer id"}, {"name": "c_name", "rename": "Name"},
+               {"name": "c_acctbal"}]
+
+
+@register("project_rename", lambda: 'SELECT c_custkey AS customerid, c_name AS "Name", c_acctbal AS cacctbal FROM customer')
+def q_project_rename(spark, sf):
+    return proj.project(load(spark, sf, "customer"), RENAME_COLS).df
+
+
+@register("project_missing", lambda: "SELECT c_custkey AS ccustkey, CAST(NULL AS VARCHAR) AS cphone FROM customer")
+def q_project_missing(spark, sf):
+    return proj.project(load(spark, sf, "customer"), [{"name": "c_custkey"}, {"name": "c_phone"}],
+                        allow_missing=True).df
+
+
+@register("normalize_names", lambda: """
+SELECT c_custkey AS ccustkey, c_name AS cname, c_nationkey AS cnationkey, c_acctbal AS cacctbal FROM customer""")
+def q_normalize_names(spark, sf):
+    return proj.project(load(spark, sf, "customer"), None, exclude_columns=["c_mktsegment"]).df
+
+
+# ── files ─────────────────────────────────────────────────────────────────────
+
+from tidemark.operators.rolling import PROVENANCE_COLUMNS  # noqa: E402
+from tidemark.session import scratch_dir  # noqa: E402
+from tidemark.sources import files  # noqa: E402
+from tidemark.streaming import medallion  # noqa: E402
+
+CUSTOMER_SQL = f"SELECT {_cols(CUSTOMER)} FROM customer"
+CUSTOMER_RESCUED_SQL = f"SELECT {_cols(CUSTOMER)}, CAST(NULL AS VARCHAR) AS _rescued_data FROM customer"
+
+
+def _ingest(spark, src: files.FileSource, base: str, schema=None) -> DataFrame:
+    medallion.ingest_staging(spark, src, f"{base}/staging", f"{base}/ckpt", schema, sc.RUN0.ts_col())
+    return spark.read.parquet(f"{base}/staging").drop(*PROVENANCE_COLUMNS)
+
+
+@register("file_ingest_json", lambda: CUSTOMER_RESCUED_SQL)
+def q_file_json(spark, sf):
+    base = scratch_dir(spark, "tidemark-q", "json")
+    load(spark, sf, "customer").write.json(f"{base}/in")
+    return _ingest(spark, files.FileSource(f"{base}/in", "json", schema_hints="c_nationkey int"), base)
+
+
+@register("file_ingest_csv", lambda: CUSTOMER_RESCUED_SQL)
+def q_file_csv(spark, sf):
+    base = scratch_dir(spark, "tidemark-q", "csv")
+    load(spark, sf, "customer").write.option("header", True).option("sep", "|").csv(f"{base}/in")
+    src = files.FileSource(f"{base}/in", "csv", schema_hints="c_custkey bigint",
+                           csv_options={"header": True, "delimiter": "|"})
+    return _ingest(spark, src, base)
+
+
+@register("file_ingest_parquet", lambda: CUSTOMER_SQL)
+def q_file_parquet(spark, sf):
+    base = scratch_dir(spark, "tidemark-q", "parquet")
+    load(spark, sf, "customer").write.parquet(f"{base}/in")
+    return _ingest(spark, files.FileSource(f"{base}/in", "parquet"), base)
+
+
+@register("file_ingest_orc", lambda: CUSTOMER_SQL)
+def q_file_orc(spark, sf):
+    base = scratch_dir(spark, "tidemark-q", "orc")
+    load(spark, sf, "customer").write.orc(f"{base}/in")
+    return _ingest(spark, files.FileSource(f"{base}/in", "orc"), base)
+
+
+def _customer_line():
+    return F.concat_ws("|", *[F.col(c).cast("string") for c in CUSTOMER])
+
+
+@register("file_ingest_text", lambda: f"SELECT concat_ws('|', {_cols(CUSTOMER)}) AS value FROM customer")
+def q_file_text(spark, sf):
+    base = scratch_dir(spark, "tidemark-q", "text")
+    load(spark, sf, "customer").select(_customer_line().alias("value")).write.text(f"{base}/in")
+    return _ingest(spark, files.FileSource(f"{base}/in", "text"), base)
+
+
+@register("file_ingest_binary", lambda: CUSTOMER_SQL)
+def q_file_binary(spark, sf):
+    """binaryFile ingestion, then the JSON lines inside each file's bytes are decoded."""
+    base = scratch_dir(spark, "tidemark-q", "binary")
+    cust = load(spark, sf, "customer")
+    cust.write.json(f"{base}/in")
+    raw = _ingest(spark, files.FileSource(f"{base}/in", "binaryfile", file_name_pattern="*.json"), base)
+    lines = raw.select(F.explode(F.split(F.decode("content", "UTF-8"), "\n")).alias("line")).where("line <> ''")
+    return lines.select(F.from_json("line", cust.schema).alias("r")).select("r.*")
+
+
+@register("file_glob", lambda: CUSTOMER_RESCUED_SQL)
+def q_file_glob(spark, sf):
+    base = scratch_dir(spark, "tidemark-q", "glob")
+    cust = load(spark, sf, "customer")
+    cust.write.json(f"{base}/in")
+    cust.write.mode("append").option("header", True).csv(f"{base}/in")      # noise: must be skipped
+    src = files.FileSource(f"{base}/in", "json", file_name_pattern="*.json", schema_hints="c_nationkey int")
+    return _ingest(spark, src, base)
+
+
+@register("file_partitions", lambda: CUSTOMER_SQL)
+def q_file_partitions(spark, sf):
+    base = scratch_dir(spark, "tidemark-q", "parts")
+    load(spark, sf, "customer").write.partitionBy("c_mktsegment").parquet(f"{base}/in")
+    src = files.FileSource(f"{base}/in", "parquet", partition_columns=["c_mktsegment"])
+    return _ingest(spark, src, base)
+
+
+@register("file_discover", lambda: CUSTOMER_SQL)
+def q_file_discover(spark, sf):
+    """Files present at first start are skipped; files arriving later are taken."""
+    base = scratch_dir(spark, "tidemark-q", "discover")
+    cust = load(spark, sf, "customer")
+    cust.write.json(f"{base}/in/first")
+    src = files.FileSource(f"{base}/in", "parquet", include_existing_files=False, file_name_pattern="*.parquet")
+    assert files.discover_files(spark, src, None).count() == 0
+    files.list_files(spark, files.FileSource(f"{base}/in", "json")).write.parquet(f"{base}/ledger")
+    cust.write.parquet(f"{base}/in/second")
+    new = files.discover_files(spark, src, spark.read.parquet(f"{base}/ledger"))
+    paths = [r["path"] for r in new.select("path").collect()]
+    return spark.read.parquet(*paths)
+
+
+# ── schema evolution / rescue ─────────────────────────────────────────────────
+
+STORED = "event_id bigint, k int"
+
+
+def _event_docs(spark, sf, base) -> str:
+    ev = load(spark, sf, "events")
+    doc = F.to_json(F.struct("event_id", F.from_json("props", "k int").getField("k").alias("k"),
+                             "event_type", F.col("value").cast("string").alias("value")))
+    ev.select(doc.alias("value")).write.text(f"{base}/in")
+    return f"{base}/in"
+
+
+K_SQL = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
+
+
+@register("schema_rescue", lambda: f"""
+SELECT event_id, {K_SQL} AS k, CAST(NULL AS INTEGER) AS value,
+       '{{"event_type":"' || event_type || '","value":"' || CAST(value AS VARCHAR) || '"}}' AS _rescued_data
+FROM events""")
+def q_schema_rescue(spark, sf):
+    """Unknown key (event_type) and mistyped value (string for an int) are rescued."""
+    base = scratch_dir(spark, "tidemark-q", "rescue")
+    path = _event_docs(spark, sf, base)
+    schema = files.parse_hints(spark, STORED + ", value int")
+    return _ingest(spark, files.FileSource(path, "json"), base, schema)
+
+
+@register("schema_add", lambda: f"""
+SELECT event_id, {K_SQL} AS k, event_type, CAST(value AS VARCHAR) AS value FROM events""")
+def q_schema_add(spark, sf):
+    base = scratch_dir(spark, "tidemark-q", "add")
+    path = _event_docs(spark, sf, base)
+    src = files.FileSource(path, "json", schema_evolution_mode="addNewColumns")
+    schema = files.evolve_schema(files.parse_hints(spark, STORED), files.resolve_schema(spark, src),
+                                 "addNewColumns")
+    return _ingest(spark, src, base, schema)
+
+
+@register("schema_none", lambda: f"SELECT event_id, {K_SQL} AS k FROM events")
+def q_schema_none(spark, sf):
+    base = scratch_dir(spark, "tidemark-q", "none")
+    path = _event_docs(spark, sf, base)
+    src = files.FileSource(path, "json", schema_evolution_mode="none")
+    schema = files.evolve_schema(files.parse_hints(spark, STORED), files.resolve_schema(spark, src), "none")
+    return _ingest(spark, src, base, schema)
+
+
+# ── chained streams ───────────────────────────────────────────────────────────
+
+CHAIN_RULES = [("positive_balance", "c_acctbal > 0")]
+
+
+@register("bronze_chain", lambda: f"""
+SELECT c_custkey AS ccustkey, c_name AS cname, c_nationkey AS cnationkey, c_acctbal AS cacctbal,
+       c_mktsegment AS cmktsegment, TIMESTAMP '{sc.RUN0.text}' AS __START_AT, CAST(NULL AS TIMESTAMP) AS __END_AT
+FROM customer WHERE (c_acctbal > 0) IS NOT FALSE""")
+def q_bronze_chain(spark, sf):
+    """customer files -> staging -> bronze -> silver (DQ gate, SELECT * names, SCD2)."""
+    base = scratch_dir(spark, "tidemark-q", "chain")
+    load(spark, sf, "customer").write.parquet(f"{base}/in")
+    at = sc.RUN0.ts_col()
+    medallion.ingest_staging(spark, files.FileSource(f"{base}/in", "parquet"), f"{base}/staging",
+                             f"{base}/ck1", ingested_at=at)
+    medallion.ingest_bronze(spark, f"{base}/staging", f"{base}/bronze", f"{base}/ck2", ingested_at=at)
+    spec = medallion.SilverSpec("customer", ["c_custkey"], data_quality_rules=CHAIN_RULES, buckets=8)
+    sink = medallion.SilverSink(spark, spec, f"{base}/silver", f"{base}/quarantine", f"{base}/log", sc.RUN0)
+    medallion.run_silver(spark, f"{base}/bronze", sink, f"{base}/ck3")
+    silver = spark.read.parquet(f"{base}/silver")
+    return silver.select("ccustkey", "cname", "cnationkey", "cacctbal", "cmktsegment", "__START_AT", "__END_AT")
+
+
+@register("scd2_stream_events", lambda: scd2_sql("SELECT * FROM events", EVENTS, ["user_id"], "ts", ["event_type"]))
+def q_scd2_stream(spark, sf):
+    """Events arrive in four files, one per micro-batch, out of time order per key."""
+    from tidemark.streaming.scd_stream import ScdSink, read_target, scd2_stream
+    base = scratch_dir(spark, "tidemark-q", "scdstream")
+    ev = load(spark, sf, "events")
+    ev.repartition(4, "event_type").write.parquet(f"{base}/in")
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    sink = ScdSink(spark, f"{base}/log", f"{base}/target", ["user_id"], "ts", track=["event_type"], buckets=8)
+    scd2_stream(stream, sink, f"{base}/ckpt")
+    return read_target(spark, f"{base}/target")
+
+
+@register("change_capture_runs", lambda: f"""({stream_sql(2)}) UNION ALL (
+SELECT {_tomb_cols(SWEEP_RUN, 'reconcile')} FROM (
+  SELECT * FROM ({stream_sql(SWEEP_RUN - 1)}) h
+  WHERE changetype = 'upsert' AND rowkey IN (SELECT rowkey FROM ({_sweep_flags_sql(SWEEP_RUN)}) f
+                                             WHERE _open AND NOT _live AND NOT _rolled)
+  QUALIFY row_number() OVER (PARTITION BY rowkey ORDER BY snapshotseq DESC) = 1) p)""")
+def q_change_capture_runs(spark, sf):
+    """Three persisted runs (snapshot + deletes, sweep at run 2) read back from the store."""
+    from tidemark.streaming.change_capture import ChangeStore, SweepSpec, run_once
+    ev = load(spark, sf, "events")
+    store = ChangeStore(spark, scratch_dir(spark, "tidemark-q", "cc"))
+    for k in range(3):
+        sweep = SweepSpec(enabled=(k == SWEEP_RUN))
+        silver = scd.change_stream_scd2(store.stream()) if k == SWEEP_RUN else None
+        run_once(spark, sc.foreign(ev, k), store, sc.run(k), sc.SPEC, sweep, silver, "events")
+    return store.stream().select(*STREAM_COLS)
+
+
+# ── audit summaries ───────────────────────────────────────────────────────────
+
+@register("snapshot_summary", lambda: f"""
+SELECT snapshotseq, snapshotts, windowstart, upserts, deletes, reconciles,
+       max(CASE WHEN upserts > 0 THEN snapshotseq END) OVER (ORDER BY snapshotseq
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior_snapshotseq
+FROM (SELECT snapshotseq, snapshotts, windowstart,
+             CAST(count(*) FILTER (WHERE changetype = 'upsert') AS BIGINT) AS upserts,
+             CAST(count(*) FILTER (WHERE changetype = 'delete') AS BIGINT) AS deletes,
+             CAST(count(*) FILTER (WHERE changetype = 'reconcile') AS BIGINT) AS reconciles
+      FROM ({stream_sql(2)}) s GROUP BY snapshotseq, snapshotts, windowstart) g""")
+def q_snapshot_summary(spark, sf):
+    return audit.snapshot_summary(sc.Scenario(load(spark, sf, "events")).stream(2))
+
+
+@register("silver_summary", lambda: f"""
+SELECT CAST(count(*) AS BIGINT) AS versions,
+       CAST(count(*) FILTER (WHERE __END_AT IS NULL) AS BIGINT) AS open_versions,
+       CAST(count(*) FILTER (WHERE __END_AT IS NOT NULL) AS BIGINT) AS closed_versions,
+       CAST(count(*) FILTER (WHERE __END_AT IS NULL AND NOT isdeleted) AS BIGINT) AS live_rows,
+       CAST(count(*) FILTER (WHERE __END_AT IS NULL AND isdeleted) AS BIGINT) AS deleted_rows
+FROM ({silver_sql(2)}) s""")
+def q_silver_summary(spark, sf):
+    return audit.silver_summary(sc.Scenario(load(spark, sf, "events")).silver(2))
+
+
+@register("ingest_summary", lambda: f"""
+SELECT changetype, CAST(count(*) AS BIGINT) AS rows, min(_staging_ingested_at) AS first_ingested_at,
+       max(_staging_ingested_at) AS last_ingested_at FROM ({stream_sql(2)}) s GROUP BY changetype""")
+def q_ingest_summary(spark, sf):
+    return audit.ingest_summary(sc.Scenario(load(spark, sf, "events")).stream(2), ["changetype"])
+
+
+@register("quarantine_summary", lambda: f"""
+SELECT rule, CAST(count(*) AS BIGINT) AS failed_rows FROM (SELECT unnest(_failed_dq_rules) AS rule
+FROM ({_dq_tagged_sql()}) t) u GROUP BY rule""")
+def q_quarantine_summary(spark, sf):
+    return audit.quarantine_summary(quality.quarantine(load(spark, sf, "orders"), DQ_RULES, "orders", sc.RUN0))
+
+
+@register("duplicate_keys", lambda: f"""
+SELECT {_cols(LI3)}, CAST(count(*) AS BIGINT) AS dup_count FROM lineitem GROUP BY {_cols(LI3)} HAVING count(*) > 1""")
+def q_duplicate_keys(spark, sf):
+    return audit.duplicate_keys(load(spark, sf, "lineitem"), LI3)
