@@ -7,12 +7,12 @@ is an ``EXCEPT ALL`` on the identity columns.
 
 Numbering is skew-proof. The obvious ``row_number() over (partition by rowhash)``
 sends every copy of a row to one task, and a single duplicated row may be a
-third of the table. Instead copies are counted per (rowhash, contenthash,
-input split) with a map-side partial aggregate, offsets are a running sum over
-those counts (at most one entry per input split for identical copies), and the
-rows are regenerated with ``explode(sequence(first, last))`` in the task that
-owns that split's share. No group, and no task, ever holds more than one
-input split's worth of copies.
+third of the table. Instead rows are numbered inside (rowhash, contenthash,
+input split) groups — no group holds more than one input split's worth of
+copies, so a hot row is spread over as many tasks as it has input splits —
+and each group is shifted by the running total of the groups before it,
+computed on the small table of group sizes. Full data crosses the network
+once, the same as the naive window.
 
 Occurrence order: copies are numbered in ``contenthash`` order, so in
 key_columns / exclude_columns mode the same multiset always gets the same
@@ -108,39 +108,47 @@ def add_identity(df: DataFrame, mode: str = "hash_all", key_columns: Sequence[st
 
 
 def _number_copies(df: DataFrame, business: list[str], whole_row: bool) -> DataFrame:
-    """Assign 1..n to rows sharing a rowhash, ordered by contenthash (see module doc)."""
-    payload = F.struct(*[F.col(f"`{c}`") for c in business]).alias("_row")
-    counted = (
+    """Assign 1..n to rows sharing a rowhash, ordered by contenthash (see module doc).
+
+    Plan: ONE shuffle of the rows on (rowhash, contenthash, split) numbers each
+    row inside its group (a group never exceeds one input split); the group
+    sizes come from that same exchange (reused), their running offsets are
+    computed on the small counts table and joined back on the group key.
+    """
+    group = ["rowhash", "contenthash", "_split"]
+    rows = (
         df.withColumn("_split", F.spark_partition_id())
-        .groupBy("rowhash", "contenthash", "_split")
-        .agg(F.any_value(payload).alias("_row"), F.count(F.lit(1)).alias("_n"))
+        .withColumn("_i", F.row_number().over(Window.partitionBy(*group).orderBy("rowhash")))
     )
+    # Group sizes: a narrow (hash, hash, int, count) branch over the same
+    # deterministic input, so it sees the same split ids as the rows branch.
+    counts = rows.groupBy(*group).agg(F.max("_i").alias("_n"))
     upto = (Window.unboundedPreceding, Window.currentRow)
     if whole_row:
-        # One content per rowhash: at most one entry per input split per rowhash.
+        # One content per rowhash: at most one count row per input split per rowhash.
         w = Window.partitionBy("rowhash").orderBy("_split").rowsBetween(*upto)
-        counted = counted.withColumn("_last", F.sum("_n").over(w))
+        offsets = counts.withColumn("_off", F.sum("_n").over(w) - F.col("_n"))
     else:
-        # Many contents may share a rowhash (key_columns mode, hot keys): number
-        # inside contenthash-prefix buckets, then offset each bucket by the
-        # copies in the buckets before it. Prefix order == contenthash order.
-        counted = counted.withColumn("_b", F.substring("contenthash", 1, _BUCKET_CHARS))
+        # Many contents may share a rowhash (key_columns mode, hot keys): running
+        # sums inside contenthash-prefix buckets, plus the total of the buckets
+        # before. Prefix order == contenthash order, so the numbering is the
+        # contenthash order whatever the bucket count.
+        counts = counts.withColumn("_b", F.substring("contenthash", 1, _BUCKET_CHARS))
         w = Window.partitionBy("rowhash", "_b").orderBy("contenthash", "_split").rowsBetween(*upto)
-        counted = counted.withColumn("_local", F.sum("_n").over(w))
+        local = counts.withColumn("_loc", F.sum("_n").over(w) - F.col("_n"))
         before = Window.partitionBy("rowhash").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = (
-            counted.groupBy("rowhash", "_b").agg(F.sum("_n").alias("_bn"))
-            .withColumn("_off", F.sum("_bn").over(before))
-            .where(F.col("_off").isNotNull())          # first bucket of a rowhash has no offset
-            .select("rowhash", "_b", "_off")
+        buckets = (
+            local.groupBy("rowhash", "_b").agg(F.sum("_n").alias("_bn"))
+            .withColumn("_boff", F.coalesce(F.sum("_bn").over(before), F.lit(0)))
+            .select("rowhash", "_b", "_boff")
         )
-        counted = (
-            counted.join(offsets, ["rowhash", "_b"], "left")
-            .withColumn("_last", F.col("_local") + F.coalesce(F.col("_off"), F.lit(0)))
-        )
-    first = F.col("_last") - F.col("_n") + 1
-    exploded = counted.select(
-        "_row.*", "rowhash", "contenthash",
-        F.explode(F.sequence(first.cast("int"), F.col("_last").cast("int"))).alias("rowoccurrence"),
-    )
-    return exploded
+        offsets = (local.join(buckets, ["rowhash", "_b"])
+                   .withColumn("_off", F.col("_loc") + F.col("_boff")))
+    # Only groups that follow another group of their rowhash need a shift; the
+    # rest (all rows of duplicate-free data) keep _i. The shift table is then
+    # small for ordinary data and AQE broadcasts it after checking its size.
+    shifts = offsets.where(F.col("_off") > 0).select(*group, "_off")
+    numbered = rows.join(shifts, group, "left")
+    return numbered.withColumn("rowoccurrence",
+                               (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_i")).cast("int")) \
+        .drop("_split", "_i", "_off")
