@@ -101,43 +101,149 @@ def scd1(changes: DataFrame, keys: Sequence[str], seq: str, tie_break: Column |
     return out.select(*[_q(c) for c in changes.columns if c not in set(except_columns)])
 
 
+# Keys with more change rows than this are versioned by the chunked path.
+HOT_KEY_ROWS = 2_000_000
+# Sequence-quantile chunks per hot key.
+HOT_KEY_CHUNKS = 256
+
+
 def scd2(changes: DataFrame, keys: Sequence[str], seq: str, track: Sequence[str] | None = None,
          except_track: Sequence[str] = (), except_columns: Sequence[str] = (),
-         tie_break: Column | None = None) -> DataFrame:
-    """Versions per key (rules in the module docstring)."""
+         tie_break: Column | None = None, hot_key_rows: int | None = HOT_KEY_ROWS,
+         chunks: int = HOT_KEY_CHUNKS) -> DataFrame:
+    """Versions per key (rules in the module docstring).
+
+    Skew: a key with more than ``hot_key_rows`` rows (one user holding a third
+    of all events) would put its whole history in one window task. Such keys
+    are found by a partial aggregate and versioned by ``_versions_chunked``,
+    which splits each one into ``chunks`` sequence-quantile ranges and stitches
+    the ranges through a small per-chunk summary. The routing joins are left to
+    AQE (the hot-key table is at most rows / hot_key_rows long and is broadcast
+    only when its runtime size allows). ``hot_key_rows=None`` skips detection
+    when keys are bounded by construction.
+    """
     keys = list(keys)
     df = _checked(changes, keys, seq)
     cols = list(df.columns)
     tracked = tracked_columns(cols, keys, seq, track, except_track)
     payload = [c for c in cols if c not in keys]
+    args = (keys, seq, tracked, payload, tie_break)
+    if hot_key_rows is None:
+        out = _versions(df, *args)
+    else:
+        hot = (df.groupBy(*[_q(k) for k in keys]).agg(F.count(F.lit(1)).alias("_rows"))
+               .where(F.col("_rows") > int(hot_key_rows)).select(*[_q(k) for k in keys]))
+        cold = _versions(df.join(hot, keys, "left_anti"), *args)
+        warm = _versions_chunked(df.join(hot, keys, "left_semi"), *args, chunks=chunks)
+        out = cold.unionByName(warm)
+    keep = [c for c in cols if c not in set(except_columns)] + [START_AT, END_AT]
+    return out.select(*[_q(c) for c in keep])
 
-    order = [_q(seq)] + ([tie_break.desc()] if tie_break is not None else [])
-    w = Window.partitionBy(*[_q(k) for k in keys]).orderBy(*order)
-    if tie_break is not None:
-        # Keep the first row of each (key, seq) run: the tie-break winner.
-        df = (df.withColumn("_prev_seq", F.lag(_q(seq)).over(w))
-                .where(F.col("_prev_seq").isNull() | (F.col("_prev_seq") != _q(seq)))
-                .drop("_prev_seq"))
 
-    state = F.struct(*[_q(c) for c in tracked]) if tracked else F.struct(F.lit(0))
+def _order(seq: str, tie_break: Column | None) -> list[Column]:
+    return [_q(seq)] + ([tie_break.desc()] if tie_break is not None else [])
+
+
+def _drop_ties(df: DataFrame, w: Window, seq: str) -> DataFrame:
+    """Keep the first row of each (key, seq) run under ``w`` (the tie-break winner)."""
+    return (df.withColumn("_prev_seq", F.lag(_q(seq)).over(w))
+              .where(F.col("_prev_seq").isNull() | (F.col("_prev_seq") != _q(seq)))
+              .drop("_prev_seq"))
+
+
+def _state(tracked: Sequence[str]) -> Column:
+    return F.struct(*[_q(c) for c in tracked]) if tracked else F.struct(F.lit(0))
+
+
+def _versions(df: DataFrame, keys, seq, tracked, payload, tie_break) -> DataFrame:
+    """Gaps and islands with windows partitioned by the key (one shuffle)."""
+    w = Window.partitionBy(*[_q(k) for k in keys]).orderBy(*_order(seq, tie_break))
+    if tie_break is not None:
+        df = _drop_ties(df, w, seq)
     marked = (
-        df.withColumn("_state", state)
+        df.withColumn("_state", _state(tracked))
         .withColumn("_start", (~F.col("_state").eqNullSafe(F.lag("_state").over(w))).cast("int"))
         .withColumn("_island", F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
         .withColumn("_next", F.lead(_q(seq)).over(w))
     )
-    versions = marked.groupBy(*[_q(k) for k in keys], "_island").agg(
+    return _fold(marked, keys, seq, payload, "_island")
+
+
+def _fold(marked: DataFrame, keys, seq, payload, island: str) -> DataFrame:
+    """One row per island: first sequence, last row's payload and next start."""
+    versions = marked.groupBy(*[_q(k) for k in keys], island).agg(
         F.min(_q(seq)).alias(START_AT),
         F.max_by(F.struct(*[_q(c) for c in payload], F.col("_next").alias("_end")), _q(seq)).alias("_last"),
     )
-    out = versions.select(
+    return versions.select(
         *[_q(k) for k in keys],
         *[F.col(f"_last.`{c}`").alias(c) for c in payload],
         F.col(START_AT),
         F.col("_last._end").alias(END_AT),
     )
-    keep = [c for c in cols if c not in set(except_columns)] + [START_AT, END_AT]
-    return out.select(*[_q(c) for c in keep])
+
+
+def _ordinal(df: DataFrame, seq: str) -> Column:
+    dtype = df.schema[seq].dataType.simpleString()
+    if dtype.startswith("timestamp"):
+        return F.unix_micros(_q(seq).cast("timestamp"))
+    if dtype == "date":
+        return F.unix_date(_q(seq)).cast("long")
+    return _q(seq).cast("double") if dtype in ("float", "double") or dtype.startswith("decimal") \
+        else _q(seq).cast("long")
+
+
+def _versions_chunked(df: DataFrame, keys, seq, tracked, payload, tie_break, chunks: int) -> DataFrame:
+    """Gaps and islands for hot keys, split into sequence-quantile chunks.
+
+    Rows with equal sequence always share a chunk. Inside a chunk the usual
+    windows run; the per-chunk summary (first state, last state, first
+    sequence, island starts) is stitched across chunks with windows over at
+    most ``chunks`` rows per key. An island is named (chunk where it starts,
+    n-th start in that chunk); rows before a chunk's first start continue the
+    island carried in from earlier chunks.
+    """
+    kcols = [_q(k) for k in keys]
+    probs = [i / chunks for i in range(1, chunks)]
+    with_ord = df.withColumn("_ord", _ordinal(df, seq))
+    bounds = with_ord.groupBy(*kcols).agg(F.percentile_approx("_ord", probs, 10000).alias("_bounds"))
+    cut = (with_ord.join(bounds, keys)
+           .withColumn("_c", F.size(F.filter("_bounds", lambda b: b < F.col("_ord"))))
+           .drop("_bounds", "_ord"))
+    w = Window.partitionBy(*kcols, "_c").orderBy(*_order(seq, tie_break))
+    if tie_break is not None:
+        cut = _drop_ties(cut, w, seq)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    marked = (
+        cut.withColumn("_state", _state(tracked))
+        .withColumn("_lstart", (~F.col("_state").eqNullSafe(F.lag("_state").over(w))).cast("int"))
+        .withColumn("_lisl", F.sum("_lstart").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        .withColumn("_lnext", F.lead(_q(seq)).over(w))
+        .withColumn("_first_state", F.first("_state").over(whole))
+        .withColumn("_last_state", F.last("_state").over(whole))
+    )
+    summary = marked.groupBy(*kcols, "_c").agg(
+        F.any_value("_first_state").alias("_fs"), F.any_value("_last_state").alias("_ls"),
+        F.min(_q(seq)).alias("_fseq"), F.max("_lisl").alias("_nloc"))
+    over_chunks = Window.partitionBy(*kcols).orderBy("_c")
+    summary = (
+        summary
+        .withColumn("_fix", (~F.col("_fs").eqNullSafe(F.lag("_ls").over(over_chunks))).cast("int"))
+        .withColumn("_nfix", F.col("_nloc") - 1 + F.col("_fix"))
+        .withColumn("_carry", F.last(F.when(F.col("_nfix") > 0, F.struct(F.col("_c").alias("c"),
+                                                                           F.col("_nfix").alias("n"))),
+                                     ignorenulls=True).over(over_chunks.rowsBetween(Window.unboundedPreceding, -1)))
+        .withColumn("_nfseq", F.lead("_fseq").over(over_chunks))
+        .select(*kcols, "_c", "_fix", "_carry", "_nfseq")
+    )
+    local_isl = F.col("_lisl") - 1 + F.col("_fix")
+    stitched = (
+        marked.join(summary, keys + ["_c"])
+        .withColumn("_island", F.when(local_isl > 0, F.struct(F.col("_c").alias("c"), local_isl.alias("n")))
+                    .otherwise(F.col("_carry")))
+        .withColumn("_next", F.coalesce(F.col("_lnext"), F.col("_nfseq")))
+    )
+    return _fold(stitched, keys, seq, payload, "_island")
 
 
 def change_stream_scd2(stream: DataFrame, seq: str = "snapshotseq",
@@ -151,7 +257,9 @@ def change_stream_scd2(stream: DataFrame, seq: str = "snapshotseq",
     prio = (F.when(F.col("changetype") == "upsert", 3)
             .when(F.col("changetype") == "delete", 2).otherwise(1))
     untracked = list(CHANGE_STREAM_UNTRACKED) + ["deletedat"] + list(except_track)
-    return scd2(stream, ["rowkey"], seq, except_track=untracked, tie_break=prio)
+    # A rowkey gets at most one upsert and one tombstone per run, so keys are
+    # bounded by the number of runs: no hot-key detection pass needed.
+    return scd2(stream, ["rowkey"], seq, except_track=untracked, tie_break=prio, hot_key_rows=None)
 
 
 def live_rows(scd: DataFrame, deleted_column: str | None = "isdeleted") -> DataFrame:
