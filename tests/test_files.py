@@ -72,3 +72,31 @@ def test_stream_with_provenance(spark, tmp):
     out = spark.read.parquet(f"{tmp}/out")
     assert out.count() == 20
     assert out.where(F.col("_source_file_name").endswith(".json") & (F.col("_source_file_size") > 0)).count() == 20
+
+
+def test_ignore_corrupt_files(spark, tmp):
+    spark.range(0, 10).write.parquet(f"{tmp}/in")
+    with open(f"{tmp}/in/part-99999-broken.parquet", "wb") as fh:
+        fh.write(b"not a parquet file")
+    src = files.FileSource(f"{tmp}/in", "parquet", ignore_corrupt_files=True)
+    df = spark.read.options(**src.reader_options()).schema("id bigint").parquet(f"{tmp}/in")
+    assert df.count() == 10
+
+
+def test_table_properties(spark, tmp):
+    from tidemark.sources import tables
+    spark.range(0, 3).write.parquet(f"{tmp}/t")
+    tables.register_table(spark, "tidemark_props_t", f"{tmp}/t", {"quality": "silver", "source.owner": "ops"},
+                          comment="silver table")
+    props = {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES tidemark_props_t").collect()}
+    assert props["quality"] == "silver" and props["source.owner"] == "ops"
+    tables.write_properties(spark, f"{tmp}/t", {"quality": "silver"})
+    assert spark.read.parquet(f"{tmp}/t").count() == 3       # sidecar is hidden from readers
+
+
+def test_expectation_counters_ride_along(spark):
+    from tidemark.operators import quality
+    df = spark.createDataFrame([(5,), (-5,), (None,), (-1,)], "v int")
+    observed, obs = quality.expectation_observation(df, [("positive", "v > 0")])
+    observed.write.format("noop").mode("overwrite").save()
+    assert obs.get == {"positive": 2}

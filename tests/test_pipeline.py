@@ -78,3 +78,24 @@ def test_streaming_scd_retry_is_idempotent(spark, tmp):
     sink.process(b1, 1)                                   # retried micro-batch
     got = sorted((r.k, r.s, r["__START_AT"], r["__END_AT"]) for r in read_target(spark, f"{tmp}/t").collect())
     assert got == [("a", "A", 1, 3), ("a", "A", 5, None), ("a", "B", 3, 5), ("b", "X", 1, None)]
+
+
+def test_medallion_chain_with_quarantine_and_views(spark, tmp):
+    from tidemark.streaming import medallion
+    from tidemark.sources import files
+    rows = [(1, "a", 10.0), (2, "b", -3.0), (3, "c", None)]
+    spark.createDataFrame(rows, "id bigint, name string, bal double").write.parquet(f"{tmp}/in")
+    medallion.ingest_staging(spark, files.FileSource(f"{tmp}/in", "parquet"), f"{tmp}/stg", f"{tmp}/c1")
+    medallion.ingest_bronze(spark, f"{tmp}/stg", f"{tmp}/brz", f"{tmp}/c2")
+    spec = medallion.SilverSpec("my_table", ["id"], silver_columns=[{"name": "id"}, {"name": "bal", "rename": "bal ance"}],
+                                data_quality_rules=[("non_negative", "`bal ance` >= 0")], buckets=4,
+                                cluster_by=["id"])
+    assert spec.silver_table == "mytable"
+    sink = medallion.SilverSink(spark, spec, f"{tmp}/slv", f"{tmp}/qtn", f"{tmp}/log", R0)
+    medallion.run_silver(spark, f"{tmp}/brz", sink, f"{tmp}/c3")
+    silver = medallion.live_rows(spark, f"{tmp}/slv")
+    assert sorted((r.id, r.balance) for r in silver.collect()) == [(1, 10.0), (3, None)]
+    q = spark.read.parquet(f"{tmp}/qtn").collect()
+    assert [(r.id, r._failed_dq_rules, r._source_table) for r in q] == [(2, ["non_negative"], "my_table")]
+    view = medallion.silver_view(spark, f"{tmp}/brz", spec)
+    assert view.isStreaming and "balance" in view.columns

@@ -56,11 +56,21 @@ def with_aliases(df: DataFrame, aliases: Mapping[str, str] | None) -> tuple[Data
 
 
 def failed_rules(rules: Sequence) -> Column:
-    """``array<string>`` of descriptions whose rule is FALSE (null results pass)."""
+    """``array<string>`` of descriptions whose rule is FALSE (null results pass).
+
+    Built as ``concat`` of per-rule CASE arrays (no lambda functions), so the
+    projection stays inside whole-stage codegen.
+    """
     parsed = _rules(rules)
+    empty = F.array().cast("array<string>")
     if not parsed:
-        return F.array().cast("array<string>")
-    return F.array_compact(F.array(*[F.when(~F.expr(e), F.lit(d)) for d, e in parsed]))
+        return empty
+    return F.concat(*[F.when(~F.expr(e), F.array(F.lit(d))).otherwise(empty) for d, e in parsed])
+
+
+def fail_condition(rules: Sequence) -> Column:
+    """TRUE when at least one rule is FALSE: the exact complement of the gate."""
+    return ~gate_condition(rules)
 
 
 def gate_condition(rules: Sequence) -> Column:
@@ -85,9 +95,11 @@ def gate(df: DataFrame, rules: Sequence, aliases: Mapping[str, str] | None = Non
 def quarantine(df: DataFrame, rules: Sequence, source_table: str, run: RunStamp,
                aliases: Mapping[str, str] | None = None) -> DataFrame:
     """Raw rows failing at least one rule + failed-rule names, time and source."""
+    df2, added = with_aliases(df, aliases)
     return (
-        tag(df, rules, aliases)
-        .where(F.size(FAILED) > 0)
+        df2.where(fail_condition(rules))
+        .withColumn(FAILED, failed_rules(rules))
+        .drop(*added)
         .withColumn("_quarantine_timestamp", run.ts_col())
         .withColumn("_source_table", F.lit(source_table))
     )

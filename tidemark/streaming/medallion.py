@@ -151,7 +151,8 @@ class SilverSink:
                 s = scd_settings(rows.columns, spec, p)
                 self._scd = ScdSink(self.spark, self.log_path, self.silver_path, s["keys"], s["seq"],
                                     spec.scd_type, s.get("track"), s.get("except_track", ()),
-                                    s["except_columns"], buckets=spec.buckets)
+                                    s["except_columns"], buckets=spec.buckets,
+                                    cluster_by=[p.resolve(c) for c in spec.cluster_by])
             self._scd.process(rows, batch_id)
         finally:
             tagged.unpersist()
@@ -160,6 +161,19 @@ class SilverSink:
 BATCH_COL = "batch"
 
 
+def silver_view(spark: SparkSession, bronze_path: str, spec: SilverSpec, name: str | None = None) -> DataFrame:
+    """The gated, projected Silver stream as a session temp view (not persisted)."""
+    schema = spark.read.parquet(bronze_path).schema
+    stream = spark.readStream.schema(schema).parquet(bronze_path)
+    aliases = None
+    if spec.silver_columns:
+        aliases = proj.project(stream, spec.silver_columns, spec.allow_missing_columns, normalize=False).aliases()
+    gated = quality.gate(stream, spec.data_quality_rules, aliases)
+    rows, _ = silver_frame(gated, spec)
+    rows.createOrReplaceTempView(name or f"{spec.source_table}_silver_stream")
+    return rows
+
+
 def run_silver(spark: SparkSession, bronze_path: str, sink: SilverSink, checkpoint: str):
     schema = spark.read.parquet(bronze_path).schema
     stream = spark.readStream.schema(schema).parquet(bronze_path)

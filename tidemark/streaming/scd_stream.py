@@ -38,13 +38,17 @@ BATCH = "batch"
 class ScdSink:
     def __init__(self, spark: SparkSession, log_path: str, target_path: str, keys: Sequence[str], seq: str,
                  scd_type: int = 2, track: Sequence[str] | None = None, except_track: Sequence[str] = (),
-                 except_columns: Sequence[str] = (), tie_break: Column | None = None, buckets: int = 64):
+                 except_columns: Sequence[str] = (), tie_break: Column | None = None, buckets: int = 64,
+                 cluster_by: Sequence[str] = ()):
         if scd_type not in (1, 2):
             raise ValueError("scd_type must be 1 or 2")
         self.spark, self.log_path, self.target_path = spark, log_path, target_path
         self.keys, self.seq, self.scd_type = list(keys), seq, scd_type
         self.track, self.except_track, self.except_columns = track, list(except_track), list(except_columns)
         self.tie_break, self.buckets = tie_break, int(buckets)
+        # Layout of the target: rows sorted by these columns inside every file
+        # (min/max statistics then skip files on filters over them).
+        self.cluster_by = list(cluster_by)
 
     def bucket(self) -> Column:
         return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in self.keys]), F.lit(self.buckets)).cast("int")
@@ -73,7 +77,8 @@ class ScdSink:
             fresh = fresh.unionByName(kept.select(*fresh.columns))
         stage = scratch_dir(spark, "tidemark-scd", str(batch_id))
         tables.write_view(fresh, stage)
-        tables.overwrite_partitions(spark.read.parquet(stage), self.target_path, [BUCKET])
+        tables.overwrite_partitions(spark.read.parquet(stage), self.target_path, [BUCKET],
+                                    sort_by=self.cluster_by)
 
 
 def read_target(spark: SparkSession, path: str) -> DataFrame:
