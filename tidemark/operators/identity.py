@@ -115,13 +115,14 @@ def _number_copies(df: DataFrame, business: list[str], whole_row: bool) -> DataF
     sizes come from that same exchange (reused), their running offsets are
     computed on the small counts table and joined back on the group key.
     """
-    group = ["rowhash", "contenthash", "_split"]
+    # In whole-row mode contenthash is rowhash, so it is left out of the key.
+    group = ["rowhash", "_split"] if whole_row else ["rowhash", "contenthash", "_split"]
     rows = (
         df.withColumn("_split", F.spark_partition_id())
         .withColumn("_i", F.row_number().over(Window.partitionBy(*group).orderBy("rowhash")))
     )
-    # Group sizes: a narrow (hash, hash, int, count) branch over the same
-    # deterministic input, so it sees the same split ids as the rows branch.
+    # Group sizes: a narrow branch over the same deterministic input (so it sees
+    # the same split ids), reduced map-side before its shuffle.
     counts = rows.groupBy(*group).agg(F.max("_i").alias("_n"))
     upto = (Window.unboundedPreceding, Window.currentRow)
     if whole_row:
