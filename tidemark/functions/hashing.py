@@ -26,5 +26,16 @@ def row_hash(columns: Iterable[str]) -> Column:
     cols = sorted(columns)
     if not cols:
         raise ValueError("row_hash needs at least one column")
-    parts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(NULL_SENTINEL)) for c in cols]
-    return F.sha2(F.concat_ws(HASH_SEP, *parts), 256)
+    # One SQL expression (one driver->JVM call however many columns there are).
+    parts = ", ".join(f"coalesce(cast({quote(c)} as string), {sql_string(NULL_SENTINEL)})" for c in cols)
+    return F.expr(f"sha2(concat_ws({sql_string(HASH_SEP)}, {parts}), 256)")
+
+
+def quote(name: str) -> str:
+    """Backtick-quoted identifier for SQL expression text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_string(value: str) -> str:
+    """Single-quoted SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -99,10 +99,7 @@ def with_null_provenance(df: DataFrame, run: RunStamp) -> DataFrame:
     """Provenance block of a table source: ingest time = run time, file fields null."""
     return df.withColumns({
         "_staging_ingested_at": run.ts_col(),
-        "_source_file_path": F.lit(None).cast("string"),
-        "_source_file_name": F.lit(None).cast("string"),
-        "_source_file_size": F.lit(None).cast("long"),
-        "_source_file_modified": F.lit(None).cast("timestamp_ntz"),
+        **{n: F.expr(f"CAST(NULL AS {t})") for n, t in PROVENANCE[1:]},
     })
 
 
@@ -111,7 +108,7 @@ def stamp_snapshot(df: DataFrame, run: RunStamp, window_start: datetime, days: i
         "snapshotseq": run.seq_col(),
         "snapshotts": run.ts_col(),
         "windowstart": ts_literal(window_start),
-        "windowdays": F.lit(int(days)).cast("int"),
+        "windowdays": F.expr(f"CAST({int(days)} AS INT)"),
     })
 
 
@@ -122,9 +119,9 @@ def snapshot(source: DataFrame, run: RunStamp, spec: RollingSpec) -> DataFrame:
     business = list(cur.columns)
     cur = add_identity(cur, with_contenthash=True, **spec.identity())
     cur = cur.withColumns({
-        "changetype": F.lit("upsert"),
-        "isdeleted": F.lit(False),
-        "deletedat": F.lit(None).cast("timestamp_ntz"),
+        "changetype": F.expr("'upsert'"),
+        "isdeleted": F.expr("FALSE"),
+        "deletedat": F.expr("CAST(NULL AS TIMESTAMP_NTZ)"),
     })
     cur = with_null_provenance(stamp_snapshot(cur, run, ws, spec.days), run)
     return cur.select(*[F.col(f"`{c}`") for c in business + EVENT_COLUMNS + STAMP_COLUMNS + PROVENANCE_COLUMNS])
@@ -136,8 +133,8 @@ def stamp_deleted(df: DataFrame, run: RunStamp, change_type: str, window_start:
     if change_type not in ("delete", "reconcile"):
         raise ValueError("change_type must be 'delete' or 'reconcile'")
     out = df.withColumns({
-        "changetype": F.lit(change_type),
-        "isdeleted": F.lit(True),
+        "changetype": F.expr(f"'{change_type}'"),
+        "isdeleted": F.expr("TRUE"),
         "deletedat": run.ts_col(),
         "_staging_ingested_at": run.ts_col(),
     })

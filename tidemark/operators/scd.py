@@ -119,8 +119,9 @@ def scd2(changes: DataFrame, keys: Sequence[str], seq: str, track: Sequence[str]
     which splits each one into ``chunks`` sequence-quantile ranges and stitches
     the ranges through a small per-chunk summary. The routing joins are left to
     AQE (the hot-key table is at most rows / hot_key_rows long and is broadcast
-    only when its runtime size allows). ``hot_key_rows=None`` skips detection
-    when keys are bounded by construction.
+    only when its runtime size allows). Detection is one small job over the
+    key columns; ``hot_key_rows=None`` skips it when keys are bounded by
+    construction.
     """
     keys = list(keys)
     df = _checked(changes, keys, seq)
@@ -128,11 +129,17 @@ def scd2(changes: DataFrame, keys: Sequence[str], seq: str, track: Sequence[str]
     tracked = tracked_columns(cols, keys, seq, track, except_track)
     payload = [c for c in cols if c not in keys]
     args = (keys, seq, tracked, payload, tie_break)
-    if hot_key_rows is None:
-        out = _versions(df, *args)
-    else:
+    hot = None
+    if hot_key_rows is not None:
         hot = (df.groupBy(*[_q(k) for k in keys]).agg(F.count(F.lit(1)).alias("_rows"))
                .where(F.col("_rows") > int(hot_key_rows)).select(*[_q(k) for k in keys]))
+        # One cheap job (key columns only, map-side partial counts): the
+        # chunked plan is only built when a hot key actually exists.
+        if not hot.take(1):
+            hot = None
+    if hot is None:
+        out = _versions(df, *args)
+    else:
         cold = _versions(df.join(hot, keys, "left_anti"), *args)
         warm = _versions_chunked(df.join(hot, keys, "left_semi"), *args, chunks=chunks)
         out = cold.unionByName(warm)
@@ -204,9 +211,9 @@ def _versions_chunked(df: DataFrame, keys, seq, tracked, payload, tie_break, chu
     island carried in from earlier chunks.
     """
     kcols = [_q(k) for k in keys]
-    probs = [i / chunks for i in range(1, chunks)]
+    probs = ", ".join(repr(i / chunks) for i in range(1, chunks))
     with_ord = df.withColumn("_ord", _ordinal(df, seq))
-    bounds = with_ord.groupBy(*kcols).agg(F.percentile_approx("_ord", probs, 10000).alias("_bounds"))
+    bounds = with_ord.groupBy(*kcols).agg(F.expr(f"percentile_approx(_ord, array({probs}), 10000)").alias("_bounds"))
     cut = (with_ord.join(bounds, keys)
            .withColumn("_c", F.size(F.filter("_bounds", lambda b: b < F.col("_ord"))))
            .drop("_bounds", "_ord"))

@@ -104,7 +104,7 @@ class RunStamp:
         return ts_literal(self.ts)
 
     def seq_col(self) -> Column:
-        return F.lit(self.seq).cast("long")
+        return F.expr(f"CAST({self.seq} AS BIGINT)")
 
     def window_start(self, days: int = 7, anchor: str = "midnight_utc") -> datetime:
         """Inclusive lower bound of the trailing window: (run midnight | run time) - days."""
@@ -122,4 +122,4 @@ class RunStamp:
 
 def ts_literal(ts: datetime) -> Column:
     """A TIMESTAMP_NTZ literal for a naive UTC datetime (exact, timezone-free)."""
-    return F.lit(ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+    return F.expr(f"TIMESTAMP_NTZ'{ts.strftime('%Y-%m-%d %H:%M:%S.%f')}'")
