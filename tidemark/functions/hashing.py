@@ -31,6 +31,11 @@ def row_hash(columns: Iterable[str]) -> Column:
     return F.expr(f"sha2(concat_ws({sql_string(HASH_SEP)}, {parts}), 256)")
 
 
+def select_names(df, names):
+    """``df.select`` of plain column names in one driver->JVM call."""
+    return df.selectExpr(*[quote(n) for n in names])
+
+
 def quote(name: str) -> str:
     """Backtick-quoted identifier for SQL expression text."""
     return "`" + name.replace("`", "``") + "`"

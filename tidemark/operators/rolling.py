@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.bounds import at_or_after
+from tidemark.functions.hashing import select_names
 from tidemark.operators.identity import add_identity
 from tidemark.session import RunStamp, ts_literal
 
@@ -91,7 +92,7 @@ def read_window(df: DataFrame, window_column: str, since: datetime | None = None
         cols = list(select)
         if window_column not in cols:
             cols.append(window_column)
-        df = df.select(*[F.col(f"`{c}`") for c in cols])
+        df = select_names(df, cols)
     return df
 
 
@@ -124,7 +125,7 @@ def snapshot(source: DataFrame, run: RunStamp, spec: RollingSpec) -> DataFrame:
         "deletedat": F.expr("CAST(NULL AS TIMESTAMP_NTZ)"),
     })
     cur = with_null_provenance(stamp_snapshot(cur, run, ws, spec.days), run)
-    return cur.select(*[F.col(f"`{c}`") for c in business + EVENT_COLUMNS + STAMP_COLUMNS + PROVENANCE_COLUMNS])
+    return select_names(cur, business + EVENT_COLUMNS + STAMP_COLUMNS + PROVENANCE_COLUMNS)
 
 
 def stamp_deleted(df: DataFrame, run: RunStamp, change_type: str, window_start: datetime,
@@ -161,7 +162,7 @@ def detect_deletes(current: DataFrame, prior: DataFrame | None, run: RunStamp, s
     )
     if already_deleted is not None:
         vanished = vanished.join(already_deleted.select("rowkey"), "rowkey", "left_anti")
-    return stamp_deleted(vanished, run, "delete", ws, spec.days).select(*current.columns)
+    return select_names(stamp_deleted(vanished, run, "delete", ws, spec.days), current.columns)
 
 
 def aged_out(current: DataFrame, prior: DataFrame, run: RunStamp, spec: RollingSpec) -> DataFrame:
@@ -170,8 +171,7 @@ def aged_out(current: DataFrame, prior: DataFrame, run: RunStamp, spec: RollingS
     return (
         prior.where(~at_or_after(prior, spec.window_column, ws))
         .join(current.select("rowkey"), "rowkey", "left_anti")
-        .select(*prior.columns)
-    )
+    ).transform(lambda d: select_names(d, prior.columns))
 
 
 def prior_snapshot_seq(stream: DataFrame, run: RunStamp):
@@ -200,6 +200,6 @@ def conform(frames: Sequence[DataFrame], columns: Sequence[str]) -> DataFrame:
     """Bag union of event frames in one column order (the fan-in of the flows)."""
     out = None
     for f in frames:
-        f = f.select(*[F.col(f"`{c}`") for c in columns])
-        out = f if out is None else out.unionByName(f)
+        f = select_names(f, columns)
+        out = f if out is None else out.union(f)        # same names, same order
     return out

@@ -35,6 +35,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.hashing import quote, select_names
+
 START_AT = "__START_AT"
 END_AT = "__END_AT"
 
@@ -96,9 +98,9 @@ def scd1(changes: DataFrame, keys: Sequence[str], seq: str, tie_break: Column |
     rest = [c for c in df.columns if c not in keys]
     order = F.struct(_q(seq), tie_break if tie_break is not None else F.lit(0))
     latest = df.groupBy(*[_q(k) for k in keys]).agg(
-        F.max_by(F.struct(*[_q(c) for c in rest]), order).alias("_latest"))
+        F.max_by(F.expr(f"struct({', '.join(quote(c) for c in rest)})"), order).alias("_latest"))
     out = latest.select(*[_q(k) for k in keys], "_latest.*")
-    return out.select(*[_q(c) for c in changes.columns if c not in set(except_columns)])
+    return select_names(out, [c for c in changes.columns if c not in set(except_columns)])
 
 
 # Keys with more change rows than this are versioned by the chunked path.
@@ -144,7 +146,7 @@ def scd2(changes: DataFrame, keys: Sequence[str], seq: str, track: Sequence[str]
         warm = _versions_chunked(df.join(hot, keys, "left_semi"), *args, chunks=chunks)
         out = cold.unionByName(warm)
     keep = [c for c in cols if c not in set(except_columns)] + [START_AT, END_AT]
-    return out.select(*[_q(c) for c in keep])
+    return select_names(out, keep)
 
 
 def _order(seq: str, tie_break: Column | None) -> list[Column]:
@@ -159,7 +161,7 @@ def _drop_ties(df: DataFrame, w: Window, seq: str) -> DataFrame:
 
 
 def _state(tracked: Sequence[str]) -> Column:
-    return F.struct(*[_q(c) for c in tracked]) if tracked else F.struct(F.lit(0))
+    return F.expr(f"struct({', '.join(quote(c) for c in tracked)})") if tracked else F.expr("struct(0)")
 
 
 def _versions(df: DataFrame, keys, seq, tracked, payload, tie_break) -> DataFrame:
@@ -178,15 +180,16 @@ def _versions(df: DataFrame, keys, seq, tracked, payload, tie_break) -> DataFram
 
 def _fold(marked: DataFrame, keys, seq, payload, island: str) -> DataFrame:
     """One row per island: first sequence, last row's payload and next start."""
+    fields = ", ".join(f"{quote(c)}" for c in payload)
     versions = marked.groupBy(*[_q(k) for k in keys], island).agg(
         F.min(_q(seq)).alias(START_AT),
-        F.max_by(F.struct(*[_q(c) for c in payload], F.col("_next").alias("_end")), _q(seq)).alias("_last"),
+        F.expr(f"max_by(struct({fields}, _next AS _end), {quote(seq)})").alias("_last"),
     )
-    return versions.select(
-        *[_q(k) for k in keys],
-        *[F.col(f"_last.`{c}`").alias(c) for c in payload],
-        F.col(START_AT),
-        F.col("_last._end").alias(END_AT),
+    return versions.selectExpr(
+        *[quote(k) for k in keys],
+        *[f"_last.{quote(c)} AS {quote(c)}" for c in payload],
+        quote(START_AT),
+        f"_last._end AS {quote(END_AT)}",
     )
 
 
