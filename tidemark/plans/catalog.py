@@ -12,9 +12,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import identity, quality, reconcile, rolling, scd
+from tidemark.operators import audit, identity, quality, reconcile, rolling, scd
+from tidemark.operators import project as proj
+from tidemark.operators.rolling import PROVENANCE_COLUMNS
 from tidemark.plans import scenario as sc
 from tidemark.plans.sqlgen import PROVENANCE_NULLS, hash_sql, identity_sql, scd2_sql
+from tidemark.session import scratch_dir
+from tidemark.sources import files, incremental
+from tidemark.streaming import medallion
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, Callable[[], str]] = {}
@@ -368,7 +373,6 @@ def q_dq_renamed(spark, sf):
 
 # ── incremental / full loads ──────────────────────────────────────────────────
 
-from tidemark.sources import incremental  # noqa: E402
 
 LOAD_RUN = sc.RUN0
 # The source as the first incremental run saw it (orders placed up to then).
@@ -431,8 +435,6 @@ def q_high_water_mark(spark, sf):
 
 # ── projection / names ────────────────────────────────────────────────────────
 
-from tidemark.operators import audit  # noqa: E402
-from tidemark.operators import project as proj  # noqa: E402
 
 RENAME_COLS = [{"name": "c_custkey", "rename": "customer id"}, {"name": "c_name", "rename": "Name"},
                {"name": "c_acctbal"}]
@@ -457,10 +459,6 @@ def q_normalize_names(spark, sf):
 
 # ── files ─────────────────────────────────────────────────────────────────────
 
-from tidemark.operators.rolling import PROVENANCE_COLUMNS  # noqa: E402
-from tidemark.session import scratch_dir  # noqa: E402
-from tidemark.sources import files  # noqa: E402
-from tidemark.streaming import medallion  # noqa: E402
 
 CUSTOMER_SQL = f"SELECT {_cols(CUSTOMER)} FROM customer"
 CUSTOMER_RESCUED_SQL = f"SELECT {_cols(CUSTOMER)}, CAST(NULL AS VARCHAR) AS _rescued_data FROM customer"
@@ -649,6 +647,10 @@ SELECT {_tomb_cols(SWEEP_RUN, 'reconcile')} FROM (
   QUALIFY row_number() OVER (PARTITION BY rowkey ORDER BY snapshotseq DESC) = 1) p)""")
 def q_change_capture_runs(spark, sf):
     """Three persisted runs (snapshot + deletes, sweep at run 2) read back from the store."""
+    return _cc_store(spark, sf).stream().select(*STREAM_COLS)
+
+
+def _cc_store(spark, sf):
     from tidemark.streaming.change_capture import ChangeStore, SweepSpec, run_once
     ev = load(spark, sf, "events")
     store = ChangeStore(spark, scratch_dir(spark, "tidemark-q", "cc"))
@@ -656,7 +658,17 @@ def q_change_capture_runs(spark, sf):
         sweep = SweepSpec(enabled=(k == SWEEP_RUN))
         silver = scd.change_stream_scd2(store.stream()) if k == SWEEP_RUN else None
         run_once(spark, sc.foreign(ev, k), store, sc.run(k), sc.SPEC, sweep, silver, "events")
-    return store.stream().select(*STREAM_COLS)
+    return store
+
+
+@register("sweep_log", lambda: f"""
+SELECT 'events' AS source_table, CAST({sc.run(SWEEP_RUN).seq} AS BIGINT) AS snapshotseq,
+       TIMESTAMP '{sc.run(SWEEP_RUN).text}' AS sweepts, 'initial' AS "trigger", CAST(NULL AS INTEGER) AS scope_days,
+       CAST(count(*) AS BIGINT) AS closed_count, 'completed' AS status
+FROM ({_sweep_flags_sql(SWEEP_RUN)}) f WHERE _open AND NOT _live AND NOT _rolled""")
+def q_sweep_log(spark, sf):
+    """The sweep audit log after three persisted runs (one completed sweep at run 2)."""
+    return _cc_store(spark, sf).sweeps().drop("run")
 
 
 # ── audit summaries ───────────────────────────────────────────────────────────
