@@ -307,21 +307,24 @@ def q_sweep_tombstones(spark, sf):
 
 
 @register("sweep_due_matrix", lambda: """
-SELECT event_id, user_id, ts, prev_ts,
-  CASE WHEN prev_ts IS NULL THEN 'initial'
-       WHEN dayofweek(ts) = 1 AND epoch_us(ts) - epoch_us(prev_ts) >= 72000000000 THEN 'weekday'
-       WHEN epoch_us(ts) - epoch_us(prev_ts) >= 2 * 86400000000 THEN 'cadence'
-       ELSE 'not_due' END AS trigger
-FROM (SELECT event_id, user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS prev_ts FROM events) e""")
+SELECT event_id, ts AS run_ts, last_sweep,
+  CASE WHEN last_sweep IS NULL THEN 'initial'
+       WHEN dayofweek(ts) = 1 AND epoch_us(ts) - epoch_us(last_sweep) >= 72000000000 THEN 'weekday'
+       WHEN epoch_us(ts) - epoch_us(last_sweep) >= 2 * 86400000000 THEN 'cadence'
+       ELSE 'not_due' END AS "trigger"
+FROM (SELECT event_id, ts, CASE WHEN event_type = 'signup' THEN NULL
+                                ELSE ts - to_hours(CAST(floor(value) AS BIGINT)) END AS last_sweep
+      FROM events) e""")
 def q_sweep_due_matrix(spark, sf):
-    """Trigger decision for every (run, last completed sweep) pair found in the
-    data: each event is a run time, the user's previous event the last sweep.
-    Weekday MON, cadence 2 days."""
-    from pyspark.sql import Window
+    """Trigger decision (weekday MON, cadence 2 days) for one (run, last completed
+    sweep) pair per event: the run is the event time, the last sweep lies
+    ``floor(value)`` hours earlier, and a signup stands for "never swept".
+    A pure projection: no shuffle, so no key can be hot."""
     ev = load(spark, sf, "events")
-    prev = F.lag("ts").over(Window.partitionBy("user_id").orderBy("ts"))
-    e = ev.select("event_id", "user_id", "ts", prev.alias("prev_ts"))
-    return e.withColumn("trigger", reconcile.sweep_trigger_col(F.col("ts"), F.col("prev_ts"),
+    last = F.expr("CASE WHEN event_type = 'signup' THEN NULL "
+                  "ELSE ts - make_dt_interval(0, CAST(floor(value) AS INT), 0, 0) END")
+    e = ev.select("event_id", F.col("ts").alias("run_ts"), last.alias("last_sweep"))
+    return e.withColumn("trigger", reconcile.sweep_trigger_col(F.col("run_ts"), F.col("last_sweep"),
                                                                cadence_days=2, weekday="MON"))
 
 
@@ -550,8 +553,11 @@ def q_file_discover(spark, sf):
     files.list_files(spark, files.FileSource(f"{base}/in", "json")).write.parquet(f"{base}/ledger")
     cust.write.parquet(f"{base}/in/second")
     new = files.discover_files(spark, src, spark.read.parquet(f"{base}/ledger"))
-    paths = [r["path"] for r in new.select("path").collect()]
-    return spark.read.parquet(*paths)
+    # Read only the new files: a semi join on the file path, no path list on the driver.
+    candidates = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+                  .parquet(f"{base}/in").withColumn("_file", F.col("_metadata.file_path")))
+    return (candidates.join(new.select(F.col("path").alias("_file")), "_file", "left_semi")
+            .drop("_file"))
 
 
 # ── schema evolution / rescue ─────────────────────────────────────────────────
