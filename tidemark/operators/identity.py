@@ -18,7 +18,10 @@ Occurrence order: copies are numbered in ``contenthash`` order, so in
 key_columns / exclude_columns mode the same multiset always gets the same
 numbering (the order of identical copies does not matter: they are equal).
 Caveat (documented, as in the reference): the numbering depends on the read
-scope, so the snapshot and the sweep must read with the same filters.
+scope, so the snapshot and the sweep must read with the same filters. The
+input must be deterministic (a file or table scan plus filters/projections):
+split ids are taken in two branches of the plan, which is the same assumption
+Spark makes when it recomputes a lost partition.
 """
 
 from __future__ import annotations
