@@ -113,10 +113,11 @@ def add_identity(df: DataFrame, mode: str = "hash_all", key_columns: Sequence[st
 def _number_copies(df: DataFrame, business: list[str], whole_row: bool) -> DataFrame:
     """Assign 1..n to rows sharing a rowhash, ordered by contenthash (see module doc).
 
-    Plan: ONE shuffle of the rows on (rowhash, contenthash, split) numbers each
-    row inside its group (a group never exceeds one input split); the group
-    sizes come from that same exchange (reused), their running offsets are
-    computed on the small counts table and joined back on the group key.
+    Plan: ONE shuffle of the rows on (rowhash, [contenthash,] split) numbers
+    each row inside its group (a group never exceeds one input split); the
+    group sizes come from a narrow branch over the same input (only hashes,
+    split ids and counts cross the network there), their running offsets are
+    computed on that small table and the non-zero ones are joined back.
     """
     # In whole-row mode contenthash is rowhash, so it is left out of the key.
     group = ["rowhash", "_split"] if whole_row else ["rowhash", "contenthash", "_split"]
