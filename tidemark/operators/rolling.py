@@ -27,11 +27,13 @@ from tidemark.functions.hashing import select_names
 from tidemark.operators.identity import add_identity
 from tidemark.session import RunStamp, ts_literal
 
+# Change-stream column names and order, and the provenance block
+# (names and types) shared with file staging.
 EVENT_COLUMNS = ["rowhash", "rowoccurrence", "rowkey", "contenthash",
                  "changetype", "isdeleted", "deletedat"]
 STAMP_COLUMNS = ["snapshotseq", "snapshotts", "windowstart", "windowdays"]
-# Provenance columns shared with file staging (all but the ingest time are null
-# for table sources). Timestamps are TIMESTAMP_NTZ holding UTC wall-clock time.
+# All provenance fields but the ingest time are null for table sources.
+# Timestamps are TIMESTAMP_NTZ holding UTC wall-clock time.
 PROVENANCE = [
     ("_staging_ingested_at", "timestamp_ntz"),
     ("_source_file_path", "string"),

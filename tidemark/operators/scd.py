@@ -55,7 +55,8 @@ AUDIT_COLUMNS = [
     "_rescued_data",
 ]
 
-# Columns of the change stream that change every run without a data change.
+# Change-stream columns that change every run without a data
+# change, so they are never tracked for history.
 CHANGE_STREAM_UNTRACKED = ["snapshotseq", "snapshotts", "windowstart", "windowdays",
                            "changetype", "rowoccurrence"]
 
@@ -264,8 +265,9 @@ def change_stream_scd2(stream: DataFrame, seq: str = "snapshotseq",
     """
     if seq not in ("snapshotseq", "snapshotts"):
         raise ValueError("change-stream history must be sequenced by snapshotseq or snapshotts")
-    prio = (F.when(F.col("changetype") == "upsert", 3)
-            .when(F.col("changetype") == "delete", 2).otherwise(1))
+    from tidemark.operators.rolling import CHANGE_PRIORITY
+    cases = " ".join(f"WHEN '{k}' THEN {v}" for k, v in CHANGE_PRIORITY.items())
+    prio = F.expr(f"CASE changetype {cases} ELSE 0 END")
     untracked = list(CHANGE_STREAM_UNTRACKED) + ["deletedat"] + list(except_track)
     # A rowkey gets at most one upsert and one tombstone per run, so keys are
     # bounded by the number of runs: no hot-key detection pass needed.
