@@ -59,3 +59,18 @@ def test_projection_resolves_names(spark):
     assert p.resolve("c_id") == "CustomerID" and p.resolve("Customer ID") == "CustomerID"
     star = project.project(df.withColumn("_meta", df.c_id), None)
     assert star.df.columns == ["cid", "cname", "_meta"]
+
+
+def test_persisted_incremental_survives_empty_delta(spark, tmp):
+    src = spark.createDataFrame([(1, datetime(2024, 1, 1)), (2, datetime(2024, 1, 2))], "id int, t timestamp_ntz")
+    r = [RUN.plus(days=i) for i in range(4)]
+    assert incremental.run_load(spark, src, tmp, r[0], "incremental", column="t")["rows"] == 2
+    assert incremental.run_load(spark, src, tmp, r[1], "incremental", column="t")["rows"] == 0
+    grown = src.unionByName(spark.createDataFrame([(3, datetime(2024, 1, 3))], "id int, t timestamp_ntz"))
+    out = incremental.run_load(spark, grown, tmp, r[2], "incremental", column="t")
+    assert out["rows"] == 1 and out["mark"].startswith("2024-01-02")
+    # a retried run replaces its own partition
+    incremental.run_load(spark, grown, tmp, r[2], "incremental", column="t")
+    assert spark.read.parquet(tmp).count() == 3
+    full = incremental.run_load(spark, grown, f"{tmp}-full", r[3], "full")
+    assert full["rows"] == 3

@@ -436,6 +436,27 @@ def q_high_water_mark(spark, sf):
     return public.agg(F.max("o_orderdate").alias("high_water_mark"), F.count(F.lit(1)).alias("rows_loaded"))
 
 
+def _load_run_sql(k: int, where: str) -> str:
+    r = sc.run(k)
+    return (f"SELECT {_cols(ORDERS)}, TIMESTAMP '{r.text}' AS _staging_ingested_at, {PROVENANCE_NULLS}, "
+            f"CAST({r.seq} AS BIGINT) AS _run FROM orders WHERE {where}")
+
+
+@register("load_runs", lambda: " UNION ALL ".join([
+    _load_run_sql(0, f"o_orderdate <= TIMESTAMP '{FIRST_LOAD_UNTIL}'"),
+    _load_run_sql(2, f"o_orderdate > {_MARK_SQL}")]))
+def q_load_runs(spark, sf):
+    """Three persisted incremental runs into one public table: the first sees
+    orders up to 2000-12-31, the second the same source (empty delta), the
+    third the whole table (only rows above the mark kept from run one)."""
+    o = load(spark, sf, "orders")
+    first = o.where(F.col("o_orderdate") <= F.lit(FIRST_LOAD_UNTIL).cast("timestamp_ntz"))
+    path = scratch_dir(spark, "tidemark-q", "loads")
+    for k, source in enumerate([first, first, o]):
+        incremental.run_load(spark, source, path, sc.run(k), "incremental", column="o_orderdate")
+    return spark.read.parquet(path)
+
+
 # ── projection / names ────────────────────────────────────────────────────────
 
 

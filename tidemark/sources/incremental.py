@@ -80,3 +80,39 @@ def null_watermarks(df: DataFrame, column: str | None = None, expression: str |
     """Rows whose watermark is null (they never load after the first run)."""
     c = F.expr(expression) if expression else F.col(f"`{column}`")
     return int(df.agg(F.count_if(c.isNull()).alias("n")).first()["n"])
+
+
+RUN_COLUMN = "_run"
+
+
+def run_load(spark, source: DataFrame, public_path: str, run: RunStamp, mode: str = "full",
+             column: str | None = None, expression: str | None = None, where: str | None = None,
+             select: Sequence[str] | None = None) -> dict:
+    """One persisted load into the append-only public table.
+
+    Each run writes its own ``_run`` partition (dynamic overwrite: a retried
+    run replaces itself). Incremental mode reads the mark from the public
+    table, so an empty delta never resets it. Returns ``{"rows", "mark"}``;
+    the row count rides along with the write (``observe``), no extra job.
+    """
+    from pyspark.sql import Observation
+
+    from tidemark.sources import tables
+
+    mode = mode.lower()
+    if mode not in ("full", "incremental"):
+        raise ValueError("load_mode must be 'full' or 'incremental'")
+    public = tables.read(spark, public_path)
+    if public is not None:
+        public = public.where(F.col(RUN_COLUMN) < run.seq)        # replay-safe: ignore this run's rows
+    mark = None
+    if mode == "full":
+        out = full_load(source, run, where, select)
+    else:
+        wm = watermark_column(column, expression)
+        mark = last_watermark(public, wm)
+        out = incremental_load(source, run, mark, column, expression, where, select)
+    obs = Observation("load")
+    out = out.withColumn(RUN_COLUMN, run.seq_col()).observe(obs, F.count(F.lit(1)).alias("rows"))
+    tables.overwrite_partitions(out, public_path, [RUN_COLUMN])
+    return {"rows": int(obs.get["rows"]), "mark": mark}

@@ -23,7 +23,10 @@ def exists(spark: SparkSession, path: str) -> bool:
     fs = p.getFileSystem(conf)
     if not fs.exists(p):
         return False
-    return any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(p))
+    # Spark's own rule: "_x" and ".x" are hidden, "_x=v" is a partition folder.
+    def visible(name: str) -> bool:
+        return not name.startswith(".") and (not name.startswith("_") or "=" in name)
+    return any(visible(s.getPath().getName()) for s in fs.listStatus(p))
 
 
 def read(spark: SparkSession, path: str) -> DataFrame | None:
