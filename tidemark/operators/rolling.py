@@ -66,9 +66,33 @@ class RollingSpec:
     def __post_init__(self):
         if not self.window_column:
             raise ValueError("window_column is required")
+        if str(self.anchor).lower() not in ("midnight_utc", "run_time"):
+            raise ValueError("window_start_anchor must be midnight_utc or run_time")
         if int(self.days) < 1:
             raise ValueError("rolling_window_days must be an int >= 1")
 
+    @classmethod
+    def from_config(cls, src: dict) -> "RollingSpec":
+        """From a source dict with the reference's keys (``federated_source.*``,
+        ``row_identity.*``, ``allow_duplicate_rows``, ``delete_detection.enabled``)."""
+        fed = src.get("federated_source") or {}
+        if not fed.get("foreign_fqn"):
+            raise ValueError("federated_source.foreign_fqn is required")
+        ri = src.get("row_identity") or {}
+        days = fed.get("rolling_window_days", 7)
+        if not isinstance(days, int) or days < 1:
+            raise ValueError("rolling_window_days must be an int >= 1")
+        return cls(
+            window_column=fed.get("window_column"), days=days,
+            anchor=str(fed.get("window_start_anchor", "midnight_utc")).lower(),
+            where=fed.get("where_clause"), select=fed.get("select_columns"),
+            mode=str(ri.get("mode", "hash_all")).lower(),
+            key_columns=tuple(ri.get("key_columns") or ()),
+            exclude_columns=tuple(ri.get("exclude_columns") or ()),
+            allow_duplicates=bool(src.get("allow_duplicate_rows", True)),
+            detect_deletes=bool((src.get("delete_detection") or {}).get("enabled", True)),
+        )
+
     def identity(self) -> dict:
         return dict(mode=self.mode, key_columns=tuple(self.key_columns),
                     exclude_columns=tuple(self.exclude_columns),

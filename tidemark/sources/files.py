@@ -35,6 +35,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.rolling import PROVENANCE_COLUMNS
+
 # Fixed option values accepted by the reference configuration.
 FORMATS = ("json", "parquet", "csv", "avro", "orc", "text", "binaryfile")
 EVOLUTION_MODES = ("rescue", "addNewColumns", "failOnNewColumns", "none")
@@ -74,6 +76,28 @@ class FileSource:
         if fmt == "csv" and not self.csv_options:
             raise ValueError("csv sources need a non-empty csv_options block")
 
+    @classmethod
+    def from_config(cls, src: dict) -> "FileSource":
+        """From a source dict with the reference's keys (``source_path``,
+        ``file_format``, ``bronze_options.*``)."""
+        if not src.get("source_table"):
+            raise ValueError("missing required field 'source_table'")
+        opts = dict(src.get("bronze_options") or {})
+        return cls(
+            path=src.get("source_path"), file_format=src.get("file_format", ""),
+            schema_evolution_mode=opts.get("schema_evolution_mode", "rescue"),
+            infer_column_types=bool(opts.get("infer_column_types", True)),
+            schema_hints=opts.get("schema_hints"),
+            include_existing_files=opts.get("include_existing_files"),
+            file_name_pattern=opts.get("file_name_pattern"),
+            partition_columns=tuple(opts.get("partition_columns") or ()),
+            allow_overwrites=bool(opts.get("allow_overwrites", False)),
+            ignore_corrupt_files=bool(opts.get("ignore_corrupt_files", False)),
+            csv_options=dict(opts.get("csv_options") or {}),
+            use_managed_file_events=bool(opts.get("use_managed_file_events", False)),
+            backfill_interval=opts.get("backfill_interval"),
+        )
+
     @property
     def spark_format(self) -> str:
         return "binaryFile" if self.file_format == "binaryfile" else self.file_format
@@ -209,13 +233,13 @@ def stream_files(spark: SparkSession, src: FileSource, schema: T.StructType | No
     if src.file_format == "json" and src.schema_evolution_mode == "rescue":
         df = rs.format("text").load(src.path)
         df = with_provenance(df, ingested_at)
-        prov = [c for c in df.columns if c.startswith("_s")]
+        prov = PROVENANCE_COLUMNS
         return rescue(df, "value", stored, keep=prov).select(
             *[f.name for f in stored.fields], RESCUED, *prov)
     if src.file_format == "csv" and src.schema_evolution_mode == "rescue":
         strings = T.StructType([T.StructField(f.name, T.StringType()) for f in stored.fields])
         df = with_provenance(rs.format("csv").schema(strings).load(src.path), ingested_at)
-        prov = [c for c in df.columns if c.startswith("_s")]
+        prov = PROVENANCE_COLUMNS
         return rescue_csv(df, stored, keep=prov).select(*[f.name for f in stored.fields], RESCUED, *prov)
     df = rs.format(src.spark_format).schema(stored).load(src.path)
     if src.partition_columns:

@@ -43,6 +43,25 @@ class SweepSpec:
     force: bool = False
 
 
+def sweep_from_config(src: dict, force: bool = False) -> SweepSpec:
+    """SweepSpec from the reference's ``reconciliation.*`` keys (validated)."""
+    rc_cfg = src.get("reconciliation") or {}
+    spec = SweepSpec(
+        enabled=bool(rc_cfg.get("enabled", False)),
+        cadence_days=int(rc_cfg.get("cadence_days", 7)),
+        weekday=rc_cfg.get("run_on_weekday"),
+        max_age_days=rc_cfg.get("max_age_days"),
+        max_delete_pct=float(rc_cfg.get("max_delete_pct", 5.0)),
+        min_source_rows=int(rc_cfg.get("min_source_rows", 1)),
+        on_breach=str(rc_cfg.get("on_breach", "fail")).lower(),
+        force=force,
+    )
+    days = (src.get("federated_source") or {}).get("rolling_window_days", 7)
+    rc.validate(spec.cadence_days, spec.weekday, spec.max_age_days, days, spec.max_delete_pct,
+                spec.min_source_rows, spec.on_breach)
+    return spec
+
+
 class ChangeStore:
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark

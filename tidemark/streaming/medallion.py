@@ -90,6 +90,29 @@ class SilverSpec:
         if any(not isinstance(c, str) or not c for c in self.scd_2_exclude_list):
             raise ValueError("scd_2_exclude_list must hold non-empty strings")
 
+    @classmethod
+    def from_config(cls, src: dict, buckets: int = 64) -> "SilverSpec":
+        """From a source dict with the reference's Silver keys."""
+        for c in src.get("silver_columns") or []:
+            if not c.get("name"):
+                raise ValueError("every silver_columns entry needs a 'name'")
+        for r in src.get("data_quality_rules") or []:
+            if not r.get("description") or not r.get("expr"):
+                raise ValueError("data_quality_rules entries need description and expr")
+        scd_type = src.get("scd_type", 2)
+        if scd_type not in (1, 2):
+            raise ValueError("scd_type must be 1 or 2")
+        return cls(
+            source_table=src.get("source_table"), keys=tuple(src.get("scd_2_key_list") or ()),
+            history_timestamp_source=src.get("history_timestamp_source") or "pipeline_timestamp",
+            silver_columns=tuple(src.get("silver_columns") or ()),
+            allow_missing_columns=bool(src.get("allow_missing_columns", False)),
+            exclude_columns=tuple(src.get("exclude_columns") or ()),
+            data_quality_rules=tuple((r["description"], r["expr"]) for r in src.get("data_quality_rules") or ()),
+            scd_type=scd_type, scd_2_exclude_list=tuple(src.get("scd_2_exclude_list") or ()),
+            cluster_by=tuple(src.get("cluster_by") or ()), buckets=buckets, tags=dict(src.get("tags") or {}),
+        )
+
     @property
     def silver_table(self) -> str:
         return normalize_identifier(self.source_table)
