@@ -9,11 +9,13 @@ Store layout (all parquet under one base path):
                 scan of the stream);
 * ``sweeps/``   sweep audit log (also the cadence state).
 
-A run computes everything against its own staging folder under the cluster's
-checkpoint directory (snapshot, deletes, orphans are written once and read
-back, which cuts lineage and survives executor loss), then commits all of its
-events with ONE dynamic partition overwrite of its ``snapshotseq`` partition:
-readers see the whole run or none of it, and a retried run replaces itself.
+A run writes its snapshot once, straight into its ``snapshotseq`` partition
+(dynamic overwrite: a retried run replaces itself), derives the deletes from
+that written partition (lineage cut, survives executor loss), appends the
+tombstones, and writes its run-ledger row last. The ledger row is the commit
+marker: the next run's prior snapshot and the sweep cadence only see runs that
+finished. Readers of the stream may see a run's upserts before its tombstones;
+SCD orders by sequence and change type, so that is harmless.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.hashing import select_names
 from tidemark.operators import reconcile as rc
 from tidemark.operators import rolling
 from tidemark.session import RunStamp, scratch_dir
@@ -92,44 +95,57 @@ class ChangeStore:
 def run_once(spark: SparkSession, source: DataFrame, store: ChangeStore, run: RunStamp,
              spec: rolling.RollingSpec, sweep: SweepSpec = SweepSpec(), silver: DataFrame | None = None,
              source_table: str = "source") -> dict:
-    """Snapshot + Control 1 + (due) Control 2, committed atomically. Returns a run summary."""
+    """Snapshot + Control 1 + (due) Control 2 for one run. Returns a run summary.
+
+    Write order: the snapshot goes straight into the run's ``snapshotseq``
+    partition with a dynamic overwrite (written once, never copied; a retried
+    run first wipes its own partition), the tombstones are appended to that
+    partition, and the run-ledger row is written last. The ledger row is the
+    commit marker: prior-snapshot and cadence lookups only see finished runs.
+    """
     rc.validate(sweep.cadence_days, sweep.weekday, sweep.max_age_days, spec.days,
                 sweep.max_delete_pct, sweep.min_source_rows, sweep.on_breach)
     stage = scratch_dir(spark, "tidemark-runs", str(run.seq))
     ws = run.window_start(spec.days, spec.anchor)
+    stream_before = store.stream()
+    prior_seq = store.prior_seq(run)
+    last = rc.last_sweep(store.sweeps(), run)
+    summary = {"snapshotseq": run.seq, "prior_seq": prior_seq, "window_start": ws}
+
+    def counted(df: DataFrame, name: str):
+        obs = Observation(name)
+        return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
-    # 1. snapshot, written once (identity is the expensive part)
-    tables.write_view(rolling.snapshot(source, run, spec), f"{stage}/snapshot")
-    snap = spark.read.parquet(f"{stage}/snapshot")
-    columns = snap.columns
+    # 1. snapshot, written once into its own partition (identity is the expensive part)
+    snap_df, snap_obs = counted(rolling.snapshot(source, run, spec), "upserts")
+    tables.overwrite_partitions(snap_df, store.stream_path, ["snapshotseq"], sort_by=["rowkey"])
+    snap = rolling.prior_snapshot(spark.read.parquet(store.stream_path), run.seq)   # partition-pruned read
+    columns = [c for c in snap.columns]
+    counts = {"upserts": int(snap_obs.get["rows"]), "deletes": 0, "reconciles": 0}
 
     # 2. Control 1
-    parts = [snap]
-    stream = store.stream()
-    prior_seq = store.prior_seq(run)
     dels = None
-    if spec.detect_deletes and prior_seq is not None and stream is not None:
-        prior = rolling.prior_snapshot(stream, prior_seq)
-        already = rolling.deleted_since(stream, prior_seq, run)
-        tables.write_view(rolling.detect_deletes(snap, prior, run, spec, already), f"{stage}/deletes")
-        dels = spark.read.parquet(f"{stage}/deletes")
-        parts.append(dels)
+    if spec.detect_deletes and prior_seq is not None and stream_before is not None:
+        prior = rolling.prior_snapshot(stream_before, prior_seq)
+        already = rolling.deleted_since(stream_before, prior_seq, run)
+        d_df, d_obs = counted(rolling.detect_deletes(snap, prior, run, spec, already), "deletes")
+        tables.append(d_df.sortWithinPartitions("rowkey"), store.stream_path, ["snapshotseq"])
+        counts["deletes"] = int(d_obs.get["rows"])
+        dels = spark.read.parquet(store.stream_path).where(
+            (F.col("snapshotseq") == run.seq) & (F.col("changetype") == "delete")).select("rowkey")
 
     # 3. Control 2
-    summary = {"snapshotseq": run.seq, "prior_seq": prior_seq, "window_start": ws}
-    due, trigger = rc.sweep_due(rc.last_sweep(store.sweeps(), run), run, sweep.enabled,
-                                sweep.cadence_days, sweep.weekday, sweep.force)
+    due, trigger = rc.sweep_due(last, run, sweep.enabled, sweep.cadence_days, sweep.weekday, sweep.force)
     summary.update(sweep_due=due, trigger=trigger)
-    log = None
+    status = None
     if due:
-        status, closed, metrics = "no_target", 0, None
+        status, metrics = "no_target", None
         if silver is not None:
             since = rc.sweep_scope_start(run, sweep.max_age_days)
             open_k = rc.open_keys(silver, spec.window_column, since)
             live_k = rc.live_keys(source, run, spec, sweep.max_age_days)
-            rolled = dels.select("rowkey") if dels is not None else None
             obs = Observation("sweep")
-            flags = rc.compare(open_k, live_k, rolled).observe(obs, *rc.metric_exprs())
+            flags = rc.compare(open_k, live_k, dels).observe(obs, *rc.metric_exprs())
             # One job: the join runs once, the counts ride along with the orphan write.
             tables.write_view(flags.where(F.col("_open") & ~F.col("_live") & ~F.col("_rolled"))
                               .select("rowkey"), f"{stage}/orphans")
@@ -139,28 +155,20 @@ def run_once(spark: SparkSession, source: DataFrame, store: ChangeStore, run: Ru
                 status = "skipped_breach"
             else:
                 status = "completed"
-                if outcome == "ok" and stream is not None:
+                if outcome == "ok" and stream_before is not None:
                     orph = spark.read.parquet(f"{stage}/orphans")
-                    tables.write_view(rc.tombstones(stream, orph, run, spec).select(*columns),
-                                      f"{stage}/reconcile")
-                    parts.append(spark.read.parquet(f"{stage}/reconcile"))
+                    t_df, t_obs = counted(rc.tombstones(stream_before, orph, run, spec), "reconciles")
+                    tables.append(select_names(t_df, columns).sortWithinPartitions("rowkey"),
+                                  store.stream_path, ["snapshotseq"])
+                    counts["reconciles"] = int(t_obs.get["rows"])
         summary.update(sweep_status=status, sweep_metrics=metrics)
-        log = (status, metrics)
-
-    # 4. commit: one partition-atomic write of all events of this run
-    events = rolling.conform(parts, columns)
-    counts = Observation("run")
-    events = events.observe(counts,
-                            F.count_if(F.col("changetype") == "upsert").cast("long").alias("upserts"),
-                            F.count_if(F.col("changetype") == "delete").cast("long").alias("deletes"),
-                            F.count_if(F.col("changetype") == "reconcile").cast("long").alias("reconciles"))
-    tables.overwrite_partitions(events, store.stream_path, ["snapshotseq"], sort_by=["rowkey"])
-    c = counts.get
-    summary.update(c)
-    ledger = spark.createDataFrame([(run.seq, c["upserts"], c["deletes"], c["reconciles"])], RUNS_SCHEMA)
+
+    # 4. commit marker: the run-ledger row (and the sweep audit row)
+    summary.update(counts)
+    ledger = spark.createDataFrame([(run.seq, counts["upserts"], counts["deletes"], counts["reconciles"])],
+                                   RUNS_SCHEMA)
     tables.overwrite_partitions(ledger.withColumn("run", F.col("snapshotseq")), store.runs_path, ["run"])
-    if log is not None:
-        status, _ = log
-        row = rc.log_row(spark, source_table, run, trigger, sweep.max_age_days, c["reconciles"], status)
+    if status is not None:
+        row = rc.log_row(spark, source_table, run, trigger, sweep.max_age_days, counts["reconciles"], status)
         tables.overwrite_partitions(row.withColumn("run", F.col("snapshotseq")), store.sweeps_path, ["run"])
     return summary
