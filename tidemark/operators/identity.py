@@ -31,7 +31,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.hashing import quote, row_hash, select_names
+from tidemark.functions.hashing import quote, row_hash
 
 # The column names a change stream adds (a source may not use
 # them) and the accepted identity modes. Downstream layers rely on these names.
@@ -94,21 +94,22 @@ def add_identity(df: DataFrame, mode: str = "hash_all", key_columns: Sequence[st
     id_cols = identity_columns(business, mode, key_columns, exclude_columns)
     whole_row = sorted(id_cols) == sorted(business)
 
-    df = df.withColumn("rowhash", row_hash(id_cols))
     if whole_row:
         # Identity covers every column, so the content fingerprint is the same hash.
-        df = df.withColumn("contenthash", F.col("rowhash"))
+        df = df.withColumn("rowhash", row_hash(id_cols))
     else:
-        df = df.withColumn("contenthash", row_hash(business))
+        df = df.withColumns({"rowhash": row_hash(id_cols), "contenthash": row_hash(business)})
 
     if allow_duplicates:
         df = _number_copies(df, business, whole_row)
     else:
         df = df.withColumn("rowoccurrence", F.lit(1).cast("int"))
 
-    df = df.withColumn("rowkey", F.expr("concat_ws('#', rowhash, rowoccurrence)"))
-    out = business + ["rowhash"] + (["contenthash"] if with_contenthash else []) + ["rowoccurrence", "rowkey"]
-    return select_names(df, out)
+    out = [quote(c) for c in business] + ["rowhash"]
+    if with_contenthash:
+        out.append("rowhash AS contenthash" if whole_row else "contenthash")
+    out += ["rowoccurrence", "concat_ws('#', rowhash, rowoccurrence) AS rowkey"]
+    return df.selectExpr(*out)
 
 
 def _number_copies(df: DataFrame, business: list[str], whole_row: bool) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.bounds import at_or_after
-from tidemark.functions.hashing import select_names
+from tidemark.functions.hashing import quote, select_names
 from tidemark.operators.identity import add_identity
 from tidemark.session import RunStamp, ts_literal
 
@@ -122,6 +122,26 @@ def read_window(df: DataFrame, window_column: str, since: datetime | None = None
     return df
 
 
+def _ts_sql(ts: datetime) -> str:
+    return f"TIMESTAMP_NTZ'{ts.strftime('%Y-%m-%d %H:%M:%S.%f')}'"
+
+
+def _stamp_sql(run: RunStamp, window_start: datetime, days: int) -> dict:
+    """SQL text of the four snapshot stamps (one projection, no per-column calls)."""
+    return {"snapshotseq": f"CAST({run.seq} AS BIGINT)", "snapshotts": _ts_sql(run.ts),
+            "windowstart": _ts_sql(window_start), "windowdays": f"CAST({int(days)} AS INT)"}
+
+
+def _provenance_sql(run: RunStamp) -> dict:
+    return {"_staging_ingested_at": _ts_sql(run.ts),
+            **{n: f"CAST(NULL AS {t})" for n, t in PROVENANCE[1:]}}
+
+
+def _project(df: DataFrame, columns: Sequence[str], exprs: dict) -> DataFrame:
+    """Select ``columns`` in order; names in ``exprs`` come from their SQL text."""
+    return df.selectExpr(*[f"{exprs[c]} AS {quote(c)}" if c in exprs else quote(c) for c in columns])
+
+
 def with_null_provenance(df: DataFrame, run: RunStamp) -> DataFrame:
     """Provenance block of a table source: ingest time = run time, file fields null."""
     return df.withColumns({
@@ -145,27 +165,21 @@ def snapshot(source: DataFrame, run: RunStamp, spec: RollingSpec) -> DataFrame:
     cur = read_window(source, spec.window_column, ws, spec.where, spec.select)
     business = list(cur.columns)
     cur = add_identity(cur, with_contenthash=True, **spec.identity())
-    cur = cur.withColumns({
-        "changetype": F.expr("'upsert'"),
-        "isdeleted": F.expr("FALSE"),
-        "deletedat": F.expr("CAST(NULL AS TIMESTAMP_NTZ)"),
-    })
-    cur = with_null_provenance(stamp_snapshot(cur, run, ws, spec.days), run)
-    return select_names(cur, business + EVENT_COLUMNS + STAMP_COLUMNS + PROVENANCE_COLUMNS)
+    exprs = {"changetype": "'upsert'", "isdeleted": "FALSE", "deletedat": "CAST(NULL AS TIMESTAMP_NTZ)",
+             **_stamp_sql(run, ws, spec.days), **_provenance_sql(run)}
+    return _project(cur, business + EVENT_COLUMNS + STAMP_COLUMNS + PROVENANCE_COLUMNS, exprs)
 
 
 def stamp_deleted(df: DataFrame, run: RunStamp, change_type: str, window_start: datetime,
-                  days: int) -> DataFrame:
-    """Restamp last-known payload rows as soft-delete events of this run."""
+                  days: int, columns: Sequence[str] | None = None) -> DataFrame:
+    """Restamp last-known payload rows as soft-delete events of this run
+    (one projection; ``columns`` fixes the output order, default: the input's)."""
     if change_type not in ("delete", "reconcile"):
         raise ValueError("change_type must be 'delete' or 'reconcile'")
-    out = df.withColumns({
-        "changetype": F.expr(f"'{change_type}'"),
-        "isdeleted": F.expr("TRUE"),
-        "deletedat": run.ts_col(),
-        "_staging_ingested_at": run.ts_col(),
-    })
-    return stamp_snapshot(out, run, window_start, days)
+    exprs = {"changetype": f"'{change_type}'", "isdeleted": "TRUE", "deletedat": _ts_sql(run.ts),
+             "_staging_ingested_at": _ts_sql(run.ts), **_stamp_sql(run, window_start, days)}
+    cols = list(columns) if columns is not None else list(df.columns) + [c for c in STAMP_COLUMNS if c not in df.columns]
+    return _project(df, cols, exprs)
 
 
 def detect_deletes(current: DataFrame, prior: DataFrame | None, run: RunStamp, spec: RollingSpec,
@@ -188,7 +202,7 @@ def detect_deletes(current: DataFrame, prior: DataFrame | None, run: RunStamp, s
     )
     if already_deleted is not None:
         vanished = vanished.join(already_deleted.select("rowkey"), "rowkey", "left_anti")
-    return select_names(stamp_deleted(vanished, run, "delete", ws, spec.days), current.columns)
+    return stamp_deleted(vanished, run, "delete", ws, spec.days, current.columns)
 
 
 def aged_out(current: DataFrame, prior: DataFrame, run: RunStamp, spec: RollingSpec) -> DataFrame:
