@@ -698,6 +698,39 @@ def q_sweep_log(spark, sf):
     return _cc_store(spark, sf).sweeps().drop("run")
 
 
+# Silver settings the change stream needs (keys, sequence, untracked stamps).
+ROLLING_SILVER_EXCLUDE = ["snapshotseq", "snapshotts", "windowstart", "windowdays", "changetype", "rowoccurrence"]
+SILVER_OUT = ["eventid", "ts", "userid", "eventtype", "value", "props", "rowhash", "rowoccurrence", "rowkey",
+              "contenthash", "changetype", "isdeleted", "deletedat", "snapshotseq", "snapshotts", "windowstart",
+              "windowdays", "__START_AT", "__END_AT"]
+
+
+def _rolling_silver_sql() -> str:
+    renames = {"event_id": "eventid", "user_id": "userid", "event_type": "eventtype"}
+    cols = ", ".join(f'"{c}" AS "{renames.get(c, c)}"' for c in STREAM_COLS + ["__START_AT", "__END_AT"]
+                     if not c.startswith("_s"))
+    tracked = STREAM_TRACKED + ["deletedat"]
+    return f"SELECT {cols} FROM ({scd2_sql(stream_sql(2), STREAM_COLS, ['rowkey'], 'snapshotseq', tracked)}) s"
+
+
+@register("rolling_to_silver", _rolling_silver_sql)
+def q_rolling_to_silver(spark, sf):
+    """Entry point C end to end: three persisted rolling runs -> bronze stream ->
+    Silver (SELECT * names, SCD2 on rowkey by snapshotseq) via foreachBatch."""
+    from tidemark.streaming.change_capture import ChangeStore, run_once
+    ev = load(spark, sf, "events")
+    base = scratch_dir(spark, "tidemark-q", "rolling-silver")
+    store = ChangeStore(spark, f"{base}/store")
+    for k in range(3):
+        run_once(spark, sc.foreign(ev, k), store, sc.run(k), sc.SPEC, source_table="events")
+    medallion.ingest_bronze(spark, store.stream_path, f"{base}/bronze", f"{base}/ck1", sc.RUN0.ts_col())
+    spec = medallion.SilverSpec("events", ["rowkey"], history_timestamp_source="snapshotseq",
+                                scd_2_exclude_list=ROLLING_SILVER_EXCLUDE, buckets=8)
+    sink = medallion.SilverSink(spark, spec, f"{base}/silver", f"{base}/qtn", f"{base}/log", sc.RUN0)
+    medallion.run_silver(spark, f"{base}/bronze", sink, f"{base}/ck2")
+    return spark.read.parquet(f"{base}/silver").select(*SILVER_OUT)
+
+
 # ── audit summaries ───────────────────────────────────────────────────────────
 
 @register("snapshot_summary", lambda: f"""
