@@ -44,6 +44,7 @@ def test_sweep_statuses(spark, tmp):
     r2 = R0.plus(days=2)
     s = run_once(spark, src(spark, ["a", "b"]), store, r2, SPEC, SweepSpec(enabled=True, force=True), silver)
     assert s["deletes"] == 1 and s["reconciles"] == 0 and s["sweep_metrics"]["rolling_deleted"] == 1
+    assert s["no_payload"] == 0
     log = store.sweeps().orderBy("snapshotseq").collect()
     assert [r.status for r in log] == ["no_target", "completed"]
 
@@ -99,3 +100,9 @@ def test_medallion_chain_with_quarantine_and_views(spark, tmp):
     assert [(r.id, r._failed_dq_rules, r._source_table) for r in q] == [(2, ["non_negative"], "my_table")]
     view = medallion.silver_view(spark, f"{tmp}/brz", spec)
     assert view.isStreaming and "balance" in view.columns
+
+
+def test_null_window_rows_are_reported(spark):
+    df = spark.createDataFrame([("a", None), ("b", datetime(2024, 1, 27))], "v string, ts timestamp_ntz")
+    assert rolling.null_window_rows(df, "ts") == 1
+    assert rolling.snapshot(df, R0, SPEC).count() == 1

@@ -214,6 +214,13 @@ def aged_out(current: DataFrame, prior: DataFrame, run: RunStamp, spec: RollingS
     ).transform(lambda d: select_names(d, prior.columns))
 
 
+def null_window_rows(source: DataFrame, window_column: str) -> int:
+    """Rows neither control can ever see (null window value): one count job
+    whose ``IsNull`` filter reaches the scan. Kept apart from the snapshot so
+    the window filter there still prunes the read."""
+    return source.where(F.col(f"`{window_column}`").isNull()).count()
+
+
 def prior_snapshot_seq(stream: DataFrame, run: RunStamp):
     """Latest snapshotseq below this run that has upsert rows (None on the first run)."""
     row = (

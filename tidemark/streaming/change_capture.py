@@ -161,6 +161,9 @@ def run_once(spark: SparkSession, source: DataFrame, store: ChangeStore, run: Ru
                     tables.append(select_names(t_df, columns).sortWithinPartitions("rowkey"),
                                   store.stream_path, ["snapshotseq"])
                     counts["reconciles"] = int(t_obs.get["rows"])
+            # Orphans with no upsert history count toward the guard but get no tombstone.
+            summary["no_payload"] = int(metrics["orphan_count"]) - counts["reconciles"] \
+                if status == "completed" else None
         summary.update(sweep_status=status, sweep_metrics=metrics)
 
     # 4. commit marker: the run-ledger row (and the sweep audit row)
