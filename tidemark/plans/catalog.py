@@ -303,7 +303,8 @@ SELECT {_tomb_cols(SWEEP_RUN, 'reconcile')} FROM (
 def q_sweep_tombstones(spark, sf):
     s = sc.Scenario(load(spark, sf, "events"))
     orph = reconcile.orphans(*s.sweep_parts(SWEEP_RUN))
-    return reconcile.tombstones(s.stream(SWEEP_RUN - 1), orph, sc.run(SWEEP_RUN), sc.SPEC)
+    return reconcile.tombstones(s.stream(SWEEP_RUN - 1), orph, sc.run(SWEEP_RUN), sc.SPEC,
+                                silver=s.silver(SWEEP_RUN - 1))
 
 
 @register("sweep_due_matrix", lambda: """

@@ -157,7 +157,7 @@ def run_once(spark: SparkSession, source: DataFrame, store: ChangeStore, run: Ru
                 status = "completed"
                 if outcome == "ok" and stream_before is not None:
                     orph = spark.read.parquet(f"{stage}/orphans")
-                    t_df, t_obs = counted(rc.tombstones(stream_before, orph, run, spec), "reconciles")
+                    t_df, t_obs = counted(rc.tombstones(stream_before, orph, run, spec, silver), "reconciles")
                     tables.append(select_names(t_df, columns).sortWithinPartitions("rowkey"),
                                   store.stream_path, ["snapshotseq"])
                     counts["reconciles"] = int(t_obs.get["rows"])
