@@ -70,15 +70,19 @@ class Scenario:
         return rolling.aged_out(self.snap(k), self.snap(k - 1), run(k), SPEC)
 
     def stream(self, upto: int) -> DataFrame:
-        frames = []
-        for k in range(upto + 1):
-            frames.append(self.snap(k))
-            if k > 0:
-                frames.append(self.dels(k))
-        return rolling.conform(frames, self.snap(0).columns)
+        if ("stream", upto) not in self._snaps:
+            frames = []
+            for k in range(upto + 1):
+                frames.append(self.snap(k))
+                if k > 0:
+                    frames.append(self.dels(k))
+            self._snaps[("stream", upto)] = rolling.conform(frames, self.snap(0).columns)
+        return self._snaps[("stream", upto)]
 
     def silver(self, upto: int) -> DataFrame:
-        return scd.change_stream_scd2(self.stream(upto))
+        if ("silver", upto) not in self._snaps:
+            self._snaps[("silver", upto)] = scd.change_stream_scd2(self.stream(upto))
+        return self._snaps[("silver", upto)]
 
     # Sweep at run k against Silver built from runs 0..k-1.
     def sweep_parts(self, k: int, max_age_days: int | None = None):
