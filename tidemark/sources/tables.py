@@ -62,12 +62,14 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
 def register_table(spark: SparkSession, name: str, path: str, properties: Mapping[str, str] | None = None,
                    comment: str | None = None) -> None:
     """Expose a path as a catalog table and attach its properties / comment."""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
+    from tidemark.functions.hashing import sql_string
+
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION {sql_string(path)}")
     props = dict(properties or {})
     if comment:
         props["comment"] = comment
     if props:
-        body = ", ".join(f"'{k}' = '{str(v)}'" for k, v in props.items())
+        body = ", ".join(f"{sql_string(str(k))} = {sql_string(str(v))}" for k, v in props.items())
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({body})")
 
 
