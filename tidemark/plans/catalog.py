@@ -667,6 +667,20 @@ def q_scd2_stream(spark, sf):
     return read_target(spark, f"{base}/target")
 
 
+@register("scd1_stream_events", lambda: f"""
+SELECT {_cols(EVENTS)} FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1""")
+def q_scd1_stream(spark, sf):
+    """Streaming SCD type 1: four out-of-order micro-batches folded into latest rows."""
+    from tidemark.streaming.scd_stream import ScdSink, read_target, scd2_stream
+    base = scratch_dir(spark, "tidemark-q", "scd1stream")
+    ev = load(spark, sf, "events")
+    ev.repartition(4, "event_type").write.parquet(f"{base}/in")
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    sink = ScdSink(spark, f"{base}/log", f"{base}/target", ["user_id"], "ts", scd_type=1, buckets=8)
+    scd2_stream(stream, sink, f"{base}/ckpt")
+    return read_target(spark, f"{base}/target")
+
+
 @register("change_capture_runs", lambda: f"""({stream_sql(2)}) UNION ALL (
 SELECT {_tomb_cols(SWEEP_RUN, 'reconcile')} FROM (
   SELECT * FROM ({stream_sql(SWEEP_RUN - 1)}) h
