@@ -100,3 +100,17 @@ def test_expectation_counters_ride_along(spark):
     observed, obs = quality.expectation_observation(df, [("positive", "v > 0")])
     observed.write.format("noop").mode("overwrite").save()
     assert obs.get == {"positive": 2}
+
+
+def test_csv_rescue_through_stream(spark, tmp):
+    from tidemark.streaming import medallion
+    import os
+    os.makedirs(f"{tmp}/in")
+    with open(f"{tmp}/in/a.csv", "w") as fh:
+        fh.write("id|amount\n1|2.5\nx|3\n")
+    src = files.FileSource(f"{tmp}/in", "csv", csv_options={"header": True, "delimiter": "|"})
+    schema = files.parse_hints(spark, "id int, amount double")
+    medallion.ingest_staging(spark, src, f"{tmp}/out", f"{tmp}/ck", schema)
+    got = sorted(((r.id, r.amount, r._rescued_data) for r in spark.read.parquet(f"{tmp}/out").collect()),
+                 key=lambda t: t[1])
+    assert got == [(1, 2.5, None), (None, 3.0, '{"id":"x"}')]
