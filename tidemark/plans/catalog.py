@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import audit, identity, quality, reconcile, rolling, scd
+from tidemark.operators import audit, identity, quality, reconcile, scd
 from tidemark.operators import project as proj
 from tidemark.operators.rolling import PROVENANCE_COLUMNS
 from tidemark.plans import scenario as sc
