@@ -68,3 +68,13 @@ def test_scenario_golden_counts(spark):
     assert [s.snap(k).count() for k in range(3)] == [214, 206, 197]
     assert [s.dels(k).count() for k in (1, 2)] == [4, 3]
     assert s.silver(2).count() == 280
+
+
+def test_window_bound_on_ltz_and_string_columns(spark):
+    ws = datetime(2024, 1, 21)
+    ltz = spark.createDataFrame([(1, "2024-01-21 00:00:00"), (2, "2024-01-20 23:59:59")], "id int, s string") \
+        .selectExpr("id", "to_timestamp(s) AS t", "s")
+    assert [r.id for r in rolling.read_window(ltz, "t", ws).collect()] == [1]      # session zone is UTC
+    assert [r.id for r in rolling.read_window(ltz, "s", ws).collect()] == [1]      # string: cast fallback
+    with_null = ltz.unionByName(spark.createDataFrame([(3, None, None)], "id int, t timestamp, s string"))
+    assert sorted(r.id for r in rolling.read_window(with_null, "t", None).collect()) == [1, 2]
