@@ -59,6 +59,22 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
         .parquet(path))
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int,
+                   partition_by: Sequence[str] = ()) -> DataFrame:
+    """Catalog table bucketed (and sorted) by ``key`` at ``path``.
+
+    Two tables bucketed on the same key with the same bucket count join on it
+    without a shuffle (sort-merge join straight off the buckets), e.g. the
+    Control-1 anti join between consecutive snapshots on ``rowkey``. Needs a
+    catalog that keeps the bucket spec (a persistent metastore on a cluster).
+    """
+    w = df.write.mode("overwrite").bucketBy(int(buckets), key).sortBy(key).option("path", path)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def register_table(spark: SparkSession, name: str, path: str, properties: Mapping[str, str] | None = None,
                    comment: str | None = None) -> None:
     """Expose a path as a catalog table and attach its properties / comment."""
