@@ -106,3 +106,29 @@ def test_null_window_rows_are_reported(spark):
     df = spark.createDataFrame([("a", None), ("b", datetime(2024, 1, 27))], "v string, ts timestamp_ntz")
     assert rolling.null_window_rows(df, "ts") == 1
     assert rolling.snapshot(df, R0, SPEC).count() == 1
+
+
+def test_bucketed_store_matches_folder_store_without_shuffle(spark, tmp):
+    from tests.conftest import SF
+    from tidemark.plans import scenario as sc
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    plain = ChangeStore(spark, f"{tmp}/plain")
+    bucketed = ChangeStore(spark, f"{tmp}/bucketed", table="tidemark_cc_bucketed", buckets=8)
+    for k in range(3):
+        run_once(spark, sc.foreign(ev, k), plain, sc.run(k), sc.SPEC)
+        s = run_once(spark, sc.foreign(ev, k), bucketed, sc.run(k), sc.SPEC)
+    assert s["deletes"] == 3
+    cols = plain.stream().columns
+    a = sorted(map(tuple, plain.stream().select(*cols).collect()))
+    b = sorted(map(tuple, bucketed.stream().select(*cols).collect()))
+    assert a == b and len(a) == 214 + 206 + 197 + 4 + 3
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        st = bucketed.stream()
+        prior = rolling.prior_snapshot(st, sc.run(1).seq)
+        cur = rolling.prior_snapshot(st, sc.run(2).seq)
+        plan = rolling.detect_deletes(cur, prior, sc.run(2), sc.SPEC)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -66,16 +66,53 @@ def sweep_from_config(src: dict, force: bool = False) -> SweepSpec:
 
 
 class ChangeStore:
-    def __init__(self, spark: SparkSession, base: str):
+    """Where a rolling source keeps its change stream, run ledger and sweep log.
+
+    By default the stream is a plain parquet folder. With ``table`` (and
+    ``buckets``) it is a catalog table partitioned by ``snapshotseq`` and
+    bucketed/sorted by ``rowkey``: consecutive snapshots then meet in the
+    Control-1 anti join straight off their buckets, without a shuffle.
+    """
+
+    def __init__(self, spark: SparkSession, base: str, table: str | None = None, buckets: int | None = None):
+        if (table is None) != (buckets is None):
+            raise ValueError("table and buckets go together")
         self.spark = spark
         self.base = base.rstrip("/")
         self.stream_path = f"{self.base}/stream"
         self.runs_path = f"{self.base}/runs"
         self.sweeps_path = f"{self.base}/sweeps"
+        self.table, self.buckets = table, buckets
 
     def stream(self) -> DataFrame | None:
+        if self.table is not None:
+            if not self.spark.catalog.tableExists(self.table):
+                return None
+            self.spark.catalog.refreshTable(self.table)
+            return self.spark.table(self.table)
         return tables.read(self.spark, self.stream_path)
 
+    def run_events(self, seq: int) -> DataFrame:
+        """All events of one run (partition-pruned)."""
+        src = self.spark.table(self.table) if self.table is not None else self.spark.read.parquet(self.stream_path)
+        return src.where(F.col("snapshotseq") == seq)
+
+    def write_events(self, df: DataFrame, replace_run: bool) -> None:
+        """Replace (snapshot) or extend (tombstones) the run's partition."""
+        if self.table is None:
+            if replace_run:
+                tables.overwrite_partitions(df, self.stream_path, ["snapshotseq"], sort_by=["rowkey"])
+            else:
+                tables.append(df.sortWithinPartitions("rowkey"), self.stream_path, ["snapshotseq"])
+            return
+        if not self.spark.catalog.tableExists(self.table):
+            (df.write.mode("overwrite").partitionBy("snapshotseq").bucketBy(int(self.buckets), "rowkey")
+             .sortBy("rowkey").option("path", self.stream_path).saveAsTable(self.table))
+        else:
+            cols = self.spark.table(self.table).columns           # insertInto is positional
+            df.select(*cols).write.insertInto(self.table, overwrite=replace_run)
+        self.spark.catalog.refreshTable(self.table)
+
     def runs(self) -> DataFrame | None:
         return tables.read(self.spark, self.runs_path)
 
@@ -118,8 +155,8 @@ def run_once(spark: SparkSession, source: DataFrame, store: ChangeStore, run: Ru
 
     # 1. snapshot, written once into its own partition (identity is the expensive part)
     snap_df, snap_obs = counted(rolling.snapshot(source, run, spec), "upserts")
-    tables.overwrite_partitions(snap_df, store.stream_path, ["snapshotseq"], sort_by=["rowkey"])
-    snap = rolling.prior_snapshot(spark.read.parquet(store.stream_path), run.seq)   # partition-pruned read
+    store.write_events(snap_df, replace_run=True)
+    snap = rolling.prior_snapshot(store.run_events(run.seq), run.seq)             # partition-pruned read
     columns = [c for c in snap.columns]
     counts = {"upserts": int(snap_obs.get["rows"]), "deletes": 0, "reconciles": 0}
 
@@ -129,10 +166,9 @@ def run_once(spark: SparkSession, source: DataFrame, store: ChangeStore, run: Ru
         prior = rolling.prior_snapshot(stream_before, prior_seq)
         already = rolling.deleted_since(stream_before, prior_seq, run)
         d_df, d_obs = counted(rolling.detect_deletes(snap, prior, run, spec, already), "deletes")
-        tables.append(d_df.sortWithinPartitions("rowkey"), store.stream_path, ["snapshotseq"])
+        store.write_events(d_df, replace_run=False)
         counts["deletes"] = int(d_obs.get["rows"])
-        dels = spark.read.parquet(store.stream_path).where(
-            (F.col("snapshotseq") == run.seq) & (F.col("changetype") == "delete")).select("rowkey")
+        dels = store.run_events(run.seq).where(F.col("changetype") == "delete").select("rowkey")
 
     # 3. Control 2
     due, trigger = rc.sweep_due(last, run, sweep.enabled, sweep.cadence_days, sweep.weekday, sweep.force)
@@ -158,8 +194,7 @@ def run_once(spark: SparkSession, source: DataFrame, store: ChangeStore, run: Ru
                 if outcome == "ok" and stream_before is not None:
                     orph = spark.read.parquet(f"{stage}/orphans")
                     t_df, t_obs = counted(rc.tombstones(stream_before, orph, run, spec, silver), "reconciles")
-                    tables.append(select_names(t_df, columns).sortWithinPartitions("rowkey"),
-                                  store.stream_path, ["snapshotseq"])
+                    store.write_events(select_names(t_df, columns), replace_run=False)
                     counts["reconciles"] = int(t_obs.get["rows"])
             # Orphans with no upsert history count toward the guard but get no tombstone.
             summary["no_payload"] = int(metrics["orphan_count"]) - counts["reconciles"] \
