@@ -692,10 +692,13 @@ def q_change_capture_runs(spark, sf):
     return _cc_store(spark, sf).stream().select(*STREAM_COLS)
 
 
-def _cc_store(spark, sf):
+def _cc_store(spark, sf, bucketed: bool = False):
+    import os
     from tidemark.streaming.change_capture import ChangeStore, SweepSpec, run_once
     ev = load(spark, sf, "events")
-    store = ChangeStore(spark, scratch_dir(spark, "tidemark-q", "cc"))
+    base = scratch_dir(spark, "tidemark-q", "cc")
+    table = f"tidemark_cc_{os.path.basename(base)}" if bucketed else None
+    store = ChangeStore(spark, base, table=table, buckets=8 if bucketed else None)
     for k in range(3):
         sweep = SweepSpec(enabled=(k == SWEEP_RUN))
         silver = scd.change_stream_scd2(store.stream()) if k == SWEEP_RUN else None
@@ -703,6 +706,12 @@ def _cc_store(spark, sf):
     return store
 
 
+@register("change_capture_bucketed", lambda: ORACLES["change_capture_runs"]())
+def q_change_capture_bucketed(spark, sf):
+    """The same three persisted runs with the rowkey-bucketed catalog store."""
+    return _cc_store(spark, sf, bucketed=True).stream().select(*STREAM_COLS)
+
+
 @register("sweep_log", lambda: f"""
 SELECT 'events' AS source_table, CAST({sc.run(SWEEP_RUN).seq} AS BIGINT) AS snapshotseq,
        TIMESTAMP '{sc.run(SWEEP_RUN).text}' AS sweepts, 'initial' AS "trigger", CAST(NULL AS INTEGER) AS scope_days,
