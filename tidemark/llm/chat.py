@@ -183,16 +183,18 @@ def format_conversations(rows: DataFrame, *, id_col: str = "conv_id", turn_col:
     return work.mapInPandas(run, SCHEMA.format(id=f"`{id_col}`", type=id_type))
 
 
-@F.pandas_udf("turns_sha256: string, loss_chars: long, loss_sha256: string, formatted_chars: long")
-def digest_udf(formatted: pd.Series, loss: pd.Series) -> pd.DataFrame:
-    out = []
-    for text, spans in zip(formatted, loss):
-        turns = hashlib.sha256()
-        for role, said in read_back(text):
-            turns.update(f"{role}\n{said}\n".encode())
-        learnt = read_loss(text, [(s["first"], s["last"]) for s in spans])
-        out.append((turns.hexdigest(), len(learnt), hashlib.sha256(learnt.encode()).hexdigest(), len(text)))
-    return pd.DataFrame(out, columns=["turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
+def digest_udf():
+    @F.pandas_udf("turns_sha256: string, loss_chars: long, loss_sha256: string, formatted_chars: long")
+    def run(formatted: pd.Series, loss: pd.Series) -> pd.DataFrame:
+        out = []
+        for text, spans in zip(formatted, loss):
+            turns = hashlib.sha256()
+            for role, said in read_back(text):
+                turns.update(f"{role}\n{said}\n".encode())
+            learnt = read_loss(text, [(s["first"], s["last"]) for s in spans])
+            out.append((turns.hexdigest(), len(learnt), hashlib.sha256(learnt.encode()).hexdigest(), len(text)))
+        return pd.DataFrame(out, columns=["turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
+    return run
 
 
 def op7_chat(spark, sf_dir):
@@ -200,7 +202,7 @@ def op7_chat(spark, sf_dir):
     marked = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-7, 0, "user", marked), (-7, 1, "assistant", marked)],
                                   "conv_id long, turn long, role string, text string")
-    done = format_conversations(rows.unionByName(extra)).withColumn("d", digest_udf("formatted", "loss"))
+    done = format_conversations(rows.unionByName(extra)).withColumn("d", digest_udf()("formatted", "loss"))
     return done.select("conv_id", F.col("n_turns"), "d.turns_sha256", "d.loss_chars", "d.loss_sha256", "d.formatted_chars")
 
 

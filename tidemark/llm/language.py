@@ -12,8 +12,9 @@ long phrases, others many short ones. The cost of a language is
 the cheapest language wins, ties going to the smaller name.
 
 Parsing is vectorised: transitions live in one table for all languages in which
-a missing transition holds the root's transition for that letter plus a flag, so
-a step is one lookup for each language, and texts are cut into blocks of ``block``
+a missing transition holds the root's transition for that letter plus a flag that
+counts a new phrase (a letter that a language lacks is a phrase alone), so a step
+is one lookup for each language, and texts are cut into blocks of ``block``
 letters that advance side by side (a block's first phrase is not counted against
 its language any differently from any other). Every letter of every text is
 parsed; a batch's memory is bounded by its own letters.
@@ -94,16 +95,20 @@ class Parser:
         for name in self.names:
             seq = self.code[[ord(c) for c in samples[name]]].tolist()
             go = suffix_automaton(seq)
-            t = np.full((len(go), self.width), -1, np.int64)
+            # One state more, for after a letter that the language lacks: whatever follows begins a phrase.
+            lost = len(go)
+            t = np.full((lost + 1, self.width), -1, np.int64)
             for state, edges in enumerate(go):
                 if edges:
                     t[state, list(edges)] = list(edges.values())
-            root = np.where(t[0] >= 0, t[0], 0)
-            t = np.where(t >= 0, (t + base) * self.width, (root + base) * self.width + FLAG)
+            root = np.where(t[0] >= 0, t[0], lost)
+            breaks = np.where(t >= 0, 0, FLAG)
+            breaks[0] = 0  # only a text's first letter is read at the root
+            t = (np.where(t >= 0, t, root) + base) * self.width + breaks
             tables.append(t.astype(np.int32))
             self.roots.append(base * self.width)
             self.bits.append(math.log2(len(seq) + 1))
-            base += len(go)
+            base += lost + 1
         if base * self.width >= FLAG:
             raise ValueError("training letters make more automaton states than a 30-bit table can hold")
         self.table = np.concatenate([t.ravel() for t in tables]) if tables else np.zeros(0, np.int32)

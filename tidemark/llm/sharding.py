@@ -62,13 +62,23 @@ def _once(value: str, a: int, b: int, seed: int) -> str:
 
 
 def longest_walk(spark: SparkSession, n: int, seed: int) -> int:
-    """Most steps that any value at n or above needs to fall below n."""
+    """Most steps that a walk from below n can take at n or above.
+
+    Values on a cycle that never falls below n are never reached from below;
+    they are told by not falling in as many steps as there are values above.
+    """
     a, b = halves(n)
-    above, steps = spark.range(n, a * b).select(F.col("id").alias("y")), 0
-    while not above.isEmpty():
-        above = above.select(F.expr(_once("y", a, b, seed)).alias("y")).filter(F.col("y") >= n)
-        steps += 1
-    return steps
+    above, steps = a * b - n, 8
+    while above:
+        steps = min(steps, above)
+        walked = F.expr(f"aggregate(sequence(1, {steps}), named_struct('y', id, 't', 0), (w, i) -> "
+                        f"IF(w.y < {n}L, w, named_struct('y', {_once('w.y', a, b, seed)}, 't', w.t + 1)))")
+        most = spark.range(n, a * b).select(walked.alias("w")).agg(
+            F.max(F.when(F.col("w.y") < n, F.col("w.t"))).alias("t"), F.max("w.y").alias("y")).first()
+        if most.y < n or steps == above:
+            return most.t or 0
+        steps *= 8
+    return 0
 
 
 def permuted(value: str, n: int, seed: int, walk: int) -> str:

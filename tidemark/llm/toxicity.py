@@ -8,9 +8,10 @@ labels), by accelerated proximal gradient steps on
     weighted log loss + l1 * |w| + cf * sum over swaps of (z(x) - z(x'))^2
 
 where x' is a labelled sentence x with an identity term replaced by another of
-its family. Every family holds a neutral word, so a term that is only common in
-toxic texts is pulled towards the weight of the neutral word instead of
-becoming evidence of its own; plain mentions of a group stay below the limit.
+its family. Every family holds a neutral word, which never is a feature, so a
+term that is merely common in toxic texts is pulled towards no weight at all
+instead of becoming evidence of its own; plain mentions of a group stay below
+the limit.
 
 Fitting needs a bounded sample and happens once, on the driver; scoring runs in
 Arrow batches over the text column alone, without a shuffle.
@@ -59,14 +60,22 @@ FAMILIES = (
 STEMS = (4, 5, 6)
 
 
+NEUTRAL = frozenset(f[0] for f in FAMILIES)
+IDENTITY = frozenset(t for f in FAMILIES for t in f)
+
+
 def tokens(text: str | None) -> list[str]:
     return _TOKEN.findall(text.lower()) if text else []
 
 
 def features(text: str | None) -> set[str]:
-    """Whole words, and beginnings of longer words marked with a hyphen."""
-    found = set(tokens(text))
-    return found | {w[:k] + "-" for w in found for k in STEMS if len(w) > k}
+    """Whole words, and beginnings of longer words marked with a hyphen.
+
+    Neutral words are no features and identity terms have no stems, so a swap
+    changes nothing but the term's own weight.
+    """
+    found = set(tokens(text)) - NEUTRAL
+    return found | {w[:k] + "-" for w in found - IDENTITY for k in STEMS if len(w) > k}
 
 
 @dataclass
@@ -81,7 +90,7 @@ class Model:
 
 def swaps(text: str | None) -> Counter:
     """(term, replacement) pairs over the sentences of a text that name an identity term."""
-    family = {t: f for f in FAMILIES for t in f}
+    family = {t: f for f in FAMILIES for t in f[1:]}
     out: Counter = Counter()
     for sentence in _SENTENCE.split(text.lower() if text else ""):
         present = set(_TOKEN.findall(sentence))
@@ -106,7 +115,7 @@ def fit(rows: Iterable[tuple[list[str], Counter, int, float]], *, l1: float = 5e
         return Model(prior)
     c = c / c.sum()
     pairs = sum((r[1] for r in rows), Counter())
-    identity = {t for p in pairs for t in p}
+    identity = {t for p in pairs for t in p} - NEUTRAL
     df = [Counter(t for r in rows if r[2] == k for t in r[0]) for k in (0, 1)]
     n = [int((y == k).sum()) for k in (0, 1)]
 
@@ -122,8 +131,9 @@ def fit(rows: Iterable[tuple[list[str], Counter, int, float]], *, l1: float = 5e
     row = np.repeat(np.arange(len(rows)), [len(x) for x in of_row])
     col = np.array([i for x in of_row for i in x], np.int64)
     size = len(vocabulary)
+    # Neutral words share one extra place whose weight stays 0.
     first = np.array([number[a] for a, _ in sorted(pairs)], np.int64)
-    second = np.array([number[b] for _, b in sorted(pairs)], np.int64)
+    second = np.array([number.get(b, size) for _, b in sorted(pairs)], np.int64)
     often = np.array([pairs[p] for p in sorted(pairs)], float)
     often = often / max(1.0, often.sum()) if len(often) else often
 
@@ -131,7 +141,7 @@ def fit(rows: Iterable[tuple[list[str], Counter, int, float]], *, l1: float = 5e
     width = np.bincount(row, minlength=len(rows)).astype(float) + 1
     curve = 0.25 * np.bincount(col, (c * width)[row], minlength=size) + 1e-9
     if len(often):
-        curve += 4 * cf * (np.bincount(first, often, minlength=size) + np.bincount(second, often, minlength=size))
+        curve += 4 * cf * (np.bincount(first, often, minlength=size) + np.bincount(second, often, minlength=size + 1)[:size])
     curve_b = 0.25 * float((c * width).sum())
 
     w, b = np.zeros(size), prior
@@ -141,8 +151,8 @@ def fit(rows: Iterable[tuple[list[str], Counter, int, float]], *, l1: float = 5e
         gap = c * (1 / (1 + np.exp(-np.clip(z, -60, 60))) - y)
         grad = np.bincount(col, gap[row], minlength=size)
         if len(often):
-            pull = 2 * cf * often * (ahead[first] - ahead[second])
-            grad += np.bincount(first, pull, minlength=size) - np.bincount(second, pull, minlength=size)
+            pull = 2 * cf * often * (ahead[first] - np.append(ahead, 0.0)[second])
+            grad += np.bincount(first, pull, minlength=size) - np.bincount(second, pull, minlength=size + 1)[:size]
         moved = ahead - grad / curve
         new = np.sign(moved) * np.maximum(np.abs(moved) - l1 / curve, 0)
         new_b = ahead_b - float(gap.sum()) / curve_b
