@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_slice, nest, table, unnest
+from .common import cut, hash_slice, nest, table, unnest
 
 _TOKEN = re.compile(r"[^\W\d_]+")
 _SENTENCE = re.compile(r"[.!?\n]+")
@@ -99,13 +99,9 @@ def swaps(text: str | None) -> Counter:
     return out
 
 
-def fit(rows: Iterable[tuple[list[str], Counter, int, float]], *, l1: float = 5e-6, cf: float = 0.05,
-        steps: int = 400, least_df: int = 3, least_z: float = 4.5) -> Model:
-    """``rows``: (features, swap pairs, label, weight) per labelled text.
-
-    Features enter if ``least_df`` texts have them and their shares in the two
-    classes lie ``least_z`` standard errors apart; identity terms always enter.
-    """
+def fit(rows: Iterable[tuple[Iterable[str], Counter, int, float]], *, l1: float = 5e-6, cf: float = 0.05,
+        steps: int = 400) -> Model:
+    """``rows``: (features, swap pairs, label, weight) per labelled text."""
     rows = list(rows)
     y = np.array([r[2] for r in rows], float)
     c = np.array([r[3] for r in rows], float)
@@ -116,16 +112,7 @@ def fit(rows: Iterable[tuple[list[str], Counter, int, float]], *, l1: float = 5e
     c = c / c.sum()
     pairs = sum((r[1] for r in rows), Counter())
     identity = {t for p in pairs for t in p} - NEUTRAL
-    df = [Counter(t for r in rows if r[2] == k for t in r[0]) for k in (0, 1)]
-    n = [int((y == k).sum()) for k in (0, 1)]
-
-    def apart(t: str) -> bool:
-        both = df[0][t] + df[1][t]
-        p = both / (n[0] + n[1])
-        error = math.sqrt(p * (1 - p) * (1 / n[0] + 1 / n[1]))
-        return both >= least_df and abs(df[1][t] / n[1] - df[0][t] / n[0]) >= least_z * error > 0
-
-    vocabulary = sorted(t for t in df[0].keys() | df[1].keys() | identity if t in identity or apart(t))
+    vocabulary = sorted({t for r in rows for t in r[0]} | identity)
     number = {t: i for i, t in enumerate(vocabulary)}
     of_row = [[number[t] for t in r[0] if t in number] for r in rows]
     row = np.repeat(np.arange(len(rows)), [len(x) for x in of_row])
@@ -172,9 +159,14 @@ def features_udf():
     return run
 
 
-def train(docs: DataFrame, labels: DataFrame, *, per_class: int = 1500, id_col: str = "doc_id",
-          text_col: str = "text", label_col: str = "toxic", **options) -> Model:
-    """Fit on labels outside the held-out third; at most 2 * ``per_class`` texts reach the driver."""
+def train(docs: DataFrame, labels: DataFrame, *, per_class: int = 1500, least_df: int = 3, least_z: float = 4.5,
+          id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", **options) -> Model:
+    """Fit on labels outside the held-out third; at most 2 * ``per_class`` texts take part.
+
+    Features enter if ``least_df`` of these texts have them and their shares in
+    the two classes lie ``least_z`` standard errors apart; identity terms always
+    enter. Only the entering features of a text reach the driver.
+    """
     known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
              .filter(F.col("y").isin(0, 1) & F.col("id").isNotNull() & ~hash_slice(F.col("id"), 3, 1))
              .groupBy("id").agg(F.max("y").alias("y")))
@@ -186,10 +178,22 @@ def train(docs: DataFrame, labels: DataFrame, *, per_class: int = 1500, id_col:
     texts = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
              .join(F.broadcast(chosen), "id")  # at most 2 * per_class rows
              .select("id", "y", "text", F.xxhash64("text").alias("h")).dropDuplicates(["h", "y"]))
-    rows = texts.select("id", "y", features_udf()("text").alias("f")).orderBy("id").collect()
-    used = Counter(r.y for r in rows)
-    return fit([(r.f.words, Counter({(s.a, s.b): s.n for s in r.f.swaps}), r.y, count[r.y] / used[r.y])
-                for r in rows], **options)
+    marked = cut(texts.select("id", "y", features_udf()("text").alias("f")).select("id", "y", "f.words", "f.swaps"))
+    used = {r.y: r["count"] for r in marked.groupBy("y").count().collect()}
+    vocabulary = set(IDENTITY - NEUTRAL)
+    if len(used) == 2:
+        n0, n1 = used[0], used[1]
+        error = f"sqrt((a + b) / {n0 + n1} * (1 - (a + b) / {n0 + n1}) * {1 / n0 + 1 / n1}D)"
+        vocabulary |= {r.word for r in
+                       marked.select("y", F.explode("words").alias("word")).groupBy("word")
+                       .agg(F.count_if(F.col("y") == 0).alias("a"), F.count_if(F.col("y") == 1).alias("b"))
+                       .filter(F.expr(f"a + b >= {least_df} AND {error} > 0 AND abs(b / {n1} - a / {n0}) >= {least_z} * {error}"))
+                       .select("word").collect()}
+    entering = F.array(*[F.lit(w) for w in sorted(vocabulary)])
+    rows = (marked.select("id", "y", "swaps", F.array_intersect("words", entering).alias("words"))
+            .orderBy("id", "y", "words").collect())
+    return fit([(r.words, Counter({(x.a, x.b): x.n for x in r.swaps}), r.y, count[r.y] / used[r.y]) for r in rows],
+               **options)
 
 
 def score_udf(model: Model):
