@@ -49,36 +49,28 @@ _BUCKET_CHARS = 3
 
 def identity_columns(available: Sequence[str], mode: str = "hash_all",
                      key_columns: Sequence[str] = (), exclude_columns: Sequence[str] = ()) -> list[str]:
-    """Columns that define identity, resolved against the projected source."""
-    mode = mode.lower()
-    if mode not in IDENTITY_MODES:
-        raise ValueError(f"row_identity.mode must be one of {IDENTITY_MODES}, got {mode!r}")
-    for name, lst in (("key_columns", key_columns), ("exclude_columns", exclude_columns)):
-        if any((not isinstance(c, str)) or not c for c in lst):
-            raise ValueError(f"{name} must be a list of non-empty strings")
-    if mode == "key_columns":
-        if not key_columns:
-            raise ValueError("key_columns mode needs at least one key column")
-        cols = list(key_columns)
-    else:
-        if key_columns:
-            raise ValueError("key_columns is only valid with mode='key_columns'")
-        excluded = set(exclude_columns)
-        cols = [c for c in available if c not in excluded]
-    missing = [c for c in cols if c not in available]
-    if missing:
-        raise ValueError(f"identity columns not present in the projection: {missing}; "
-                         f"available: {sorted(available)}")
-    if not cols:
-        raise ValueError("row identity resolved to zero columns")
-    return cols
+    """The projected columns whose values make up a row's identity."""
+    by_key = mode.lower() == "key_columns"
+    if not by_key and mode.lower() != "hash_all":
+        raise ValueError(f"identity mode {mode!r} is not one of {', '.join(IDENTITY_MODES)}")
+    listed = [*key_columns, *exclude_columns]
+    if not all(isinstance(c, str) and c for c in listed):
+        raise ValueError(f"identity column names must be non-empty strings: {listed!r}")
+    if bool(key_columns) != by_key:
+        raise ValueError("identity mode key_columns needs key columns and hash_all takes none")
+    chosen = list(key_columns) if by_key else [c for c in available if c not in exclude_columns]
+    unknown = set(chosen).difference(available)
+    if unknown or not chosen:
+        raise ValueError(f"row identity needs at least one column of the projection {list(available)}; "
+                         f"not in it: {sorted(unknown)}")
+    return chosen
 
 
 def check_reserved(columns: Sequence[str]) -> None:
-    collisions = sorted(set(columns) & set(CHANGE_COLUMNS))
-    if collisions:
-        raise ValueError(f"source columns collide with change-stream columns: {collisions}; "
-                         "rename them in the projection")
+    """Raise if the source already uses a name that the change stream adds."""
+    taken = [c for c in CHANGE_COLUMNS if c in columns]
+    if taken:
+        raise ValueError(f"the change stream adds columns that the source has already: {taken}")
 
 
 def add_identity(df: DataFrame, mode: str = "hash_all", key_columns: Sequence[str] = (),

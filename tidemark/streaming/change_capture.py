@@ -110,7 +110,13 @@ class ChangeStore:
              .sortBy("rowkey").option("path", self.stream_path).saveAsTable(self.table))
         else:
             cols = self.spark.table(self.table).columns           # insertInto is positional
-            df.select(*cols).write.insertInto(self.table, overwrite=replace_run)
+            # A static overwrite would empty every other run's partition, whatever the session says.
+            mode = self.spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+            self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+            try:
+                df.select(*cols).write.insertInto(self.table, overwrite=replace_run)
+            finally:
+                self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
         self.spark.catalog.refreshTable(self.table)
 
     def runs(self) -> DataFrame | None:
@@ -137,8 +143,10 @@ def run_once(spark: SparkSession, source: DataFrame, store: ChangeStore, run: Ru
     Write order: the snapshot goes straight into the run's ``snapshotseq``
     partition with a dynamic overwrite (written once, never copied; a retried
     run first wipes its own partition), the tombstones are appended to that
-    partition, and the run-ledger row is written last. The ledger row is the
-    commit marker: prior-snapshot and cadence lookups only see finished runs.
+    partition, and the run-ledger row follows. The ledger row is the commit
+    marker of snapshot and Control 1: prior-snapshot lookups only see runs that
+    have one, also where Control 2 then fails its guards; the sweep's own audit
+    row is written last.
     """
     rc.validate(sweep.cadence_days, sweep.weekday, sweep.max_age_days, spec.days,
                 sweep.max_delete_pct, sweep.min_source_rows, sweep.on_breach)
@@ -170,6 +178,15 @@ def run_once(spark: SparkSession, source: DataFrame, store: ChangeStore, run: Ru
         counts["deletes"] = int(d_obs.get["rows"])
         dels = store.run_events(run.seq).where(F.col("changetype") == "delete").select("rowkey")
 
+    # Snapshot and Control 1 are committed before Control 2 is judged: a guard that raises below must not
+    # make the next run compare against an older snapshot.
+    def commit() -> None:
+        ledger = spark.createDataFrame([(run.seq, counts["upserts"], counts["deletes"], counts["reconciles"])],
+                                       RUNS_SCHEMA)
+        tables.overwrite_partitions(ledger.withColumn("run", F.col("snapshotseq")), store.runs_path, ["run"])
+
+    commit()
+
     # 3. Control 2
     due, trigger = rc.sweep_due(last, run, sweep.enabled, sweep.cadence_days, sweep.weekday, sweep.force)
     summary.update(sweep_due=due, trigger=trigger)
@@ -178,7 +195,7 @@ def run_once(spark: SparkSession, source: DataFrame, store: ChangeStore, run: Ru
         status, metrics = "no_target", None
         if silver is not None:
             since = rc.sweep_scope_start(run, sweep.max_age_days)
-            open_k = rc.open_keys(silver, spec.window_column, since)
+            open_k = rc.open_keys(silver, rc.silver_column(silver, spec.window_column), since)
             live_k = rc.live_keys(source, run, spec, sweep.max_age_days)
             obs = Observation("sweep")
             flags = rc.compare(open_k, live_k, dels).observe(obs, *rc.metric_exprs())
@@ -201,11 +218,10 @@ def run_once(spark: SparkSession, source: DataFrame, store: ChangeStore, run: Ru
                 if status == "completed" else None
         summary.update(sweep_status=status, sweep_metrics=metrics)
 
-    # 4. commit marker: the run-ledger row (and the sweep audit row)
+    # 4. the ledger row again if tombstones were added, and the sweep audit row
     summary.update(counts)
-    ledger = spark.createDataFrame([(run.seq, counts["upserts"], counts["deletes"], counts["reconciles"])],
-                                   RUNS_SCHEMA)
-    tables.overwrite_partitions(ledger.withColumn("run", F.col("snapshotseq")), store.runs_path, ["run"])
+    if counts["reconciles"]:
+        commit()
     if status is not None:
         row = rc.log_row(spark, source_table, run, trigger, sweep.max_age_days, counts["reconciles"], status)
         tables.overwrite_partitions(row.withColumn("run", F.col("snapshotseq")), store.sweeps_path, ["run"])
