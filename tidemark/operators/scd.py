@@ -8,8 +8,9 @@ SCD2 rules (the platform's apply_changes body is not public; these are the
 rules its arguments and comments imply):
 
 1. rows are ordered per key by ``seq``; rows sharing (key, seq) keep only the
-   highest ``tie_break`` (e.g. change-type priority) — one change per key per
-   sequence value;
+   highest ``tie_break`` (e.g. change-type priority) and, between equals, the
+   row with the largest content hash — one change per key per sequence value,
+   whatever the input order;
 2. a version (island) starts at a key's first row or where the struct of
    tracked columns differs null-safely from the previous row;
 3. ``__START_AT`` is the island's first sequence, ``__END_AT`` the next island's
@@ -97,13 +98,16 @@ def scd1(changes: DataFrame, keys: Sequence[str], seq: str, tie_break: Column |
     keys = list(keys)
     df = _checked(changes, keys, seq)
     rest = [c for c in df.columns if c not in keys]
-    order = F.struct(_q(seq), tie_break if tie_break is not None else F.lit(0))
+    order = F.struct(_q(seq), tie_break if tie_break is not None else F.lit(0), content_order(df))
     latest = df.groupBy(*[_q(k) for k in keys]).agg(
         F.max_by(F.expr(f"struct({', '.join(quote(c) for c in rest)})"), order).alias("_latest"))
     out = latest.select(*[_q(k) for k in keys], "_latest.*")
     return select_names(out, [c for c in changes.columns if c not in set(except_columns)])
 
 
+# Working column: content hash of a change row.
+CONTENT = "_content_order"
+
 # Keys with more change rows than this are versioned by the chunked path.
 HOT_KEY_ROWS = 2_000_000
 # Sequence-quantile chunks per hot key.
@@ -129,6 +133,7 @@ def scd2(changes: DataFrame, keys: Sequence[str], seq: str, track: Sequence[str]
     keys = list(keys)
     df = _checked(changes, keys, seq)
     cols = list(df.columns)
+    df = df.withColumn(CONTENT, content_order(df))
     tracked = tracked_columns(cols, keys, seq, track, except_track)
     payload = [c for c in cols if c not in keys]
     args = (keys, seq, tracked, payload, tie_break)
@@ -150,8 +155,19 @@ def scd2(changes: DataFrame, keys: Sequence[str], seq: str, track: Sequence[str]
     return select_names(out, keep)
 
 
+def content_order(df: DataFrame) -> Column:
+    """Hash of the whole row: decides between changes of one key and sequence, in any input order."""
+    columns = [_q(f.name) if not _has_map(f.dataType) else F.to_json(F.struct(_q(f.name))) for f in df.schema.fields]
+    return F.xxhash64(*columns)
+
+
+def _has_map(kind) -> bool:
+    return "map<" in kind.simpleString()
+
+
 def _order(seq: str, tie_break: Column | None) -> list[Column]:
-    return [_q(seq)] + ([tie_break.desc()] if tie_break is not None else [])
+    """By sequence; of equal ones the tie-break's winner comes first, then the row with the largest content hash."""
+    return [_q(seq)] + ([tie_break.desc()] if tie_break is not None else []) + [_q(CONTENT).desc()]
 
 
 def _drop_ties(df: DataFrame, w: Window, seq: str) -> DataFrame:
@@ -168,8 +184,7 @@ def _state(tracked: Sequence[str]) -> Column:
 def _versions(df: DataFrame, keys, seq, tracked, payload, tie_break) -> DataFrame:
     """Gaps and islands with windows partitioned by the key (one shuffle)."""
     w = Window.partitionBy(*[_q(k) for k in keys]).orderBy(*_order(seq, tie_break))
-    if tie_break is not None:
-        df = _drop_ties(df, w, seq)
+    df = _drop_ties(df, w, seq)
     marked = (
         df.withColumn("_state", _state(tracked))
         .withColumn("_start", (~F.col("_state").eqNullSafe(F.lag("_state").over(w))).cast("int"))
@@ -198,6 +213,9 @@ def _ordinal(df: DataFrame, seq: str) -> Column:
     dtype = df.schema[seq].dataType.simpleString()
     if dtype.startswith("timestamp"):
         return F.unix_micros(_q(seq).cast("timestamp"))
+    if dtype == "string":  # first seven bytes: never against the strings' own order; equal ordinals share a chunk
+        head = F.rpad(F.hex(F.substring(_q(seq).cast("binary"), 1, 7)), 14, "0")
+        return F.conv(head, 16, 10).cast("long")
     if dtype == "date":
         return F.unix_date(_q(seq)).cast("long")
     return _q(seq).cast("double") if dtype in ("float", "double") or dtype.startswith("decimal") \
@@ -222,8 +240,7 @@ def _versions_chunked(df: DataFrame, keys, seq, tracked, payload, tie_break, chu
            .withColumn("_c", F.size(F.filter("_bounds", lambda b: b < F.col("_ord"))))
            .drop("_bounds", "_ord"))
     w = Window.partitionBy(*kcols, "_c").orderBy(*_order(seq, tie_break))
-    if tie_break is not None:
-        cut = _drop_ties(cut, w, seq)
+    cut = _drop_ties(cut, w, seq)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     marked = (
         cut.withColumn("_state", _state(tracked))
