@@ -660,7 +660,8 @@ def q_scd2_stream(spark, sf):
     from tidemark.streaming.scd_stream import ScdSink, read_target, scd2_stream
     base = scratch_dir(spark, "tidemark-q", "scdstream")
     ev = load(spark, sf, "events")
-    ev.repartition(4, "event_type").write.parquet(f"{base}/in")
+    # As many files as the input has, four at least, each with all users' events of any time.
+    ev.repartition(max(4, len(ev.inputFiles())), "event_id").write.parquet(f"{base}/in")
     stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
     sink = ScdSink(spark, f"{base}/log", f"{base}/target", ["user_id"], "ts", track=["event_type"], buckets=8)
     scd2_stream(stream, sink, f"{base}/ckpt")
@@ -674,7 +675,8 @@ def q_scd1_stream(spark, sf):
     from tidemark.streaming.scd_stream import ScdSink, read_target, scd2_stream
     base = scratch_dir(spark, "tidemark-q", "scd1stream")
     ev = load(spark, sf, "events")
-    ev.repartition(4, "event_type").write.parquet(f"{base}/in")
+    # As many files as the input has, four at least, each with all users' events of any time.
+    ev.repartition(max(4, len(ev.inputFiles())), "event_id").write.parquet(f"{base}/in")
     stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
     sink = ScdSink(spark, f"{base}/log", f"{base}/target", ["user_id"], "ts", scd_type=1, buckets=8)
     scd2_stream(stream, sink, f"{base}/ckpt")

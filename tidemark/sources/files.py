@@ -8,8 +8,7 @@ external spark-avro module when it is on the classpath).
 Schema handling:
 
 * ``resolve_schema``: inferred types (or all strings when inference is off)
-  from a bounded sample of files (``infer_files``, like the platform's
-  sample-size limit), with DDL ``schema_hints`` overriding or adding fields;
+  from all files, with DDL ``schema_hints`` overriding or adding fields;
 * evolution modes: ``rescue`` keeps the stored schema and moves unknown keys
   and values that do not fit their declared type into ``_rescued_data`` (JSON
   and CSV; the record stays); ``addNewColumns`` widens the stored schema;
@@ -60,7 +59,6 @@ class FileSource:
     use_managed_file_events: bool = False
     backfill_interval: str | None = None
     max_files_per_trigger: int | None = None
-    infer_files: int = 1000
 
     def __post_init__(self):
         if not self.path:
@@ -112,6 +110,8 @@ class FileSource:
             opts["maxFilesPerTrigger"] = str(int(self.max_files_per_trigger))
         if self.file_format == "csv":
             opts["header"] = str(self.csv_options.get("header", True)).lower()
+            # Columns are read by position: a file whose header has another order fails instead of mixing them up.
+            opts["enforceSchema"] = "false"
             opts["sep"] = self.csv_options.get("delimiter", ",")
             opts["multiLine"] = str(self.csv_options.get("multiline", False)).lower()
         if self.file_format == "json" and not self.infer_column_types:
@@ -132,17 +132,8 @@ def apply_hints(schema: T.StructType, hints: T.StructType) -> T.StructType:
     return T.StructType(fields + list(by_name.values()))
 
 
-def sample_paths(spark: SparkSession, src: FileSource) -> list[str]:
-    """Up to ``infer_files`` file paths (listing only, no file bodies read)."""
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if src.file_name_pattern:
-        listing = listing.option("pathGlobFilter", src.file_name_pattern)
-    rows = listing.load(src.path).select("path").orderBy("path").limit(int(src.infer_files)).collect()
-    return [r["path"] for r in rows]
-
-
 def resolve_schema(spark: SparkSession, src: FileSource) -> T.StructType:
-    """Stored schema for a new source: inferred from a file sample + hints."""
+    """Stored schema for a new source: inferred from all its files + hints."""
     hints = parse_hints(spark, src.schema_hints)
     if src.file_format == "text":
         return T.StructType([T.StructField("value", T.StringType())])
@@ -154,10 +145,11 @@ def resolve_schema(spark: SparkSession, src: FileSource) -> T.StructType:
     if src.partition_columns:
         inferred = reader.load(src.path).schema            # partition discovery needs the base path
     else:
-        paths = sample_paths(spark, src)
-        if not paths:
+        if list_files(spark, src).isEmpty():
             raise ValueError(f"no files to infer a schema from under {src.path}")
-        inferred = reader.load(paths).schema
+        # All files count: a column may first appear in any of them.
+        inferred = (reader.option("recursiveFileLookup", "true").option("mergeSchema", "true")
+                    .load(src.path).schema)
     inferred = T.StructType([f for f in inferred.fields if f.name != "_corrupt_record"])
     return apply_hints(inferred, hints)
 
@@ -231,10 +223,16 @@ def stream_files(spark: SparkSession, src: FileSource, schema: T.StructType | No
     opts = src.reader_options()
     rs = spark.readStream.options(**opts)
     if src.file_format == "json" and src.schema_evolution_mode == "rescue":
-        df = rs.format("text").load(src.path)
-        df = with_provenance(df, ingested_at)
+        # Partition values stand in the paths, not in the text; the JSON reader skips blank lines.
+        parts = list(src.partition_columns or ())
+        inside = T.StructType([f for f in stored.fields if f.name not in parts])
+        lines = rs.format("text")
+        if parts:
+            lines = lines.schema(T.StructType([T.StructField("value", T.StringType()),
+                                               *[f for f in stored.fields if f.name in parts]]))
+        df = with_provenance(lines.load(src.path).where(F.trim("value") != ""), ingested_at)
         prov = PROVENANCE_COLUMNS
-        return rescue(df, "value", stored, keep=prov).select(
+        return rescue(df, "value", inside, keep=[*parts, *prov]).select(
             *[f.name for f in stored.fields], RESCUED, *prov)
     if src.file_format == "csv" and src.schema_evolution_mode == "rescue":
         strings = T.StructType([T.StructField(f.name, T.StringType()) for f in stored.fields])

@@ -33,6 +33,17 @@ def read(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(path) if exists(spark, path) else None
 
 
+def merged_schema(spark: SparkSession, path: str):
+    """Columns of all files of a path: later files may be wider than the first."""
+    return spark.read.option("mergeSchema", "true").parquet(path).schema
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it lies."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     w = df.write.mode("append")
     if partition_by:
@@ -98,3 +109,16 @@ def write_properties(spark: SparkSession, path: str, properties: Mapping[str, st
     out = fs.create(target, True)
     out.write(bytearray(json.dumps(dict(properties), sort_keys=True).encode()))
     out.close()
+
+
+def read_properties(spark: SparkSession, path: str) -> dict | None:
+    """The sidecar that ``write_properties`` left at ``path``, or None."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(path, "_properties.json"))
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(target):
+        return None
+    stream = fs.open(target)
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()

@@ -50,7 +50,7 @@ def ingest_staging(spark: SparkSession, src: files.FileSource, target: str, chec
 
 
 def bronze_stream(spark: SparkSession, staging_path: str, ingested_at: Column | None = None) -> DataFrame:
-    schema = spark.read.parquet(staging_path).schema
+    schema = tables.merged_schema(spark, staging_path)
     return (spark.readStream.schema(schema).parquet(staging_path)
             .withColumn("_bronze_ingested_at", _now(ingested_at)))
 
@@ -186,7 +186,7 @@ BATCH_COL = "batch"
 
 def silver_view(spark: SparkSession, bronze_path: str, spec: SilverSpec, name: str | None = None) -> DataFrame:
     """The gated, projected Silver stream as a session temp view (not persisted)."""
-    schema = spark.read.parquet(bronze_path).schema
+    schema = tables.merged_schema(spark, bronze_path)
     stream = spark.readStream.schema(schema).parquet(bronze_path)
     aliases = None
     if spec.silver_columns:
@@ -198,7 +198,7 @@ def silver_view(spark: SparkSession, bronze_path: str, spec: SilverSpec, name: s
 
 
 def run_silver(spark: SparkSession, bronze_path: str, sink: SilverSink, checkpoint: str):
-    schema = spark.read.parquet(bronze_path).schema
+    schema = tables.merged_schema(spark, bronze_path)
     stream = spark.readStream.schema(schema).parquet(bronze_path)
     q = (stream.writeStream.foreachBatch(sink.process).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

@@ -61,6 +61,7 @@ class ScdSink:
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         spark = self.spark
+        self._check_buckets()
         tagged = batch.withColumn(BUCKET, self.bucket()).withColumn(BATCH, F.lit(int(batch_id)).cast("long"))
         tables.overwrite_partitions(tagged, self.log_path, [BUCKET, BATCH])
         log = spark.read.parquet(self.log_path)
@@ -79,6 +80,15 @@ class ScdSink:
         tables.write_view(fresh, stage)
         tables.overwrite_partitions(spark.read.parquet(stage), self.target_path, [BUCKET],
                                     sort_by=self.cluster_by)
+        tables.drop_path(spark, stage)
+
+    def _check_buckets(self) -> None:
+        """Keys hash into the bucket count that the log was begun with; another count would split their history."""
+        known = tables.read_properties(self.spark, self.log_path)
+        if known is None:
+            tables.write_properties(self.spark, self.log_path, {"buckets": str(self.buckets)})
+        elif int(known["buckets"]) != self.buckets:
+            raise ValueError(f"the event log at {self.log_path} has {known['buckets']} buckets, not {self.buckets}")
 
 
 def read_target(spark: SparkSession, path: str) -> DataFrame:
