@@ -118,3 +118,27 @@ def test_json_lines_with_partitions_and_late_columns(spark, tmp):
     got = spark.read.parquet(f"{tmp}/out")
     assert got.count() == 3 and got.where("dt IS NULL").isEmpty()
     assert got.where("late = 'kept'").count() == 1
+
+
+@pytest.mark.parametrize("mode", ["addNewColumns", "failOnNewColumns", "rescue", "none"])
+def test_evolution_mode_acts_on_the_second_delivery(spark, tmp, mode):
+    from tidemark.sources import files
+    from tidemark.streaming import medallion
+
+    def deliver(row):
+        spark.createDataFrame([(row,)], "value string").coalesce(1).write.mode("append").text(f"{tmp}/in")
+
+    src = files.FileSource(f"{tmp}/in", "json", schema_evolution_mode=mode)
+    deliver('{"id": 1}')
+    medallion.ingest_staging(spark, src, f"{tmp}/out", f"{tmp}/ck")
+    deliver('{"id": 2, "late": "x"}')
+    if mode == "failOnNewColumns":
+        with pytest.raises(ValueError, match="late"):
+            medallion.ingest_staging(spark, src, f"{tmp}/out", f"{tmp}/ck")
+        return
+    medallion.ingest_staging(spark, src, f"{tmp}/out", f"{tmp}/ck")
+    medallion.ingest_bronze(spark, f"{tmp}/out", f"{tmp}/bronze", f"{tmp}/ck2")
+    got = spark.read.option("mergeSchema", "true").parquet(f"{tmp}/bronze")
+    assert got.count() == 2 and ("late" in got.columns) == (mode == "addNewColumns")
+    if mode == "rescue":
+        assert "late" in got.where("id = 2").first()["_rescued_data"]

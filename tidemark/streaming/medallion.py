@@ -15,11 +15,13 @@ stamp for reproducible output.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.names import normalize_identifier
 from tidemark.operators import project as proj
@@ -46,9 +48,26 @@ def write_stream(df: DataFrame, path: str, checkpoint: str, partition_by: Sequen
 
 def ingest_staging(spark: SparkSession, src: files.FileSource, target: str, checkpoint: str,
                    schema=None, ingested_at: Column | None = None):
+    """Ingest the source's new files. Without a given ``schema`` the one stored beside the checkpoint is
+    kept, and the source's evolution mode decides what new columns do to it."""
+    if schema is None:
+        schema = stored_schema(spark, src, checkpoint)
     return write_stream(files.stream_files(spark, src, schema, _now(ingested_at)), target, checkpoint)
 
 
+def stored_schema(spark: SparkSession, src: files.FileSource, checkpoint: str) -> T.StructType:
+    folder = f"{checkpoint.rstrip('/')}_schema"
+    held = tables.read_properties(spark, folder)
+    incoming = files.resolve_schema(spark, src)
+    schema = incoming
+    if held is not None:
+        schema = files.evolve_schema(T.StructType.fromJson(json.loads(held["schema"])), incoming,
+                                     src.schema_evolution_mode)
+    if held is None or json.loads(held["schema"]) != schema.jsonValue():
+        tables.write_properties(spark, folder, {"schema": schema.json()})
+    return schema
+
+
 def bronze_stream(spark: SparkSession, staging_path: str, ingested_at: Column | None = None) -> DataFrame:
     schema = tables.merged_schema(spark, staging_path)
     return (spark.readStream.schema(schema).parquet(staging_path)
