@@ -109,19 +109,17 @@ def _number_copies(df: DataFrame, business: list[str], whole_row: bool) -> DataF
 
     Plan: ONE shuffle of the rows on (rowhash, [contenthash,] split) numbers
     each row inside its group (a group never exceeds one input split); the
-    group sizes come from a narrow branch over the same input (only hashes,
-    split ids and counts cross the network there), their running offsets are
+    group sizes are counted below that window, in a narrow branch over the same
+    input that is reduced before its shuffle; their running offsets are
     computed on that small table and the non-zero ones are joined back.
     """
     # In whole-row mode contenthash is rowhash, so it is left out of the key.
     group = ["rowhash", "_split"] if whole_row else ["rowhash", "contenthash", "_split"]
-    rows = (
-        df.withColumn("_split", F.spark_partition_id())
-        .withColumn("_i", F.row_number().over(Window.partitionBy(*group).orderBy("rowhash")))
-    )
+    split = df.withColumn("_split", F.spark_partition_id())
+    rows = split.withColumn("_i", F.row_number().over(Window.partitionBy(*group).orderBy("rowhash")))
     # Group sizes: a narrow branch over the same deterministic input (so it sees
-    # the same split ids), reduced map-side before its shuffle.
-    counts = rows.groupBy(*group).agg(F.max("_i").alias("_n"))
+    # the same split ids), counted in each task before its shuffle.
+    counts = split.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
     upto = (Window.unboundedPreceding, Window.currentRow)
     if whole_row:
         # One content per rowhash: at most one count row per input split per rowhash.
