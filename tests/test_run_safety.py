@@ -142,3 +142,72 @@ def test_evolution_mode_acts_on_the_second_delivery(spark, tmp, mode):
     assert got.count() == 2 and ("late" in got.columns) == (mode == "addNewColumns")
     if mode == "rescue":
         assert "late" in got.where("id = 2").first()["_rescued_data"]
+
+
+def put(path, *ids, age_days=0):
+    import os
+    import time
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as fh:
+        fh.writelines('{"id": %d}\n' % i for i in ids)
+    when = time.time() - age_days * 86_400
+    os.utime(path, (when, when))
+
+
+def ids(spark, path):
+    return sorted(r.id for r in spark.read.parquet(path).collect())
+
+
+def test_overwritten_files_are_taken_again(spark, tmp):
+    from tidemark.sources import files
+    from tidemark.streaming import medallion
+    src = files.FileSource(f"{tmp}/in", "json", allow_overwrites=True)
+    put(f"{tmp}/in/a.json", 1, age_days=2)
+    put(f"{tmp}/in/b.json", 2, age_days=2)
+    assert medallion.ingest_staging(spark, src, f"{tmp}/out", f"{tmp}/ck") == 2
+    assert medallion.ingest_staging(spark, src, f"{tmp}/out", f"{tmp}/ck") == 0
+    put(f"{tmp}/in/a.json", 3)
+    assert medallion.ingest_staging(spark, src, f"{tmp}/out", f"{tmp}/ck") == 1
+    assert ids(spark, f"{tmp}/out") == [1, 2, 3]
+    medallion.ingest_bronze(spark, f"{tmp}/out", f"{tmp}/bronze", f"{tmp}/ck2")
+    assert ids(spark, f"{tmp}/bronze") == [1, 2, 3]
+
+
+@pytest.mark.parametrize("overwrites", [False, True])
+def test_existing_files_are_skipped_on_the_first_start_only(spark, tmp, overwrites):
+    from tidemark.sources import files
+    from tidemark.streaming import medallion
+    src = files.FileSource(f"{tmp}/in", "json", include_existing_files=False, allow_overwrites=overwrites,
+                           max_files_per_trigger=1)
+    put(f"{tmp}/in/a.json", 1)
+    put(f"{tmp}/in/b.json", 2)
+    medallion.ingest_staging(spark, src, f"{tmp}/out", f"{tmp}/ck")
+    put(f"{tmp}/in/c.json", 3)
+    medallion.ingest_staging(spark, src, f"{tmp}/out", f"{tmp}/ck")
+    put(f"{tmp}/in/d.json", 4)
+    medallion.ingest_staging(spark, src, f"{tmp}/out", f"{tmp}/ck")
+    assert ids(spark, f"{tmp}/out") == [3, 4]
+
+
+@pytest.mark.parametrize("interval", [None, "1 day"])
+def test_backfill_finds_files_with_an_old_modification_time(spark, tmp, interval):
+    from tidemark.sources import files
+    from tidemark.streaming import medallion
+    src = files.FileSource(f"{tmp}/in", "json", backfill_interval=interval)
+    put(f"{tmp}/in/a.json", 1)
+    medallion.ingest_staging(spark, src, f"{tmp}/out", f"{tmp}/ck")
+    put(f"{tmp}/in/late.json", 2, age_days=30)
+    medallion.ingest_staging(spark, src, f"{tmp}/out", f"{tmp}/ck")
+    assert ids(spark, f"{tmp}/out") == ([1, 2] if interval else [1])
+
+
+def test_rolling_history_settings_are_checked():
+    from tidemark.streaming import SilverSpec
+    good = {"source_table": "loans", "federated_source": {"window_column": "updated_at"},
+            "scd_2_key_list": ["rowkey"], "history_timestamp_source": "snapshotseq",
+            "scd_2_exclude_list": list(scd.CHANGE_STREAM_UNTRACKED)}
+    assert SilverSpec.from_config(good).keys == ("rowkey",)
+    for bad in ({"scd_2_key_list": ["id"]}, {"history_timestamp_source": None},
+                {"scd_2_exclude_list": good["scd_2_exclude_list"][:-1]}):
+        with pytest.raises(ValueError, match=next(iter(bad))):
+            SilverSpec.from_config({**good, **bad})

@@ -56,8 +56,9 @@ AUDIT_COLUMNS = [
     "_rescued_data",
 ]
 
-# Change-stream columns that change every run without a data
-# change, so they are never tracked for history.
+# The columns that order a change stream, and those that change
+# every run without a data change, so they are never tracked for history.
+SNAPSHOT_SEQUENCES = ("snapshotseq", "snapshotts")
 CHANGE_STREAM_UNTRACKED = ["snapshotseq", "snapshotts", "windowstart", "windowdays",
                            "changetype", "rowoccurrence"]
 
@@ -280,7 +281,7 @@ def change_stream_scd2(stream: DataFrame, seq: str = "snapshotseq",
 
     Same-sequence ties resolve upsert > delete > reconcile.
     """
-    if seq not in ("snapshotseq", "snapshotts"):
+    if seq not in SNAPSHOT_SEQUENCES:
         raise ValueError("change-stream history must be sequenced by snapshotseq or snapshotts")
     from tidemark.operators.rolling import CHANGE_PRIORITY
     cases = " ".join(f"WHEN '{k}' THEN {v}" for k, v in CHANGE_PRIORITY.items())

@@ -582,6 +582,64 @@ def q_file_discover(spark, sf):
             .drop("_file"))
 
 
+def _deliver(spark, df: DataFrame, base: str, modified_ms: int | None = None) -> None:
+    """JSON files named by task under ``base/in``: a second delivery overwrites the first one's in place."""
+    made = scratch_dir(spark, "tidemark-q", "delivery")
+    df.write.json(f"{made}/out")
+    new = spark._jvm.org.apache.hadoop.fs.Path
+    fs = new(base).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(new(f"{base}/in"))
+    for status in fs.globStatus(new(f"{made}/out/part-*")):
+        target = new(f"{base}/in/{status.getPath().getName()[:10]}-{'late' if modified_ms else 'file'}.json")
+        fs.delete(target, False)
+        fs.rename(status.getPath(), target)
+        if modified_ms:
+            fs.setTimes(target, modified_ms, -1)
+
+
+def _raised(cust: DataFrame) -> DataFrame:
+    return cust.withColumn("c_acctbal", F.col("c_acctbal") + 1)
+
+
+RAISED_SQL = f"SELECT {_cols(CUSTOMER)} FROM (SELECT * REPLACE (c_acctbal + 1 AS c_acctbal) FROM customer)"
+
+
+@register("file_overwrite", lambda: f"{CUSTOMER_SQL} UNION ALL {RAISED_SQL}")
+def q_file_overwrite(spark, sf):
+    """Files rewritten in place between two ingestions are taken again."""
+    base = scratch_dir(spark, "tidemark-q", "overwrite")
+    cust = load(spark, sf, "customer").select(*CUSTOMER)
+    src = files.FileSource(f"{base}/in", "json", schema_evolution_mode="none", allow_overwrites=True)
+    _deliver(spark, cust, base)
+    _ingest(spark, src, base, cust.schema)
+    _deliver(spark, _raised(cust), base)
+    return _ingest(spark, src, base, cust.schema).drop(medallion.LISTING_COL)
+
+
+@register("file_skip_existing", lambda: RAISED_SQL)
+def q_file_skip_existing(spark, sf):
+    """Files present at the first start are skipped by the stream, later ones are taken."""
+    base = scratch_dir(spark, "tidemark-q", "skip")
+    cust = load(spark, sf, "customer").select(*CUSTOMER)
+    src = files.FileSource(f"{base}/in", "json", schema_evolution_mode="none", include_existing_files=False)
+    cust.write.json(f"{base}/in")
+    _ingest(spark, src, base, cust.schema)
+    _raised(cust).write.mode("append").json(f"{base}/in")
+    return _ingest(spark, src, base, cust.schema)
+
+
+@register("file_backfill", lambda: f"{CUSTOMER_SQL} UNION ALL {RAISED_SQL}")
+def q_file_backfill(spark, sf):
+    """With a backfill interval, files that arrive with an old modification time are found."""
+    base = scratch_dir(spark, "tidemark-q", "backfill")
+    cust = load(spark, sf, "customer").select(*CUSTOMER)
+    src = files.FileSource(f"{base}/in", "json", schema_evolution_mode="none", backfill_interval="1 day")
+    _deliver(spark, cust, base)
+    _ingest(spark, src, base, cust.schema)
+    _deliver(spark, _raised(cust), base, modified_ms=1_000_000_000_000)
+    return _ingest(spark, src, base, cust.schema)
+
+
 # ── schema evolution / rescue ─────────────────────────────────────────────────
 
 STORED = "event_id bigint, k int"

@@ -20,9 +20,12 @@ column (works in streaming).
 
 File discovery by listing: ``discover_files`` lists path / modification time /
 size (``binaryFile`` without ``content`` — the read prunes file bodies) and
-anti-joins a ledger of files already taken, which gives re-ingestion of files
-overwritten in place (``allow_overwrites``), skipping pre-existing files
-(``include_existing_files=False``) and periodic full re-listing.
+anti-joins a ledger of files already taken; ``medallion.ingest_listed`` keeps
+that ledger for sources whose files are overwritten in place
+(``allow_overwrites``). Streams skip pre-existing files
+(``include_existing_files=False``) by consuming them into an empty first batch,
+and take files of any age where ``backfill_interval`` is set (without it, Spark
+ignores files that are a week older than the newest one taken).
 """
 
 from __future__ import annotations
@@ -40,6 +43,8 @@ from tidemark.operators.rolling import PROVENANCE_COLUMNS
 FORMATS = ("json", "parquet", "csv", "avro", "orc", "text", "binaryfile")
 EVOLUTION_MODES = ("rescue", "addNewColumns", "failOnNewColumns", "none")
 RESCUED = "_rescued_data"
+#: Longer than any file's age.
+ANY_AGE = "36500d"
 BINARY_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
@@ -108,6 +113,9 @@ class FileSource:
             opts["ignoreCorruptFiles"] = "true"
         if self.max_files_per_trigger:
             opts["maxFilesPerTrigger"] = str(int(self.max_files_per_trigger))
+        if self.backfill_interval:
+            # Every listing then is a full one: it also finds files that arrive with an old modification time.
+            opts["maxFileAge"] = ANY_AGE
         if self.file_format == "csv":
             opts["header"] = str(self.csv_options.get("header", True)).lower()
             # Columns are read by position: a file whose header has another order fails instead of mixing them up.
@@ -220,8 +228,18 @@ def stream_files(spark: SparkSession, src: FileSource, schema: T.StructType | No
                  ingested_at: Column | None = None) -> DataFrame:
     """Streaming DataFrame of the source's files (+ provenance, + rescue column)."""
     stored = schema if schema is not None else resolve_schema(spark, src)
-    opts = src.reader_options()
-    rs = spark.readStream.options(**opts)
+    return _read(spark.readStream, src, stored, src.path, ingested_at)
+
+
+def read_files(spark: SparkSession, src: FileSource, paths: Sequence[str], schema: T.StructType,
+               ingested_at: Column | None = None) -> DataFrame:
+    """Batch DataFrame of some of the source's files, with the columns of ``stream_files``."""
+    reader = spark.read.option("basePath", src.path) if src.partition_columns else spark.read
+    return _read(reader, src, schema, list(paths), ingested_at)
+
+
+def _read(reader, src: FileSource, stored: T.StructType, where, ingested_at: Column | None) -> DataFrame:
+    rs = reader.options(**src.reader_options())
     if src.file_format == "json" and src.schema_evolution_mode == "rescue":
         # Partition values stand in the paths, not in the text; the JSON reader skips blank lines.
         parts = list(src.partition_columns or ())
@@ -230,16 +248,16 @@ def stream_files(spark: SparkSession, src: FileSource, schema: T.StructType | No
         if parts:
             lines = lines.schema(T.StructType([T.StructField("value", T.StringType()),
                                                *[f for f in stored.fields if f.name in parts]]))
-        df = with_provenance(lines.load(src.path).where(F.trim("value") != ""), ingested_at)
+        df = with_provenance(lines.load(where).where(F.trim("value") != ""), ingested_at)
         prov = PROVENANCE_COLUMNS
         return rescue(df, "value", inside, keep=[*parts, *prov]).select(
             *[f.name for f in stored.fields], RESCUED, *prov)
     if src.file_format == "csv" and src.schema_evolution_mode == "rescue":
         strings = T.StructType([T.StructField(f.name, T.StringType()) for f in stored.fields])
-        df = with_provenance(rs.format("csv").schema(strings).load(src.path), ingested_at)
+        df = with_provenance(rs.format("csv").schema(strings).load(where), ingested_at)
         prov = PROVENANCE_COLUMNS
         return rescue_csv(df, stored, keep=prov).select(*[f.name for f in stored.fields], RESCUED, *prov)
-    df = rs.format(src.spark_format).schema(stored).load(src.path)
+    df = rs.format(src.spark_format).schema(stored).load(where)
     if src.partition_columns:
         discovered = [f.name for f in stored.fields if f.name not in set(src.partition_columns)]
         df = df.select(*discovered, *src.partition_columns)

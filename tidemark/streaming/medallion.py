@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,12 +49,59 @@ def write_stream(df: DataFrame, path: str, checkpoint: str, partition_by: Sequen
 def ingest_staging(spark: SparkSession, src: files.FileSource, target: str, checkpoint: str,
                    schema=None, ingested_at: Column | None = None):
     """Ingest the source's new files. Without a given ``schema`` the one stored beside the checkpoint is
-    kept, and the source's evolution mode decides what new columns do to it."""
+    kept, and the source's evolution mode decides what new columns do to it. Sources with
+    ``allow_overwrites`` go through ``ingest_listed``."""
     if schema is None:
         schema = stored_schema(spark, src, checkpoint)
+    if src.allow_overwrites:
+        return ingest_listed(spark, src, target, f"{checkpoint.rstrip('/')}_ledger", schema, ingested_at)
+    if src.include_existing_files is False:
+        skip_existing(spark, src, target, checkpoint, schema)
     return write_stream(files.stream_files(spark, src, schema, _now(ingested_at)), target, checkpoint)
 
 
+def skip_existing(spark: SparkSession, src: files.FileSource, target: str, checkpoint: str, schema) -> None:
+    """On a source's first start, take the files already there into one batch without rows.
+
+    The checkpoint then knows them, so the stream goes on with later files. A start that broke off before
+    that batch was committed is repeated.
+    """
+    marker = f"{checkpoint.rstrip('/')}_start"
+    if tables.read_properties(spark, marker) is not None:
+        return
+    if not tables.exists(spark, f"{checkpoint.rstrip('/')}/commits"):
+        whole = replace(src, max_files_per_trigger=None)
+        write_stream(files.stream_files(spark, whole, schema).where(F.lit(False)), target, checkpoint)
+    tables.write_properties(spark, marker, {"existing_files": "skipped"})
+
+
+def ingest_listed(spark: SparkSession, src: files.FileSource, target: str, ledger: str, schema,
+                  ingested_at: Column | None = None) -> int:
+    """Batch ingestion against a ledger of (path, modification time); returns the number of files taken.
+
+    A file rewritten in place is taken again. Each listing writes its rows to its own ``_listing`` partition
+    of ``target`` and its files to the ledger last, so a run that broke off is replaced by the next one.
+    As in any Spark read, the paths of the files to read (not their rows) pass through the driver.
+    """
+    held = tables.read(spark, ledger)
+    last = None if held is None else held.agg(F.max(LISTING_COL).alias("last")).first()["last"]
+    listing = 0 if last is None else int(last) + 1
+    at = F.lit(listing).cast("long").alias(LISTING_COL)
+    if held is None and src.include_existing_files is False:
+        taken, paths = files.list_files(spark, src), []
+    else:
+        # Written down, so that the rows read and the ledger follow one and the same listing.
+        tables.write_view(files.discover_files(spark, src, held), f"{ledger}_found")
+        taken = spark.read.parquet(f"{ledger}_found")
+        paths = [r["path"] for r in taken.select("path").toLocalIterator()]
+        if not paths:
+            return 0
+        rows = files.read_files(spark, src, paths, schema, _now(ingested_at))
+        tables.overwrite_partitions(rows.select("*", at), target, [LISTING_COL])
+    tables.overwrite_partitions(taken.select("*", at), ledger, [LISTING_COL])
+    return len(paths)
+
+
 def stored_schema(spark: SparkSession, src: files.FileSource, checkpoint: str) -> T.StructType:
     folder = f"{checkpoint.rstrip('/')}_schema"
     held = tables.read_properties(spark, folder)
@@ -79,6 +126,9 @@ def ingest_bronze(spark: SparkSession, staging_path: str, bronze_path: str, chec
     return write_stream(bronze_stream(spark, staging_path, ingested_at), bronze_path, checkpoint)
 
 
+LISTING_COL = "_listing"
+
+
 @dataclass
 class SilverSpec:
     source_table: str
@@ -118,6 +168,8 @@ class SilverSpec:
         for r in src.get("data_quality_rules") or []:
             if not r.get("description") or not r.get("expr"):
                 raise ValueError("data_quality_rules entries need description and expr")
+        if (src.get("federated_source") or {}).get("window_column"):
+            check_rolling_history(src)
         scd_type = src.get("scd_type", 2)
         if scd_type not in (1, 2):
             raise ValueError("scd_type must be 1 or 2")
@@ -137,6 +189,22 @@ class SilverSpec:
         return normalize_identifier(self.source_table)
 
 
+def check_rolling_history(src: Mapping) -> None:
+    """A rolling source's history: keyed by its row identity, in snapshot order, run stamps untracked."""
+    problems = []
+    if list(src.get("scd_2_key_list") or ()) != ["rowkey"]:
+        problems.append("scd_2_key_list must be [rowkey], rolling rows have no other key")
+    if src.get("history_timestamp_source") not in scd.SNAPSHOT_SEQUENCES:
+        problems.append(f"history_timestamp_source must be one of {', '.join(scd.SNAPSHOT_SEQUENCES)}: "
+                        "arrival time does not order snapshots")
+    tracked = [c for c in scd.CHANGE_STREAM_UNTRACKED if c not in (src.get("scd_2_exclude_list") or ())]
+    if tracked:
+        problems.append(f"scd_2_exclude_list lacks {', '.join(tracked)}: they differ in every run, "
+                        "so each run would open a version of every row")
+    if problems:
+        raise ValueError(f"{src.get('source_table')}: {'; '.join(problems)}")
+
+
 def silver_frame(df: DataFrame, spec: SilverSpec, processed_at: Column | None = None):
     """Projected, renamed and normalised rows ready for SCD (+ the Projection)."""
     p = proj.project(df, spec.silver_columns, spec.allow_missing_columns, spec.exclude_columns)
