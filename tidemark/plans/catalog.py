@@ -253,6 +253,46 @@ def q_scd2_except(spark, sf):
                     except_track=["ts", "value", "event_id"], except_columns=["event_id"])
 
 
+# Events by day: every user has many changes of one sequence.
+DAY_EVENTS = EVENTS + ["day"]
+DAY_SQL = "SELECT *, CAST(ts AS DATE) AS day FROM events"
+
+
+def _by_day(spark, sf) -> DataFrame:
+    return load(spark, sf, "events").withColumn("day", F.to_date("ts"))
+
+
+@register("scd1_ties", lambda: f"""
+SELECT {_cols(DAY_EVENTS)} FROM ({DAY_SQL}) e
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY day DESC, event_id DESC) = 1""")
+def q_scd1_ties(spark, sf):
+    """Equal sequences: the tie-break decides, whatever the input order."""
+    return scd.scd1(_by_day(spark, sf), ["user_id"], "day", tie_break=F.col("event_id"))
+
+
+@register("scd2_ties", lambda: scd2_sql(DAY_SQL, DAY_EVENTS, ["user_id"], "day", ["event_type"], tie="event_id"))
+def q_scd2_ties(spark, sf):
+    """Equal sequences: one change per key and day stays, so no version is empty."""
+    return scd.scd2(_by_day(spark, sf), ["user_id"], "day", track=["event_type"], tie_break=F.col("event_id"))
+
+
+@register("scd2_string_seq", lambda: scd2_sql(
+    "SELECT *, strftime(ts, '%Y-%m-%d') AS day FROM events", DAY_EVENTS, ["user_id"], "day", ["event_type"],
+    tie="event_id"))
+def q_scd2_string_seq(spark, sf):
+    """History sequenced by a string."""
+    ev = load(spark, sf, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    return scd.scd2(ev, ["user_id"], "day", track=["event_type"], tie_break=F.col("event_id"))
+
+
+@register("scd2_hot_key", lambda: scd2_sql("SELECT *, 1 AS k FROM events", EVENTS + ["k"], ["k"], "ts",
+                                           ["event_type"], tie="event_id"))
+def q_scd2_hot_key(spark, sf):
+    """All events under one key: versioned in sequence chunks and stitched."""
+    ev = load(spark, sf, "events").withColumn("k", F.lit(1))
+    return scd.scd2(ev, ["k"], "ts", track=["event_type"], tie_break=F.col("event_id"), hot_key_rows=100)
+
+
 @register("scd2_change_stream", lambda: silver_sql(2))
 def q_scd2_change_stream(spark, sf):
     return sc.Scenario(load(spark, sf, "events")).silver(2)
@@ -640,6 +680,31 @@ def q_file_backfill(spark, sf):
     return _ingest(spark, src, base, cust.schema)
 
 
+@register("json_partitions", lambda: CUSTOMER_RESCUED_SQL)
+def q_json_partitions(spark, sf):
+    """Partition values of JSON folders come from the paths, also where misfits are rescued."""
+    base = scratch_dir(spark, "tidemark-q", "json-parts")
+    cust = load(spark, sf, "customer").select(*CUSTOMER)
+    cust.write.partitionBy("c_mktsegment").json(f"{base}/in")
+    src = files.FileSource(f"{base}/in", "json", partition_columns=["c_mktsegment"])
+    return _ingest(spark, src, base, cust.schema)
+
+
+@register("schema_evolve_two_runs", lambda: f"""
+SELECT {_cols(CUSTOMER[:-1])}, CAST(NULL AS VARCHAR) AS c_mktsegment FROM customer UNION ALL {RAISED_SQL}""")
+def q_schema_evolve_two_runs(spark, sf):
+    """A column that first appears in the second delivery reaches Bronze."""
+    base = scratch_dir(spark, "tidemark-q", "evolve")
+    cust = load(spark, sf, "customer").select(*CUSTOMER)
+    hints = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cust.schema.fields[:-1])
+    src = files.FileSource(f"{base}/in", "json", schema_evolution_mode="addNewColumns", schema_hints=hints)
+    for delivery in (cust.drop(CUSTOMER[-1]), _raised(cust)):
+        delivery.write.mode("append").json(f"{base}/in")
+        _ingest(spark, src, base)
+        medallion.ingest_bronze(spark, f"{base}/staging", f"{base}/bronze", f"{base}/ck2", sc.RUN0.ts_col())
+    return spark.read.option("mergeSchema", "true").parquet(f"{base}/bronze").select(*CUSTOMER)
+
+
 # ── schema evolution / rescue ─────────────────────────────────────────────────
 
 STORED = "event_id bigint, k int"
@@ -772,6 +837,23 @@ def q_change_capture_bucketed(spark, sf):
     return _cc_store(spark, sf, bucketed=True).stream().select(*STREAM_COLS)
 
 
+@register("delete_after_guard_failure", lambda: stream_sql(2))
+def q_delete_after_guard_failure(spark, sf):
+    """A sweep guard fails run 1; run 2 still finds every row deleted since run 1's snapshot."""
+    from tidemark.streaming.change_capture import ChangeStore, SweepSpec, run_once
+    ev = load(spark, sf, "events")
+    store = ChangeStore(spark, scratch_dir(spark, "tidemark-q", "guard"))
+    for k in range(3):
+        strict = SweepSpec(enabled=(k == 1), min_source_rows=10 ** 15)
+        silver = scd.change_stream_scd2(store.stream()) if k == 1 else None
+        try:
+            run_once(spark, sc.foreign(ev, k), store, sc.run(k), sc.SPEC, strict, silver, "events")
+        except ValueError as refused:
+            if "min_source_rows" not in str(refused):
+                raise
+    return store.stream().select(*STREAM_COLS)
+
+
 @register("sweep_log", lambda: f"""
 SELECT 'events' AS source_table, CAST({sc.run(SWEEP_RUN).seq} AS BIGINT) AS snapshotseq,
        TIMESTAMP '{sc.run(SWEEP_RUN).text}' AS sweepts, 'initial' AS "trigger", CAST(NULL AS INTEGER) AS scope_days,
