@@ -211,3 +211,25 @@ def test_rolling_history_settings_are_checked():
                 {"scd_2_exclude_list": good["scd_2_exclude_list"][:-1]}):
         with pytest.raises(ValueError, match=next(iter(bad))):
             SilverSpec.from_config({**good, **bad})
+
+
+def test_a_retry_after_bronze_adds_nothing(spark, tmp, spec):
+    from tidemark.streaming import ingest_bronze
+    store = ChangeStore(spark, f"{tmp}/store")
+    for k in (0, 1, 1):
+        run_once(spark, source(spark, [1, 2, 3][k:], sc.run(k)), store, sc.run(k), spec)
+        ingest_bronze(spark, store.stream_path, f"{tmp}/bronze", f"{tmp}/ck")
+    assert spark.read.parquet(f"{tmp}/bronze").count() == store.stream().count()
+
+
+def test_a_retried_sweep_closes_each_key_once(spark, tmp, spec):
+    store, now = ChangeStore(spark, tmp), sc.run(30)
+    run_once(spark, source(spark, range(40), sc.run(0)), store, sc.run(0), spec)
+    silver = scd.change_stream_scd2(store.stream())
+    kept = spark.createDataFrame([(i, sc.run(0).ts, f"v{i}") for i in range(39)], ROWS)
+    with pytest.raises(ValueError):
+        run_once(spark, kept, store, now, spec, SweepSpec(enabled=True, max_delete_pct=1.0), silver)
+    for _ in range(2):
+        out = run_once(spark, kept, store, now, spec, SweepSpec(enabled=True), silver)
+        assert (out["sweep_status"], out["reconciles"]) == ("completed", 1)
+    assert store.stream().where("changetype = 'reconcile'").count() == 1

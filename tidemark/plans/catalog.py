@@ -854,6 +854,19 @@ def q_delete_after_guard_failure(spark, sf):
     return store.stream().select(*STREAM_COLS)
 
 
+@register("rerun_to_bronze", lambda: stream_sql(1))
+def q_rerun_to_bronze(spark, sf):
+    """A committed run started again after Bronze has read it: Bronze holds each event once."""
+    from tidemark.streaming.change_capture import ChangeStore, run_once
+    ev = load(spark, sf, "events")
+    base = scratch_dir(spark, "tidemark-q", "rerun")
+    store = ChangeStore(spark, f"{base}/store")
+    for k in (0, 1, 1):
+        run_once(spark, sc.foreign(ev, k), store, sc.run(k), sc.SPEC, source_table="events")
+        medallion.ingest_bronze(spark, store.stream_path, f"{base}/bronze", f"{base}/ck", sc.RUN0.ts_col())
+    return spark.read.parquet(f"{base}/bronze").select(*STREAM_COLS)
+
+
 @register("sweep_log", lambda: f"""
 SELECT 'events' AS source_table, CAST({sc.run(SWEEP_RUN).seq} AS BIGINT) AS snapshotseq,
        TIMESTAMP '{sc.run(SWEEP_RUN).text}' AS sweepts, 'initial' AS "trigger", CAST(NULL AS INTEGER) AS scope_days,

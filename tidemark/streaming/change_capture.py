@@ -10,9 +10,10 @@ Store layout (all parquet under one base path):
 * ``sweeps/``   sweep audit log (also the cadence state).
 
 A run writes its snapshot once, straight into its ``snapshotseq`` partition
-(dynamic overwrite: a retried run replaces itself), derives the deletes from
-that written partition (lineage cut, survives executor loss), appends the
-tombstones, and writes its run-ledger row last. The ledger row is the commit
+(dynamic overwrite: a run that broke off is replaced by its retry, while a
+committed one is never written again, so readers of new files see it once),
+derives the deletes from that written partition (lineage cut, survives executor
+loss), appends the tombstones, and writes its run-ledger row last. The ledger row is the commit
 marker: the next run's prior snapshot and the sweep cadence only see runs that
 finished. Readers of the stream may see a run's upserts before its tombstones;
 SCD orders by sequence and change type, so that is harmless.
@@ -97,6 +98,10 @@ class ChangeStore:
         src = self.spark.table(self.table) if self.table is not None else self.spark.read.parquet(self.stream_path)
         return src.where(F.col("snapshotseq") == seq)
 
+    def run_tombstones(self, seq: int, changetype: str) -> DataFrame:
+        """Rowkeys that one control closed in a run."""
+        return self.run_events(seq).where(F.col("changetype") == changetype).select("rowkey")
+
     def write_events(self, df: DataFrame, replace_run: bool) -> None:
         """Replace (snapshot) or extend (tombstones) the run's partition."""
         if self.table is None:
@@ -122,6 +127,18 @@ class ChangeStore:
     def runs(self) -> DataFrame | None:
         return tables.read(self.spark, self.runs_path)
 
+    def committed(self, run: RunStamp) -> dict | None:
+        """The run's counts from the ledger, or None where it is not committed."""
+        runs = self.runs()
+        row = None if runs is None else runs.where(F.col("snapshotseq") == run.seq).first()
+        return None if row is None else {c: int(row[c]) for c in ("upserts", "deletes", "reconciles")}
+
+    def swept(self, run: RunStamp) -> str | None:
+        """Status of the sweep that the log holds for this run."""
+        log = self.sweeps()
+        row = None if log is None else log.where(F.col("snapshotseq") == run.seq).first()
+        return None if row is None else row["status"]
+
     def sweeps(self) -> DataFrame | None:
         return tables.read(self.spark, self.sweeps_path)
 
@@ -141,8 +158,9 @@ def run_once(spark: SparkSession, source: DataFrame, store: ChangeStore, run: Ru
     """Snapshot + Control 1 + (due) Control 2 for one run. Returns a run summary.
 
     Write order: the snapshot goes straight into the run's ``snapshotseq``
-    partition with a dynamic overwrite (written once, never copied; a retried
-    run first wipes its own partition), the tombstones are appended to that
+    partition with a dynamic overwrite (written once, never copied; the retry of
+    a run that broke off first wipes its partition, the retry of a committed run
+    only catches up on its sweep), the tombstones are appended to that
     partition, and the run-ledger row follows. The ledger row is the commit
     marker of snapshot and Control 1: prior-snapshot lookups only see runs that
     have one, also where Control 2 then fails its guards; the sweep's own audit
@@ -161,22 +179,26 @@ def run_once(spark: SparkSession, source: DataFrame, store: ChangeStore, run: Ru
         obs = Observation(name)
         return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
-    # 1. snapshot, written once into its own partition (identity is the expensive part)
-    snap_df, snap_obs = counted(rolling.snapshot(source, run, spec), "upserts")
-    store.write_events(snap_df, replace_run=True)
-    snap = rolling.prior_snapshot(store.run_events(run.seq), run.seq)             # partition-pruned read
-    columns = [c for c in snap.columns]
-    counts = {"upserts": int(snap_obs.get["rows"]), "deletes": 0, "reconciles": 0}
-
-    # 2. Control 1
+    counts = store.committed(run)
     dels = None
+    if counts is None:
+        counts = {"upserts": 0, "deletes": 0, "reconciles": 0}
+        # 1. snapshot, written once into its own partition (identity is the expensive part)
+        snap_df, snap_obs = counted(rolling.snapshot(source, run, spec), "upserts")
+        store.write_events(snap_df, replace_run=True)
+        snap = rolling.prior_snapshot(store.run_events(run.seq), run.seq)         # partition-pruned read
+        counts["upserts"] = int(snap_obs.get["rows"])
+
+        # 2. Control 1
+        if spec.detect_deletes and prior_seq is not None and stream_before is not None:
+            prior = rolling.prior_snapshot(stream_before, prior_seq)
+            already = rolling.deleted_since(stream_before, prior_seq, run)
+            d_df, d_obs = counted(rolling.detect_deletes(snap, prior, run, spec, already), "deletes")
+            store.write_events(d_df, replace_run=False)
+            counts["deletes"] = int(d_obs.get["rows"])
+    columns = store.run_events(run.seq).columns
     if spec.detect_deletes and prior_seq is not None and stream_before is not None:
-        prior = rolling.prior_snapshot(stream_before, prior_seq)
-        already = rolling.deleted_since(stream_before, prior_seq, run)
-        d_df, d_obs = counted(rolling.detect_deletes(snap, prior, run, spec, already), "deletes")
-        store.write_events(d_df, replace_run=False)
-        counts["deletes"] = int(d_obs.get["rows"])
-        dels = store.run_events(run.seq).where(F.col("changetype") == "delete").select("rowkey")
+        dels = store.run_tombstones(run.seq, "delete")
 
     # Snapshot and Control 1 are committed before Control 2 is judged: a guard that raises below must not
     # make the next run compare against an older snapshot.
@@ -191,7 +213,10 @@ def run_once(spark: SparkSession, source: DataFrame, store: ChangeStore, run: Ru
     due, trigger = rc.sweep_due(last, run, sweep.enabled, sweep.cadence_days, sweep.weekday, sweep.force)
     summary.update(sweep_due=due, trigger=trigger)
     status = None
-    if due:
+    done = store.swept(run)
+    if done is not None:
+        summary.update(sweep_status=done, sweep_metrics=None)
+    elif due:
         status, metrics = "no_target", None
         if silver is not None:
             since = rc.sweep_scope_start(run, sweep.max_age_days)
@@ -209,10 +234,12 @@ def run_once(spark: SparkSession, source: DataFrame, store: ChangeStore, run: Ru
             else:
                 status = "completed"
                 if outcome == "ok" and stream_before is not None:
-                    orph = spark.read.parquet(f"{stage}/orphans")
-                    t_df, t_obs = counted(rc.tombstones(stream_before, orph, run, spec, silver), "reconciles")
+                    # A sweep that broke off may have closed some already.
+                    closed = store.run_tombstones(run.seq, "reconcile")
+                    orph = spark.read.parquet(f"{stage}/orphans").join(closed, "rowkey", "left_anti")
+                    t_df = rc.tombstones(stream_before, orph, run, spec, silver)
                     store.write_events(select_names(t_df, columns), replace_run=False)
-                    counts["reconciles"] = int(t_obs.get["rows"])
+                    counts["reconciles"] = store.run_tombstones(run.seq, "reconcile").count()
             # Orphans with no upsert history count toward the guard but get no tombstone.
             summary["no_payload"] = int(metrics["orphan_count"]) - counts["reconciles"] \
                 if status == "completed" else None
