@@ -76,6 +76,17 @@ def test_defined_results(spark, docs, labels):
     assert {r.text_crc32 for r in placed if r.doc_id in (2, 3)} == {0}
 
 
+def test_items_without_id_are_found(spark):
+    items = spark.createDataFrame([(None, "red fox ran"), (None, "old owl"), (7, "red fox ran"), (None, None), (10, "one two")],
+                                  "item_id long, text string")
+    docs = spark.createDataFrame([(1, "the red fox ran off"), (2, "an old owl sat"), (3, "nothing here"), (4, "one two"),
+                                  (5, None), (6, "one two old owl red fox ran")], "doc_id long, text string")
+    got = {r.doc_id: (r.n_hit, [tuple(s) for s in r.spans], r["items"]) for r in decontamination.find_items(docs, items).collect()}
+    assert got == {1: (3, [(1, 4)], ["7", None]), 2: (2, [(1, 3)], [None]), 3: (0, [], []), 4: (2, [(0, 2)], ["10"]),
+                   5: (0, [], []), 6: (7, [(0, 7)], ["10", "7", None])}
+    assert [r.doc_id for r in decontamination.clean_rows(docs, items).orderBy("doc_id").collect()] == [3, 5]
+
+
 def test_pages_and_turns(spark):
     pages = spark.createDataFrame([(1, "u", None), (2, None, ""), (None, "u", " <p>"), (4, "u", "<p>a" + "<div>" * 3000),
                                    (5, "u", "<article><p>one &amp; two<br>three <b>four"), (5, "u", "<article><p>one &amp; two<br>three <b>four")],

@@ -15,9 +15,11 @@ blocks of about ``block_bytes`` of text, each sent to the executors once, and a
 worker holds the built searcher of one block at a time if there are several.
 
 Defined results: null and empty texts have no words and are clean; items without
-words never occur; repeated items and items that share a window all count; an
-empty benchmark leaves every document clean. Words are runs of a-z, 0-9 and
-non-ASCII characters after lowering A-Z.
+words never occur; repeated items and items that share a window all count; items
+with a null id are searched like the others and count together as one item,
+which stands as a null at the end of ``items``; an empty benchmark leaves every
+document clean. Words are runs of a-z, 0-9 and non-ASCII characters after
+lowering A-Z.
 """
 
 from __future__ import annotations
@@ -45,18 +47,18 @@ def words(text: str | None) -> list[bytes]:
 class Searcher:
     """Wu-Manber over word numbers for patterns of one length."""
 
-    def __init__(self, length: int, patterns: dict[tuple[int, ...], set[str]]):
+    def __init__(self, length: int, patterns: dict[tuple[int, ...], set[str | None]]):
         self.length, self.block = length, min(2, length)
         self.most = length - self.block + 1
         self.shift: dict[tuple[int, ...], int] = {}
-        self.bucket: dict[tuple[int, ...], list[tuple[list[int], set[str]]]] = defaultdict(list)
+        self.bucket: dict[tuple[int, ...], list[tuple[list[int], set[str | None]]]] = defaultdict(list)
         for pattern, items in patterns.items():
             for end in range(self.block, length + 1):
                 block = pattern[end - self.block:end]
                 self.shift[block] = min(self.shift.get(block, self.most), length - end)
             self.bucket[pattern[-self.block:]].append((list(pattern), items))
 
-    def occurrences(self, seq: list[int]) -> Iterator[tuple[int, set[str]]]:
+    def occurrences(self, seq: list[int]) -> Iterator[tuple[int, set[str | None]]]:
         """(first position, items) of every occurrence, by position."""
         shift, m, b, most, n = self.shift.get, self.length, self.block, self.most, len(seq)
         end = m
@@ -75,9 +77,9 @@ class Searcher:
 class PatternSet:
     """The searchers of one block of items, and the numbers of their words."""
 
-    def __init__(self, rows: list[tuple[str, str | None]], window: int):
+    def __init__(self, rows: list[tuple[str | None, str | None]], window: int):
         self.number: dict[bytes, int] = {}
-        by_length: dict[int, dict[tuple[int, ...], set[str]]] = defaultdict(lambda: defaultdict(set))
+        by_length: dict[int, dict[tuple[int, ...], set[str | None]]] = defaultdict(lambda: defaultdict(set))
         for item, text in rows:
             seq = [self.number.setdefault(w, len(self.number)) for w in words(text)]
             m = min(window, len(seq))
@@ -85,7 +87,7 @@ class PatternSet:
                 by_length[m][tuple(seq[at:at + m])].add(item)
         self.searchers = [Searcher(m, p) for m, p in sorted(by_length.items())]
 
-    def search(self, found: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
+    def search(self, found: list[bytes]) -> tuple[list[tuple[int, int]], set[str | None]]:
         number = self.number.get
         seq = [number(w, -1) for w in found]
         spans, items = [], set()
@@ -128,14 +130,14 @@ def search_udf(blocks: list, window: int):
             yield pd.DataFrame({
                 "n_words": [len(f) for f in found], "n_hit": [sum(b - a for a, b in x) for x in joined],
                 "spans": [[{"first": a, "last": b} for a, b in x] for x in joined],
-                "items": [sorted(x) for x in items]})
+                "items": [sorted(x, key=lambda i: (i is None, i or "")) for x in items]})
     return run
 
 
 def item_blocks(items: DataFrame, id_col: str, text_col: str, block_bytes: int) -> list:
     """The items on the executors, in blocks of about ``block_bytes`` of text."""
     spark = items.sparkSession
-    rows = items.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).alias("t")).filter("i IS NOT NULL")
+    rows = items.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).alias("t"))
     total = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     count = max(1, -(-total // block_bytes))
     part = F.pmod(F.xxhash64("i", "t"), F.lit(count))
@@ -145,7 +147,7 @@ def item_blocks(items: DataFrame, id_col: str, text_col: str, block_bytes: int)
 
 def find_items(docs: DataFrame, items: DataFrame, *, window: int = 13, text_col: str = "text",
                item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = 16 << 20) -> DataFrame:
-    """Add n_words, n_hit, spans (disjoint word ranges [first, last)) and items (sorted ids) to every row."""
+    """Add n_words, n_hit, spans (disjoint word ranges [first, last)) and items (sorted ids, null last) to every row."""
     blocks = item_blocks(items, item_col, item_text_col, block_bytes)
     rows = nest(docs, docs.columns, _hits=search_udf(blocks, window)(F.col(text_col)))
     return unnest(rows, docs.columns, **{c: F.col(f"_hits.{c}") for c in ("n_words", "n_hit", "spans", "items")})
