@@ -77,6 +77,17 @@ def test_quality_counts_and_controlled_rejection(spark):
     assert all(x.kept != x.base_failed for x in quality.quality(docs.limit(100), none).collect())
 
 
+@pytest.mark.parametrize("good, risk, proven", [(300, 0.02, True), (300, 0.004, False), (280, 0.02, False)])
+def test_quality_small_stratum(spark, good, risk, proven):
+    """Four strata: 16 tests need 286 good labels at a risk of 0.02 and 1,440 at 0.004."""
+    rows = [(f"{lang}{i}", " ".join(f"w{j}" + "#" * (i >= good) for j in range(12)), lang)
+            for lang in ("de", "en", "es", "fr") for i in range(good + 5)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, lang string")
+    labels = spark.createDataFrame([(i, int("#" not in t)) for i, t, _ in rows], "doc_id string, quality int")
+    out = quality.quality(docs, labels, risk=risk).groupBy("lang").agg(F.count_if(~F.col("kept")).alias("n")).collect()
+    assert {x.lang: x.n for x in out} == dict.fromkeys(("de", "en", "es", "fr"), 5 if proven else 0)
+
+
 def naive_phrases(text, sample):
     count, at = 0, 0
     while at < len(text):
