@@ -1,7 +1,9 @@
 """Each operator against a brute-force version, an exact round trip or held-out accuracy."""
 
+import hashlib
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -317,6 +319,45 @@ def test_shards_are_even_and_gapless(spark):
     assert again == {(r.doc_id, r.shard, r.slot) for r in rows}
 
 
+@pytest.mark.parametrize("hot_id", [5, None])
+def test_repeats_of_one_row_are_dealt_over_tasks(spark, hot_id):
+    r = random.Random(4)
+    rows = [(i, " ".join(["w"] * r.randint(0, 30)), "a" if i % 3 else None) for i in range(1, 20_001)]
+    rows += [(hot_id, "one hot row", "a")] * 12_000
+    r.shuffle(rows)
+    docs = spark.sparkContext.parallelize(rows, 8).toDF("doc_id long, text string, source string")
+    plain = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in plain}
+    for k, v in plain.items():  # tasks as they are on a large table
+        spark.conf.set(k, v)
+    try:
+        for carry in (True, False):
+            out = mixing.mix(docs, carry=carry).withColumn("task", F.spark_partition_id()).collect()
+            tasks = Counter(x.task for x in out if x.doc_id == hot_id and x["size"] == 3)
+            assert len(out) == 32_000 and sum(tasks.values()) >= 12_000 and max(tasks.values()) < 6_000
+            taken, target, order = {}, {}, {}
+            for x in out:  # the stream of each source, in key order
+                key = hashlib.md5((f"{x.doc_id}:" if x.doc_id is not None else "").encode() + str(x["size"]).encode()).hexdigest()
+                s = x.source_size
+                taken[s], target[s] = taken.get(s, 0) + x.taken, x.target
+                order.setdefault(s, []).append((key, -1 if x.doc_id is None else x.doc_id, x["size"], x.taken))
+            for s, stream in order.items():
+                assert taken[s] == math.floor(target[s] + 1e-9)
+                epochs, left = divmod(taken[s], s)
+                expected = []
+                for *at, n, _ in sorted(stream):
+                    expected.append((*at, n, n * epochs + max(0, min(n, left))))
+                    left -= n
+                assert sorted(stream) == sorted(expected)
+        placed = sharding.shard(docs, shards=7).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    tasks = Counter(x.task for x in placed if x.doc_id == hot_id and x.text == "one hot row")
+    assert sum(tasks.values()) == 12_000 and max(tasks.values()) < 6_000
+    assert sorted(x.slot * 7 + x.shard for x in placed) == list(range(32_000))
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(alphabet="abc ", max_size=60), min_size=1, max_size=5), st.text(alphabet="abc ", max_size=120), st.integers(1, 5))
 def test_wu_manber_matches_brute_force(items, text, window):

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
@@ -74,6 +74,35 @@ def key_range(key_hex: Column, buckets: int) -> Column:
     return F.shiftright(head * buckets, 32).cast("int")
 
 
+def running(rows: DataFrame, part: list[str], order: list[str], value: Column, totals: DataFrame,
+            most_equal: int = 10_000) -> DataFrame:
+    """Add the columns of ``totals`` (a row per ``part``) and _run, the sum of ``value`` up to each row of its part.
+
+    Rows that agree in ``order`` must agree in ``value`` and are interchangeable.
+    If more than ``most_equal`` of them agree, parts no longer bound a window:
+    rows are then summed inside (order, input split) and shifted by the total of
+    the groups before theirs. The rows are checkpointed for it, so that both
+    branches see the same splits.
+    """
+    upto = (Window.unboundedPreceding, Window.currentRow)
+
+    def crowded(columns: list[str]) -> bool:
+        return bool(rows.groupBy(*columns).agg(F.count("*").alias("_n")).filter(F.col("_n") > most_equal).take(1))
+
+    if not (crowded(part) and crowded([*part, *order])):
+        window = Window.partitionBy(*part).orderBy(*order).rowsBetween(*upto)
+        return rows.withColumn("_run", F.sum(value).over(window)).join(totals, part)
+    group = [*part, "_equal", "_split"]  # nulls in a struct are equal
+    rows = cut(rows).withColumn("_equal", F.struct(*order)).withColumn("_split", F.spark_partition_id())
+    before = Window.partitionBy(*part).orderBy("_equal", "_split").rowsBetween(Window.unboundedPreceding, -1)
+    groups = (rows.groupBy(*group).agg(F.sum(value).alias("_sum"))
+              .select(*group, F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
+              .join(totals, part))
+    inside = Window.partitionBy(*group).orderBy(F.lit(0)).rowsBetween(*upto)
+    return (rows.withColumn("_inside", F.sum(value).over(inside)).join(groups, group)
+            .withColumn("_run", F.col("_before") + F.col("_inside")))
+
+
 def drop_folder(spark: SparkSession, folder: str) -> None:
     """Delete a scratch folder on whatever file system it lies."""
     where = spark._jvm.org.apache.hadoop.fs.Path(folder)

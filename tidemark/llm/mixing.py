@@ -4,7 +4,8 @@ Each row gets a hash-random key. Keys are cut into equal ranges, and a source's
 rows are ordered by (range, key). Word counts are summed per (source, range)
 with map-side combining; a prefix sum over that small table plus a running sum
 inside each range gives every row its place in its source's shuffled stream
-without putting a source in one task. The stream is then cut at the source's
+without putting a source in one task; many repeats of one row, which share a
+key, are summed per input split first. The stream is then cut at the source's
 exact word budget: ``budget // size`` whole epochs, and the first
 ``budget % size`` words of one more.
 
@@ -30,7 +31,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bucket_count, cut, key_range, nest, table, unnest, word_count
+from .common import bucket_count, cut, key_range, nest, running, table, unnest, word_count
 
 SOURCE = ["_src", "_null"]
 RANGE = [*SOURCE, "_range"]
@@ -88,10 +89,7 @@ def mix(docs: DataFrame, *, cycle: Sequence[int] = (1, 2, 3), cap: int = 3, budg
                .withColumn("_budget", F.floor("_target").cast("long"))
                .withColumn("_epochs", F.when(F.col("_size") > 0, F.expr("_budget div _size")).otherwise(F.lit(0)))
                .withColumn("_rest", F.col("_budget") - F.col("_epochs") * F.col("_size")))
-    running = (Window.partitionBy(*RANGE).orderBy("_key", "_id", "_words")
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    placed = (rows.withColumn("_run", F.sum("_words").over(running))
-              .join(offsets, RANGE)
+    placed = (running(rows, RANGE, ["_key", "_id", "_words"], F.col("_words"), offsets)
               .withColumn("_left", F.col("_rest") - F.col("_offset") - F.col("_run") + F.col("_words"))
               .withColumn("_part", F.greatest(F.lit(0), F.least(F.col("_words"), F.col("_left")))))
     return unnest(placed, keep, size=F.col("_words"), source_size=F.col("_size"), target=F.col("_target"),

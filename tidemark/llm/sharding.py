@@ -3,7 +3,8 @@
 Rows are ordered by a hash of id and content and numbered 0..N-1 across the
 cluster: the hash is cut into ranges, ranges are counted with map-side
 combining, a prefix sum over the ranges (at most ``bucket_count`` rows) gives
-each range its first number, and rows are numbered inside their range.
+each range its first number, and rows are numbered inside their range; many
+repeats of one row, which share a hash, are numbered per input split first.
 
 A Feistel network over pairs (left, right) in Z_a x Z_b with a * b >= N and
 a, b about sqrt(N) permutes the numbers: each round adds a keyed function of
@@ -29,7 +30,7 @@ import random
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import bucket_count, key_range, nest, table, unnest
+from .common import bucket_count, key_range, nest, running, table, unnest
 
 PRIME = 2_147_483_647
 ROUNDS = 8
@@ -100,9 +101,8 @@ def shard(docs: DataFrame, *, shards: int = 40, seed: int = 20_240_601, id_col:
     first = (rows.groupBy("_range").agg(F.count("*").alias("_n"))
              .select("_range", F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(
                  Window.unboundedPreceding, -1)), F.lit(0)).alias("_first")))
-    in_range = Window.partitionBy("_range").orderBy("_key", "_id", "_size", "_crc")
-    numbered = (rows.withColumn("_in", F.row_number().over(in_range) - 1)
-                .join(first, "_range").withColumn("_number", F.col("_first") + F.col("_in")))
+    numbered = (running(rows, ["_range"], ["_key", "_id", "_size", "_crc"], F.lit(1), first)
+                .withColumn("_number", F.col("_first") + F.col("_run") - 1))
     placed = numbered.withColumn("_place", F.expr(permuted(
         "_number", n, seed, longest_walk(docs.sparkSession, n, seed) if n else 0)))
     return unnest(placed, keep, size=F.col("_size"), text_crc32=F.col("_crc"), law=F.lit("rows"),
