@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -118,6 +119,22 @@ def test_language_held_out_accuracy(spark):
     assert right > 0.97
 
 
+def test_samples_hold_one_text_an_id(spark, monkeypatch):
+    rows = [(8, f"same id again {i} times", "en") for i in range(2000)] + [(i, f"text number {i}", "en") for i in range(9, 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    read, fitted = [], []
+    monkeypatch.setattr(language, "letters_of", lambda t, plain=language.letters_of: read.append(t) or plain(t))
+    monkeypatch.setattr(toxicity, "fit", lambda x, plain=toxicity.fit, **o: fitted.extend(x) or plain(x, **o))
+    taken = [i for i in range(8, 60) if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert 8 in taken and language.learn(docs)["en"]
+    assert len(read) == len(taken) and sum(t.startswith("same") for t in read) == 1
+    language.learn(docs, per_language=20)
+    assert len(read) == len(taken) + 20  # repeats take no places
+    labels = spark.createDataFrame([(i, i % 2) for i in range(8, 60)], "doc_id long, toxic int")
+    toxicity.train(docs, labels)
+    assert zlib.crc32(b"8") % 3 != 1 and len(fitted) == sum(zlib.crc32(str(i).encode()) % 3 != 1 for i in range(8, 60))
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.integers(0, 2**64 - 1), st.sets(st.integers(0, 63), max_size=3))
 def test_every_near_pair_collides(value, flips):

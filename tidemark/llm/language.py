@@ -25,7 +25,8 @@ worker from those letters, which is all that is broadcast.
 
 Defined results: a null text or one without letters is ``und`` with score 0;
 without any training text every text is ``und``; repeated rows get equal results;
-labels that are null are never learnt.
+labels that are null are never learnt; of the texts of an id in a language the one
+whose beginning has the smallest hash is learnt.
 """
 
 from __future__ import annotations
@@ -181,7 +182,8 @@ def learn(docs: DataFrame, *, letters: int = 24_000, per_language: int = 100, id
           text_col: str = "text", lang_col: str = "lang") -> dict[str, str]:
     """At most ``letters`` training letters per language from documents outside the held-out quarter."""
     known = (docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"))
-             .filter(F.col("id").isNotNull() & F.col("lang").isNotNull() & ~hash_slice(F.col("id"), 4, 2)))
+             .filter(F.col("id").isNotNull() & F.col("lang").isNotNull() & ~hash_slice(F.col("id"), 4, 2))
+             .dropDuplicates(["id", "lang"]))
     names = sorted(r.lang for r in known.select("lang").distinct().collect())
     chosen = None
     for name in names:
@@ -189,14 +191,15 @@ def learn(docs: DataFrame, *, letters: int = 24_000, per_language: int = 100, id
         chosen = part if chosen is None else chosen.unionByName(part)
     out = dict.fromkeys(names, "")
     if chosen is not None:
-        chosen = chosen.dropDuplicates(["id", "lang"])
         if len(names) <= 1000:  # then at most 1000 * per_language ids
             chosen = F.broadcast(chosen)
         # Equal shares, so that no single text makes the sample; only training texts are ever cut.
         share = -(-letters // per_language)
         rows = (docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"),
                             F.substring(text_col, 1, 2 * share).alias("text"))
-                .join(chosen, ["id", "lang"]).orderBy("lang", "id", "text").collect())
+                .join(chosen, ["id", "lang"]).groupBy("lang", "id")
+                .agg(F.min(F.struct(F.col("text").isNull(), F.xxhash64("text"), "text")).getField("text").alias("text"))
+                .orderBy("lang", "id").collect())
         for r in rows:
             out[r.lang] = (out[r.lang] + letters_of(r.text)[:share])[:letters]
     return out

@@ -18,7 +18,8 @@ Arrow batches over the text column alone, without a shuffle.
 
 Defined results: null and empty texts get the score of a text without known
 words; without labels of both classes every score is the smoothed class share;
-repeated labels of an id count as toxic if one says so; null labels and labels
+repeated labels of an id count as toxic if one says so; of an id's texts the one
+with the smallest hash is learnt; null labels and labels
 without a document are not used; repeated rows get equal scores.
 """
 
@@ -82,6 +83,7 @@ def features(text: str | None) -> set[str]:
 class Model:
     bias: float
     weights: dict[str, float] = field(default_factory=dict)
+    swap_pairs: int = 0  # that the penalty summed over; 0 makes the fit a plain L1 logistic regression
 
     def score(self, text: str | None) -> float:
         z = self.bias + math.fsum(self.weights[t] for t in self.weights.keys() & features(text))
@@ -146,7 +148,7 @@ def fit(rows: Iterable[tuple[Iterable[str], Counter, int, float]], *, l1: float
         t_next = (1 + math.sqrt(1 + 4 * t * t)) / 2
         ahead, ahead_b = new + (t - 1) / t_next * (new - w), new_b + (t - 1) / t_next * (new_b - b)
         w, b, t = new, new_b, t_next
-    return Model(b, {vocabulary[i]: float(w[i]) for i in np.flatnonzero(w)})
+    return Model(b, {vocabulary[i]: float(w[i]) for i in np.flatnonzero(w)}, sum(pairs.values()))
 
 
 def features_udf():
@@ -177,7 +179,8 @@ def train(docs: DataFrame, labels: DataFrame, *, per_class: int = 1500, least_df
         chosen = part if chosen is None else chosen.unionByName(part)
     texts = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
              .join(F.broadcast(chosen), "id")  # at most 2 * per_class rows
-             .select("id", "y", "text", F.xxhash64("text").alias("h")).dropDuplicates(["h", "y"]))
+             .groupBy("id", "y").agg(F.min(F.struct(F.col("text").isNull(), F.xxhash64("text").alias("h"), "text")).alias("t"))
+             .select("id", "y", "t.text", "t.h").dropDuplicates(["h", "y"]))
     marked = cut(texts.select("id", "y", features_udf()("text").alias("f")).select("id", "y", "f.words", "f.swaps"))
     used = {r.y: r["count"] for r in marked.groupBy("y").count().collect()}
     vocabulary = set(IDENTITY - NEUTRAL)
