@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import chat, decontamination, extraction, language, mixing, quality, sharding, simhash, toxicity, urls
+from . import (chat, decontamination, divergence, exact, extraction, language, lexical, mixing, quality, sharding, simhash,
+               toxicity, urls)
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -15,6 +16,9 @@ QUERIES = {
     "op8_sharding": sharding.op8_sharding,
     "op9_decontamination": decontamination.op9_decontamination,
     "op10_url_filters": urls.op10_url_filters,
+    "op11_lexical": lexical.op11_lexical,
+    "op12_divergence": divergence.op12_divergence,
+    "op13_exact_dedup": exact.op13_exact_dedup,
 }
 
 ORACLES = {
@@ -23,4 +27,7 @@ ORACLES = {
     "op7_chat": chat.ORACLE,
     "op9_decontamination": decontamination.ORACLE,
     "op10_url_filters": urls.ORACLE,
+    "op11_lexical": lexical.ORACLE,
+    "op12_divergence": divergence.ORACLE,
+    "op13_exact_dedup": exact.ORACLE,
 }
