@@ -531,7 +531,8 @@ CUSTOMER_RESCUED_SQL = f"SELECT {_cols(CUSTOMER)}, CAST(NULL AS VARCHAR) AS _res
 
 def _ingest(spark, src: files.FileSource, base: str, schema=None) -> DataFrame:
     medallion.ingest_staging(spark, src, f"{base}/staging", f"{base}/ckpt", schema, sc.RUN0.ts_col())
-    return spark.read.parquet(f"{base}/staging").drop(*PROVENANCE_COLUMNS)
+    staged = spark.read.option("mergeSchema", "true").parquet(f"{base}/staging")
+    return staged.drop(*PROVENANCE_COLUMNS, medallion.LISTING_COL)
 
 
 @register("file_ingest_json", lambda: CUSTOMER_RESCUED_SQL)
@@ -550,14 +551,14 @@ def q_file_csv(spark, sf):
     return _ingest(spark, src, base)
 
 
-@register("file_ingest_parquet", lambda: CUSTOMER_SQL)
+@register("file_ingest_parquet", lambda: CUSTOMER_RESCUED_SQL)
 def q_file_parquet(spark, sf):
     base = scratch_dir(spark, "tidemark-q", "parquet")
     load(spark, sf, "customer").write.parquet(f"{base}/in")
     return _ingest(spark, files.FileSource(f"{base}/in", "parquet"), base)
 
 
-@register("file_ingest_orc", lambda: CUSTOMER_SQL)
+@register("file_ingest_orc", lambda: CUSTOMER_RESCUED_SQL)
 def q_file_orc(spark, sf):
     base = scratch_dir(spark, "tidemark-q", "orc")
     load(spark, sf, "customer").write.orc(f"{base}/in")
@@ -596,7 +597,7 @@ def q_file_glob(spark, sf):
     return _ingest(spark, src, base)
 
 
-@register("file_partitions", lambda: CUSTOMER_SQL)
+@register("file_partitions", lambda: CUSTOMER_RESCUED_SQL)
 def q_file_partitions(spark, sf):
     base = scratch_dir(spark, "tidemark-q", "parts")
     load(spark, sf, "customer").write.partitionBy("c_mktsegment").parquet(f"{base}/in")
@@ -653,7 +654,7 @@ def q_file_overwrite(spark, sf):
     _deliver(spark, cust, base)
     _ingest(spark, src, base, cust.schema)
     _deliver(spark, _raised(cust), base)
-    return _ingest(spark, src, base, cust.schema).drop(medallion.LISTING_COL)
+    return _ingest(spark, src, base, cust.schema)
 
 
 @register("file_skip_existing", lambda: RAISED_SQL)
@@ -753,6 +754,80 @@ def q_schema_none(spark, sf):
     return _ingest(spark, src, base, schema)
 
 
+@register("json_nested_rescue", lambda: f"""
+SELECT event_id, user_id AS "user", CAST(NULL AS INTEGER) AS k, [event_type, 'all'] AS names,
+       '{{"tags":[{{"level":' || (event_id % 7) || '}},null],"who":{{"k":"x' || event_id || '","score":1}}}}' AS _rescued_data
+FROM events""")
+def q_json_nested_rescue(spark, sf):
+    """Inside objects and arrays of objects, unknown keys and mistyped values are rescued at their path."""
+    base = scratch_dir(spark, "tidemark-q", "nested")
+    ev = load(spark, sf, "events")
+    who = F.struct(F.col("user_id").alias("user"), F.concat(F.lit("x"), "event_id").alias("k"), F.lit(1).alias("score"))
+    tags = F.array(F.struct(F.col("event_type").alias("name"), (F.col("event_id") % 7).alias("level")),
+                   F.struct(F.lit("all").alias("name"), F.lit(None).cast("bigint").alias("level")))
+    ev.select("event_id", who.alias("who"), tags.alias("tags")).write.json(f"{base}/in")
+    schema = files.parse_hints(spark, "event_id bigint, who struct<user: bigint, k: int>, tags array<struct<name: string>>")
+    out = _ingest(spark, files.FileSource(f"{base}/in", "json"), base, schema)
+    return out.select("event_id", "who.user", "who.k", F.col("tags.name").alias("names"), "_rescued_data")
+
+
+CSV = {"header": True, "delimiter": "|"}
+
+
+@register("csv_reordered", lambda: f"{CUSTOMER_RESCUED_SQL} UNION ALL {CUSTOMER_RESCUED_SQL}")
+def q_csv_reordered(spark, sf):
+    """Two deliveries whose headers name the columns in different orders are read by name."""
+    base = scratch_dir(spark, "tidemark-q", "csv-order")
+    cust = load(spark, sf, "customer").select(*CUSTOMER)
+    for columns in (CUSTOMER, CUSTOMER[::-1]):
+        cust.select(*columns).write.mode("append").option("header", True).option("sep", "|").csv(f"{base}/in")
+    return _ingest(spark, files.FileSource(f"{base}/in", "csv", csv_options=CSV), base, cust.schema)
+
+
+@register("csv_extra", lambda: f"""{CUSTOMER_RESCUED_SQL} UNION ALL
+SELECT {_cols(CUSTOMER)}, '{{"c_level":"' || (c_custkey % 5) || '"}}' AS _rescued_data
+FROM (SELECT * REPLACE (CAST(NULL AS VARCHAR) AS c_mktsegment) FROM customer)""")
+def q_csv_extra(spark, sf):
+    """A later delivery lacks one column and brings an unknown one, which is rescued."""
+    base = scratch_dir(spark, "tidemark-q", "csv-extra")
+    cust = load(spark, sf, "customer").select(*CUSTOMER)
+    src = files.FileSource(f"{base}/in", "csv", csv_options=CSV)
+    late = cust.drop("c_mktsegment").withColumn("c_level", F.col("c_custkey") % 5)
+    for rows in (cust, late.select("c_level", *late.columns[:-1])):
+        rows.write.mode("append").option("header", True).option("sep", "|").csv(f"{base}/in")
+        out = _ingest(spark, src, base, cust.schema)
+    return out
+
+
+def _q_columnar_rescue(spark, sf, fmt: str) -> DataFrame:
+    base = scratch_dir(spark, "tidemark-q", f"{fmt}-rescue")
+    cust = load(spark, sf, "customer").select(*CUSTOMER)
+    src = files.FileSource(f"{base}/in", fmt)
+    odd = cust.withColumns({"c_nationkey": F.concat(F.lit("n"), "c_nationkey"),
+                            "c_origin": F.struct(F.lit("web").alias("via"), (F.col("c_custkey") % 3).alias("step"))})
+    for rows in (cust, odd):
+        rows.write.mode("append").format(fmt).save(f"{base}/in")
+        out = _ingest(spark, src, base)
+    return out
+
+
+COLUMNAR_RESCUE_SQL = f"""{CUSTOMER_RESCUED_SQL} UNION ALL
+SELECT c_custkey, c_name, CAST(NULL AS INTEGER) AS c_nationkey, c_acctbal, c_mktsegment,
+       '{{"c_nationkey":"n' || c_nationkey || '","c_origin":{{"via":"web","step":' || (c_custkey % 3) || '}}}}' AS _rescued_data
+FROM customer"""
+
+
+@register("parquet_rescue", lambda: COLUMNAR_RESCUE_SQL)
+def q_parquet_rescue(spark, sf):
+    """Files with a column of another type and an unknown nested column beside files of the stored schema."""
+    return _q_columnar_rescue(spark, sf, "parquet")
+
+
+@register("orc_rescue", lambda: COLUMNAR_RESCUE_SQL)
+def q_orc_rescue(spark, sf):
+    return _q_columnar_rescue(spark, sf, "orc")
+
+
 # ── chained streams ───────────────────────────────────────────────────────────
 
 CHAIN_RULES = [("positive_balance", "c_acctbal > 0")]

@@ -1,6 +1,7 @@
 """Staging -> Bronze -> Silver as chained Structured Streaming queries.
 
-* staging: file source (``sources.files.stream_files``) appended to parquet;
+* staging: file source appended to parquet, by ``sources.files.stream_files`` or, where
+           files differ in their columns, in batches of files (``ingest_batches``);
 * bronze:  append-only pass-through of staging + ``_bronze_ingested_at``;
 * silver:  one ``foreachBatch`` per micro-batch that tags data-quality
            failures once, appends failing raw rows to the quarantine table,
@@ -49,18 +50,67 @@ def write_stream(df: DataFrame, path: str, checkpoint: str, partition_by: Sequen
 def ingest_staging(spark: SparkSession, src: files.FileSource, target: str, checkpoint: str,
                    schema=None, ingested_at: Column | None = None):
     """Ingest the source's new files. Without a given ``schema`` the one stored beside the checkpoint is
-    kept, and the source's evolution mode decides what new columns do to it. Sources with
-    ``allow_overwrites`` go through ``ingest_listed``."""
-    if schema is None:
-        schema = stored_schema(spark, src, checkpoint)
+    kept; it is inferred from all files at the first start only, and later the source's evolution mode
+    decides what the columns of new files do to it. Sources with ``allow_overwrites`` go through
+    ``ingest_listed``, files that are read by name or may widen the schema through ``ingest_batches``."""
     if src.allow_overwrites:
-        return ingest_listed(spark, src, target, f"{checkpoint.rstrip('/')}_ledger", schema, ingested_at)
+        return ingest_listed(spark, src, target, f"{checkpoint.rstrip('/')}_ledger", schema, ingested_at,
+                             checkpoint if schema is None else None)
     if src.include_existing_files is False:
-        skip_existing(spark, src, target, checkpoint, schema)
+        skip_existing(spark, src, target, checkpoint, schema, ingested_at)
+    if in_batches(src, schema):
+        return ingest_batches(spark, src, target, checkpoint, schema, ingested_at)
+    if schema is None:
+        schema = stored_schema(spark, src, checkpoint)
     return write_stream(files.stream_files(spark, src, schema, _now(ingested_at)), target, checkpoint)
 
 
-def skip_existing(spark: SparkSession, src: files.FileSource, target: str, checkpoint: str, schema) -> None:
+def in_batches(src: files.FileSource, schema) -> bool:
+    """Whether the columns of new files must be looked at before they are read."""
+    evolving = schema is None and src.schema_evolution_mode in ("addNewColumns", "failOnNewColumns")
+    return files.by_name(src) or (evolving and src.file_format not in ("text", "binaryfile"))
+
+
+def ingest_batches(spark: SparkSession, src: files.FileSource, target: str, checkpoint: str, schema=None,
+                   ingested_at: Column | None = None):
+    """Ingest new files in batches of at most ``BATCH_FILES`` (or the source's own number).
+
+    The stream is one of paths. Each batch looks at the columns of its own files alone, lets the evolution
+    mode act on them, and writes its rows to its ``_listing`` partition, so a repeated batch replaces itself.
+    """
+    refused: list[ValueError] = []
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        paths = [r["path"] for r in batch.toLocalIterator()]
+        if not paths:
+            return
+        try:
+            stored = schema if schema is not None else stored_schema(spark, src, checkpoint, paths)
+        except ValueError as new_columns:
+            refused.append(new_columns)
+            raise
+        rows = files.read_files(spark, src, paths, stored, _now(ingested_at))
+        rows = rows.select("*", F.lit(int(batch_id)).cast("long").alias(LISTING_COL))
+        tables.overwrite_partitions(rows, target, [LISTING_COL])
+
+    try:
+        return _drain(files.stream_listing(spark, src), take, checkpoint)
+    except Exception:
+        if refused:
+            raise refused[0]
+        raise
+
+
+def _drain(stream: DataFrame, take, checkpoint: str):
+    """Run ``take`` over the batches of what has arrived."""
+    q = (stream.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q
+
+
+def skip_existing(spark: SparkSession, src: files.FileSource, target: str, checkpoint: str, schema=None,
+                  ingested_at: Column | None = None) -> None:
     """On a source's first start, take the files already there into one batch without rows.
 
     The checkpoint then knows them, so the stream goes on with later files. A start that broke off before
@@ -71,17 +121,23 @@ def skip_existing(spark: SparkSession, src: files.FileSource, target: str, check
         return
     if not tables.exists(spark, f"{checkpoint.rstrip('/')}/commits"):
         whole = replace(src, max_files_per_trigger=None)
-        write_stream(files.stream_files(spark, whole, schema).where(F.lit(False)), target, checkpoint)
+        if in_batches(src, schema):
+            _drain(files.stream_listing(spark, whole), lambda batch, batch_id: None, checkpoint)
+        else:
+            schema = schema if schema is not None else stored_schema(spark, src, checkpoint)
+            rows = files.stream_files(spark, whole, schema, _now(ingested_at))
+            write_stream(rows.where(F.lit(False)), target, checkpoint)
     tables.write_properties(spark, marker, {"existing_files": "skipped"})
 
 
-def ingest_listed(spark: SparkSession, src: files.FileSource, target: str, ledger: str, schema,
-                  ingested_at: Column | None = None) -> int:
+def ingest_listed(spark: SparkSession, src: files.FileSource, target: str, ledger: str, schema=None,
+                  ingested_at: Column | None = None, checkpoint: str | None = None) -> int:
     """Batch ingestion against a ledger of (path, modification time); returns the number of files taken.
 
     A file rewritten in place is taken again. Each listing writes its rows to its own ``_listing`` partition
     of ``target`` and its files to the ledger last, so a run that broke off is replaced by the next one.
     As in any Spark read, the paths of the files to read (not their rows) pass through the driver.
+    Without ``schema`` the one stored beside ``checkpoint`` is used and evolves with the new files.
     """
     held = tables.read(spark, ledger)
     last = None if held is None else held.agg(F.max(LISTING_COL).alias("last")).first()["last"]
@@ -96,28 +152,39 @@ def ingest_listed(spark: SparkSession, src: files.FileSource, target: str, ledge
         paths = [r["path"] for r in taken.select("path").toLocalIterator()]
         if not paths:
             return 0
+        if schema is None:
+            schema = stored_schema(spark, src, checkpoint, paths)
         rows = files.read_files(spark, src, paths, schema, _now(ingested_at))
         tables.overwrite_partitions(rows.select("*", at), target, [LISTING_COL])
     tables.overwrite_partitions(taken.select("*", at), ledger, [LISTING_COL])
     return len(paths)
 
 
-def stored_schema(spark: SparkSession, src: files.FileSource, checkpoint: str) -> T.StructType:
+def stored_schema(spark: SparkSession, src: files.FileSource, checkpoint: str,
+                  paths: Sequence[str] | None = None) -> T.StructType:
+    """The schema kept beside the checkpoint, widened by the files at ``paths`` where the mode says so.
+
+    Files are opened for it only where their columns matter: all (or those at ``paths``) at the first
+    start, then those at ``paths`` in the modes that look for new columns, and none in the others.
+    """
     folder = f"{checkpoint.rstrip('/')}_schema"
     held = tables.read_properties(spark, folder)
-    incoming = files.resolve_schema(spark, src)
-    schema = incoming
-    if held is not None:
-        schema = files.evolve_schema(T.StructType.fromJson(json.loads(held["schema"])), incoming,
-                                     src.schema_evolution_mode)
-    if held is None or json.loads(held["schema"]) != schema.jsonValue():
+    if held is None:
+        schema = files.resolve_schema(spark, src, paths)
+        tables.write_properties(spark, folder, {"schema": schema.json()})
+        return schema
+    known = T.StructType.fromJson(json.loads(held["schema"]))
+    if paths is None or src.schema_evolution_mode in ("rescue", "none"):
+        return known
+    schema = files.evolve_schema(known, files.resolve_schema(spark, src, paths), src.schema_evolution_mode)
+    if schema != known:
         tables.write_properties(spark, folder, {"schema": schema.json()})
     return schema
 
 
 def bronze_stream(spark: SparkSession, staging_path: str, ingested_at: Column | None = None) -> DataFrame:
     schema = tables.merged_schema(spark, staging_path)
-    return (spark.readStream.schema(schema).parquet(staging_path)
+    return (spark.readStream.schema(schema).parquet(staging_path).drop(LISTING_COL)
             .withColumn("_bronze_ingested_at", _now(ingested_at)))
 
 
