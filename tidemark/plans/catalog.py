@@ -938,7 +938,59 @@ def q_rerun_to_bronze(spark, sf):
     store = ChangeStore(spark, f"{base}/store")
     for k in (0, 1, 1):
         run_once(spark, sc.foreign(ev, k), store, sc.run(k), sc.SPEC, source_table="events")
-        medallion.ingest_bronze(spark, store.stream_path, f"{base}/bronze", f"{base}/ck", sc.RUN0.ts_col())
+        medallion.ingest_bronze(spark, store, f"{base}/bronze", f"{base}/ck", sc.RUN0.ts_col())
+    return spark.read.parquet(f"{base}/bronze").select(*STREAM_COLS)
+
+
+def _no_rows_before(ev: DataFrame, k: int) -> DataFrame:
+    """Run ``k``'s source when nothing in it is recent enough for the window."""
+    return sc.foreign(ev, k).where(F.col("ts") < F.lit(sc.run(k).window_start(sc.SPEC.days)))
+
+
+@register("empty_first_run", lambda: f"SELECT * FROM ({stream_sql(1)}) s WHERE snapshotseq = {sc.run(1).seq} AND changetype = 'upsert'")
+def q_empty_first_run(spark, sf):
+    """The first run's window is empty; the second finds its rows and deletes none."""
+    from tidemark.streaming.change_capture import ChangeStore, run_once
+    ev = load(spark, sf, "events")
+    store = ChangeStore(spark, scratch_dir(spark, "tidemark-q", "empty-first"))
+    run_once(spark, _no_rows_before(ev, 0), store, sc.run(0), sc.SPEC)
+    run_once(spark, sc.foreign(ev, 1), store, sc.run(1), sc.SPEC)
+    return store.stream().select(*STREAM_COLS)
+
+
+@register("empty_retry", lambda: f"""
+SELECT * FROM ({stream_sql(0)}) s UNION ALL
+SELECT {_tomb_cols(1, 'delete')} FROM (SELECT * FROM ({stream_sql(0)}) p
+  WHERE ts >= TIMESTAMP '{sc.run(1).window_start(sc.SPEC.days)}') gone""")
+def q_empty_retry(spark, sf):
+    """Run 1 breaks off after its snapshot; its retry finds the window empty and deletes what run 0 held in it."""
+    from tidemark.operators import rolling
+    from tidemark.streaming.change_capture import ChangeStore, run_once
+    ev = load(spark, sf, "events")
+    store = ChangeStore(spark, scratch_dir(spark, "tidemark-q", "empty-retry"))
+    run_once(spark, sc.foreign(ev, 0), store, sc.run(0), sc.SPEC)
+    store.write_events(rolling.snapshot(sc.foreign(ev, 1), sc.run(1), sc.SPEC))  # and no commit
+    run_once(spark, _no_rows_before(ev, 1), store, sc.run(1), sc.SPEC)
+    return store.stream().select(*STREAM_COLS)
+
+
+@register("broken_run_to_bronze", lambda: stream_sql(1))
+def q_broken_run_to_bronze(spark, sf):
+    """Bronze reads between a run that broke off and its retry, and holds each event once."""
+    from tidemark.operators import rolling
+    from tidemark.streaming.change_capture import ChangeStore, run_once
+    ev = load(spark, sf, "events")
+    base = scratch_dir(spark, "tidemark-q", "broken")
+    store = ChangeStore(spark, f"{base}/store")
+
+    def to_bronze():
+        medallion.ingest_bronze(spark, store, f"{base}/bronze", f"{base}/ck", sc.RUN0.ts_col())
+
+    run_once(spark, sc.foreign(ev, 0), store, sc.run(0), sc.SPEC)
+    store.write_events(rolling.snapshot(sc.foreign(ev, 1), sc.run(1), sc.SPEC))  # and no commit
+    to_bronze()
+    run_once(spark, sc.foreign(ev, 1), store, sc.run(1), sc.SPEC)
+    to_bronze()
     return spark.read.parquet(f"{base}/bronze").select(*STREAM_COLS)
 
 
@@ -977,7 +1029,7 @@ def q_rolling_to_silver(spark, sf):
     store = ChangeStore(spark, f"{base}/store")
     for k in range(3):
         run_once(spark, sc.foreign(ev, k), store, sc.run(k), sc.SPEC, source_table="events")
-    medallion.ingest_bronze(spark, store.stream_path, f"{base}/bronze", f"{base}/ck1", sc.RUN0.ts_col())
+    medallion.ingest_bronze(spark, store, f"{base}/bronze", f"{base}/ck1", sc.RUN0.ts_col())
     spec = medallion.SilverSpec("events", ["rowkey"], history_timestamp_source="snapshotseq",
                                 scd_2_exclude_list=ROLLING_SILVER_EXCLUDE, buckets=8)
     sink = medallion.SilverSink(spark, spec, f"{base}/silver", f"{base}/qtn", f"{base}/log", sc.RUN0)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import os
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,6 +45,30 @@ def drop_path(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def file_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the data files right inside a folder (none where there is no such folder)."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(where):
+        return []
+    names = (s.getPath().getName() for s in fs.listStatus(where) if s.isFile())
+    return sorted(n for n in names if not n.startswith(("_", ".")))
+
+
+def create_file(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that appears whole under its name, or raises where the name is taken."""
+    new = spark._jvm.org.apache.hadoop.fs.Path
+    target = new(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    made = new(target.getParent(), f".{target.getName()}.{uuid.uuid4().hex}")
+    out = fs.create(made, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if fs.exists(target) or not fs.rename(made, target):
+        fs.delete(made, False)
+        raise FileExistsError(path)
+
+
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     w = df.write.mode("append")
     if partition_by:

@@ -1,30 +1,33 @@
 """One run of the rolling change-capture job, persisted.
 
-Store layout (all parquet under one base path):
-
-* ``stream/``   the public append-only change stream, partitioned by
-                ``snapshotseq``, rows clustered by ``rowkey`` inside files;
-* ``runs/``     run ledger: one row per run with its upsert / delete /
-                reconcile counts (``prior_seq`` comes from here, not from a
-                scan of the stream);
-* ``sweeps/``   sweep audit log (also the cadence state).
-
-A run writes its snapshot once, straight into its ``snapshotseq`` partition
-(dynamic overwrite: a run that broke off is replaced by its retry, while a
-committed one is never written again, so readers of new files see it once),
-derives the deletes from that written partition (lineage cut, survives executor
-loss), appends the tombstones, and writes its run-ledger row last. The ledger row is the commit
-marker: the next run's prior snapshot and the sweep cadence only see runs that
-finished. Readers of the stream may see a run's upserts before its tombstones;
-SCD orders by sequence and change type, so that is harmless.
+Store layout (all under one base path):
+
+* ``stream/``    data files of the change stream, partitioned by ``snapshotseq``,
+                 rows clustered by ``rowkey`` inside files;
+* ``manifest/``  one JSON file for each commit of a run: its counts, its columns and
+                 the names of the files it added;
+* ``sweeps/``    sweep audit log (also the cadence state).
+
+The manifest is the truth: the stream is the files that it names, never what a
+listing of ``stream/`` shows, and a run without any row is a state of its own. A
+commit is one file that appears under its final name at once, so readers (and the
+Bronze stream, which follows the manifest) see a run whole or not at all.
+
+A run writes its snapshot once, derives the deletes from the written files (lineage
+cut, survives executor loss), adds the tombstones and commits both. The tombstones
+of a sweep are a second commit of the same run. Files that a broken attempt left
+behind are named by no commit; the run's next attempt removes them.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.hashing import select_names
 from tidemark.operators import reconcile as rc
@@ -32,7 +35,10 @@ from tidemark.operators import rolling
 from tidemark.session import RunStamp, scratch_dir
 from tidemark.sources import tables
 
-RUNS_SCHEMA = "snapshotseq bigint, upserts bigint, deletes bigint, reconciles bigint"
+#: One commit; ``files`` are relative to the stream folder, ``columns`` is its schema as JSON.
+COMMIT_SCHEMA = ("snapshotseq bigint, phase string, upserts bigint, deletes bigint, reconciles bigint, "
+                 "files array<string>, columns string")
+COUNTS = ("upserts", "deletes", "reconciles")
 
 
 @dataclass(frozen=True)
@@ -67,12 +73,12 @@ def sweep_from_config(src: dict, force: bool = False) -> SweepSpec:
 
 
 class ChangeStore:
-    """Where a rolling source keeps its change stream, run ledger and sweep log.
+    """Where a rolling source keeps its change stream, manifest and sweep log.
 
-    By default the stream is a plain parquet folder. With ``table`` (and
-    ``buckets``) it is a catalog table partitioned by ``snapshotseq`` and
-    bucketed/sorted by ``rowkey``: consecutive snapshots then meet in the
-    Control-1 anti join straight off their buckets, without a shuffle.
+    By default the stream is plain parquet files. With ``table`` (and ``buckets``)
+    it is also a catalog table partitioned by ``snapshotseq`` and bucketed/sorted by
+    ``rowkey``: consecutive snapshots then meet in the Control-1 anti join straight
+    off their buckets, without a shuffle.
     """
 
     def __init__(self, spark: SparkSession, base: str, table: str | None = None, buckets: int | None = None):
@@ -81,57 +87,82 @@ class ChangeStore:
         self.spark = spark
         self.base = base.rstrip("/")
         self.stream_path = f"{self.base}/stream"
-        self.runs_path = f"{self.base}/runs"
+        self.manifest_path = f"{self.base}/manifest"
         self.sweeps_path = f"{self.base}/sweeps"
         self.table, self.buckets = table, buckets
 
-    def stream(self) -> DataFrame | None:
-        if self.table is not None:
-            if not self.spark.catalog.tableExists(self.table):
-                return None
-            self.spark.catalog.refreshTable(self.table)
-            return self.spark.table(self.table)
-        return tables.read(self.spark, self.stream_path)
+    # ── committed state ───────────────────────────────────────────────────────
 
-    def run_events(self, seq: int) -> DataFrame:
-        """All events of one run (partition-pruned)."""
-        src = self.spark.table(self.table) if self.table is not None else self.spark.read.parquet(self.stream_path)
-        return src.where(F.col("snapshotseq") == seq)
-
-    def run_tombstones(self, seq: int, changetype: str) -> DataFrame:
-        """Rowkeys that one control closed in a run."""
-        return self.run_events(seq).where(F.col("changetype") == changetype).select("rowkey")
+    def commits(self) -> DataFrame | None:
+        """The manifest: one row for each commit, None before the first."""
+        if not tables.exists(self.spark, self.manifest_path):
+            return None
+        return self.spark.read.schema(COMMIT_SCHEMA).json(self.manifest_path)
+
+    def _entries(self, seq: int | None = None) -> list[Row]:
+        found = self.commits()
+        if found is None:
+            return []
+        if seq is not None:
+            found = found.where(F.col("snapshotseq") == seq)
+        return sorted(found.collect(), key=lambda e: (e.snapshotseq, e.phase))
+
+    def read_commits(self, entries: Iterable[Row]) -> DataFrame:
+        """The events of some commits, with the columns that any of them has."""
+        entries = list(entries)
+        fields: dict[str, T.StructField] = {}
+        for e in entries:
+            for f in T.StructType.fromJson(json.loads(e.columns)).fields:
+                fields.setdefault(f.name, f)
+        return self._read([f for e in entries for f in e.files or []], T.StructType(list(fields.values())))
+
+    def _read(self, names: list[str], schema: T.StructType) -> DataFrame:
+        if not names:
+            return self.spark.createDataFrame([], schema)
+        return (self.spark.read.option("basePath", self.stream_path).schema(schema)
+                .parquet(*[f"{self.stream_path}/{n}" for n in names]))
 
-    def write_events(self, df: DataFrame, replace_run: bool) -> None:
-        """Replace (snapshot) or extend (tombstones) the run's partition."""
+    def stream(self) -> DataFrame | None:
+        """All committed events, None before the first commit."""
+        entries = self._entries()
+        if not entries:
+            return None
         if self.table is None:
-            if replace_run:
-                tables.overwrite_partitions(df, self.stream_path, ["snapshotseq"], sort_by=["rowkey"])
-            else:
-                tables.append(df.sortWithinPartitions("rowkey"), self.stream_path, ["snapshotseq"])
-            return
-        if not self.spark.catalog.tableExists(self.table):
-            (df.write.mode("overwrite").partitionBy("snapshotseq").bucketBy(int(self.buckets), "rowkey")
-             .sortBy("rowkey").option("path", self.stream_path).saveAsTable(self.table))
-        else:
-            cols = self.spark.table(self.table).columns           # insertInto is positional
-            # A static overwrite would empty every other run's partition, whatever the session says.
-            mode = self.spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-            self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-            try:
-                df.select(*cols).write.insertInto(self.table, overwrite=replace_run)
-            finally:
-                self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+            return self.read_commits(entries)
         self.spark.catalog.refreshTable(self.table)
+        runs = sorted({e.snapshotseq for e in entries})
+        swept = sorted({e.snapshotseq for e in entries if e.phase != "run"})
+        seen = F.col("snapshotseq").isin(runs)
+        # A table shows every file of a partition: the tombstones of a sweep that broke off are not committed.
+        return self.spark.table(self.table).where(seen & ((F.col("changetype") != "reconcile") | F.col("snapshotseq").isin(swept)))
+
+    def run_tombstones(self, seq: int, changetype: str) -> DataFrame:
+        """Rowkeys that one control closed in a committed run."""
+        return self.read_commits(self._entries(seq)).where(F.col("changetype") == changetype).select("rowkey")
 
     def runs(self) -> DataFrame | None:
-        return tables.read(self.spark, self.runs_path)
+        """Run ledger: one row for each committed run with its counts over all its commits."""
+        found = self.commits()
+        if found is None:
+            return None
+        return found.groupBy("snapshotseq").agg(*[F.sum(c).alias(c) for c in COUNTS])
 
     def committed(self, run: RunStamp) -> dict | None:
-        """The run's counts from the ledger, or None where it is not committed."""
+        """The run's counts from the manifest, or None where it is not committed."""
+        entries = self._entries(run.seq)
+        return {c: sum(int(e[c]) for e in entries) for c in COUNTS} if entries else None
+
+    def prior_seq(self, run: RunStamp):
+        """Latest earlier committed run that wrote upserts."""
         runs = self.runs()
-        row = None if runs is None else runs.where(F.col("snapshotseq") == run.seq).first()
-        return None if row is None else {c: int(row[c]) for c in ("upserts", "deletes", "reconciles")}
+        if runs is None:
+            return None
+        row = (runs.where((F.col("snapshotseq") < run.seq) & (F.col("upserts") > 0))
+               .agg(F.max("snapshotseq").alias("p")).first())
+        return None if row is None else row["p"]
+
+    def sweeps(self) -> DataFrame | None:
+        return tables.read(self.spark, self.sweeps_path)
 
     def swept(self, run: RunStamp) -> str | None:
         """Status of the sweep that the log holds for this run."""
@@ -139,17 +170,44 @@ class ChangeStore:
         row = None if log is None else log.where(F.col("snapshotseq") == run.seq).first()
         return None if row is None else row["status"]
 
-    def sweeps(self) -> DataFrame | None:
-        return tables.read(self.spark, self.sweeps_path)
+    # ── writing ───────────────────────────────────────────────────────────────
 
-    def prior_seq(self, run: RunStamp):
-        """Latest earlier run that wrote upserts (reads the small run ledger)."""
-        runs = self.runs()
-        if runs is None:
-            return None
-        row = (runs.where((F.col("snapshotseq") < run.seq) & (F.col("upserts") > 0))
-               .agg(F.max("snapshotseq").alias("p")).first())
-        return None if row is None else row["p"]
+    def _pending(self, seq: int) -> list[str]:
+        """Files of the run that no commit names yet."""
+        known = {f for e in self._entries(seq) for f in e.files or []}
+        folder = f"snapshotseq={seq}"
+        names = (f"{folder}/{n}" for n in tables.file_names(self.spark, f"{self.stream_path}/{folder}"))
+        return sorted(n for n in names if n not in known)
+
+    def discard_pending(self, seq: int) -> None:
+        """Remove what a broken attempt of the run left behind."""
+        for name in self._pending(seq):
+            tables.drop_path(self.spark, f"{self.stream_path}/{name}")
+
+    def pending_events(self, seq: int, schema: T.StructType) -> DataFrame:
+        """What this attempt has written so far."""
+        return self._read(self._pending(seq), schema)
+
+    def write_events(self, df: DataFrame) -> None:
+        """Add files to the run's partition; they count once a commit names them."""
+        if self.table is None:
+            tables.append(df.sortWithinPartitions("rowkey"), self.stream_path, ["snapshotseq"])
+            return
+        if not self.spark.catalog.tableExists(self.table):
+            (df.write.mode("overwrite").partitionBy("snapshotseq").bucketBy(int(self.buckets), "rowkey")
+             .sortBy("rowkey").option("path", self.stream_path).saveAsTable(self.table))
+        else:
+            self.spark.catalog.refreshTable(self.table)
+            df.select(*self.spark.table(self.table).columns).write.insertInto(self.table)  # positional
+        self.spark.catalog.refreshTable(self.table)
+
+    def commit(self, run: RunStamp, schema: T.StructType, **counts: int) -> None:
+        """Name the run's pending files in one manifest file, the first time as ``run``, then as ``sweep-<n>``."""
+        done = len(self._entries(run.seq))
+        phase = "run" if done == 0 else f"sweep-{done}"
+        entry = {"snapshotseq": run.seq, "phase": phase, **{c: int(counts.get(c, 0)) for c in COUNTS},
+                 "files": self._pending(run.seq), "columns": schema.json()}
+        tables.create_file(self.spark, f"{self.manifest_path}/{run.seq}-{phase}.json", json.dumps(entry) + "\n")
 
 
 def run_once(spark: SparkSession, source: DataFrame, store: ChangeStore, run: RunStamp,
@@ -157,19 +215,19 @@ def run_once(spark: SparkSession, source: DataFrame, store: ChangeStore, run: Ru
              source_table: str = "source") -> dict:
     """Snapshot + Control 1 + (due) Control 2 for one run. Returns a run summary.
 
-    Write order: the snapshot goes straight into the run's ``snapshotseq``
-    partition with a dynamic overwrite (written once, never copied; the retry of
-    a run that broke off first wipes its partition, the retry of a committed run
-    only catches up on its sweep), the tombstones are appended to that
-    partition, and the run-ledger row follows. The ledger row is the commit
-    marker of snapshot and Control 1: prior-snapshot lookups only see runs that
-    have one, also where Control 2 then fails its guards; the sweep's own audit
-    row is written last.
+    The snapshot goes straight into the run's ``snapshotseq`` partition (written once,
+    never copied), the tombstones are added to it, and one commit names both, also
+    where there are none. So prior-snapshot lookups see a run whose sweep then fails
+    its guards, and an empty window is a snapshot like any other. An attempt first
+    removes what an earlier one left uncommitted; a committed run is never written
+    again and only catches up on its sweep, whose tombstones are a commit of their
+    own and whose audit row is written last.
     """
     rc.validate(sweep.cadence_days, sweep.weekday, sweep.max_age_days, spec.days,
                 sweep.max_delete_pct, sweep.min_source_rows, sweep.on_breach)
     stage = scratch_dir(spark, "tidemark-runs", str(run.seq))
     ws = run.window_start(spec.days, spec.anchor)
+    counts = store.committed(run)
     stream_before = store.stream()
     prior_seq = store.prior_seq(run)
     last = rc.last_sweep(store.sweeps(), run)
@@ -179,35 +237,29 @@ def run_once(spark: SparkSession, source: DataFrame, store: ChangeStore, run: Ru
         obs = Observation(name)
         return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
-    counts = store.committed(run)
-    dels = None
+    store.discard_pending(run.seq)
     if counts is None:
-        counts = {"upserts": 0, "deletes": 0, "reconciles": 0}
         # 1. snapshot, written once into its own partition (identity is the expensive part)
+        counts = dict.fromkeys(COUNTS, 0)
         snap_df, snap_obs = counted(rolling.snapshot(source, run, spec), "upserts")
-        store.write_events(snap_df, replace_run=True)
-        snap = rolling.prior_snapshot(store.run_events(run.seq), run.seq)         # partition-pruned read
+        schema = snap_df.schema
+        store.write_events(snap_df)
+        snap = store.pending_events(run.seq, schema)
         counts["upserts"] = int(snap_obs.get["rows"])
 
         # 2. Control 1
-        if spec.detect_deletes and prior_seq is not None and stream_before is not None:
+        if spec.detect_deletes and prior_seq is not None:
             prior = rolling.prior_snapshot(stream_before, prior_seq)
             already = rolling.deleted_since(stream_before, prior_seq, run)
             d_df, d_obs = counted(rolling.detect_deletes(snap, prior, run, spec, already), "deletes")
-            store.write_events(d_df, replace_run=False)
+            store.write_events(d_df)
             counts["deletes"] = int(d_obs.get["rows"])
-    columns = store.run_events(run.seq).columns
-    if spec.detect_deletes and prior_seq is not None and stream_before is not None:
-        dels = store.run_tombstones(run.seq, "delete")
-
-    # Snapshot and Control 1 are committed before Control 2 is judged: a guard that raises below must not
-    # make the next run compare against an older snapshot.
-    def commit() -> None:
-        ledger = spark.createDataFrame([(run.seq, counts["upserts"], counts["deletes"], counts["reconciles"])],
-                                       RUNS_SCHEMA)
-        tables.overwrite_partitions(ledger.withColumn("run", F.col("snapshotseq")), store.runs_path, ["run"])
 
-    commit()
+        # Committed before Control 2 is judged: a guard that raises below must not make the next run
+        # compare against an older snapshot.
+        store.commit(run, schema, **counts)
+    schema = T.StructType.fromJson(json.loads(store._entries(run.seq)[0].columns))
+    dels = store.run_tombstones(run.seq, "delete") if spec.detect_deletes and prior_seq is not None else None
 
     # 3. Control 2
     due, trigger = rc.sweep_due(last, run, sweep.enabled, sweep.cadence_days, sweep.weekday, sweep.force)
@@ -229,26 +281,24 @@ def run_once(spark: SparkSession, source: DataFrame, store: ChangeStore, run: Ru
                               .select("rowkey"), f"{stage}/orphans")
             metrics = obs.get
             outcome = rc.check_guards(metrics, sweep.min_source_rows, sweep.max_delete_pct, sweep.on_breach)
-            if outcome == "skipped_breach":
-                status = "skipped_breach"
-            else:
-                status = "completed"
-                if outcome == "ok" and stream_before is not None:
-                    # A sweep that broke off may have closed some already.
-                    closed = store.run_tombstones(run.seq, "reconcile")
-                    orph = spark.read.parquet(f"{stage}/orphans").join(closed, "rowkey", "left_anti")
-                    t_df = rc.tombstones(stream_before, orph, run, spec, silver)
-                    store.write_events(select_names(t_df, columns), replace_run=False)
-                    counts["reconciles"] = store.run_tombstones(run.seq, "reconcile").count()
+            status = "completed" if outcome != "skipped_breach" else outcome
+            if outcome == "ok" and stream_before is not None:
+                # An attempt whose audit row got lost has closed some already.
+                closed = store.run_tombstones(run.seq, "reconcile")
+                orph = spark.read.parquet(f"{stage}/orphans").join(closed, "rowkey", "left_anti")
+                t_df, t_obs = counted(rc.tombstones(stream_before, orph, run, spec, silver), "reconciles")
+                store.write_events(select_names(t_df, schema.names))
+                added = int(t_obs.get["rows"])
+                if added:
+                    store.commit(run, schema, reconciles=added)
+                counts["reconciles"] += added
             # Orphans with no upsert history count toward the guard but get no tombstone.
             summary["no_payload"] = int(metrics["orphan_count"]) - counts["reconciles"] \
                 if status == "completed" else None
         summary.update(sweep_status=status, sweep_metrics=metrics)
 
-    # 4. the ledger row again if tombstones were added, and the sweep audit row
+    # 4. the sweep audit row
     summary.update(counts)
-    if counts["reconciles"]:
-        commit()
     if status is not None:
         row = rc.log_row(spark, source_table, run, trigger, sweep.max_age_days, counts["reconciles"], status)
         tables.overwrite_partitions(row.withColumn("run", F.col("snapshotseq")), store.sweeps_path, ["run"])

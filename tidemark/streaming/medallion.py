@@ -29,6 +29,7 @@ from tidemark.operators import project as proj
 from tidemark.operators import quality, scd
 from tidemark.session import RunStamp
 from tidemark.sources import files, tables
+from tidemark.streaming.change_capture import COMMIT_SCHEMA, ChangeStore
 from tidemark.streaming.scd_stream import ScdSink
 
 
@@ -183,14 +184,40 @@ def stored_schema(spark: SparkSession, src: files.FileSource, checkpoint: str,
 
 
 def bronze_stream(spark: SparkSession, staging_path: str, ingested_at: Column | None = None) -> DataFrame:
-    schema = tables.merged_schema(spark, staging_path)
-    return (spark.readStream.schema(schema).parquet(staging_path).drop(LISTING_COL)
-            .withColumn("_bronze_ingested_at", _now(ingested_at)))
+    return _table_stream(spark, staging_path).withColumn("_bronze_ingested_at", _now(ingested_at))
 
 
-def ingest_bronze(spark: SparkSession, staging_path: str, bronze_path: str, checkpoint: str,
+def _table_stream(spark: SparkSession, path: str) -> DataFrame:
+    """Stream of a table's rows, without the column that only keeps batches apart."""
+    return spark.readStream.schema(tables.merged_schema(spark, path)).parquet(path).drop(LISTING_COL)
+
+
+def ingest_bronze(spark: SparkSession, staging: str | ChangeStore, bronze_path: str, checkpoint: str,
                   ingested_at: Column | None = None):
-    return write_stream(bronze_stream(spark, staging_path, ingested_at), bronze_path, checkpoint)
+    """Bronze of a staging folder, or of a change store's committed runs (``ingest_runs``)."""
+    if isinstance(staging, ChangeStore):
+        return ingest_runs(spark, staging, bronze_path, checkpoint, ingested_at)
+    return write_stream(bronze_stream(spark, staging, ingested_at), bronze_path, checkpoint)
+
+
+def ingest_runs(spark: SparkSession, store: ChangeStore, bronze_path: str, checkpoint: str,
+                ingested_at: Column | None = None):
+    """Append a change store's events to Bronze, each exactly once and only when its run has committed.
+
+    The stream follows the store's manifest and reads the files that new commits name, so files of a run
+    that broke off, or is still being written, are never seen. A batch writes its own ``_listing``
+    partition and a repeated batch replaces it.
+    """
+    if store.commits() is None:
+        return None
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        entries = batch.collect()  # one row for each commit
+        if entries:
+            rows = store.read_commits(entries).withColumn("_bronze_ingested_at", _now(ingested_at))
+            tables.overwrite_partitions(rows.withColumn(LISTING_COL, F.lit(int(batch_id)).cast("long")), bronze_path, [LISTING_COL])
+
+    return _drain(spark.readStream.schema(COMMIT_SCHEMA).json(store.manifest_path), take, checkpoint)
 
 
 LISTING_COL = "_listing"
@@ -340,8 +367,7 @@ BATCH_COL = "batch"
 
 def silver_view(spark: SparkSession, bronze_path: str, spec: SilverSpec, name: str | None = None) -> DataFrame:
     """The gated, projected Silver stream as a session temp view (not persisted)."""
-    schema = tables.merged_schema(spark, bronze_path)
-    stream = spark.readStream.schema(schema).parquet(bronze_path)
+    stream = _table_stream(spark, bronze_path)
     aliases = None
     if spec.silver_columns:
         aliases = proj.project(stream, spec.silver_columns, spec.allow_missing_columns, normalize=False).aliases()
@@ -352,8 +378,7 @@ def silver_view(spark: SparkSession, bronze_path: str, spec: SilverSpec, name: s
 
 
 def run_silver(spark: SparkSession, bronze_path: str, sink: SilverSink, checkpoint: str):
-    schema = tables.merged_schema(spark, bronze_path)
-    stream = spark.readStream.schema(schema).parquet(bronze_path)
+    stream = _table_stream(spark, bronze_path)
     q = (stream.writeStream.foreachBatch(sink.process).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
