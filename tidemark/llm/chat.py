@@ -141,7 +141,7 @@ def read_loss(text: str, spans: list[tuple[int, int]]) -> str:
     return "".join(unescape(text[a:b]) for a, b in spans)
 
 
-SCHEMA = ("{id} {type}, n_turns long, formatted string, loss array<struct<first: long, last: long>>, "
+SCHEMA = ("id string, n_turns long, formatted string, loss array<struct<first: long, last: long>>, "
           "attachments array<struct<kind: string, number: long, ref: string, at: long, tokens: long>>")
 
 
@@ -151,9 +151,12 @@ def format_conversations(rows: DataFrame, *, id_col: str = "conv_id", turn_col:
 
     ``parts_col`` names an array of structs with a ``type`` and the fields of that
     type (text, ref, width, height, seconds, pages); without it a turn is one text part.
+    Other columns of the turns are not returned. Ids of any atomic type travel as
+    strings, since pandas would turn long ids beside a null into floats.
     """
-    id_type = dict(rows.dtypes)[id_col]
-    work = (rows.select(F.col(id_col).alias("id"), F.col(turn_col).alias("turn"),
+    id_type = rows.select(F.col(id_col)).schema[0].dataType.simpleString()
+    packed = F.base64(id_col) if id_type == "binary" else F.col(id_col).cast("string")
+    work = (rows.select(packed.alias("id"), F.col(turn_col).alias("turn"),
                         F.coalesce(role_col, F.lit("")).alias("role"), F.coalesce(text_col, F.lit("")).alias("text"),
                         (F.to_json(parts_col) if parts_col else F.lit(None).cast("string")).alias("parts"))
             .repartition("id").sortWithinPartitions("id", "turn", "role", "text", "parts"))
@@ -165,10 +168,10 @@ def format_conversations(rows: DataFrame, *, id_col: str = "conv_id", turn_col:
             f = format_turns(turns)
             return (key, f.n_turns, f.text, [{"first": a, "last": b} for a, b in f.loss], f.attachments)
 
-        open_key, turns, names = None, [], [id_col, "n_turns", "formatted", "loss", "attachments"]
+        open_key, turns, names = None, [], ["id", "n_turns", "formatted", "loss", "attachments"]
         for batch in batches:
             done = []
-            keys = batch["id"].astype(object).where(batch["id"].notna(), None)
+            keys = batch["id"].where(batch["id"].notna(), None)
             for key, role, text, parts in zip(keys, batch["role"], batch["text"], batch["parts"]):
                 if turns and key != open_key:
                     done.append(row(open_key, turns))
@@ -180,7 +183,9 @@ def format_conversations(rows: DataFrame, *, id_col: str = "conv_id", turn_col:
         if turns:
             yield pd.DataFrame([row(open_key, turns)], columns=names)
 
-    return work.mapInPandas(run, SCHEMA.format(id=f"`{id_col}`", type=id_type))
+    done = work.mapInPandas(run, SCHEMA)
+    unpacked = F.unbase64("id") if id_type == "binary" else F.col("id").cast(id_type)
+    return done.select(unpacked.alias(id_col), "n_turns", "formatted", "loss", "attachments")
 
 
 def digest_udf():
