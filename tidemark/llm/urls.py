@@ -21,7 +21,7 @@ skew handling. Verdicts of captures without a match are ``none``.
 
 Defined results: a null or unparsable URL, or a null fetch time, is judged
 ``none``; scheme, user, port, query and fragment are ignored, hosts compare in
-lower case without a trailing dot, paths in lower case; entries with a null pattern or date are
+lower case without a trailing dot, a bracketed address is one label, paths in lower case; entries with a null pattern or date are
 ignored; two entries of a pattern at one time: ``allow``, then ``block``, then
 ``remove`` takes effect; repeated captures each get the verdict; no entries, no
 matches.
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from .common import nest, table, unnest
 
-_HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?([^/?#:@]+)"
+_HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?(\[[^/?#@\]]*\]|[^/?#:@]+)"
 _PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)"
 
 
