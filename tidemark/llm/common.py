@@ -7,6 +7,7 @@ with working columns; output columns replace input columns of the same name.
 
 from __future__ import annotations
 
+import atexit
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -28,12 +29,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and continue from there.
 
-    The folder is the session's ``spark.checkpoint.dir``; files go when the
-    session's context cleaner finds the frame unused (cleanCheckpoints).
+    The folder is the session's ``spark.checkpoint.dir``. The files stay while results
+    may read them: until ``release``, or else until the Python session ends.
     """
-    if not df.sparkSession.sparkContext.getCheckpointDir():
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
         scratch_dir(df.sparkSession)  # registers spark.checkpoint.dir
-    return df.checkpoint(eager=True)
+    done = df.checkpoint(eager=True)
+    files = done._jdf.queryExecution().logical().rdd().getCheckpointFile()
+    if files.isDefined():
+        if not _CUTS:
+            atexit.register(release, df.sparkSession)
+        _CUTS.append(files.get())
+    return done
+
+
+def cuts() -> int:
+    """Number of cuts that are held, to ``release`` later ones only."""
+    return len(_CUTS)
+
+
+def release(spark: SparkSession, since: int = 0) -> None:
+    """Remove the files of all cuts after the first ``since``; frames that read them can no longer be used."""
+    held, _CUTS[since:] = _CUTS[since:], []
+    for folder in held:
+        try:
+            drop_folder(spark, folder)
+        except Exception:  # the session has ended before
+            return
+
+
+_CUTS: list[str] = []
 
 
 def nest(df: DataFrame, columns: Iterable[str], **named: Column) -> DataFrame:
