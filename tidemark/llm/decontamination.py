@@ -10,9 +10,12 @@ looked at. At shift 0 the block's bucket lists the patterns that end in it, and
 direct comparison of the words confirms occurrences.
 
 Documents are searched in Arrow batches without a shuffle; other columns of the
-row never enter Python. The benchmark is the stated pattern set: it is read in
-blocks of about ``block_bytes`` of text, each sent to the executors once, and a
-worker holds the built searcher of one block at a time if there are several.
+row never enter Python. The benchmark is the stated pattern set: its distinct texts
+are read in blocks of about ``block_bytes``, and each block is one pass over the
+documents, for which it is sent to the executors, built once a worker, and dropped
+again. So neither the driver nor a worker ever holds more than one block, however
+large the benchmark is; with several blocks the documents are written once to the
+shared folder, and only rows with occurrences leave a pass.
 
 Defined results: null and empty texts have no words and are clean; items without
 words never occur; repeated items and items that share a window all count; items
@@ -32,7 +35,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import nest, table, unnest
+from .common import cut, nest, table, unnest
 
 #: Byte table: capitals lowered, every other ASCII character outside 0-9 and a-z made a blank.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -45,31 +48,53 @@ def words(text: str | None) -> list[bytes]:
 
 
 class Searcher:
-    """Wu-Manber over word numbers for patterns of one length."""
+    """Wu-Manber over word numbers for patterns of one length.
 
-    def __init__(self, length: int, patterns: dict[tuple[int, ...], set[str | None]]):
+    A pattern is a place in a text's number list, so a window takes no copy of its words.
+    """
+
+    def __init__(self, length: int):
         self.length, self.block = length, min(2, length)
         self.most = length - self.block + 1
-        self.shift: dict[tuple[int, ...], int] = {}
-        self.bucket: dict[tuple[int, ...], list[tuple[list[int], set[str | None]]]] = defaultdict(list)
-        for pattern, items in patterns.items():
-            for end in range(self.block, length + 1):
-                block = pattern[end - self.block:end]
-                self.shift[block] = min(self.shift.get(block, self.most), length - end)
-            self.bucket[pattern[-self.block:]].append((list(pattern), items))
-
-    def occurrences(self, seq: list[int]) -> Iterator[tuple[int, set[str | None]]]:
+        self.shift: dict[int, int] = {}
+        self.bucket: dict[int, list[list]] = {}
+        self._same: dict[int, list[list]] = {}  # patterns by the hash of their words, while building
+
+    def add(self, seq: list[int], at: int, items: frozenset[str | None]) -> None:
+        words_ = seq[at:at + self.length]
+        alike = self._same.setdefault(hash(tuple(words_)), [])
+        for pattern in alike:
+            if pattern[0][pattern[1]:pattern[1] + self.length] == words_:
+                pattern[2] = pattern[2] | items
+                return
+        pattern = [seq, at, items]
+        alike.append(pattern)
+        for end in range(self.block, self.length + 1):
+            key = self.key(words_, end)
+            self.shift[key] = min(self.shift.get(key, self.most), self.length - end)
+        self.bucket.setdefault(self.key(words_, self.length), []).append(pattern)
+
+    def built(self) -> "Searcher":
+        self._same = {}
+        return self
+
+    def key(self, seq: list[int], end: int) -> int:
+        """The block that ends before ``end``; never a known one if a word is unknown (-1)."""
+        return seq[end - 1] if self.block == 1 else (seq[end - 2] << 32) + seq[end - 1]
+
+    def occurrences(self, seq: list[int]) -> Iterator[tuple[int, frozenset[str | None]]]:
         """(first position, items) of every occurrence, by position."""
-        shift, m, b, most, n = self.shift.get, self.length, self.block, self.most, len(seq)
+        shift, m, most, n, two = self.shift.get, self.length, self.most, len(seq), self.block == 2
         end = m
         while end <= n:
-            block = tuple(seq[end - b:end])
-            jump = shift(block, most)
+            key = (seq[end - 2] << 32) + seq[end - 1] if two else seq[end - 1]
+            jump = shift(key, most)
             if jump:
                 end += jump
                 continue
-            for pattern, items in self.bucket[block]:
-                if seq[end - m:end] == pattern:
+            words_ = seq[end - m:end]
+            for of, at, items in self.bucket[key]:
+                if of[at:at + m] == words_:
                     yield end - m, items
             end += 1
 
@@ -79,13 +104,16 @@ class PatternSet:
 
     def __init__(self, rows: list[tuple[str | None, str | None]], window: int):
         self.number: dict[bytes, int] = {}
-        by_length: dict[int, dict[tuple[int, ...], set[str | None]]] = defaultdict(lambda: defaultdict(set))
+        of_text: dict[str | None, set[str | None]] = defaultdict(set)
         for item, text in rows:
+            of_text[text].add(item)
+        by_length: dict[int, Searcher] = {}
+        for text, items in of_text.items():
             seq = [self.number.setdefault(w, len(self.number)) for w in words(text)]
-            m = min(window, len(seq))
+            m, items = min(window, len(seq)), frozenset(items)
             for at in range(len(seq) - m + 1 if m else 0):
-                by_length[m][tuple(seq[at:at + m])].add(item)
-        self.searchers = [Searcher(m, p) for m, p in sorted(by_length.items())]
+                by_length.setdefault(m, Searcher(m)).add(seq, at, items)
+        self.searchers = [by_length[m].built() for m in sorted(by_length)]
 
     def search(self, found: list[bytes]) -> tuple[list[tuple[int, int]], set[str | None]]:
         number = self.number.get
@@ -109,48 +137,80 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def search_udf(blocks: list, window: int):
-    """``blocks``: broadcasts of {'rows': [...]}; a single block's searcher stays built in the worker."""
+def search_udf(block, window: int):
+    """``block``: broadcast of {'rows': [...]}, whose searchers stay built in the worker."""
     @F.pandas_udf(HITS)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        held = block.value
+        built = held.setdefault("built", None) or PatternSet(held["rows"], window)
+        held["built"] = built
         for texts in batches:
-            found = [words(t) for t in texts]
-            spans: list[list] = [[] for _ in found]
-            items: list[set] = [set() for _ in found]
-            for block in blocks:
-                held = block.value
-                built = held.get("built") or PatternSet(held["rows"], window)
-                if len(blocks) == 1:
-                    held["built"] = built
-                for i, f in enumerate(found):
-                    a, b = built.search(f)
-                    spans[i] += a
-                    items[i] |= b
-            joined = [merged(x) for x in spans]
-            yield pd.DataFrame({
-                "n_words": [len(f) for f in found], "n_hit": [sum(b - a for a, b in x) for x in joined],
-                "spans": [[{"first": a, "last": b} for a, b in x] for x in joined],
-                "items": [sorted(x, key=lambda i: (i is None, i or "")) for x in items]})
+            out = []
+            for text in texts:
+                found = words(text)
+                spans, items = built.search(found)
+                spans = merged(spans)
+                out.append((len(found), sum(b - a for a, b in spans), [{"first": a, "last": b} for a, b in spans],
+                            sorted(items, key=lambda i: (i is None, i or ""))))
+            yield pd.DataFrame(out, columns=["n_words", "n_hit", "spans", "items"])
+    return run
+
+
+def joined_udf():
+    """The hits of one document's passes as one."""
+    @F.pandas_udf("n_hit: long, spans: array<struct<first: long, last: long>>, items: array<string>")
+    def run(spans: pd.Series, items: pd.Series) -> pd.DataFrame:
+        out = []
+        for some, of in zip(spans, items):
+            union = merged([(x["first"], x["last"]) for x in some])
+            out.append((sum(b - a for a, b in union), [{"first": a, "last": b} for a, b in union],
+                        sorted(set(of), key=lambda i: (i is None, i or ""))))
+        return pd.DataFrame(out, columns=["n_hit", "spans", "items"])
     return run
 
 
-def item_blocks(items: DataFrame, id_col: str, text_col: str, block_bytes: int) -> list:
-    """The items on the executors, in blocks of about ``block_bytes`` of text."""
-    spark = items.sparkSession
-    rows = items.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).alias("t"))
-    total = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+def item_blocks(items: DataFrame, id_col: str, text_col: str, block_bytes: int) -> tuple[DataFrame, int]:
+    """(block, t, ids) of the distinct item texts, and the number of blocks of about ``block_bytes``."""
+    texts = (items.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("t"))
+             .groupBy("t").agg(F.collect_set(F.struct("i")).alias("ids")))
+    total = texts.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     count = max(1, -(-total // block_bytes))
-    part = F.pmod(F.xxhash64("i", "t"), F.lit(count))
-    return [spark.sparkContext.broadcast({"rows": [(r.i, r.t) for r in rows.filter(part == k).collect()]})
-            for k in range(count)]
+    return texts.withColumn("block", F.pmod(F.xxhash64("t"), F.lit(count))), count
+
+
+def _sent(texts: DataFrame, block: int):
+    """One block on the executors."""
+    rows = texts.filter(F.col("block") == block).select("t", "ids").collect()
+    return texts.sparkSession.sparkContext.broadcast({"rows": [(x.i, r.t) for r in rows for x in r.ids]})
 
 
 def find_items(docs: DataFrame, items: DataFrame, *, window: int = 13, text_col: str = "text",
-               item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = 16 << 20) -> DataFrame:
+               item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = 2 << 20) -> DataFrame:
     """Add n_words, n_hit, spans (disjoint word ranges [first, last)) and items (sorted ids, null last) to every row."""
-    blocks = item_blocks(items, item_col, item_text_col, block_bytes)
-    rows = nest(docs, docs.columns, _hits=search_udf(blocks, window)(F.col(text_col)))
-    return unnest(rows, docs.columns, **{c: F.col(f"_hits.{c}") for c in ("n_words", "n_hit", "spans", "items")})
+    texts, count = item_blocks(items, item_col, item_text_col, block_bytes)
+    columns = ("n_words", "n_hit", "spans", "items")
+    if count == 1:
+        rows = nest(docs, docs.columns, _hits=search_udf(_sent(texts, 0), window)(F.col(text_col)))
+        return unnest(rows, docs.columns, **{c: F.col(f"_hits.{c}") for c in columns})
+    texts = cut(texts)
+    rows = cut(nest(docs, docs.columns, _text=F.col(text_col), _at=F.monotonically_increasing_id()))
+    hits = None
+    for block in range(count):
+        sent = _sent(texts, block)
+        found = rows.select("_at", search_udf(sent, window)("_text").alias("h"))
+        if block == 0:  # every pass counts the same words
+            found = cut(found)
+            n_words = found.select("_at", F.col("h.n_words").alias("_n"))
+        found = found.filter("h.n_hit > 0").select("_at", "h.spans", "h.items")
+        found = found if block == 0 else cut(found)
+        sent.destroy()
+        hits = found if hits is None else hits.unionByName(found)
+    whole = (hits.groupBy("_at").agg(F.flatten(F.collect_list("spans")).alias("s"), F.flatten(F.collect_list("items")).alias("i"))
+             .select("_at", joined_udf()("s", "i").alias("_hits")))
+    rows = rows.join(n_words, "_at").join(whole, "_at", "left")
+    none = {"n_hit": F.lit(0).cast("long"), "spans": F.array().cast("array<struct<first: long, last: long>>"),
+            "items": F.array().cast("array<string>")}
+    return unnest(rows, docs.columns, n_words=F.col("_n"), **{c: F.coalesce(F.col(f"_hits.{c}"), x) for c, x in none.items()})
 
 
 def is_contaminated(share: int = 20) -> Column:
