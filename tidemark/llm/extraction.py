@@ -154,16 +154,24 @@ class Labeller:
             grads[f"c{d}"] = dgates.sum((0, 1))
         return grads
 
-    def predict(self, pages: list[list[Block]], batch: int = 256) -> list[np.ndarray]:
-        """Probability of main text for each block of each page."""
+    def predict(self, pages: list[list[Block]], cells: int = 1 << 16) -> list[np.ndarray]:
+        """Probability of main text for each block of each page.
+
+        Pages run side by side, padded to the longest of their group; a group has at
+        most ``cells`` places unless one page alone has more.
+        """
         paths: dict[frozenset, int] = {}
         ids = [np.array([paths.setdefault(b.tokens, len(paths)) for b in page], np.int64) for page in pages]
         vectors = np.stack([path_vector(t) for t in paths]) if paths else np.zeros((0, PATH), np.float32)
         of_path = {k: vectors @ self.p[k][:PATH] for k in ("xf", "xb", "own")}
         out: list[np.ndarray] = [np.zeros(0)] * len(pages)
         order = sorted((i for i in range(len(pages)) if pages[i]), key=lambda i: len(pages[i]))
-        for s in range(0, len(order), batch):
-            group = order[s:s + batch]
+        groups: list[list[int]] = []
+        for i in order:  # by length, so the latest page is the longest
+            if not groups or (len(groups[-1]) + 1) * len(pages[i]) > cells:
+                groups.append([])
+            groups[-1].append(i)
+        for group in groups:
             steps = len(pages[group[-1]])
             gates = {d: np.zeros((steps, len(group), 4 * HIDDEN), np.float32) for d in "fb"}
             own, mask = np.zeros((steps, len(group)), np.float32), np.zeros((steps, len(group)), bool)
@@ -255,7 +263,7 @@ def fit(pages: list[str], plans: int = 400, seed: int = 5) -> Labeller:
         if page and labels:
             examples.append((page, labels))
             for b, y in zip(page, labels):
-                (good if y else other).append(b.text[:400])  # training texts only
+                (good if y else other).append(b.text)
     good, other = good or ["Some words of a text.", "More words, and an end."], other or ["menu", "share this", "all rights"]
     for _ in range(plans):
         page = blocks(rearranged(r, good, other))
@@ -271,27 +279,33 @@ def main_text(page: list[Block], probability: np.ndarray) -> str:
     return " ".join(b.text for b, p in zip(page, probability) if p >= 0.5)
 
 
-def extract_udf(weights):
-    """``weights``: broadcast of the fitted parameters."""
+def extract_udf(weights, held_blocks: int = 1 << 15):
+    """``weights``: broadcast of the fitted parameters; blocks are held for one group of pages at a time."""
     @F.pandas_udf("text: string, n_chars: long, n_blocks: long, n_kept: long")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = Labeller()
         model.p = weights.value
         for batch in batches:
-            pages = [blocks(p) for p in batch]
-            found = model.predict(pages)
-            texts = [main_text(p, q) for p, q in zip(pages, found)]
-            yield pd.DataFrame({"text": texts, "n_chars": [len(t) for t in texts], "n_blocks": [len(p) for p in pages],
-                                "n_kept": [int((q >= 0.5).sum()) for q in found]})
+            out, pages = [], []
+            for i, html in enumerate(batch):
+                pages.append(blocks(html))
+                if i + 1 == len(batch) or sum(map(len, pages)) >= held_blocks:
+                    for page, q in zip(pages, model.predict(pages)):
+                        text = main_text(page, q)
+                        out.append((text, len(text), len(page), int((q >= 0.5).sum())))
+                    pages = []
+            yield pd.DataFrame(out, columns=["text", "n_chars", "n_blocks", "n_kept"])
     return run
 
 
 def train(pages: DataFrame, *, sample: int = 150, id_col: str = "page_id", html_col: str = "html") -> Labeller:
-    """Fit on at most ``sample`` pages, chosen by a hash of the id."""
-    ids = (pages.select(F.col(id_col).alias("id")).filter("id IS NOT NULL").orderBy(F.xxhash64("id"), "id").limit(sample))
+    """Fit on at most ``sample`` whole pages, chosen by a hash of the id; of an id's pages the one with the smallest hash."""
+    ids = (pages.select(F.col(id_col).alias("id")).filter("id IS NOT NULL").distinct()
+           .orderBy(F.xxhash64("id"), "id").limit(sample))
     rows = (pages.select(F.col(id_col).alias("id"), F.col(html_col).alias("html"))
-            .join(F.broadcast(ids.distinct()), "id")  # at most ``sample`` ids
-            .dropDuplicates(["id"]).orderBy("id").collect())
+            .join(F.broadcast(ids), "id")  # at most ``sample`` ids
+            .groupBy("id").agg(F.min(F.struct(F.col("html").isNull(), F.xxhash64("html"), "html")).getField("html").alias("html"))
+            .orderBy("id").collect())
     return fit([x.html for x in rows])
 
 
