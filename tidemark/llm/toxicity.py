@@ -7,8 +7,10 @@ labels), by accelerated proximal gradient steps on
 
     weighted log loss + l1 * |w| + cf * sum over swaps of (z(x) - z(x'))^2
 
-where x' is a labelled sentence x with an identity term replaced by another of
-its family. Every family holds a neutral word, which never is a feature, so a
+where x' is a labelled text x with an identity term replaced by another of its
+family throughout. A labelled text that names none gets a mention of one inserted
+first (which, by a hash of the text), so that both classes take part in the penalty
+whether or not the corpus speaks of groups. Every family holds a neutral word, which never is a feature, so a
 term that is merely common in toxic texts is pulled towards no weight at all
 instead of becoming evidence of its own; plain mentions of a group stay below
 the limit.
@@ -27,6 +29,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -39,7 +42,6 @@ from pyspark.sql import functions as F
 from .common import cut, hash_slice, nest, table, unnest
 
 _TOKEN = re.compile(r"[^\W\d_]+")
-_SENTENCE = re.compile(r"[.!?\n]+")
 
 #: Identity terms by family; the first word of each family is its neutral member.
 FAMILIES = (
@@ -91,14 +93,18 @@ class Model:
 
 
 def swaps(text: str | None) -> Counter:
-    """(term, replacement) pairs over the sentences of a text that name an identity term."""
-    family = {t: f for f in FAMILIES for t in f[1:]}
-    out: Counter = Counter()
-    for sentence in _SENTENCE.split(text.lower() if text else ""):
-        present = set(_TOKEN.findall(sentence))
-        for term in present & family.keys():
-            out.update((term, other) for other in family[term] if other not in present)
-    return out
+    """(term, replacement) pairs of a text: each identity term that it names, or an inserted one, by each of its
+    family that the text lacks. The score sees which words a text has, so a pair's score change is the difference
+    of the two weights."""
+    present = set(tokens(text))
+    if not present:
+        return Counter()
+    found = {t: f for f in FAMILIES for t in f[1:] if t in present}
+    if not found:
+        at = zlib.crc32(text.encode())
+        family = FAMILIES[at % len(FAMILIES)]
+        found = {family[1 + at // len(FAMILIES) % (len(family) - 1)]: family}
+    return Counter((term, other) for term, family in found.items() for other in family if other != term and other not in present)
 
 
 def fit(rows: Iterable[tuple[Iterable[str], Counter, int, float]], *, l1: float = 5e-6, cf: float = 0.05,
@@ -138,7 +144,7 @@ def fit(rows: Iterable[tuple[Iterable[str], Counter, int, float]], *, l1: float
     for _ in range(steps):
         z = ahead_b + np.bincount(row, ahead[col], minlength=len(rows))
         gap = c * (1 / (1 + np.exp(-np.clip(z, -60, 60))) - y)
-        grad = np.bincount(col, gap[row], minlength=size)
+        grad = np.bincount(col, gap[row], minlength=size).astype(float)
         if len(often):
             pull = 2 * cf * often * (ahead[first] - np.append(ahead, 0.0)[second])
             grad += np.bincount(first, pull, minlength=size) - np.bincount(second, pull, minlength=size + 1)[:size]
