@@ -111,3 +111,43 @@ def test_hot_key_timestamps(spark):
     plain = scd.scd2(ev, ["user_id"], "ts", track=["event_type"], hot_key_rows=None)
     chunked = scd.scd2(ev, ["user_id"], "ts", track=["event_type"], hot_key_rows=3, chunks=8)
     assert _rows_sorted(plain) == _rows_sorted(chunked)
+
+
+ALONE = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+
+
+def test_one_key_with_iso_dates_is_spread_over_tasks(spark):
+    rows = [("hot", f"2024-01-{1 + i // 1440 % 28:02d} {i // 60 % 24:02d}:{i % 60:02d}", "AB"[i // 7 % 2], i) for i in range(20_000)]
+    df = spark.createDataFrame(rows, "k string, at string, state string, payload int").repartition(8)
+    before = {k: spark.conf.get(k) for k in ALONE}
+    for k, v in ALONE.items():
+        spark.conf.set(k, v)
+    try:
+        out = scd.scd2(df, ["k"], "at", track=["state"], hot_key_rows=100).withColumn("task", F.spark_partition_id())
+        tasks = [r["count"] for r in out.groupBy("task").count().collect()]
+        plain = scd.scd2(df, ["k"], "at", track=["state"], hot_key_rows=None)
+        assert _rows_sorted(out.drop("task")) == _rows_sorted(plain)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(tasks) == 8 and max(tasks) < 0.35 * sum(tasks)
+
+
+@pytest.mark.parametrize("rows_, chunks", [(1, 1000), (1, 3), (5, 7), (50, 1)])
+def test_islands_across_chunks(spark, rows_, chunks):
+    rnd = random.Random(rows_)
+    rows = [(rnd.choice("abc"), rnd.randint(0, 60), rnd.choice("xxxxxxy"), i) for i in range(400)]
+    rows += [("long", s, "same", s) for s in range(300)] + [("one", 1, "x", 1)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    plain = scd.scd2(df, ["k"], "seq", track=["state"], hot_key_rows=None)
+    cut = scd.scd2(df, ["k"], "seq", track=["state"], hot_key_rows=rows_, chunks=chunks)
+    assert _rows_sorted(plain) == _rows_sorted(cut)
+    assert cut.where("k = 'long'").count() == 1
+
+
+def test_no_job_while_planning(spark):
+    jobs = spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs
+    df = spark.createDataFrame([("a", 1, "x", 0)] * 3, SCHEMA)
+    before = jobs()
+    scd.scd2(df, ["k"], "seq", track=["state"])
+    assert jobs() == before

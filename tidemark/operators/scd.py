@@ -24,9 +24,12 @@ Because the result depends only on the set of rows, arrival order and batch
 splits do not matter (late data is handled by recomputing affected keys, see
 ``streaming.scd_stream``).
 
-Plan shape: one shuffle on the keys; both windows and the island aggregate
-reuse that partitioning (``explain`` shows a single Exchange). The island
-aggregate is partial/final, so a long unchanged island never buffers.
+Plan shape: one shuffle of the rows; the windows and the island aggregate reuse
+that partitioning. The island aggregate is partial/final, so a long unchanged
+island never buffers. A key's history is cut into chunks of about ``hot_key_rows``
+rows, so no task holds a key whole, whatever its size or the type of its sequence;
+chunks are versioned on their own and joined through a bounded summary. No job
+runs while the plan is made.
 """
 
 from __future__ import annotations
@@ -109,10 +112,10 @@ def scd1(changes: DataFrame, keys: Sequence[str], seq: str, tie_break: Column |
 # Working column: content hash of a change row.
 CONTENT = "_content_order"
 
-# Keys with more change rows than this are versioned by the chunked path.
-HOT_KEY_ROWS = 2_000_000
-# Sequence-quantile chunks per hot key.
-HOT_KEY_CHUNKS = 256
+# About how many rows of one key are versioned together.
+HOT_KEY_ROWS = 100_000
+# Most cuts over all keys: bounds what is broadcast. Beyond HOT_KEY_ROWS * HOT_KEY_CHUNKS rows chunks grow.
+HOT_KEY_CHUNKS = 65_536
 
 
 def scd2(changes: DataFrame, keys: Sequence[str], seq: str, track: Sequence[str] | None = None,
@@ -121,15 +124,12 @@ def scd2(changes: DataFrame, keys: Sequence[str], seq: str, track: Sequence[str]
          chunks: int = HOT_KEY_CHUNKS) -> DataFrame:
     """Versions per key (rules in the module docstring).
 
-    Skew: a key with more than ``hot_key_rows`` rows (one user holding a third
-    of all events) would put its whole history in one window task. Such keys
-    are found by a partial aggregate and versioned by ``_versions_chunked``,
-    which splits each one into ``chunks`` sequence-quantile ranges and stitches
-    the ranges through a small per-chunk summary. The routing joins are left to
-    AQE (the hot-key table is at most rows / hot_key_rows long and is broadcast
-    only when its runtime size allows). Detection is one small job over the
-    key columns; ``hot_key_rows=None`` skips it when keys are bounded by
-    construction.
+    Skew: one user may hold a third of all events. A change whose key and sequence
+    hash to 0 modulo ``hot_key_rows`` begins a chunk of its key, so the cuts follow
+    from the data alone, come about every ``hot_key_rows`` changes, and keep equal
+    sequences together; of more than ``chunks`` such changes those with the smallest
+    hash count. Rows are shuffled by key and chunk. ``hot_key_rows=None`` leaves keys
+    whole where they are bounded by construction.
     """
     keys = list(keys)
     df = _checked(changes, keys, seq)
@@ -137,21 +137,10 @@ def scd2(changes: DataFrame, keys: Sequence[str], seq: str, track: Sequence[str]
     df = df.withColumn(CONTENT, content_order(df))
     tracked = tracked_columns(cols, keys, seq, track, except_track)
     payload = [c for c in cols if c not in keys]
-    args = (keys, seq, tracked, payload, tie_break)
-    hot = None
-    if hot_key_rows is not None:
-        hot = (df.groupBy(*[_q(k) for k in keys]).agg(F.count(F.lit(1)).alias("_rows"))
-               .where(F.col("_rows") > int(hot_key_rows)).select(*[_q(k) for k in keys]))
-        # One cheap job (key columns only, map-side partial counts): the
-        # chunked plan is only built when a hot key actually exists.
-        if not hot.take(1):
-            hot = None
-    if hot is None:
-        out = _versions(df, *args)
+    if hot_key_rows is None:
+        out = _versions(df, keys, seq, tracked, payload, tie_break)
     else:
-        cold = _versions(df.join(hot, keys, "left_anti"), *args)
-        warm = _versions_chunked(df.join(hot, keys, "left_semi"), *args, chunks=chunks)
-        out = cold.unionByName(warm)
+        out = _versions_chunked(df, keys, seq, tracked, payload, tie_break, int(hot_key_rows), int(chunks))
     keep = [c for c in cols if c not in set(except_columns)] + [START_AT, END_AT]
     return select_names(out, keep)
 
@@ -182,97 +171,96 @@ def _state(tracked: Sequence[str]) -> Column:
     return F.expr(f"struct({', '.join(quote(c) for c in tracked)})") if tracked else F.expr("struct(0)")
 
 
-def _versions(df: DataFrame, keys, seq, tracked, payload, tie_break) -> DataFrame:
-    """Gaps and islands with windows partitioned by the key (one shuffle)."""
-    w = Window.partitionBy(*[_q(k) for k in keys]).orderBy(*_order(seq, tie_break))
-    df = _drop_ties(df, w, seq)
-    marked = (
-        df.withColumn("_state", _state(tracked))
+def _islands(df: DataFrame, group: Sequence[str], seq: str, tracked, tie_break) -> DataFrame:
+    """Rows without ties, with their island's number inside ``group`` and the next row's sequence."""
+    w = Window.partitionBy(*[_q(k) for k in group]).orderBy(*_order(seq, tie_break))
+    return (
+        _drop_ties(df, w, seq).withColumn("_state", _state(tracked))
         .withColumn("_start", (~F.col("_state").eqNullSafe(F.lag("_state").over(w))).cast("int"))
         .withColumn("_island", F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
         .withColumn("_next", F.lead(_q(seq)).over(w))
     )
-    return _fold(marked, keys, seq, payload, "_island")
 
 
-def _fold(marked: DataFrame, keys, seq, payload, island: str) -> DataFrame:
-    """One row per island: first sequence, last row's payload and next start."""
+def _fold(marked: DataFrame, group: Sequence[str], seq: str, payload) -> DataFrame:
+    """One row per island of a group: first sequence, last row's payload and next start."""
     fields = ", ".join(f"{quote(c)}" for c in payload)
-    versions = marked.groupBy(*[_q(k) for k in keys], island).agg(
+    versions = marked.groupBy(*[_q(k) for k in group], "_island").agg(
         F.min(_q(seq)).alias(START_AT),
         F.expr(f"max_by(struct({fields}, _next AS _end), {quote(seq)})").alias("_last"),
     )
     return versions.selectExpr(
-        *[quote(k) for k in keys],
+        *[quote(k) for k in group],
         *[f"_last.{quote(c)} AS {quote(c)}" for c in payload],
         quote(START_AT),
         f"_last._end AS {quote(END_AT)}",
+        "_island",
     )
 
 
-def _ordinal(df: DataFrame, seq: str) -> Column:
-    dtype = df.schema[seq].dataType.simpleString()
-    if dtype.startswith("timestamp"):
-        return F.unix_micros(_q(seq).cast("timestamp"))
-    if dtype == "string":  # first seven bytes: never against the strings' own order; equal ordinals share a chunk
-        head = F.rpad(F.hex(F.substring(_q(seq).cast("binary"), 1, 7)), 14, "0")
-        return F.conv(head, 16, 10).cast("long")
-    if dtype == "date":
-        return F.unix_date(_q(seq)).cast("long")
-    return _q(seq).cast("double") if dtype in ("float", "double") or dtype.startswith("decimal") \
-        else _q(seq).cast("long")
-
-
-def _versions_chunked(df: DataFrame, keys, seq, tracked, payload, tie_break, chunks: int) -> DataFrame:
-    """Gaps and islands for hot keys, split into sequence-quantile chunks.
-
-    Rows with equal sequence always share a chunk. Inside a chunk the usual
-    windows run; the per-chunk summary (first state, last state, first
-    sequence, island starts) is stitched across chunks with windows over at
-    most ``chunks`` rows per key. An island is named (chunk where it starts,
-    n-th start in that chunk); rows before a chunk's first start continue the
-    island carried in from earlier chunks.
+def _versions(df: DataFrame, keys, seq, tracked, payload, tie_break) -> DataFrame:
+    """Gaps and islands with windows partitioned by the key (one shuffle)."""
+    return _fold(_islands(df, keys, seq, tracked, tie_break), keys, seq, payload).drop("_island")
+
+
+def _cuts(df: DataFrame, keys, seq, every: int, most: int) -> DataFrame:
+    """(keys, _cuts): the sorted sequences at which a key's chunks begin; at most ``most`` over all keys."""
+    mark = F.xxhash64(*[_q(k) for k in keys], _q(seq))
+    begins = (df.select(*[_q(k) for k in keys], _q(seq).alias("_at"), mark.alias("_mark"))
+              .where(F.pmod("_mark", F.lit(every)) == 0).distinct()
+              .orderBy("_mark", *[_q(k) for k in keys], "_at").limit(most))
+    return begins.groupBy(*[_q(k) for k in keys]).agg(F.sort_array(F.collect_set("_at")).alias("_cuts"))
+
+
+def _chunk(seq: str, most: int) -> Column:
+    """Number of the row's cuts at or below its sequence, by binary search."""
+    middle = "(__span.lo + __span.hi) div 2"
+    return F.expr(f"""CASE WHEN _cuts IS NULL THEN 0 ELSE aggregate(sequence(1, {most.bit_length() + 1}),
+        named_struct('lo', 0L, 'hi', CAST(size(_cuts) AS BIGINT)),
+        (__span, __step) -> CASE WHEN __span.lo >= __span.hi THEN __span
+            WHEN _cuts[CAST({middle} AS INT)] <= {quote(seq)} THEN named_struct('lo', {middle} + 1, 'hi', __span.hi)
+            ELSE named_struct('lo', __span.lo, 'hi', {middle}) END,
+        __span -> CAST(__span.lo AS INT)) END""")
+
+
+def _versions_chunked(df: DataFrame, keys, seq, tracked, payload, tie_break, every: int, most: int) -> DataFrame:
+    """Gaps and islands inside chunks, and then across them.
+
+    An island that runs on into later chunks is reported by its last chunk, with the
+    start that the summary carries there. The summary has a row for each chunk of a
+    key that is cut, at most two for each cut, and is computed from those keys' rows
+    alone; cuts and summary are broadcast.
     """
-    kcols = [_q(k) for k in keys]
-    probs = ", ".join(repr(i / chunks) for i in range(1, chunks))
-    with_ord = df.withColumn("_ord", _ordinal(df, seq))
-    bounds = with_ord.groupBy(*kcols).agg(F.expr(f"percentile_approx(_ord, array({probs}), 10000)").alias("_bounds"))
-    cut = (with_ord.join(bounds, keys)
-           .withColumn("_c", F.size(F.filter("_bounds", lambda b: b < F.col("_ord"))))
-           .drop("_bounds", "_ord"))
-    w = Window.partitionBy(*kcols, "_c").orderBy(*_order(seq, tie_break))
-    cut = _drop_ties(cut, w, seq)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    marked = (
-        cut.withColumn("_state", _state(tracked))
-        .withColumn("_lstart", (~F.col("_state").eqNullSafe(F.lag("_state").over(w))).cast("int"))
-        .withColumn("_lisl", F.sum("_lstart").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        .withColumn("_lnext", F.lead(_q(seq)).over(w))
-        .withColumn("_first_state", F.first("_state").over(whole))
-        .withColumn("_last_state", F.last("_state").over(whole))
+    group = [*keys, "_c"]
+    cuts = F.broadcast(_cuts(df, keys, seq, every, most))
+
+    def chunked(how: str) -> DataFrame:
+        return df.join(cuts, keys, how).withColumn("_c", _chunk(seq, most)).drop("_cuts")
+
+    ends = (
+        _islands(chunked("inner"), group, seq, tracked, tie_break).groupBy(*[_q(k) for k in group])
+        .agg(F.min(_q(seq)).alias("_first"), F.min_by("_state", _q(seq)).alias("_from"), F.max_by("_state", _q(seq)).alias("_to"),
+             F.max("_island").alias("_islands"), F.max(F.when(F.col("_start") == 1, _q(seq))).alias("_begun"))
     )
-    summary = marked.groupBy(*kcols, "_c").agg(
-        F.any_value("_first_state").alias("_fs"), F.any_value("_last_state").alias("_ls"),
-        F.min(_q(seq)).alias("_fseq"), F.max("_lisl").alias("_nloc"))
-    over_chunks = Window.partitionBy(*kcols).orderBy("_c")
+    over = Window.partitionBy(*[_q(k) for k in keys]).orderBy("_c")
     summary = (
-        summary
-        .withColumn("_fix", (~F.col("_fs").eqNullSafe(F.lag("_ls").over(over_chunks))).cast("int"))
-        .withColumn("_nfix", F.col("_nloc") - 1 + F.col("_fix"))
-        .withColumn("_carry", F.last(F.when(F.col("_nfix") > 0, F.struct(F.col("_c").alias("c"),
-                                                                           F.col("_nfix").alias("n"))),
-                                     ignorenulls=True).over(over_chunks.rowsBetween(Window.unboundedPreceding, -1)))
-        .withColumn("_nfseq", F.lead("_fseq").over(over_chunks))
-        .select(*kcols, "_c", "_fix", "_carry", "_nfseq")
+        ends.withColumn("_carried", F.col("_from").eqNullSafe(F.lag("_to").over(over)) & F.lag("_first").over(over).isNotNull())
+        # Where the chunk's last island began, unless that was before the chunk.
+        .withColumn("_own", F.when((F.col("_islands") > 1) | ~F.col("_carried"), F.col("_begun")))
+        .withColumn("_since", F.last("_own", ignorenulls=True).over(over.rowsBetween(Window.unboundedPreceding, -1)))
+        .withColumn("_runs_on", F.coalesce(F.lead("_carried").over(over), F.lit(False)))
+        .withColumn("_then", F.lead("_first").over(over))
+        .select(*[_q(k) for k in group], "_islands", "_carried", "_since", "_runs_on", "_then")
     )
-    local_isl = F.col("_lisl") - 1 + F.col("_fix")
-    stitched = (
-        marked.join(summary, keys + ["_c"])
-        .withColumn("_island", F.when(local_isl > 0, F.struct(F.col("_c").alias("c"), local_isl.alias("n")))
-                    .otherwise(F.col("_carry")))
-        .withColumn("_next", F.coalesce(F.col("_lnext"), F.col("_nfseq")))
+    folded = _fold(_islands(chunked("left"), group, seq, tracked, tie_break), group, seq, payload)
+    joined = folded.join(F.broadcast(summary), group, "left")
+    last = F.col("_island") == F.col("_islands")
+    return (
+        joined.where(~F.coalesce(last & F.col("_runs_on"), F.lit(False)))
+        .withColumn(START_AT, F.when((F.col("_island") == 1) & F.col("_carried"), F.col("_since")).otherwise(F.col(START_AT)))
+        .withColumn(END_AT, F.coalesce(F.col(END_AT), F.when(last, F.col("_then"))))
+        .select(*[_q(k) for k in keys], *[_q(c) for c in payload], START_AT, END_AT)
     )
-    return _fold(stitched, keys, seq, payload, "_island")
 
 
 def change_stream_scd2(stream: DataFrame, seq: str = "snapshotseq",

@@ -285,6 +285,16 @@ def q_scd2_string_seq(spark, sf):
     return scd.scd2(ev, ["user_id"], "day", track=["event_type"], tie_break=F.col("event_id"))
 
 
+ISO_SQL = "SELECT *, 1 AS k, strftime(ts, '%Y-%m-%d %H:%M') AS at FROM events"
+
+
+@register("scd2_hot_iso_dates", lambda: scd2_sql(ISO_SQL, EVENTS + ["k", "at"], ["k"], "at", ["event_type"], tie="event_id"))
+def q_scd2_hot_iso_dates(spark, sf):
+    """All events are one key's history, ordered by ISO date strings with a long common head."""
+    ev = load(spark, sf, "events").withColumn("k", F.lit(1)).withColumn("at", F.date_format("ts", "yyyy-MM-dd HH:mm"))
+    return scd.scd2(ev, ["k"], "at", track=["event_type"], tie_break=F.col("event_id"), hot_key_rows=200)
+
+
 @register("scd2_hot_key", lambda: scd2_sql("SELECT *, 1 AS k FROM events", EVENTS + ["k"], ["k"], "ts",
                                            ["event_type"], tie="event_id"))
 def q_scd2_hot_key(spark, sf):
