@@ -20,6 +20,7 @@ from tidemark.plans.sqlgen import PROVENANCE_NULLS, hash_sql, identity_sql, scd2
 from tidemark.session import scratch_dir
 from tidemark.sources import files, incremental
 from tidemark.streaming import medallion
+from tidemark.streaming.scd_stream import read_target
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, Callable[[], str]] = {}
@@ -858,14 +859,14 @@ def q_bronze_chain(spark, sf):
     spec = medallion.SilverSpec("customer", ["c_custkey"], data_quality_rules=CHAIN_RULES, buckets=8)
     sink = medallion.SilverSink(spark, spec, f"{base}/silver", f"{base}/quarantine", f"{base}/log", sc.RUN0)
     medallion.run_silver(spark, f"{base}/bronze", sink, f"{base}/ck3")
-    silver = spark.read.parquet(f"{base}/silver")
+    silver = read_target(spark, f"{base}/silver")
     return silver.select("ccustkey", "cname", "cnationkey", "cacctbal", "cmktsegment", "__START_AT", "__END_AT")
 
 
 @register("scd2_stream_events", lambda: scd2_sql("SELECT * FROM events", EVENTS, ["user_id"], "ts", ["event_type"]))
 def q_scd2_stream(spark, sf):
     """Events arrive in four files, one per micro-batch, out of time order per key."""
-    from tidemark.streaming.scd_stream import ScdSink, read_target, scd2_stream
+    from tidemark.streaming.scd_stream import ScdSink, scd2_stream
     base = scratch_dir(spark, "tidemark-q", "scdstream")
     ev = load(spark, sf, "events")
     # As many files as the input has, four at least, each with all users' events of any time.
@@ -880,7 +881,7 @@ def q_scd2_stream(spark, sf):
 SELECT {_cols(EVENTS)} FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1""")
 def q_scd1_stream(spark, sf):
     """Streaming SCD type 1: four out-of-order micro-batches folded into latest rows."""
-    from tidemark.streaming.scd_stream import ScdSink, read_target, scd2_stream
+    from tidemark.streaming.scd_stream import ScdSink, scd2_stream
     base = scratch_dir(spark, "tidemark-q", "scd1stream")
     ev = load(spark, sf, "events")
     # As many files as the input has, four at least, each with all users' events of any time.
@@ -1044,7 +1045,7 @@ def q_rolling_to_silver(spark, sf):
                                 scd_2_exclude_list=ROLLING_SILVER_EXCLUDE, buckets=8)
     sink = medallion.SilverSink(spark, spec, f"{base}/silver", f"{base}/qtn", f"{base}/log", sc.RUN0)
     medallion.run_silver(spark, f"{base}/bronze", sink, f"{base}/ck2")
-    return spark.read.parquet(f"{base}/silver").select(*SILVER_OUT)
+    return read_target(spark, f"{base}/silver").select(*SILVER_OUT)
 
 
 # ── audit summaries ───────────────────────────────────────────────────────────

@@ -13,6 +13,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -55,6 +56,20 @@ def file_names(spark: SparkSession, folder: str) -> list[str]:
     return sorted(n for n in names if not n.startswith(("_", ".")))
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right inside a folder (none where there is no such folder)."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(where) if s.isDirectory()) if fs.exists(where) else []
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes under a path; 0 where there is none."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(where).getLength()) if fs.exists(where) else 0
+
+
 def create_file(spark: SparkSession, path: str, text: str) -> None:
     """A small file that appears whole under its name, or raises where the name is taken."""
     new = spark._jvm.org.apache.hadoop.fs.Path
@@ -95,6 +110,29 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
         .parquet(path))
 
 
+def write_clustered(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
+    """Replace ``path``; with ``by``, its files are ranges of these columns and their bounds are kept beside it."""
+    if not by:
+        write_view(df, path)
+        return
+    cols = [F.col(f"`{c}`") for c in by]
+    write_view(df.repartitionByRange(*cols).sortWithinPartitions(*cols), path)
+    spark = df.sparkSession
+    bounds = [f(F.col(f"`{c}`")).alias(f"{c}.{k}") for c in by for k, f in (("min", F.min), ("max", F.max))]
+    write_view(spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(*bounds), f"{path}.ranges")
+
+
+def read_clustered(spark: SparkSession, path: str, where: tuple) -> DataFrame | None:
+    """The files of a clustered path whose bounds meet ``where = (column, low, high)``; all if it is not laid out by it."""
+    whole, ranges = read(spark, path), read(spark, f"{path}.ranges")
+    column, low, high = where
+    if whole is None or ranges is None or f"{column}.min" not in ranges.columns:
+        return whole
+    hit = ranges.where((F.col(f"`{column}.max`") >= low) & (F.col(f"`{column}.min`") <= high))
+    files = sorted(r["file"] for r in hit.select("file").collect())
+    return spark.read.schema(whole.schema).parquet(*files) if files else whole.limit(0)
+
+
 def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int,
                    partition_by: Sequence[str] = ()) -> DataFrame:
     """Catalog table bucketed (and sorted) by ``key`` at ``path``.

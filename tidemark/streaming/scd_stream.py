@@ -1,27 +1,34 @@
 """Streaming SCD1/2 without MERGE: exact under late and out-of-order data.
 
-Each micro-batch (``foreachBatch``):
+A target is kept as segments. Each micro-batch (``foreachBatch``) adds one segment
+with the versions that it changes, and readers merge: of the rows for one key and
+start the latest segment's counts, and rows marked gone no longer exist. So a batch
+writes in proportion to itself, not to the target. ``compact`` folds all segments
+into a new base, by itself once they have grown as large as the base.
 
-1. appends the batch to an event log partitioned by (``bkt``, ``batch``) where
+Each batch (type 2):
+
+1. is appended to an event log partitioned by (``bkt``, ``batch``) where
    ``bkt = pmod(xxhash64(keys), buckets)``; the write replaces only the
    (bkt, batch=id) partitions, so a retried batch leaves one copy;
-2. reads back the batch's keys from the log partition it just wrote (cut
-   lineage: the source is not re-read);
-3. recomputes versions for exactly those keys from their full history
-   (log pruned to the touched buckets, then ``left_semi`` on the keys) —
-   merging into the target alone is not exact, a late event inside an island
-   needs the original rows to split it;
-4. keeps every other key's versions of those buckets unchanged, stages the
-   new bucket contents under the checkpoint directory, and replaces the
-   target's bucket partitions from there (never reading and overwriting one
-   path in one job).
-
-Cost per batch: the history of the touched keys plus the touched buckets of
-the target; choose ``buckets`` so one bucket of the target is a few hundred MB.
+2. meets the open versions of its keys, which have a small table of their own.
+   Where all its changes of a key come after the last one known, the open version
+   and these changes alone give the new versions;
+3. only for keys with late changes the history is read again (log pruned to their
+   buckets, then ``left_semi`` on the keys) — merging into the target alone is not
+   exact, a late event inside an island needs the original rows to split it. The
+   versions before and after the batch are compared and the differences written.
+
+Type 1 needs no history: the row that a key has and its changes give the new row.
+
+A retried batch reads the state as it was before it and replaces its own segment.
+``cluster_by`` lays out the base: its files are ranges of these columns and their
+bounds are kept, so ``read_target`` with a range opens only the files that meet it.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,54 +40,108 @@ from tidemark.sources import tables
 
 BUCKET = "bkt"
 BATCH = "batch"
+SEGMENT = "seg"
+GONE = "_gone"
+#: A compaction is due once so many segments hold at least as many bytes as the base.
+COMPACT_SEGMENTS = 16
 
 
 class ScdSink:
     def __init__(self, spark: SparkSession, log_path: str, target_path: str, keys: Sequence[str], seq: str,
                  scd_type: int = 2, track: Sequence[str] | None = None, except_track: Sequence[str] = (),
                  except_columns: Sequence[str] = (), tie_break: Column | None = None, buckets: int = 64,
-                 cluster_by: Sequence[str] = ()):
+                 cluster_by: Sequence[str] = (), compact_segments: int | None = COMPACT_SEGMENTS):
         if scd_type not in (1, 2):
             raise ValueError("scd_type must be 1 or 2")
-        self.spark, self.log_path, self.target_path = spark, log_path, target_path
+        self.spark, self.log_path, self.target_path = spark, log_path, target_path.rstrip("/")
         self.keys, self.seq, self.scd_type = list(keys), seq, scd_type
         self.track, self.except_track, self.except_columns = track, list(except_track), list(except_columns)
         self.tie_break, self.buckets = tie_break, int(buckets)
-        # Layout of the target: rows sorted by these columns inside every file
-        # (min/max statistics then skip files on filters over them).
         self.cluster_by = list(cluster_by)
+        self.compact_segments = compact_segments
 
     def bucket(self) -> Column:
         return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in self.keys]), F.lit(self.buckets)).cast("int")
 
     def versions(self, changes: DataFrame) -> DataFrame:
+        """Versions with all columns; those not wanted are dropped by readers."""
         if self.scd_type == 1:
-            return scd.scd1(changes, self.keys, self.seq, self.tie_break, self.except_columns)
-        return scd.scd2(changes, self.keys, self.seq, self.track, self.except_track,
-                        self.except_columns, self.tie_break)
+            return scd.scd1(changes, self.keys, self.seq, self.tie_break)
+        return scd.scd2(changes, self.keys, self.seq, self.track, self.except_track, (), self.tie_break)
+
+    # ── one batch ─────────────────────────────────────────────────────────────
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        spark = self.spark
+        batch_id = int(batch_id)
         self._check_buckets()
-        tagged = batch.withColumn(BUCKET, self.bucket()).withColumn(BATCH, F.lit(int(batch_id)).cast("long"))
+        state = _State(self.spark, self.target_path)
+        state.begin(self.keys, self.scd_type, self.except_columns)
+        if self.compact_segments and state.due(self.compact_segments, batch_id):
+            state.compact(batch_id, self.cluster_by)
+        if self.scd_type == 1:
+            held = state.current(batch_id)
+            rows = batch
+            if held is not None:
+                rows = batch.unionByName(held.join(batch.select(*self.keys).distinct(), self.keys, "left_semi"), allowMissingColumns=True)
+            state.write(self.versions(rows).withColumn(GONE, F.lit(False)), batch_id)
+            return
+        tagged = batch.withColumn(BUCKET, self.bucket()).withColumn(BATCH, F.lit(batch_id).cast("long"))
         tables.overwrite_partitions(tagged, self.log_path, [BUCKET, BATCH])
-        log = spark.read.parquet(self.log_path)
-        mine = log.where(F.col(BATCH) == int(batch_id))
-        touched = sorted(r[BUCKET] for r in mine.select(BUCKET).distinct().collect())  # <= buckets values
-        if not touched:
+        log = self.spark.read.option("mergeSchema", "true").parquet(self.log_path).where(F.col(BATCH) <= batch_id)
+        mine = log.where(F.col(BATCH) == batch_id)
+        if mine.isEmpty():
             return
-        keys = mine.select(*self.keys).distinct()
-        history = log.where(F.col(BUCKET).isin(touched)).join(keys, self.keys, "left_semi")
-        fresh = self.versions(history.drop(BUCKET, BATCH)).withColumn(BUCKET, self.bucket())
-        target = tables.read(spark, self.target_path)
-        if target is not None:
-            kept = target.where(F.col(BUCKET).isin(touched)).join(keys, self.keys, "left_anti")
-            fresh = fresh.unionByName(kept.select(*fresh.columns))
-        stage = scratch_dir(spark, "tidemark-scd", str(batch_id))
-        tables.write_view(fresh, stage)
-        tables.overwrite_partitions(spark.read.parquet(stage), self.target_path, [BUCKET],
-                                    sort_by=self.cluster_by)
-        tables.drop_path(spark, stage)
+        changed = self._on_time(mine.drop(BUCKET, BATCH), state.open(batch_id))
+        stage = scratch_dir(self.spark, "tidemark-scd", str(batch_id))
+        late = self._late_keys(mine, state.open(batch_id), stage)
+        if late is not None:
+            changed = changed.unionByName(self._rewritten(log, late, batch_id), allowMissingColumns=True)
+        state.write(changed, batch_id)
+        tables.drop_path(self.spark, stage)
+
+    def _seen(self, rows: DataFrame, opened: DataFrame) -> DataFrame:
+        """Per key of the batch: its open version's start and sequence, and whether a change is late."""
+        first = rows.groupBy(*self.keys).agg(F.min(F.col(f"`{self.seq}`")).alias("_first"))
+        known = opened.select(*self.keys, F.col(scd.START_AT).alias("_since"), F.col(f"`{self.seq}`").alias("_last"))
+        return first.join(known, self.keys).withColumn("_late", F.col("_first") <= F.col("_last")).drop("_first")
+
+    def _late_keys(self, mine: DataFrame, opened: DataFrame | None, stage: str) -> DataFrame | None:
+        if opened is None:
+            return None
+        tables.write_view(self._seen(mine, opened).where("_late").select(*self.keys).withColumn(BUCKET, self.bucket()), stage)
+        late = self.spark.read.parquet(stage)
+        return None if late.isEmpty() else late
+
+    def _on_time(self, rows: DataFrame, opened: DataFrame | None) -> DataFrame:
+        """Changed versions of the keys without late changes: the open version counts as their first change."""
+        if opened is None:
+            return self.versions(rows).withColumn(GONE, F.lit(False))
+        seen = self._seen(rows, opened)
+        late = seen.where("_late").select(*self.keys)
+        before = opened.drop(scd.START_AT, scd.END_AT).join(seen.where("NOT _late").select(*self.keys), self.keys, "left_semi")
+        found = self.versions(rows.join(late, self.keys, "left_anti").unionByName(before, allowMissingColumns=True))
+        since = F.when(F.col(scd.START_AT) == F.col("_last"), F.col("_since"))
+        return (found.join(seen.drop("_late"), self.keys, "left")
+                .withColumn(scd.START_AT, F.coalesce(since, F.col(scd.START_AT)))
+                .drop("_since", "_last").withColumn(GONE, F.lit(False)))
+
+    def _rewritten(self, log: DataFrame, late: DataFrame, batch_id: int) -> DataFrame:
+        """What differs between the versions of the late keys' whole histories with and without this batch."""
+        touched = sorted(r[BUCKET] for r in late.select(BUCKET).distinct().collect())  # <= buckets values
+        history = log.where(F.col(BUCKET).isin(touched)).join(late.select(*self.keys), self.keys, "left_semi")
+        on = [*self.keys, scd.START_AT]
+        new = self.versions(history.drop(BUCKET, BATCH))
+        old = self.versions(history.where(F.col(BATCH) < batch_id).drop(BUCKET, BATCH))
+        mark = scd.content_order(new)
+        was = old.select(*on, scd.content_order(old).alias("_was"))
+        differs = (new.withColumn("_now", mark).join(was, on, "left")
+                   .where(~F.col("_now").eqNullSafe(F.col("_was"))).drop("_now", "_was").withColumn(GONE, F.lit(False)))
+        gone = old.join(new.select(*on), on, "left_anti").withColumn(GONE, F.lit(True))
+        return differs.unionByName(gone)
+
+    def compact(self) -> None:
+        """Fold all segments into a new base, laid out by ``cluster_by``."""
+        _State(self.spark, self.target_path).compact(None, self.cluster_by)
 
     def _check_buckets(self) -> None:
         """Keys hash into the bucket count that the log was begun with; another count would split their history."""
@@ -91,9 +152,124 @@ class ScdSink:
             raise ValueError(f"the event log at {self.log_path} has {known['buckets']} buckets, not {self.buckets}")
 
 
-def read_target(spark: SparkSession, path: str) -> DataFrame:
-    """The SCD table without its storage bucket column."""
-    return spark.read.parquet(path).drop(BUCKET)
+class _State:
+    """Base and segments of a target; ``_properties.json`` names the base that counts."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        self.about = tables.read_properties(spark, path) or {}
+
+    def begin(self, keys: Sequence[str], scd_type: int, dropped: Sequence[str]) -> None:
+        if not self.about:
+            self._save({"upto": "-1", "keys": json.dumps(list(keys)), "scd_type": str(scd_type), "dropped": json.dumps(list(dropped))})
+
+    def _save(self, about: dict) -> None:
+        self.about = about
+        tables.write_properties(self.spark, self.path, about)
+
+    @property
+    def upto(self) -> int:
+        return int(self.about.get("upto", -1))
+
+    @property
+    def keys(self) -> list[str]:
+        return json.loads(self.about["keys"])
+
+    @property
+    def on(self) -> list[str]:
+        return self.keys + ([scd.START_AT] if self.about["scd_type"] == "2" else [])
+
+    def base(self, kind: str) -> DataFrame | None:
+        return tables.read(self.spark, f"{self.path}/{kind}_base/upto={self.upto}")
+
+    def segments(self, kind: str, before: int | None) -> DataFrame | None:
+        if not tables.exists(self.spark, f"{self.path}/{kind}"):
+            return None
+        found = self.spark.read.option("mergeSchema", "true").parquet(f"{self.path}/{kind}").where(F.col(SEGMENT) > self.upto)
+        return found if before is None else found.where(F.col(SEGMENT) < before)
+
+    def write(self, changed: DataFrame, batch_id: int) -> None:
+        """The batch's segment, and from it the open versions it leaves."""
+        segment = f"{self.path}/versions/{SEGMENT}={batch_id}"
+        tables.write_view(changed, segment)
+        if self.about["scd_type"] == "2":
+            written = self.spark.read.parquet(segment).where(F.col(scd.END_AT).isNull() & ~F.col(GONE)).drop(GONE)
+            tables.write_view(written, f"{self.path}/open/{SEGMENT}={batch_id}")
+
+    def _last_rows(self, kind: str, on: list[str], before: int | None) -> DataFrame | None:
+        """Of the segments' rows, the latest for each of ``on``, gone ones too."""
+        segments = self.segments(kind, before)
+        if segments is None:
+            return None
+        rest = [c for c in segments.columns if c not in (*on, SEGMENT)]
+        return (segments.groupBy(*[F.col(f"`{c}`") for c in on])
+                .agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), F.col(SEGMENT)).alias("_last"))
+                .select(*[F.col(f"`{c}`") for c in on], "_last.*"))
+
+    def _merged(self, base: DataFrame | None, kind: str, on: list[str], before: int | None) -> DataFrame | None:
+        last = self._last_rows(kind, on, before)
+        if last is None:
+            return base
+        live = last.where(~F.col(GONE)).drop(GONE) if GONE in last.columns else last
+        if base is None:
+            return live
+        return base.join(last.select(*on), on, "left_anti").unionByName(live, allowMissingColumns=True)
+
+    def current(self, before: int | None = None) -> DataFrame | None:
+        return self._merged(self.base("versions"), "versions", self.on, before)
+
+    def inside(self, where: tuple) -> DataFrame | None:
+        """``current`` from the base files that a range of a column may touch, and all segments."""
+        base = tables.read_clustered(self.spark, f"{self.path}/versions_base/upto={self.upto}", where)
+        return self._merged(base, "versions", self.on, None)
+
+    def open(self, before: int | None = None) -> DataFrame | None:
+        return self._merged(self.base("open"), "open", self.keys, before)
+
+    def due(self, most: int, before: int) -> bool:
+        names = tables.folder_names(self.spark, f"{self.path}/versions")
+        live = [n for n in names if n.startswith(f"{SEGMENT}=") and self.upto < int(n.split("=")[1]) < before]
+        if len(live) < most:
+            return False
+        held = sum(tables.size(self.spark, f"{self.path}/versions/{n}") for n in live)
+        return held >= tables.size(self.spark, f"{self.path}/versions_base/upto={self.upto}")
+
+    def compact(self, before: int | None, cluster_by: Sequence[str]) -> None:
+        found = self.segments("versions", before)
+        last = None if found is None else found.agg(F.max(SEGMENT).alias("m")).first()["m"]
+        if last is None:
+            return
+        old = self.upto
+        kinds = {"versions": (self.current(before), cluster_by)}
+        if self.about["scd_type"] == "2":
+            kinds["open"] = (self.open(before), ())
+        for kind, (rows, by) in kinds.items():
+            tables.write_clustered(rows, f"{self.path}/{kind}_base/upto={last}", by)
+        self._save({**self.about, "upto": str(last)})  # from here on readers take the new base
+        for kind in kinds:
+            tables.drop_path(self.spark, f"{self.path}/{kind}_base/upto={old}")
+            for name in tables.folder_names(self.spark, f"{self.path}/{kind}"):
+                if name.startswith(f"{SEGMENT}=") and int(name.split("=")[1]) <= last:
+                    tables.drop_path(self.spark, f"{self.path}/{kind}/{name}")
+
+
+def read_target(spark: SparkSession, path: str, where: tuple | None = None) -> DataFrame:
+    """The SCD table, base and segments merged.
+
+    ``where = (column, low, high)`` keeps the rows with low <= column <= high; where the base is clustered by
+    that column, its files outside the range are not opened.
+    """
+    state = _State(spark, path.rstrip("/"))
+    if not state.about:
+        raise ValueError(f"no SCD target at {path}")
+    if where is None:
+        out = state.current()
+    else:
+        out = state.inside(where)
+        out = out if out is None else out.where(F.col(f"`{where[0]}`").between(where[1], where[2]))
+    if out is None:
+        raise ValueError(f"the SCD target at {path} has no version yet")
+    return out.drop(*json.loads(state.about["dropped"]))
 
 
 def scd2_stream(stream: DataFrame, sink: ScdSink, checkpoint: str, available_now: bool = True):
