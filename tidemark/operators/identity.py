@@ -11,8 +11,13 @@ third of the table. Instead rows are numbered inside (rowhash, contenthash,
 input split) groups — no group holds more than one input split's worth of
 copies, so a hot row is spread over as many tasks as it has input splits —
 and each group is shifted by the running total of the groups before it,
-computed on the small table of group sizes. Full data crosses the network
-once, the same as the naive window.
+computed on the small table of group sizes. Full rows are shuffled once, the same
+as for the naive window.
+
+The group sizes come from a second, narrow branch. Where the source is a plain scan
+that branch reads it again; with ``stage`` (a scratch folder) the rows are hashed,
+tagged with their split and written there first, so the source is read and hashed
+exactly once and both branches read the tagged rows. Persisted runs do so.
 
 Occurrence order: copies are numbered in ``contenthash`` order, so in
 key_columns / exclude_columns mode the same multiset always gets the same
@@ -21,7 +26,7 @@ Caveat (documented, as in the reference): the numbering depends on the read
 scope, so the snapshot and the sweep must read with the same filters. The
 input must be deterministic (a file or table scan plus filters/projections):
 split ids are taken in two branches of the plan, which is the same assumption
-Spark makes when it recomputes a lost partition.
+Spark makes when it recomputes a lost partition. With ``stage`` the tags are data.
 """
 
 from __future__ import annotations
@@ -43,9 +48,6 @@ CHANGE_COLUMNS = [
 
 IDENTITY_MODES = ("hash_all", "key_columns")
 
-# Hex characters of contenthash used to split one rowhash into ordered buckets.
-_BUCKET_CHARS = 3
-
 
 def identity_columns(available: Sequence[str], mode: str = "hash_all",
                      key_columns: Sequence[str] = (), exclude_columns: Sequence[str] = ()) -> list[str]:
@@ -75,9 +77,12 @@ def check_reserved(columns: Sequence[str]) -> None:
 
 def add_identity(df: DataFrame, mode: str = "hash_all", key_columns: Sequence[str] = (),
                  exclude_columns: Sequence[str] = (), allow_duplicates: bool = True,
-                 with_contenthash: bool = False) -> DataFrame:
+                 with_contenthash: bool = False, stage: str | None = None) -> DataFrame:
     """Append ``rowhash, rowoccurrence, rowkey`` (plus ``contenthash`` on request).
 
+    With ``stage`` this runs a job that writes the tagged rows to that folder, which
+    the result reads.
+
     Output columns: the input columns in order, then
     ``rowhash, [contenthash,] rowoccurrence, rowkey``.
     """
@@ -93,7 +98,11 @@ def add_identity(df: DataFrame, mode: str = "hash_all", key_columns: Sequence[st
         df = df.withColumns({"rowhash": row_hash(id_cols), "contenthash": row_hash(business)})
 
     if allow_duplicates:
-        df = _number_copies(df, business, whole_row)
+        df = df.withColumn("_split", F.spark_partition_id())
+        if stage is not None:
+            df.write.mode("overwrite").parquet(stage)
+            df = df.sparkSession.read.schema(df.schema).parquet(stage)
+        df = _number_copies(df, whole_row)
     else:
         df = df.withColumn("rowoccurrence", F.lit(1).cast("int"))
 
@@ -104,21 +113,18 @@ def add_identity(df: DataFrame, mode: str = "hash_all", key_columns: Sequence[st
     return df.selectExpr(*out)
 
 
-def _number_copies(df: DataFrame, business: list[str], whole_row: bool) -> DataFrame:
+def _number_copies(split: DataFrame, whole_row: bool) -> DataFrame:
     """Assign 1..n to rows sharing a rowhash, ordered by contenthash (see module doc).
 
     Plan: ONE shuffle of the rows on (rowhash, [contenthash,] split) numbers
     each row inside its group (a group never exceeds one input split); the
-    group sizes are counted below that window, in a narrow branch over the same
-    input that is reduced before its shuffle; their running offsets are
-    computed on that small table and the non-zero ones are joined back.
+    group sizes are counted in a narrow branch that is reduced before its shuffle;
+    the running offsets are computed on that small table and the non-zero ones are
+    joined back.
     """
     # In whole-row mode contenthash is rowhash, so it is left out of the key.
     group = ["rowhash", "_split"] if whole_row else ["rowhash", "contenthash", "_split"]
-    split = df.withColumn("_split", F.spark_partition_id())
     rows = split.withColumn("_i", F.row_number().over(Window.partitionBy(*group).orderBy("rowhash")))
-    # Group sizes: a narrow branch over the same deterministic input (so it sees
-    # the same split ids), counted in each task before its shuffle.
     counts = split.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
     upto = (Window.unboundedPreceding, Window.currentRow)
     if whole_row:
@@ -129,18 +135,23 @@ def _number_copies(df: DataFrame, business: list[str], whole_row: bool) -> DataF
         # Many contents may share a rowhash (key_columns mode, hot keys): running
         # sums inside contenthash-prefix buckets, plus the total of the buckets
         # before. Prefix order == contenthash order, so the numbering is the
-        # contenthash order whatever the bucket count.
-        counts = counts.withColumn("_b", F.substring("contenthash", 1, _BUCKET_CHARS))
+        # contenthash order whatever the bucket count. With g groups in all, prefixes
+        # of log2(g) / 8 hex characters make about sqrt(g) buckets of a rowhash that
+        # has them all.
+        total = counts.agg(F.count(F.lit(1)).alias("_g"))
+        chars = F.greatest(F.lit(1), F.ceil(F.log2(F.col("_g") + 1) / 8)).cast("int")
+        counts = (counts.join(F.broadcast(total))  # one row
+                  .withColumn("_b", F.substring("contenthash", F.lit(1), chars)).drop("_g"))
         w = Window.partitionBy("rowhash", "_b").orderBy("contenthash", "_split").rowsBetween(*upto)
         local = counts.withColumn("_loc", F.sum("_n").over(w) - F.col("_n"))
         before = Window.partitionBy("rowhash").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
         buckets = (
             local.groupBy("rowhash", "_b").agg(F.sum("_n").alias("_bn"))
             .withColumn("_boff", F.coalesce(F.sum("_bn").over(before), F.lit(0)))
-            .select("rowhash", "_b", "_boff")
+            .where("_boff > 0").select("rowhash", "_b", "_boff")
         )
-        offsets = (local.join(buckets, ["rowhash", "_b"])
-                   .withColumn("_off", F.col("_loc") + F.col("_boff")))
+        offsets = (local.join(buckets, ["rowhash", "_b"], "left")
+                   .withColumn("_off", F.col("_loc") + F.coalesce(F.col("_boff"), F.lit(0))))
     # Only groups that follow another group of their rowhash need a shift; the
     # rest (all rows of duplicate-free data) keep _i. The shift table is then
     # small for ordinary data and AQE broadcasts it after checking its size.

@@ -159,12 +159,12 @@ def stamp_snapshot(df: DataFrame, run: RunStamp, window_start: datetime, days: i
     })
 
 
-def snapshot(source: DataFrame, run: RunStamp, spec: RollingSpec) -> DataFrame:
-    """This run's trailing-window read as ``upsert`` events."""
+def snapshot(source: DataFrame, run: RunStamp, spec: RollingSpec, stage: str | None = None) -> DataFrame:
+    """This run's trailing-window read as ``upsert`` events (``stage``: see ``add_identity``)."""
     ws = run.window_start(spec.days, spec.anchor)
     cur = read_window(source, spec.window_column, ws, spec.where, spec.select)
     business = list(cur.columns)
-    cur = add_identity(cur, with_contenthash=True, **spec.identity())
+    cur = add_identity(cur, with_contenthash=True, stage=stage, **spec.identity())
     exprs = {"changetype": "'upsert'", "isdeleted": "FALSE", "deletedat": "CAST(NULL AS TIMESTAMP_NTZ)",
              **_stamp_sql(run, ws, spec.days), **_provenance_sql(run)}
     return _project(cur, business + EVENT_COLUMNS + STAMP_COLUMNS + PROVENANCE_COLUMNS, exprs)

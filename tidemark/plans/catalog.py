@@ -173,6 +173,14 @@ def q_identity_key_columns(spark, sf):
                                  key_columns=["user_id", "event_type"], with_contenthash=True)
 
 
+@register("identity_multi_split",
+          lambda: identity_sql(f"SELECT {_cols(LI3)} FROM lineitem", LI3, LI3))
+def q_identity_multi_split(spark, sf):
+    """Copies that lie in many input splits, from one read of the source: rows are tagged and written first."""
+    rows = load(spark, sf, "lineitem").select(*LI3).repartition(16)
+    return identity.add_identity(rows, stage=scratch_dir(spark, "tidemark-q", "tagged"))
+
+
 ORD_ID = [c for c in ORDERS if c not in ("o_orderkey", "o_totalprice")]
 
 
@@ -920,7 +928,12 @@ def _cc_store(spark, sf, bucketed: bool = False):
 @register("change_capture_bucketed", lambda: ORACLES["change_capture_runs"]())
 def q_change_capture_bucketed(spark, sf):
     """The same three persisted runs with the rowkey-bucketed catalog store."""
-    return _cc_store(spark, sf, bucketed=True).stream().select(*STREAM_COLS)
+    store = _cc_store(spark, sf, bucketed=True)
+    rows = store.stream().select(*STREAM_COLS)
+    path = scratch_dir(spark, "tidemark-q", "bucketed")
+    rows.write.parquet(path)
+    spark.sql(f"DROP TABLE {store.table}")  # the catalog entry; its files are the store's
+    return spark.read.parquet(path)
 
 
 @register("delete_after_guard_failure", lambda: stream_sql(2))
@@ -1048,6 +1061,181 @@ def q_rolling_to_silver(spark, sf):
     return read_target(spark, f"{base}/silver").select(*SILVER_OUT)
 
 
+FAILING = [("positive_balance", "c_acctbal > 0"), ("known_nation", "c_nationkey < 20")]
+
+
+@register("quarantine_table", lambda: f"""
+SELECT {_cols(CUSTOMER)}, _failed_dq_rules, TIMESTAMP '{sc.RUN0.text}' AS _quarantine_timestamp, 'customer' AS _source_table
+FROM (SELECT *, list_filter([CASE WHEN NOT (c_acctbal > 0) THEN 'positive_balance' END,
+                             CASE WHEN NOT (c_nationkey < 20) THEN 'known_nation' END], lambda x: x IS NOT NULL) AS _failed_dq_rules
+      FROM customer) t WHERE len(_failed_dq_rules) > 0""")
+def q_quarantine_table(spark, sf):
+    """The quarantine table that the Silver stream fills, from two Bronze deliveries."""
+    base = scratch_dir(spark, "tidemark-q", "quarantine")
+    cust = load(spark, sf, "customer").select(*CUSTOMER)
+    spec = medallion.SilverSpec("customer", ["c_custkey"], data_quality_rules=FAILING, buckets=4)
+    half = F.col("c_custkey") % 2 == 0
+    for rows in (cust.where(half), cust.where(~half)):
+        rows.write.mode("append").parquet(f"{base}/bronze")
+        sink = medallion.SilverSink(spark, spec, f"{base}/silver", f"{base}/qtn", f"{base}/log", sc.RUN0)
+        medallion.run_silver(spark, f"{base}/bronze", sink, f"{base}/ck")
+    return spark.read.parquet(f"{base}/qtn").select(*CUSTOMER, "_failed_dq_rules", "_quarantine_timestamp", "_source_table")
+
+
+@register("silver_view", lambda: """
+SELECT c_custkey AS ccustkey, c_name AS cname FROM customer WHERE (c_acctbal > 0) IS NOT FALSE""")
+def q_silver_view(spark, sf):
+    """The gated, projected Silver stream read through its session view."""
+    base = scratch_dir(spark, "tidemark-q", "view")
+    load(spark, sf, "customer").select(*CUSTOMER).write.parquet(f"{base}/bronze")
+    spec = medallion.SilverSpec("customer", ["c_custkey"], data_quality_rules=CHAIN_RULES)
+    medallion.silver_view(spark, f"{base}/bronze", spec, "tidemark_q_silver_view")
+    try:
+        medallion.write_stream(spark.table("tidemark_q_silver_view"), f"{base}/out", f"{base}/ck")
+    finally:
+        spark.catalog.dropTempView("tidemark_q_silver_view")
+    return spark.read.parquet(f"{base}/out").select("ccustkey", "cname")
+
+
+@register("provenance_files", lambda: f"""
+SELECT {_cols(CUSTOMER)}, TIMESTAMP '{sc.RUN0.text}' AS _staging_ingested_at, TRUE AS named, TRUE AS sized, TRUE AS dated FROM customer""")
+def q_provenance_files(spark, sf):
+    """Each ingested row says which file it came from, how large that was and when it was written."""
+    base = scratch_dir(spark, "tidemark-q", "provenance")
+    load(spark, sf, "customer").select(*CUSTOMER).write.parquet(f"{base}/in")
+    medallion.ingest_staging(spark, files.FileSource(f"{base}/in", "parquet"), f"{base}/staging", f"{base}/ck", None, sc.RUN0.ts_col())
+    listed = files.list_files(spark, files.FileSource(f"{base}/in", "parquet")).select(
+        F.col("path").alias("_source_file_path"), F.col("length").alias("size"), F.col("modificationTime").cast("timestamp_ntz").alias("at"))
+    rows = spark.read.parquet(f"{base}/staging").join(listed, "_source_file_path", "left")
+    named = F.col("_source_file_path").endswith(F.concat(F.lit("/"), F.col("_source_file_name")))
+    return rows.select(*CUSTOMER, "_staging_ingested_at", named.alias("named"), (F.col("_source_file_size") == F.col("size")).alias("sized"),
+                       (F.col("_source_file_modified") == F.col("at")).alias("dated"))
+
+
+@register("unreadable_files", lambda: CUSTOMER_RESCUED_SQL)
+def q_unreadable_files(spark, sf):
+    """A broken file among good ones is skipped where the source says so."""
+    base = scratch_dir(spark, "tidemark-q", "unreadable")
+    cust = load(spark, sf, "customer").select(*CUSTOMER)
+    cust.write.parquet(f"{base}/in")
+    cust.select(F.lit("this is no parquet file").alias("value")).limit(1).coalesce(1).write.mode("append").text(f"{base}/in")
+    return _ingest(spark, files.FileSource(f"{base}/in", "parquet", ignore_corrupt_files=True), base, cust.schema)
+
+
+@register("refused_columns", lambda: f"SELECT {_cols(CUSTOMER[:-1])} FROM customer")
+def q_refused_columns(spark, sf):
+    """With failOnNewColumns a delivery with a new column stops the ingestion and leaves the first one."""
+    base = scratch_dir(spark, "tidemark-q", "refused")
+    cust = load(spark, sf, "customer").select(*CUSTOMER)
+    hints = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cust.schema.fields[:-1])
+    src = files.FileSource(f"{base}/in", "json", schema_evolution_mode="failOnNewColumns", schema_hints=hints)
+    for delivery in (cust.drop(CUSTOMER[-1]), cust):
+        delivery.write.mode("append").json(f"{base}/in")
+        try:
+            out = _ingest(spark, src, base)
+        except ValueError as refused:
+            if CUSTOMER[-1] not in str(refused):
+                raise
+    return out
+
+
+@register("replaced_view", lambda: RAISED_SQL)
+def q_replaced_view(spark, sf):
+    """A materialised view holds its last refresh alone."""
+    from tidemark.sources import tables
+    path = scratch_dir(spark, "tidemark-q", "replaced")
+    cust = load(spark, sf, "customer").select(*CUSTOMER)
+    for rows in (cust, _raised(cust)):
+        tables.write_view(rows, path)
+    return spark.read.parquet(path)
+
+
+@register("first_run_deletes", lambda: f"SELECT * FROM ({stream_sql(1)}) s WHERE snapshotseq = 0")
+def q_first_run_deletes(spark, sf):
+    """The first run has no prior snapshot: an empty frame of the stream's columns."""
+    return sc.Scenario(load(spark, sf, "events")).dels(0).select(*STREAM_COLS)
+
+
+@register("unpinned_stamp", lambda: f"SELECT {_cols(CUSTOMER)}, 1 AS stamps, TRUE AS recent FROM customer")
+def q_unpinned_stamp(spark, sf):
+    """Without a pinned stamp a batch's rows all carry the one time at which it ran."""
+    base = scratch_dir(spark, "tidemark-q", "stamp")
+    load(spark, sf, "customer").select(*CUSTOMER).write.json(f"{base}/in")
+    src = files.FileSource(f"{base}/in", "json", schema_evolution_mode="none", schema_hints="c_nationkey int")
+    medallion.ingest_staging(spark, src, f"{base}/staging", f"{base}/ck")
+    rows = spark.read.parquet(f"{base}/staging")
+    stamps = rows.agg(F.count_distinct("_staging_ingested_at").cast("int").alias("stamps"), F.max("_staging_ingested_at").alias("at"))
+    now = F.current_timestamp().cast("timestamp_ntz")
+    recent = (F.col("at") <= now) & (F.col("at") > now - F.expr("INTERVAL 1 DAY"))
+    return rows.join(F.broadcast(stamps)).select(*CUSTOMER, "stamps", recent.alias("recent"))  # one row of stamps
+
+
+GUARDS = [(1, 5.0, "fail"), (1, 100.0, "fail"), (1, 0.001, "skip"), (10 ** 9, 5.0, "skip")]
+
+
+@register("guards_matrix", lambda: f"""
+SELECT CAST(rows AS BIGINT) AS min_rows, CAST(pct AS DOUBLE) AS max_pct, breach AS on_breach,
+  CASE WHEN source_count < rows THEN 'refused_floor' WHEN open_count = 0 OR orphan_count = 0 THEN 'nothing'
+       WHEN 100.0 * orphan_count / open_count <= pct THEN 'ok' WHEN breach = 'skip' THEN 'skipped_breach' ELSE 'refused_ceiling' END AS outcome
+FROM ({_metrics_sql(SWEEP_RUN)}) m, (VALUES {', '.join(str(g) for g in GUARDS)}) g(rows, pct, breach)""")
+def q_guards_matrix(spark, sf):
+    """What the source floor and the delete ceiling make of one sweep, for several settings."""
+    s = sc.Scenario(load(spark, sf, "events"))
+    metrics = reconcile.sweep_metrics(*s.sweep_parts(SWEEP_RUN))
+    settings = F.array(*[F.struct(F.lit(r).cast("long").alias("min_rows"), F.lit(p).alias("max_pct"), F.lit(b).alias("on_breach")) for r, p, b in GUARDS])
+    return metrics.select("*", F.inline(settings)).select(
+        "min_rows", "max_pct", "on_breach",
+        reconcile.guard_outcome(F.col("source_count"), F.col("open_count"), F.col("orphan_count"), F.col("min_rows"), F.col("max_pct"),
+                                F.col("on_breach")).alias("outcome"))
+
+
+@register("sweep_payload_history", lambda: ORACLES["change_capture_runs"]())
+def q_sweep_payload_history(spark, sf):
+    """Silver keeps keys and flags alone, so the sweep's tombstones take their payload from the snapshots, newest first."""
+    from tidemark.streaming.change_capture import ChangeStore, SweepSpec, run_once
+    ev = load(spark, sf, "events")
+    store = ChangeStore(spark, scratch_dir(spark, "tidemark-q", "payload"))
+    for k in range(3):
+        silver = scd.change_stream_scd2(store.stream()).select("rowkey", "ts", "isdeleted", scd.END_AT) if k == SWEEP_RUN else None
+        run_once(spark, sc.foreign(ev, k), store, sc.run(k), sc.SPEC, SweepSpec(enabled=(k == SWEEP_RUN)), silver, "events")
+    return store.stream().select(*STREAM_COLS)
+
+
+def _audit_row_sql(k: int, prior: str, last: str, trigger: str, status: str, reconciles: str) -> str:
+    counts = ", ".join(f"(SELECT CAST(count(*) AS BIGINT) FROM ({stream_sql(k)}) s WHERE snapshotseq = {sc.run(k).seq} AND changetype = '{c[:-1]}') AS {c}"
+                       for c in ("upserts", "deletes"))
+    return (f"SELECT 'events' AS source_table, CAST({sc.run(k).seq} AS BIGINT) AS snapshotseq, TIMESTAMP '{sc.run(k).text}' AS snapshotts, "
+            f"TIMESTAMP '{_ws(k)}' AS windowstart, {counts}, CAST({reconciles} AS BIGINT) AS reconciles, CAST({prior} AS BIGINT) AS prior_snapshotseq, "
+            f"CAST({last} AS TIMESTAMP) AS last_sweep, {trigger != 'not_due'} AS reconcile_due, '{trigger}' AS reconcile_trigger, "
+            f"'{status}' AS sweep_status, 'full' AS reconcile_scope, 'min_rows=1, max_pct=100.0, on_breach=fail' AS reconcile_guards")
+
+
+def _orphans_sql(k: int) -> str:
+    return f"SELECT rowkey FROM ({_sweep_flags_sql(k)}) f WHERE _open AND NOT _live AND NOT _rolled"
+
+
+def _snapshot_audit_sql() -> str:
+    at = {k: f"TIMESTAMP '{sc.run(k).text}'" for k in range(3)}
+    return " UNION ALL ".join([
+        _audit_row_sql(0, "NULL", "NULL", "initial", "no_target", "0"),
+        _audit_row_sql(1, str(sc.run(0).seq), "NULL", "initial", "completed", f"(SELECT count(*) FROM ({_orphans_sql(1)}) a)"),
+        _audit_row_sql(2, str(sc.run(1).seq), at[1], "cadence", "completed",
+                       f"(SELECT count(*) FROM ({_orphans_sql(2)}) a WHERE rowkey NOT IN ({_orphans_sql(1)}))")])
+
+
+@register("snapshot_audit", _snapshot_audit_sql)
+def q_snapshot_audit(spark, sf):
+    """Three runs with two completed sweeps: what each compared with and the sweep's state as of that run."""
+    from tidemark.streaming.change_capture import ChangeStore, SweepSpec, run_once
+    ev = load(spark, sf, "events")
+    store = ChangeStore(spark, scratch_dir(spark, "tidemark-q", "audit"))
+    sweep = SweepSpec(enabled=True, cadence_days=1, max_delete_pct=100.0)
+    for k in range(3):
+        silver = scd.change_stream_scd2(store.stream()) if k else None
+        run_once(spark, sc.foreign(ev, k), store, sc.run(k), sc.SPEC, sweep, silver, "events")
+    return audit.run_audit(store.runs(), store.sweeps(), "events", sc.SPEC, sweep.cadence_days, max_delete_pct=sweep.max_delete_pct)
+
+
 # ── audit summaries ───────────────────────────────────────────────────────────
 
 @register("snapshot_summary", lambda: f"""

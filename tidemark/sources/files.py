@@ -53,6 +53,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.rolling import PROVENANCE, PROVENANCE_COLUMNS
+from tidemark.sources import properties
 
 # Fixed option values accepted by the reference configuration.
 FORMATS = ("json", "parquet", "csv", "avro", "orc", "text", "binaryfile")
@@ -84,6 +85,7 @@ class FileSource:
     use_managed_file_events: bool = False
     backfill_interval: str | None = None
     max_files_per_trigger: int | None = None
+    about: tuple[str, dict] | None = None  # comment and properties of the staging table
 
     def __post_init__(self):
         if not self.path:
@@ -118,7 +120,7 @@ class FileSource:
             ignore_corrupt_files=bool(opts.get("ignore_corrupt_files", False)),
             csv_options=dict(opts.get("csv_options") or {}),
             use_managed_file_events=bool(opts.get("use_managed_file_events", False)),
-            backfill_interval=opts.get("backfill_interval"),
+            backfill_interval=opts.get("backfill_interval"), about=properties.staging(src),
         )
 
     @property

@@ -163,20 +163,35 @@ def register_table(spark: SparkSession, name: str, path: str, properties: Mappin
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({body})")
 
 
-def write_properties(spark: SparkSession, path: str, properties: Mapping[str, str]) -> None:
-    """Sidecar ``_properties.json`` for path-only tables (written through Hadoop FS)."""
+def describe(spark: SparkSession, path: str, about: tuple[str, Mapping[str, str]] | None) -> None:
+    """Keep a table's (comment, properties) beside its data; None leaves what is there."""
+    if about is not None:
+        comment, properties = about
+        write_properties(spark, path, {"comment": comment, **properties}, TABLE_FILE)
+
+
+def description(spark: SparkSession, path: str) -> dict | None:
+    """The comment and properties that a sink left at ``path``."""
+    return read_properties(spark, path, TABLE_FILE)
+
+
+TABLE_FILE = "_table.json"
+
+
+def write_properties(spark: SparkSession, path: str, properties: Mapping[str, str], name: str = "_properties.json") -> None:
+    """Sidecar file for path-only tables (written through Hadoop FS)."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    target = jvm.org.apache.hadoop.fs.Path(os.path.join(path, "_properties.json"))
+    target = jvm.org.apache.hadoop.fs.Path(os.path.join(path, name))
     fs = target.getFileSystem(conf)
     out = fs.create(target, True)
     out.write(bytearray(json.dumps(dict(properties), sort_keys=True).encode()))
     out.close()
 
 
-def read_properties(spark: SparkSession, path: str) -> dict | None:
+def read_properties(spark: SparkSession, path: str, name: str = "_properties.json") -> dict | None:
     """The sidecar that ``write_properties`` left at ``path``, or None."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(path, "_properties.json"))
+    target = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(path, name))
     fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(target):
         return None

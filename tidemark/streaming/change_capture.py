@@ -161,6 +161,11 @@ class ChangeStore:
                .agg(F.max("snapshotseq").alias("p")).first())
         return None if row is None else row["p"]
 
+    def snapshots(self) -> list[int]:
+        """Sequences of the committed runs that wrote upserts."""
+        runs = self.runs()
+        return [] if runs is None else sorted(r["snapshotseq"] for r in runs.where("upserts > 0").collect())
+
     def sweeps(self) -> DataFrame | None:
         return tables.read(self.spark, self.sweeps_path)
 
@@ -212,7 +217,7 @@ class ChangeStore:
 
 def run_once(spark: SparkSession, source: DataFrame, store: ChangeStore, run: RunStamp,
              spec: rolling.RollingSpec, sweep: SweepSpec = SweepSpec(), silver: DataFrame | None = None,
-             source_table: str = "source") -> dict:
+             source_table: str = "source", about: tuple[str, dict] | None = None) -> dict:
     """Snapshot + Control 1 + (due) Control 2 for one run. Returns a run summary.
 
     The snapshot goes straight into the run's ``snapshotseq`` partition (written once,
@@ -221,7 +226,8 @@ def run_once(spark: SparkSession, source: DataFrame, store: ChangeStore, run: Ru
     its guards, and an empty window is a snapshot like any other. An attempt first
     removes what an earlier one left uncommitted; a committed run is never written
     again and only catches up on its sweep, whose tombstones are a commit of their
-    own and whose audit row is written last.
+    own and whose audit row is written last. ``about`` is the stream's comment and
+    properties (``sources.properties.rolling``), kept beside it.
     """
     rc.validate(sweep.cadence_days, sweep.weekday, sweep.max_age_days, spec.days,
                 sweep.max_delete_pct, sweep.min_source_rows, sweep.on_breach)
@@ -241,7 +247,7 @@ def run_once(spark: SparkSession, source: DataFrame, store: ChangeStore, run: Ru
     if counts is None:
         # 1. snapshot, written once into its own partition (identity is the expensive part)
         counts = dict.fromkeys(COUNTS, 0)
-        snap_df, snap_obs = counted(rolling.snapshot(source, run, spec), "upserts")
+        snap_df, snap_obs = counted(rolling.snapshot(source, run, spec, f"{stage}/window"), "upserts")
         schema = snap_df.schema
         store.write_events(snap_df)
         snap = store.pending_events(run.seq, schema)
@@ -273,7 +279,7 @@ def run_once(spark: SparkSession, source: DataFrame, store: ChangeStore, run: Ru
         if silver is not None:
             since = rc.sweep_scope_start(run, sweep.max_age_days)
             open_k = rc.open_keys(silver, rc.silver_column(silver, spec.window_column), since)
-            live_k = rc.live_keys(source, run, spec, sweep.max_age_days)
+            live_k = rc.live_keys(source, run, spec, sweep.max_age_days, f"{stage}/scope")
             obs = Observation("sweep")
             flags = rc.compare(open_k, live_k, dels).observe(obs, *rc.metric_exprs())
             # One job: the join runs once, the counts ride along with the orphan write.
@@ -286,7 +292,8 @@ def run_once(spark: SparkSession, source: DataFrame, store: ChangeStore, run: Ru
                 # An attempt whose audit row got lost has closed some already.
                 closed = store.run_tombstones(run.seq, "reconcile")
                 orph = spark.read.parquet(f"{stage}/orphans").join(closed, "rowkey", "left_anti")
-                t_df, t_obs = counted(rc.tombstones(stream_before, orph, run, spec, silver), "reconciles")
+                t_df, t_obs = counted(rc.tombstones(stream_before, orph, run, spec, silver, store.snapshots(), f"{stage}/payload"),
+                                      "reconciles")
                 store.write_events(select_names(t_df, schema.names))
                 added = int(t_obs.get["rows"])
                 if added:
@@ -302,4 +309,6 @@ def run_once(spark: SparkSession, source: DataFrame, store: ChangeStore, run: Ru
     if status is not None:
         row = rc.log_row(spark, source_table, run, trigger, sweep.max_age_days, counts["reconciles"], status)
         tables.overwrite_partitions(row.withColumn("run", F.col("snapshotseq")), store.sweeps_path, ["run"])
+    tables.describe(spark, store.stream_path, about)
+    tables.drop_path(spark, stage)
     return summary

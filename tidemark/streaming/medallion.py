@@ -28,7 +28,7 @@ from tidemark.functions.names import normalize_identifier
 from tidemark.operators import project as proj
 from tidemark.operators import quality, scd
 from tidemark.session import RunStamp
-from tidemark.sources import files, tables
+from tidemark.sources import files, properties, tables
 from tidemark.streaming.change_capture import COMMIT_SCHEMA, ChangeStore
 from tidemark.streaming.scd_stream import ScdSink
 
@@ -55,15 +55,19 @@ def ingest_staging(spark: SparkSession, src: files.FileSource, target: str, chec
     decides what the columns of new files do to it. Sources with ``allow_overwrites`` go through
     ``ingest_listed``, files that are read by name or may widen the schema through ``ingest_batches``."""
     if src.allow_overwrites:
-        return ingest_listed(spark, src, target, f"{checkpoint.rstrip('/')}_ledger", schema, ingested_at,
+        done = ingest_listed(spark, src, target, f"{checkpoint.rstrip('/')}_ledger", schema, ingested_at,
                              checkpoint if schema is None else None)
-    if src.include_existing_files is False:
-        skip_existing(spark, src, target, checkpoint, schema, ingested_at)
-    if in_batches(src, schema):
-        return ingest_batches(spark, src, target, checkpoint, schema, ingested_at)
-    if schema is None:
-        schema = stored_schema(spark, src, checkpoint)
-    return write_stream(files.stream_files(spark, src, schema, _now(ingested_at)), target, checkpoint)
+    else:
+        if src.include_existing_files is False:
+            skip_existing(spark, src, target, checkpoint, schema, ingested_at)
+        if in_batches(src, schema):
+            done = ingest_batches(spark, src, target, checkpoint, schema, ingested_at)
+        else:
+            if schema is None:
+                schema = stored_schema(spark, src, checkpoint)
+            done = write_stream(files.stream_files(spark, src, schema, _now(ingested_at)), target, checkpoint)
+    tables.describe(spark, target, src.about)
+    return done
 
 
 def in_batches(src: files.FileSource, schema) -> bool:
@@ -193,11 +197,16 @@ def _table_stream(spark: SparkSession, path: str) -> DataFrame:
 
 
 def ingest_bronze(spark: SparkSession, staging: str | ChangeStore, bronze_path: str, checkpoint: str,
-                  ingested_at: Column | None = None):
-    """Bronze of a staging folder, or of a change store's committed runs (``ingest_runs``)."""
+                  ingested_at: Column | None = None, about: tuple[str, dict] | None = None):
+    """Bronze of a staging folder, or of a change store's committed runs (``ingest_runs``).
+
+    ``about``: the table's comment and properties (``sources.properties.bronze``)."""
     if isinstance(staging, ChangeStore):
-        return ingest_runs(spark, staging, bronze_path, checkpoint, ingested_at)
-    return write_stream(bronze_stream(spark, staging, ingested_at), bronze_path, checkpoint)
+        done = ingest_runs(spark, staging, bronze_path, checkpoint, ingested_at)
+    else:
+        done = write_stream(bronze_stream(spark, staging, ingested_at), bronze_path, checkpoint)
+    tables.describe(spark, bronze_path, about)
+    return done
 
 
 def ingest_runs(spark: SparkSession, store: ChangeStore, bronze_path: str, checkpoint: str,
@@ -237,6 +246,7 @@ class SilverSpec:
     cluster_by: Sequence[str] = ()
     buckets: int = 64
     tags: Mapping[str, str] = field(default_factory=dict)
+    description: str | None = None
 
     def __post_init__(self):
         if not self.source_table:
@@ -276,8 +286,13 @@ class SilverSpec:
             data_quality_rules=tuple((r["description"], r["expr"]) for r in src.get("data_quality_rules") or ()),
             scd_type=scd_type, scd_2_exclude_list=tuple(src.get("scd_2_exclude_list") or ()),
             cluster_by=tuple(src.get("cluster_by") or ()), buckets=buckets, tags=dict(src.get("tags") or {}),
+            description=src.get("description"),
         )
 
+    def settings(self) -> dict:
+        """What comments and properties are made of."""
+        return {"source_table": self.source_table, "scd_type": self.scd_type, "tags": self.tags, "description": self.description}
+
     @property
     def silver_table(self) -> str:
         return normalize_identifier(self.source_table)
@@ -349,6 +364,7 @@ class SilverSink:
                           .withColumn("_source_table", F.lit(spec.source_table))
                           .withColumn(BATCH_COL, F.lit(int(batch_id)).cast("long")))
                 tables.overwrite_partitions(failed, self.quarantine_path, [BATCH_COL])
+                tables.describe(self.spark, self.quarantine_path, properties.quarantine(spec.settings()))
             passed = tagged.where(F.size(quality.FAILED) == 0).drop(quality.FAILED)
             rows, p = silver_frame(passed, spec, self._at())
             if self._scd is None:
@@ -358,6 +374,7 @@ class SilverSink:
                                     s["except_columns"], buckets=spec.buckets,
                                     cluster_by=[p.resolve(c) for c in spec.cluster_by])
             self._scd.process(rows, batch_id)
+            tables.describe(self.spark, self.silver_path, properties.silver(spec.settings()))
         finally:
             tagged.unpersist()
 
