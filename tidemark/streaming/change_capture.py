@@ -215,6 +215,11 @@ class ChangeStore:
         tables.create_file(self.spark, f"{self.manifest_path}/{run.seq}-{phase}.json", json.dumps(entry) + "\n")
 
 
+def _widened(events: DataFrame, schema: T.StructType) -> DataFrame:
+    """Earlier events with the columns that the source has gained since, as nulls."""
+    return events.withColumns({f.name: F.lit(None).cast(f.dataType) for f in schema.fields if f.name not in events.columns})
+
+
 def run_once(spark: SparkSession, source: DataFrame, store: ChangeStore, run: RunStamp,
              spec: rolling.RollingSpec, sweep: SweepSpec = SweepSpec(), silver: DataFrame | None = None,
              source_table: str = "source", about: tuple[str, dict] | None = None) -> dict:
@@ -255,7 +260,7 @@ def run_once(spark: SparkSession, source: DataFrame, store: ChangeStore, run: Ru
 
         # 2. Control 1
         if spec.detect_deletes and prior_seq is not None:
-            prior = rolling.prior_snapshot(stream_before, prior_seq)
+            prior = rolling.prior_snapshot(_widened(stream_before, schema), prior_seq)
             already = rolling.deleted_since(stream_before, prior_seq, run)
             d_df, d_obs = counted(rolling.detect_deletes(snap, prior, run, spec, already), "deletes")
             store.write_events(d_df)
@@ -294,7 +299,7 @@ def run_once(spark: SparkSession, source: DataFrame, store: ChangeStore, run: Ru
                 orph = spark.read.parquet(f"{stage}/orphans").join(closed, "rowkey", "left_anti")
                 t_df, t_obs = counted(rc.tombstones(stream_before, orph, run, spec, silver, store.snapshots(), f"{stage}/payload"),
                                       "reconciles")
-                store.write_events(select_names(t_df, schema.names))
+                store.write_events(select_names(_widened(t_df, schema), schema.names))
                 added = int(t_obs.get["rows"])
                 if added:
                     store.commit(run, schema, reconciles=added)
