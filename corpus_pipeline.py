@@ -2,14 +2,20 @@
 
 Each stage works on all rows its predecessor kept. ``run`` writes every stage's
 rows as Parquet under ``spark.checkpoint.dir`` and reads them back, which cuts
-lineage and leaves each stage restartable; a stage's input folder goes once its
-output is written.
+lineage and leaves each stage restartable; a stage's input folder and what it cut
+on its way go once its output is written.
+
+Defined results: null and empty texts pass toxicity as texts without known words, form
+one near-duplicate group (so one of them stays), are never contaminated and have size 0
+in mixing, so they cost no budget and are taken in every epoch; null ids and sources are
+values like others; repeated rows are near duplicates of each other; an empty table
+gives no rows. Every stage but the last returns the columns that it got.
 """
 
 from __future__ import annotations
 
 from tidemark.llm import decontamination, mixing, sharding, simhash, toxicity
-from tidemark.llm.common import drop_folder, table
+from tidemark.llm.common import cuts, drop_folder, release, table
 from tidemark.session import scratch_dir
 
 
@@ -54,8 +60,9 @@ def run(spark, sf_dir):
     """The last stage's rows over the whole ``documents`` table of ``sf_dir``."""
     docs, held = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        folder = scratch_dir(spark, "corpus-pipeline", name)
+        folder, before = scratch_dir(spark, "corpus-pipeline", name), cuts()
         stage(spark, docs, sf_dir).write.parquet(folder)
+        release(spark, before)
         docs = spark.read.parquet(folder)
         if held:
             drop_folder(spark, held)
