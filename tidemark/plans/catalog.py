@@ -635,11 +635,8 @@ def q_file_discover(spark, sf):
     files.list_files(spark, files.FileSource(f"{base}/in", "json")).write.parquet(f"{base}/ledger")
     cust.write.parquet(f"{base}/in/second")
     new = files.discover_files(spark, src, spark.read.parquet(f"{base}/ledger"))
-    # Read only the new files: a semi join on the file path, no path list on the driver.
-    candidates = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
-                  .parquet(f"{base}/in").withColumn("_file", F.col("_metadata.file_path")))
-    return (candidates.join(new.select(F.col("path").alias("_file")), "_file", "left_semi")
-            .drop("_file"))
+    paths = [r["path"] for r in new.select("path").toLocalIterator()]
+    return files.read_files(spark, src, paths, cust.schema).select(*CUSTOMER)
 
 
 def _deliver(spark, df: DataFrame, base: str, modified_ms: int | None = None) -> None:
