@@ -113,7 +113,7 @@ def scd1(changes: DataFrame, keys: Sequence[str], seq: str, tie_break: Column |
 CONTENT = "_content_order"
 
 # About how many rows of one key are versioned together.
-HOT_KEY_ROWS = 100_000
+HOT_KEY_ROWS = 1_000_000
 # Most cuts over all keys: bounds what is broadcast. Beyond HOT_KEY_ROWS * HOT_KEY_CHUNKS rows chunks grow.
 HOT_KEY_CHUNKS = 65_536
 
