@@ -1,13 +1,15 @@
 """Mix sources to target weights (DataFrame operators only).
 
 Each row gets a hash-random key. Keys are cut into equal ranges, and a source's
-rows are ordered by (range, key). Word counts are summed per (source, range)
-with map-side combining; a prefix sum over that small table plus a running sum
-inside each range gives every row its place in its source's shuffled stream
-without putting a source in one task; many repeats of one row, which share a
-key, are summed per input split first. The stream is then cut at the source's
-exact word budget: ``budget // size`` whole epochs, and the first
-``budget % size`` words of one more.
+rows are ordered by (range, key), its shuffled stream. Word counts are summed
+per (source, range) with map-side combining, and a prefix sum over that small
+table finds the range in which the source's exact word budget ends: after
+``budget // size`` whole epochs and the first ``budget % size`` words of one
+more. Only that range is sorted, its repeated rows folded first, and running
+sums over it give the place of the cut. Every other row lies before or after
+that place by its own key, so rows meet one small record of their source and
+no text is shuffled. Repeated rows that the cut divides are numbered per input
+split, so that each of them is settled without meeting in one task.
 
 Targets: sources ordered by code point (null last) take the weights of
 ``cycle`` in turn and share ``budget`` words (default: all words). No target
@@ -28,13 +30,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bucket_count, cut, key_range, nest, running, table, unnest, word_count
+from .common import ROW, bucket_count, cut, key_range, nest, table, unnest, word_count
 
 SOURCE = ["_src", "_null"]
 RANGE = [*SOURCE, "_range"]
+ORDER = ["_key", "_id", "_words"]
 
 
 def _targets(by_source: DataFrame, cycle: Sequence[int], cap: int, budget: int | None) -> DataFrame:
@@ -60,15 +63,62 @@ def _targets(by_source: DataFrame, cycle: Sequence[int], cap: int, budget: int |
         F.col("_cap"), F.coalesce(level, F.lit(float("inf"))) * F.col("_weight")).alias("_target"))
 
 
+def _place() -> Column:
+    """A row's place in its source's stream; nulls compare as values inside a struct."""
+    return F.struct("_range", *ORDER)
+
+
+def _cuts(narrow: DataFrame, cycle: Sequence[int], cap: int, budget: int | None) -> DataFrame:
+    """One row per source: its size, target, whole epochs, and where the last epoch ends.
+
+    That place is the row ``_at``, which stands ``_copies`` times and of which the
+    last epoch takes ``_left`` words in all; null where the epochs come out even.
+    """
+    ranges = narrow.groupBy(*RANGE).agg(F.sum("_words").alias("_sum"))
+    targets = _targets(ranges.groupBy(*SOURCE).agg(F.sum("_sum").alias("_size")), cycle, cap, budget)
+    in_source = Window.partitionBy(*SOURCE)
+    upto = (Window.unboundedPreceding, Window.currentRow)
+    offsets = cut(ranges.select(*RANGE, F.sum("_sum").over(in_source).alias("_size"),
+                                F.col("_sum"),
+                                F.sum("_sum").over(in_source.orderBy("_range").rowsBetween(*upto)).alias("_end"))
+                  .join(targets, SOURCE)
+                  .withColumn("_offset", F.col("_end") - F.col("_sum"))
+                  .withColumn("_budget", F.floor("_target").cast("long"))
+                  .withColumn("_epochs", F.when(F.col("_size") > 0, F.expr("_budget div _size")).otherwise(F.lit(0)))
+                  .withColumn("_rest", F.col("_budget") - F.col("_epochs") * F.col("_size")))
+    sorted_range = Window.partitionBy(*RANGE).orderBy(*ORDER).rowsBetween(*upto)
+    last = (narrow.join(offsets.filter("_offset < _rest AND _rest <= _end").select(*RANGE, "_offset", "_rest"), RANGE)
+            .groupBy(*RANGE, *ORDER, "_offset", "_rest").agg(F.count("*").alias("_copies"))
+            .withColumn("_upto", F.col("_offset") + F.sum(F.col("_words") * F.col("_copies")).over(sorted_range))
+            .withColumn("_left", F.col("_rest") - F.col("_upto") + F.col("_words") * F.col("_copies"))
+            .filter("_left > 0 AND _rest <= _upto")
+            .select(*SOURCE, _place().alias("_at"), "_copies", "_left"))
+    whole = offsets.groupBy(*SOURCE).agg(*[F.first(c).alias(c) for c in ("_size", "_target", "_epochs")])
+    return whole.join(last, SOURCE, "left").fillna(1, ["_copies"])
+
+
+def _number_equal(rows: DataFrame) -> DataFrame:
+    """Add _number, which counts the rows of each source from 1 without putting them in one task."""
+    rows = cut(rows).select("*", F.spark_partition_id().alias("_split"), F.monotonically_increasing_id().alias("_row"))
+    before = Window.partitionBy(*SOURCE).orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    splits = (rows.groupBy(*SOURCE, "_split").agg(F.count("*").alias("_n"))
+              .select(*SOURCE, "_split", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_earlier")))
+    inside = F.row_number().over(Window.partitionBy(*SOURCE, "_split").orderBy("_row"))
+    return (rows.withColumn("_inside", inside).join(splits, [*SOURCE, "_split"])
+            .withColumn("_number", F.col("_earlier") + F.col("_inside")).drop("_split", "_row", "_inside", "_earlier"))
+
+
 def mix(docs: DataFrame, *, cycle: Sequence[int] = (1, 2, 3), cap: int = 3, budget: int | None = None,
         id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        carry: bool = True) -> DataFrame:
+        carry: bool = True, broadcast_sources: int = 50_000, broadcast_bytes: int = 8 << 20) -> DataFrame:
     """Decide how many words the mix takes of every row.
 
     Adds size, source_size, target, taken (words, repeats counted) and copies
     (whole repeats of the row that come nearest to ``taken``). With ``carry``
-    the caller's columns stay; without it only the id stays, the texts are
-    read once and no text is shuffled.
+    the caller's columns stay and the texts are read twice; without it only the
+    id stays and they are read once. The record of each source is broadcast if
+    there are at most ``broadcast_sources`` and their names hold at most
+    ``broadcast_bytes``; more are joined by a shuffle.
     """
     buckets = bucket_count(docs.count())
     keep = docs.columns if carry else [id_col]
@@ -76,26 +126,29 @@ def mix(docs: DataFrame, *, cycle: Sequence[int] = (1, 2, 3), cap: int = 3, budg
                 _src=F.coalesce(F.col(source_col), F.lit("")), _null=F.col(source_col).isNull())
     key = F.md5(F.concat_ws(":", F.col("_id").cast("string"), F.col("_words").cast("string")))
     rows = rows.withColumn("_key", key).withColumn("_range", key_range(F.col("_key"), buckets))
+    narrow = cut(rows.drop(ROW) if carry else rows)
     if not carry:
-        rows = cut(rows)
-
-    ranges = rows.groupBy(*RANGE).agg(F.sum("_words").alias("_sum"))
-    targets = _targets(ranges.groupBy(*SOURCE).agg(F.sum("_sum").alias("_size")), cycle, cap, budget)
-    in_source = Window.partitionBy(*SOURCE)
-    offsets = (ranges.select(*RANGE, F.sum("_sum").over(in_source).alias("_size"),
-                             F.coalesce(F.sum("_sum").over(in_source.orderBy("_range").rowsBetween(
-                                 Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"))
-               .join(targets, SOURCE)
-               .withColumn("_budget", F.floor("_target").cast("long"))
-               .withColumn("_epochs", F.when(F.col("_size") > 0, F.expr("_budget div _size")).otherwise(F.lit(0)))
-               .withColumn("_rest", F.col("_budget") - F.col("_epochs") * F.col("_size")))
-    placed = (running(rows, RANGE, ["_key", "_id", "_words"], F.col("_words"), offsets)
-              .withColumn("_left", F.col("_rest") - F.col("_offset") - F.col("_run") + F.col("_words"))
-              .withColumn("_part", F.greatest(F.lit(0), F.least(F.col("_words"), F.col("_left")))))
+        rows = narrow
+
+    sources = cut(_cuts(narrow.select(*RANGE, *ORDER), cycle, cap, budget))
+    known = sources.agg(F.count("*").alias("n"), F.sum(F.octet_length("_src")).alias("bytes"),
+                        F.max("_copies").alias("copies")).first()
+    if known.n <= broadcast_sources and (known.bytes or 0) <= broadcast_bytes:
+        sources = F.broadcast(sources)
+    rows = (rows.join(sources, SOURCE)
+            .withColumn("_before", F.coalesce(_place() < F.col("_at"), F.lit(False)))
+            .withColumn("_here", F.coalesce(_place() == F.col("_at"), F.lit(False))))
+    divided = F.col("_here") & (F.col("_copies") > 1)
+    placed = rows.withColumn("_number", F.lit(1).cast("long"))
+    if (known.copies or 0) > 1:
+        placed = placed.filter(~divided).unionByName(_number_equal(rows.filter(divided)))
+    left = F.col("_left") - (F.col("_number") - 1) * F.col("_words")
+    placed = placed.withColumn("_part", F.when(F.col("_before"), F.col("_words")).when(
+        F.col("_here"), F.greatest(F.lit(0), F.least(F.col("_words"), left))).otherwise(F.lit(0)))
+    nearer = F.col("_before") | ((F.col("_part") > 0) & (2 * F.col("_part") >= F.col("_words")))
     return unnest(placed, keep, size=F.col("_words"), source_size=F.col("_size"), target=F.col("_target"),
                   taken=F.col("_words") * F.col("_epochs") + F.col("_part"),
-                  copies=(F.col("_epochs") + F.when((F.col("_left") > 0) & (2 * F.col("_part") >= F.col("_words")), 1)
-                          .otherwise(0)).cast("int"))
+                  copies=(F.col("_epochs") + F.when(nearer, 1).otherwise(0)).cast("int"))
 
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
