@@ -101,19 +101,20 @@ def key_range(key_hex: Column, buckets: int) -> Column:
 
 
 def running(rows: DataFrame, part: list[str], order: list[str], value: Column, totals: DataFrame,
-            most_equal: int = 10_000) -> DataFrame:
+            narrow: DataFrame, most_equal: int = 10_000) -> DataFrame:
     """Add the columns of ``totals`` (a row per ``part``) and _run, the sum of ``value`` up to each row of its part.
 
     Rows that agree in ``order`` must agree in ``value`` and are interchangeable.
     If more than ``most_equal`` of them agree, parts no longer bound a window:
     rows are then summed inside (order, input split) and shifted by the total of
     the groups before theirs. The rows are checkpointed for it, so that both
-    branches see the same splits.
+    branches see the same splits. ``narrow`` holds ``part`` and ``order`` of the same
+    rows, to count them without reading ``rows``.
     """
     upto = (Window.unboundedPreceding, Window.currentRow)
 
     def crowded(columns: list[str]) -> bool:
-        return bool(rows.groupBy(*columns).agg(F.count("*").alias("_n")).filter(F.col("_n") > most_equal).take(1))
+        return bool(narrow.groupBy(*columns).agg(F.count("*").alias("_n")).filter(F.col("_n") > most_equal).take(1))
 
     if not (crowded(part) and crowded([*part, *order])):
         window = Window.partitionBy(*part).orderBy(*order).rowsBetween(*upto)

@@ -30,7 +30,7 @@ import random
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import bucket_count, key_range, nest, running, table, unnest
+from .common import ROW, bucket_count, cut, key_range, nest, running, table, unnest
 
 PRIME = 2_147_483_647
 ROUNDS = 8
@@ -91,17 +91,23 @@ def permuted(value: str, n: int, seed: int, walk: int) -> str:
 
 def shard(docs: DataFrame, *, shards: int = 40, seed: int = 20_240_601, id_col: str = "doc_id",
           text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Add size, text_crc32, law, shard, slot and grown_shard to the ``keep`` columns (default: all)."""
+    """Add size, text_crc32, law, shard, slot and grown_shard to the ``keep`` columns (default: all).
+
+    Texts are read once if ``keep`` leaves them out, else twice: for the counts and to move the rows.
+    """
     n = docs.count()
     keep = docs.columns if keep is None else keep
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = nest(docs, keep, _id=F.col(id_col), _size=(F.octet_length(text) + 16).cast("long"), _crc=F.crc32(text))
     key = F.md5(F.concat_ws(":", F.col("_id").cast("string"), F.col("_crc").cast("string")))
     rows = rows.withColumn("_key", key).withColumn("_range", key_range(F.col("_key"), bucket_count(n)))
-    first = (rows.groupBy("_range").agg(F.count("*").alias("_n"))
+    narrow = cut(rows.drop(ROW) if text_col in keep else rows)  # every count comes from here
+    if text_col not in keep:
+        rows = narrow
+    first = (narrow.groupBy("_range").agg(F.count("*").alias("_n"))
              .select("_range", F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(
                  Window.unboundedPreceding, -1)), F.lit(0)).alias("_first")))
-    numbered = (running(rows, ["_range"], ["_key", "_id", "_size", "_crc"], F.lit(1), first)
+    numbered = (running(rows, ["_range"], ["_key", "_id", "_size", "_crc"], F.lit(1), first, narrow)
                 .withColumn("_number", F.col("_first") + F.col("_run") - 1))
     placed = numbered.withColumn("_place", F.expr(permuted(
         "_number", n, seed, longest_walk(docs.sparkSession, n, seed) if n else 0)))
