@@ -63,3 +63,38 @@ def test_matches_orders_golden_duplicates(spark):
     out = add_identity(li)
     r = out.agg(F.count("*"), F.max("rowoccurrence"), F.count_if(F.col("rowoccurrence") > 1)).first()
     assert tuple(r) == (6000, 5, 1049)          # FIXTURES §4
+
+
+def test_equal_rows_are_dealt_once_and_without_their_fingerprint(spark, tmp):
+    spark.range(0, 400).selectExpr("CAST(id % 150 AS STRING) AS v", "id % 3 AS n").write.parquet(tmp)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = add_identity(spark.read.parquet(tmp))
+        plan = out._jdf.queryExecution().executedPlan()
+        found = [plan.toString()]
+        dealt = [line for line in found[0].splitlines() if "Exchange hashpartitioning" in line]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    # The rows' shuffle is reused for the group sizes; the two others move sizes by digest, none moves rowhash.
+    assert "ReusedExchange" in found[0] and len(dealt) <= 3
+    assert not any("rowhash" in line for line in dealt)
+    got = sorted((r.v, r.n, r.rowoccurrence, r.rowkey) for r in out.collect())
+    rows, seen, expected = [(str(i % 150), i % 3) for i in range(400)], {}, []
+    hashes = {(r.v, r.n): r.h for r in spark.read.parquet(tmp).withColumn("h", row_hash(["v", "n"])).collect()}
+    for row in rows:
+        seen[row] = seen.get(row, 0) + 1
+        expected.append((*row, seen[row], f"{hashes[row]}#{seen[row]}"))
+    assert got == sorted(expected)
+
+
+def test_staged_rows_number_like_unstaged_ones(spark, tmp):
+    rows = spark.createDataFrame([("a", None), ("a", ""), ("a", None), (None, "a"), ("a", "b||c"), ("a||b", "c")] * 9,
+                                 "x string, y string").repartition(5)
+    rows.write.parquet(f"{tmp}/in")
+    rows = spark.read.parquet(f"{tmp}/in")
+    for kw in ({}, {"with_contenthash": True}, {"allow_duplicates": False}, {"exclude_columns": ["y"], "with_contenthash": True}):
+        plain, staged = add_identity(rows, **kw), add_identity(rows, stage=f"{tmp}/{len(kw)}{'exclude_columns' in kw}{'allow_duplicates' in kw}", **kw)
+        assert plain.columns == staged.columns and plain.count() == 54
+        assert sorted(map(str, plain.collect())) == sorted(map(str, staged.collect()))
+    assert add_identity(rows).where("x IN ('a||b', 'a') AND y IN ('c', 'b||c')").agg(F.countDistinct("rowkey")).first()[0] == 18

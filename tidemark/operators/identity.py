@@ -14,10 +14,13 @@ and each group is shifted by the running total of the groups before it,
 computed on the small table of group sizes. Full rows are shuffled once, the same
 as for the naive window.
 
-The group sizes come from a second, narrow branch. Where the source is a plain scan
-that branch reads it again; with ``stage`` (a scratch folder) the rows are hashed,
-tagged with their split and written there first, so the source is read and hashed
-exactly once and both branches read the tagged rows. Persisted runs do so.
+Where identity covers every column the rows are dealt by their fingerprint without
+carrying it (it follows from the columns), both branches read that one shuffle, and
+the group sizes carry its 32 bytes, not its 64 characters. In the other modes the
+group sizes come from a second, narrow branch, which reads a plain scan again. With
+``stage`` (a scratch folder) the rows are hashed, tagged with their split and written
+there first, so the source is read and hashed exactly once and both branches read the
+tagged rows. Persisted runs do so.
 
 Occurrence order: copies are numbered in ``contenthash`` order, so in
 key_columns / exclude_columns mode the same multiset always gets the same
@@ -33,7 +36,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import quote, row_hash
@@ -91,20 +94,20 @@ def add_identity(df: DataFrame, mode: str = "hash_all", key_columns: Sequence[st
     id_cols = identity_columns(business, mode, key_columns, exclude_columns)
     whole_row = sorted(id_cols) == sorted(business)
 
-    if whole_row:
-        # Identity covers every column, so the content fingerprint is the same hash.
-        df = df.withColumn("rowhash", row_hash(id_cols))
-    else:
-        df = df.withColumns({"rowhash": row_hash(id_cols), "contenthash": row_hash(business)})
-
+    # Where identity covers every column, the content fingerprint is the same hash.
+    hashes = {"rowhash": row_hash(id_cols)} if whole_row else {"rowhash": row_hash(id_cols), "contenthash": row_hash(business)}
     if allow_duplicates:
         df = df.withColumn("_split", F.spark_partition_id())
         if stage is not None:
+            df = df.withColumns({"_digest": _digest(id_cols)} if whole_row else hashes)
             df.write.mode("overwrite").parquet(stage)
             df = df.sparkSession.read.schema(df.schema).parquet(stage)
-        df = _number_copies(df, whole_row)
+        if whole_row:
+            df = _number_equal_rows(df, _digest(id_cols) if stage is None else F.col("_digest"))
+        else:
+            df = _number_copies(df if stage is not None else df.withColumns(hashes))
     else:
-        df = df.withColumn("rowoccurrence", F.lit(1).cast("int"))
+        df = df.withColumns({**hashes, "rowoccurrence": F.lit(1).cast("int")})
 
     out = [quote(c) for c in business] + ["rowhash"]
     if with_contenthash:
@@ -113,50 +116,80 @@ def add_identity(df: DataFrame, mode: str = "hash_all", key_columns: Sequence[st
     return df.selectExpr(*out)
 
 
-def _number_copies(split: DataFrame, whole_row: bool) -> DataFrame:
+def rowkey_parts(df: DataFrame) -> DataFrame:
+    """``df`` with ``_digest`` (the 32 bytes of rowhash), which with rowoccurrence is equal exactly where rowkeys are.
+
+    A join on these two moves half the bytes of one on rowkey.
+    """
+    return df.withColumn("_digest", F.unhex("rowhash"))
+
+
+def _digest(columns: Sequence[str]) -> Column:
+    """The 32 bytes of rowhash. Typed as never null: a null check in one branch only would keep its shuffle from being reused."""
+    return F.coalesce(F.unhex(row_hash(columns)), F.expr("X''"))
+
+
+def _number_equal_rows(split: DataFrame, digest: Column) -> DataFrame:
+    """Assign 1..n to rows of one fingerprint where identity covers every column.
+
+    Plan: ONE shuffle of the rows on (digest, split), which a plan without ``stage``
+    computes from the columns on both sides of the shuffle; the row numbers and the
+    group sizes both come from it. The sizes (at most one per input split for each
+    fingerprint) are shuffled by digest for the running offsets, and the non-zero
+    ones are joined back.
+    """
+    group = ["_digest", "_split"]
+    dealt = split.repartition(digest, F.col("_split")).withColumn("_digest", digest)
+    rows = dealt.withColumn("_i", F.row_number().over(Window.partitionBy(*group).orderBy("_digest")))
+    w = Window.partitionBy("_digest").orderBy("_split").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counts = dealt.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.withColumn("_off", F.sum("_n").over(w) - F.col("_n"))
+    return (_shifted(rows, offsets, group)
+            .withColumn("rowhash", F.lower(F.hex("_digest"))).drop("_digest"))
+
+
+def _number_copies(split: DataFrame) -> DataFrame:
     """Assign 1..n to rows sharing a rowhash, ordered by contenthash (see module doc).
 
-    Plan: ONE shuffle of the rows on (rowhash, [contenthash,] split) numbers
+    Plan: ONE shuffle of the rows on (rowhash, contenthash, split) numbers
     each row inside its group (a group never exceeds one input split); the
     group sizes are counted in a narrow branch that is reduced before its shuffle;
     the running offsets are computed on that small table and the non-zero ones are
     joined back.
     """
-    # In whole-row mode contenthash is rowhash, so it is left out of the key.
-    group = ["rowhash", "_split"] if whole_row else ["rowhash", "contenthash", "_split"]
+    group = ["rowhash", "contenthash", "_split"]
     rows = split.withColumn("_i", F.row_number().over(Window.partitionBy(*group).orderBy("rowhash")))
     counts = split.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-    upto = (Window.unboundedPreceding, Window.currentRow)
-    if whole_row:
-        # One content per rowhash: at most one count row per input split per rowhash.
-        w = Window.partitionBy("rowhash").orderBy("_split").rowsBetween(*upto)
-        offsets = counts.withColumn("_off", F.sum("_n").over(w) - F.col("_n"))
-    else:
-        # Many contents may share a rowhash (key_columns mode, hot keys): running
-        # sums inside contenthash-prefix buckets, plus the total of the buckets
-        # before. Prefix order == contenthash order, so the numbering is the
-        # contenthash order whatever the bucket count. With g groups in all, prefixes
-        # of log2(g) / 8 hex characters make about sqrt(g) buckets of a rowhash that
-        # has them all.
-        total = counts.agg(F.count(F.lit(1)).alias("_g"))
-        chars = F.greatest(F.lit(1), F.ceil(F.log2(F.col("_g") + 1) / 8)).cast("int")
-        counts = (counts.join(F.broadcast(total))  # one row
-                  .withColumn("_b", F.substring("contenthash", F.lit(1), chars)).drop("_g"))
-        w = Window.partitionBy("rowhash", "_b").orderBy("contenthash", "_split").rowsBetween(*upto)
-        local = counts.withColumn("_loc", F.sum("_n").over(w) - F.col("_n"))
-        before = Window.partitionBy("rowhash").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-        buckets = (
-            local.groupBy("rowhash", "_b").agg(F.sum("_n").alias("_bn"))
-            .withColumn("_boff", F.coalesce(F.sum("_bn").over(before), F.lit(0)))
-            .where("_boff > 0").select("rowhash", "_b", "_boff")
-        )
-        offsets = (local.join(buckets, ["rowhash", "_b"], "left")
-                   .withColumn("_off", F.col("_loc") + F.coalesce(F.col("_boff"), F.lit(0))))
+    # Many contents may share a rowhash (key_columns mode, hot keys): running
+    # sums inside contenthash-prefix buckets, plus the total of the buckets
+    # before. Prefix order == contenthash order, so the numbering is the
+    # contenthash order whatever the bucket count. With g groups in all, prefixes
+    # of log2(g) / 8 hex characters make about sqrt(g) buckets of a rowhash that
+    # has them all.
+    total = counts.agg(F.count(F.lit(1)).alias("_g"))
+    chars = F.greatest(F.lit(1), F.ceil(F.log2(F.col("_g") + 1) / 8)).cast("int")
+    counts = (counts.join(F.broadcast(total))  # one row
+              .withColumn("_b", F.substring("contenthash", F.lit(1), chars)).drop("_g"))
+    w = Window.partitionBy("rowhash", "_b").orderBy("contenthash", "_split").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = counts.withColumn("_loc", F.sum("_n").over(w) - F.col("_n"))
+    before = Window.partitionBy("rowhash").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = (
+        local.groupBy("rowhash", "_b").agg(F.sum("_n").alias("_bn"))
+        .withColumn("_boff", F.coalesce(F.sum("_bn").over(before), F.lit(0)))
+        .where("_boff > 0").select("rowhash", "_b", "_boff")
+    )
+    offsets = (local.join(buckets, ["rowhash", "_b"], "left")
+               .withColumn("_off", F.col("_loc") + F.coalesce(F.col("_boff"), F.lit(0))))
+    return _shifted(rows, offsets, group)
+
+
+def _shifted(rows: DataFrame, offsets: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Row numbers inside groups moved by their group's offset."""
     # Only groups that follow another group of their rowhash need a shift; the
     # rest (all rows of duplicate-free data) keep _i. The shift table is then
     # small for ordinary data and AQE broadcasts it after checking its size.
     shifts = offsets.where(F.col("_off") > 0).select(*group, "_off")
-    numbered = rows.join(shifts, group, "left")
+    numbered = rows.join(shifts, list(group), "left")
     return numbered.withColumn("rowoccurrence",
                                (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_i")).cast("int")) \
         .drop("_split", "_i", "_off")

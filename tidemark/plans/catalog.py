@@ -198,7 +198,9 @@ def q_multiset_diff(spark, sf):
     """lineitem order keys EXCEPT ALL orders order keys, through rowkeys."""
     li = identity.add_identity(load(spark, sf, "lineitem").select(F.col("l_orderkey").alias("orderkey")))
     od = identity.add_identity(load(spark, sf, "orders").select(F.col("o_orderkey").alias("orderkey")))
-    return li.join(od.select("rowkey"), "rowkey", "left_anti").select("orderkey", "rowoccurrence")
+    on = ["_digest", "rowoccurrence"]  # rowkey, as its two parts
+    return (identity.rowkey_parts(li).join(identity.rowkey_parts(od).select(*on), on, "left_anti")
+            .select("orderkey", "rowoccurrence"))
 
 
 # ── rolling window ────────────────────────────────────────────────────────────
