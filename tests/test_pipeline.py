@@ -132,3 +132,26 @@ def test_bucketed_store_matches_folder_store_without_shuffle(spark, tmp):
         assert "SortMergeJoin" in plan and "Exchange" not in plan
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_large_buckets_are_not_single_tasks(spark, tmp, monkeypatch):
+    from tests.conftest import SF
+    from tidemark.operators import scd
+    from tidemark.plans import scenario as sc
+    from tidemark.streaming import change_capture as cc
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    got = {}
+    for name, most in (("small", cc.BUCKET_BYTES), ("large", 0)):
+        monkeypatch.setattr(cc, "BUCKET_BYTES", most)
+        store = ChangeStore(spark, f"{tmp}/{name}", table=f"tidemark_cc_{name}", buckets=2)
+        for k in range(3):
+            silver = scd.change_stream_scd2(store.stream()) if k == 2 else None
+            run_once(spark, sc.foreign(ev, k), store, sc.run(k), sc.SPEC, cc.SweepSpec(enabled=k == 2), silver)
+        rows = store.stream()
+        plan = scd.change_stream_scd2(rows)._jdf.queryExecution().executedPlan().toString()
+        got[name] = "Exchange hashpartitioning(rowkey" in plan, sorted(map(str, rows.select(*sorted(rows.columns)).collect()))
+        one = store.stream(sc.run(1).seq)
+        assert one.count() == 206 + 4 and one.select("snapshotseq").distinct().count() == 1
+        spark.sql(f"DROP TABLE tidemark_cc_{name}")
+    assert not got["small"][0] and got["large"][0]  # a shuffle makes the tasks where a bucket would be too large for one
+    assert got["small"][1] == got["large"][1] and any("reconcile" in r for r in got["large"][1])

@@ -39,6 +39,8 @@ from tidemark.sources import tables
 COMMIT_SCHEMA = ("snapshotseq bigint, phase string, upserts bigint, deletes bigint, reconciles bigint, "
                  "files array<string>, columns string")
 COUNTS = ("upserts", "deletes", "reconciles")
+#: Bytes of files in one bucket up to which readers take the table by its buckets; a bucket is one task, whatever it holds.
+BUCKET_BYTES = 32 << 20
 
 
 @dataclass(frozen=True)
@@ -78,7 +80,9 @@ class ChangeStore:
     By default the stream is plain parquet files. With ``table`` (and ``buckets``)
     it is also a catalog table partitioned by ``snapshotseq`` and bucketed/sorted by
     ``rowkey``: consecutive snapshots then meet in the Control-1 anti join straight
-    off their buckets, without a shuffle.
+    off their buckets, without a shuffle. Once what is read holds more than
+    ``BUCKET_BYTES`` a bucket, the same files are read without their buckets, so that
+    a shuffle makes as many tasks as the rows need.
     """
 
     def __init__(self, spark: SparkSession, base: str, table: str | None = None, buckets: int | None = None):
@@ -122,12 +126,12 @@ class ChangeStore:
         return (self.spark.read.option("basePath", self.stream_path).schema(schema)
                 .parquet(*[f"{self.stream_path}/{n}" for n in names]))
 
-    def stream(self) -> DataFrame | None:
-        """All committed events, None before the first commit."""
-        entries = self._entries()
+    def stream(self, seq: int | None = None) -> DataFrame | None:
+        """All committed events, or one run's; None before the first commit."""
+        entries = self._entries(seq)
         if not entries:
             return None
-        if self.table is None:
+        if self.table is None or self._bucket_bytes(seq) > BUCKET_BYTES:
             return self.read_commits(entries)
         self.spark.catalog.refreshTable(self.table)
         runs = sorted({e.snapshotseq for e in entries})
@@ -136,6 +140,10 @@ class ChangeStore:
         # A table shows every file of a partition: the tombstones of a sweep that broke off are not committed.
         return self.spark.table(self.table).where(seen & ((F.col("changetype") != "reconcile") | F.col("snapshotseq").isin(swept)))
 
+    def _bucket_bytes(self, seq: int | None) -> float:
+        """Bytes of one bucket in the files of a run or of the whole stream."""
+        return tables.size(self.spark, self.stream_path if seq is None else f"{self.stream_path}/snapshotseq={seq}") / int(self.buckets)
+
     def run_tombstones(self, seq: int, changetype: str) -> DataFrame:
         """Rowkeys that one control closed in a committed run."""
         return self.read_commits(self._entries(seq)).where(F.col("changetype") == changetype).select("rowkey")
@@ -260,7 +268,7 @@ def run_once(spark: SparkSession, source: DataFrame, store: ChangeStore, run: Ru
 
         # 2. Control 1
         if spec.detect_deletes and prior_seq is not None:
-            prior = rolling.prior_snapshot(_widened(stream_before, schema), prior_seq)
+            prior = rolling.prior_snapshot(_widened(store.stream(prior_seq), schema), prior_seq)
             already = rolling.deleted_since(stream_before, prior_seq, run)
             d_df, d_obs = counted(rolling.detect_deletes(snap, prior, run, spec, already), "deletes")
             store.write_events(d_df)
