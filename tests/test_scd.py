@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -151,3 +152,26 @@ def test_no_job_while_planning(spark):
     before = jobs()
     scd.scd2(df, ["k"], "seq", track=["state"])
     assert jobs() == before
+
+
+@pytest.mark.parametrize("most", [1, 2, 5, 300])
+def test_rows_meet_blocks_of_cuts_and_get_the_same_chunk(spark, most):
+    rnd = random.Random(most)
+    rows = [(rnd.choice("aab"), rnd.randint(0, 500), "x", i) for i in range(900)] + [("c", 1, "x", 0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    cuts = scd._cuts(df.where("k <> 'c'"), ["k"], "seq", 2, most)
+    at = {r.k: list(r._cuts) for r in cuts.collect()}
+    assert sum(map(len, at.values())) == min(most, len({r[:2] for r in rows if r[1] in at.get(r[0], [])})) > 0
+    got = scd._chunked(df, cuts, ["k"], "seq", most, "left").collect()
+    assert len(got) == len(rows)
+    assert all(r._c == sum(c <= r.seq for c in at.get(r.k, [])) for r in got)
+    only = scd._chunked(df, cuts, ["k"], "seq", most, "inner").collect()
+    assert len(only) == sum(r[0] in at for r in rows)
+
+
+def test_no_row_is_joined_with_all_cuts_of_its_key(spark):
+    from tests.test_plans import formatted
+    df = spark.createDataFrame([("a", i, "x", i) for i in range(50)], SCHEMA)
+    nodes = re.split(r"\n\(", formatted(scd.scd2(df, ["k"], "seq", track=["state"], hot_key_rows=2)))
+    sent = [n for n in nodes if " BroadcastExchange" in n.splitlines()[0] and "Input" in n]
+    assert sent and not any("_cuts#" in n for n in sent)

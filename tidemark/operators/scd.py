@@ -34,6 +34,7 @@ runs while the plan is made.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -212,15 +213,32 @@ def _cuts(df: DataFrame, keys, seq, every: int, most: int) -> DataFrame:
     return begins.groupBy(*[_q(k) for k in keys]).agg(F.sort_array(F.collect_set("_at")).alias("_cuts"))
 
 
-def _chunk(seq: str, most: int) -> Column:
-    """Number of the row's cuts at or below its sequence, by binary search."""
+def _at_or_below(cuts: str, seq: str, most: int) -> str:
+    """SQL for the number of a sorted array's entries (at most ``most``) at or below the row's sequence, by binary search."""
     middle = "(__span.lo + __span.hi) div 2"
-    return F.expr(f"""CASE WHEN _cuts IS NULL THEN 0 ELSE aggregate(sequence(1, {most.bit_length() + 1}),
-        named_struct('lo', 0L, 'hi', CAST(size(_cuts) AS BIGINT)),
+    return f"""aggregate(sequence(1, {most.bit_length() + 1}),
+        named_struct('lo', 0L, 'hi', CAST(size({cuts}) AS BIGINT)),
         (__span, __step) -> CASE WHEN __span.lo >= __span.hi THEN __span
-            WHEN _cuts[CAST({middle} AS INT)] <= {quote(seq)} THEN named_struct('lo', {middle} + 1, 'hi', __span.hi)
+            WHEN {cuts}[CAST({middle} AS INT)] <= {quote(seq)} THEN named_struct('lo', {middle} + 1, 'hi', __span.hi)
             ELSE named_struct('lo', __span.lo, 'hi', {middle}) END,
-        __span -> CAST(__span.lo AS INT)) END""")
+        __span -> CAST(__span.lo AS INT))"""
+
+
+def _chunked(df: DataFrame, cuts: DataFrame, keys, seq, most: int, how: str) -> DataFrame:
+    """``df`` with ``_c``, the number of the row's cuts at or below its sequence.
+
+    A joined row is copied with the arrays that it meets, so a key's cuts come in blocks of
+    about the root of ``most``: a row meets its key's block heads and then one block.
+    """
+    size = max(1, math.isqrt(max(0, most - 1)) + 1)
+    blocks = f"sequence(0, (size(_cuts) - 1) div {size})"
+    heads = cuts.select(*[_q(k) for k in keys], F.expr(f"transform({blocks}, b -> _cuts[b * {size}])").alias("_heads"))
+    block = (cuts.select(*[_q(k) for k in keys], F.expr(f"posexplode(transform({blocks}, b -> slice(_cuts, b * {size} + 1, {size})))")
+                         .alias("_b", "_block")))
+    found = (df.join(F.broadcast(heads), keys, how)
+             .withColumn("_b", F.expr(f"CASE WHEN _heads IS NULL THEN -1 ELSE {_at_or_below('_heads', seq, size)} - 1 END")).drop("_heads"))
+    inside = F.expr(f"CASE WHEN _block IS NULL THEN 0 ELSE _b * {size} + {_at_or_below('_block', seq, size)} END")
+    return found.join(F.broadcast(block), [*keys, "_b"], "left").withColumn("_c", inside).drop("_b", "_block")
 
 
 def _versions_chunked(df: DataFrame, keys, seq, tracked, payload, tie_break, every: int, most: int) -> DataFrame:
@@ -232,10 +250,10 @@ def _versions_chunked(df: DataFrame, keys, seq, tracked, payload, tie_break, eve
     alone; cuts and summary are broadcast.
     """
     group = [*keys, "_c"]
-    cuts = F.broadcast(_cuts(df, keys, seq, every, most))
+    cuts = _cuts(df, keys, seq, every, most)
 
     def chunked(how: str) -> DataFrame:
-        return df.join(cuts, keys, how).withColumn("_c", _chunk(seq, most)).drop("_cuts")
+        return _chunked(df, cuts, keys, seq, most, how)
 
     ends = (
         _islands(chunked("inner"), group, seq, tracked, tie_break).groupBy(*[_q(k) for k in group])
