@@ -83,3 +83,25 @@ def test_a_range_of_the_cluster_column_opens_few_files(spark, tmp):
     sink.process(spark.createDataFrame(moved, SCHEMA), 1)
     some, whole = read_target(spark, f"{tmp}/t", ("v", 100, 600)), read_target(spark, f"{tmp}/t")
     assert sorted(map(tuple, some.collect())) == sorted(map(tuple, whole.where("v BETWEEN 100 AND 600").collect()))
+
+
+def test_late_histories_are_versioned_once_with_and_once_without_the_batch(spark, tmp):
+    from pyspark.sql import DataFrame
+    sink = ScdSink(spark, f"{tmp}/log", f"{tmp}/t", ["k"], "s", track=["state"], buckets=2, compact_segments=None)
+    sink.process(spark.createDataFrame([("a", 1, "A", 0), ("a", 5, "B", 1), ("a", 9, "A", 2), ("b", 1, "A", 0)], SCHEMA), 0)
+    seen = []
+    versions = sink.versions
+    sink.versions = lambda changes: seen.append(changes) or versions(changes)
+    plans = []
+    rewritten = sink._rewritten
+    sink._rewritten = lambda *a: plans.append(rewritten(*a)) or plans[-1]
+    sink.process(spark.createDataFrame([("a", 3, "B", 7), ("a", 7, "A", 8), ("c", 2, "A", 0)], SCHEMA), 1)
+    assert len(seen) == 3 and len(plans) == 1 and isinstance(plans[0], DataFrame)  # on time, with, without
+    text = plans[0]._jdf.queryExecution().optimizedPlan().toString()
+    # Each history is folded once: one aggregate of islands for each of the two.
+    assert len([x for x in text.splitlines() if "max_by(" in x and "Aggregate" in x and "_last" in x]) == 2
+    got = sorted((r.k, r.state, r.v, r["__START_AT"], r["__END_AT"]) for r in read_target(spark, f"{tmp}/t").collect())
+    assert got == [("a", "A", 0, 1, 3), ("a", "A", 2, 7, None), ("a", "B", 1, 3, 7), ("b", "A", 0, 1, None), ("c", "A", 0, 2, None)]
+    sink.versions, sink._rewritten = versions, rewritten
+    sink.process(spark.createDataFrame([("a", 5, "B", 1)], SCHEMA), 2)  # nothing changes
+    assert read_target(spark, f"{tmp}/t").count() == 5

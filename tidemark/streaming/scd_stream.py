@@ -91,32 +91,33 @@ class ScdSink:
         mine = log.where(F.col(BATCH) == batch_id)
         if mine.isEmpty():
             return
-        changed = self._on_time(mine.drop(BUCKET, BATCH), state.open(batch_id))
         stage = scratch_dir(self.spark, "tidemark-scd", str(batch_id))
-        late = self._late_keys(mine, state.open(batch_id), stage)
+        opened = state.open(batch_id)
+        seen = self._seen(mine, opened, stage)
+        changed = self._on_time(mine.drop(BUCKET, BATCH), opened, seen)
+        late = self._late_keys(seen)
         if late is not None:
             changed = changed.unionByName(self._rewritten(log, late, batch_id), allowMissingColumns=True)
         state.write(changed, batch_id)
         tables.drop_path(self.spark, stage)
 
-    def _seen(self, rows: DataFrame, opened: DataFrame) -> DataFrame:
-        """Per key of the batch: its open version's start and sequence, and whether a change is late."""
+    def _seen(self, rows: DataFrame, opened: DataFrame | None, stage: str) -> DataFrame | None:
+        """Per known key of the batch, written once: its open version's start and sequence, and whether a change is late."""
+        if opened is None:
+            return None
         first = rows.groupBy(*self.keys).agg(F.min(F.col(f"`{self.seq}`")).alias("_first"))
         known = opened.select(*self.keys, F.col(scd.START_AT).alias("_since"), F.col(f"`{self.seq}`").alias("_last"))
-        return first.join(known, self.keys).withColumn("_late", F.col("_first") <= F.col("_last")).drop("_first")
+        tables.write_view(first.join(known, self.keys).withColumn("_late", F.col("_first") <= F.col("_last")).drop("_first"), stage)
+        return self.spark.read.parquet(stage)
 
-    def _late_keys(self, mine: DataFrame, opened: DataFrame | None, stage: str) -> DataFrame | None:
-        if opened is None:
-            return None
-        tables.write_view(self._seen(mine, opened).where("_late").select(*self.keys).withColumn(BUCKET, self.bucket()), stage)
-        late = self.spark.read.parquet(stage)
-        return None if late.isEmpty() else late
+    def _late_keys(self, seen: DataFrame | None) -> DataFrame | None:
+        late = None if seen is None else seen.where("_late").select(*self.keys).withColumn(BUCKET, self.bucket())
+        return None if late is None or late.isEmpty() else late
 
-    def _on_time(self, rows: DataFrame, opened: DataFrame | None) -> DataFrame:
+    def _on_time(self, rows: DataFrame, opened: DataFrame | None, seen: DataFrame | None) -> DataFrame:
         """Changed versions of the keys without late changes: the open version counts as their first change."""
         if opened is None:
             return self.versions(rows).withColumn(GONE, F.lit(False))
-        seen = self._seen(rows, opened)
         late = seen.where("_late").select(*self.keys)
         before = opened.drop(scd.START_AT, scd.END_AT).join(seen.where("NOT _late").select(*self.keys), self.keys, "left_semi")
         found = self.versions(rows.join(late, self.keys, "left_anti").unionByName(before, allowMissingColumns=True))
@@ -126,18 +127,19 @@ class ScdSink:
                 .drop("_since", "_last").withColumn(GONE, F.lit(False)))
 
     def _rewritten(self, log: DataFrame, late: DataFrame, batch_id: int) -> DataFrame:
-        """What differs between the versions of the late keys' whole histories with and without this batch."""
+        """What differs between the versions of the late keys' whole histories with and without this batch.
+
+        Each of the two is computed once and they meet in one join; a version that is gone keeps its key and start alone.
+        """
         touched = sorted(r[BUCKET] for r in late.select(BUCKET).distinct().collect())  # <= buckets values
         history = log.where(F.col(BUCKET).isin(touched)).join(late.select(*self.keys), self.keys, "left_semi")
         on = [*self.keys, scd.START_AT]
         new = self.versions(history.drop(BUCKET, BATCH))
         old = self.versions(history.where(F.col(BATCH) < batch_id).drop(BUCKET, BATCH))
-        mark = scd.content_order(new)
         was = old.select(*on, scd.content_order(old).alias("_was"))
-        differs = (new.withColumn("_now", mark).join(was, on, "left")
-                   .where(~F.col("_now").eqNullSafe(F.col("_was"))).drop("_now", "_was").withColumn(GONE, F.lit(False)))
-        gone = old.join(new.select(*on), on, "left_anti").withColumn(GONE, F.lit(True))
-        return differs.unionByName(gone)
+        return (new.withColumn("_now", scd.content_order(new)).join(was, on, "full_outer")
+                .where(~F.col("_now").eqNullSafe(F.col("_was")))
+                .withColumn(GONE, F.col("_now").isNull()).drop("_now", "_was"))
 
     def compact(self) -> None:
         """Fold all segments into a new base, laid out by ``cluster_by``."""
